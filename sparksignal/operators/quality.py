@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.common import strip
+from .dedupe import sequential_id
 from .filters import contains_any
 
 EXACT_ROWS = 1_000_000
@@ -192,10 +193,8 @@ def require_valid_taxonomy(industries: DataFrame) -> DataFrame:
 
 def stride_sample(manifest: DataFrame, sample_files: int) -> DataFrame:
     """Every (n // sample_files)-th listed file in time order, at most ``sample_files``."""
-    total = manifest.count()
-    stride = max(1, total // sample_files)
-    order = Window.orderBy("file_ts", "url")
-    places = manifest.withColumn("_place", F.row_number().over(order) - 1)
+    places = sequential_id(manifest, ["file_ts", "url"], "_place")
+    stride = max(1, places.count() // sample_files)
     return places.filter(
         (F.pmod(F.col("_place"), F.lit(stride)) == 0) & (F.col("_place") < stride * sample_files)
     ).drop("_place")

@@ -199,6 +199,73 @@ def _names(df: DataFrame, vector: str) -> list[str]:
     return [c for c in df.columns if c != vector]
 
 
+def label_lists(
+    articles: DataFrame,
+    categories: DataFrame,
+    threshold: float,
+    *,
+    article_id: str,
+    category_id: str,
+    vector: str = "embedding",
+    formula: str = "cosine",
+    score: str = "confidence_score",
+    out: str = "labels",
+    max_bytes: int = MATRIX_BYTES,
+) -> DataFrame:
+    """``threshold_join`` with all hits of an article in one array; articles without a hit are left out.
+
+    Keeps one row per article, so later work per article needs no exchange.
+    """
+    _check_formula(formula)
+    fields = [T.StructField(f.name, f.dataType) for f in categories.schema if f.name != vector]
+    fields.append(T.StructField(score, T.DoubleType()))
+    kept = [f for f in articles.schema if f.name != vector]
+    matrix = small_matrix(_present(categories, vector), vector, category_id, max_bytes)
+    if matrix is None:
+        hits = threshold_join(
+            articles,
+            categories,
+            threshold,
+            article_id=article_id,
+            category_id=category_id,
+            vector=vector,
+            formula=formula,
+            score=score,
+            max_bytes=max_bytes,
+        )
+        # An article has at most one hit per category.
+        return hits.groupBy(*[f.name for f in kept]).agg(
+            F.collect_list(F.struct(*[f.name for f in fields])).alias(out)
+        )
+    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.StructType(fields)))])
+    shared = articles.sparkSession.sparkContext.broadcast((matrix.vectors, matrix.squares, matrix.columns))
+
+    def label_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        side, squares, columns = shared.value
+        if not len(side):
+            return
+        for batch in batches:
+            left = vectors_of(batch, vector)
+            for part in _steps(len(left), len(side)):
+                scores = _score(_pairwise_squares(left[part], side, squares), formula)
+                near = scores >= threshold
+                sizes = near.sum(axis=1)
+                labelled = np.nonzero(sizes)[0]
+                if not len(labelled):
+                    continue
+                picks = np.nonzero(near)[1]
+                values = [columns[f.name].take(pa.array(picks)) for f in fields[:-1]]
+                entries = pa.StructArray.from_arrays(
+                    [*values, pa.array(scores[near])], names=[f.name for f in fields]
+                )
+                offsets = np.concatenate([[0], sizes[labelled].cumsum()]).astype(np.int32)
+                source = batch.slice(part.start, part.stop - part.start)
+                data = {f.name: source.column(f.name).take(pa.array(labelled)) for f in kept}
+                yield pa.RecordBatch.from_pydict({**data, out: pa.ListArray.from_arrays(offsets, entries)})
+
+    return _present(articles, vector).mapInArrow(label_batches, schema)
+
+
 def _pivot_matrix(df: DataFrame, vector: str, ident: str, count: int) -> np.ndarray:
     """A fixed number of vectors, picked by hash so that every run picks the same."""
     picked = df.orderBy(F.xxhash64(ident), ident).limit(count).select(vector)

@@ -1 +1 @@
-"""Streaming."""
+"""Structured Streaming forms of the collection and aggregation jobs."""
