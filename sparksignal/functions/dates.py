@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,49 +54,85 @@ ZONE_OFFSETS = {
 
 _ZONE_NAME = r"\s(" + "|".join(ZONE_OFFSETS) + r")$"
 _WEEKDAY = r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
+_ISO = r"^\d{4}-\d"
+
+# The text each layout letter group stands for.
+_LETTER_TEXT = {
+    "yyyy": r"\d{4}",
+    "MMMM": r"[A-Za-z]{4,}",
+    "MMM": r"[A-Za-z]{3}",
+    "MM": r"\d{2}",
+    "dd": r"\d{2}",
+    "d": r"\d{1,2}",
+    "HH": r"\d{2}",
+    "h": r"\d{1,2}",
+    "mm": r"\d{2}",
+    "ss": r"\d{2}",
+    "a": r"[AaPp][Mm]",
+    "Z": r"[+-]\d{4}",
+}
 
 
-def parse_publication_date(raw: Column, ingest_ts: Column | str) -> Column:
-    """STRUCT<ts, had_time> from a feed's free-form date text.
+def _shape(layout: str) -> str:
+    """Pattern of the texts a layout can read, so that only one layout is tried per row."""
+    groups = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", layout)
+    parts = [_LETTER_TEXT[first + rest] if first else re.escape(other) for first, rest, other in groups]
+    return "^" + "".join(parts) + "$"
 
-    Empty or unreadable text gives the collection time and ``had_time = false``;
-    otherwise ``had_time`` tells whether the text contains a colon. Dates with a
-    zone are converted to UTC.
-    """
-    now = F.lit(ingest_ts).cast("timestamp") if isinstance(ingest_ts, str) else ingest_ts
-    text = strip(raw)
-    bare = F.regexp_replace(text, _WEEKDAY, "")
+
+def normalize_date_text(raw: Column) -> Column:
+    """Date text without weekday and commas, its zone as an offset."""
+    bare = F.regexp_replace(F.regexp_replace(strip(raw), _WEEKDAY, ""), ",", "")
     zone = F.regexp_extract(bare, _ZONE_NAME, 1)
     offsets = F.create_map(*[F.lit(x) for pair in ZONE_OFFSETS.items() for x in pair])
-    numeric_zone = F.when(
-        zone != "",
-        F.concat(F.regexp_replace(bare, _ZONE_NAME, " "), F.try_element_at(offsets, zone)),
-    ).otherwise(bare)
-    plain = F.regexp_replace(numeric_zone, ",", "")
-    # A bare number such as "2024" or "20240131093000" is not ISO text.
-    iso = F.when(~text.rlike(r"^\d+$") & text.rlike(r"^\d{4}-\d"), F.try_to_timestamp(text))
-    parsed = F.coalesce(iso, *[F.try_to_timestamp(plain, F.lit(p)) for p in DATE_PATTERNS])
-    return F.struct(
-        F.coalesce(parsed, now).alias("ts"),
-        (parsed.isNotNull() & raw.contains(":")).alias("had_time"),
-    )
+    numeric = F.concat(F.regexp_replace(bare, _ZONE_NAME, " "), F.try_element_at(offsets, zone))
+    return F.when(bare.rlike(_ISO) | (zone == ""), bare).otherwise(numeric)
 
 
-def parse_stamp14(raw: Column, ingest_ts: Column | str) -> Column:
-    """STRUCT<ts, had_time> from a ``yyyyMMddHHmmss`` stamp."""
+def parse_date_text(text: Column) -> Column:
+    """Timestamp from normalized date text, NULL if no layout fits."""
+    parsed = F.when(text.rlike(_ISO), F.try_to_timestamp(text))
+    for layout in DATE_PATTERNS:
+        parsed = parsed.when(text.rlike(_shape(layout)), F.try_to_timestamp(text, F.lit(layout)))
+    return parsed
+
+
+def parse_stamp14(text: Column) -> Column:
+    """Timestamp from a ``yyyyMMddHHmmss`` stamp, NULL for anything else."""
+    return F.when(text.rlike(r"^\d{14}$"), F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss")))
+
+
+def with_publication_day(
+    df: DataFrame, raw: Column, ingest_ts: Column | str, *, stamps: bool = False
+) -> DataFrame:
+    """Add ``day`` and ``hour_minute`` from a feed's date text, or from 14-digit stamps.
+
+    A date without a time of day counts from the next midnight, so that nothing
+    is seen before it was published. Empty or unreadable text takes the
+    collection time and counts as having no time. Zones are converted to UTC.
+    Each step is a column of its own, so that it is computed once per row.
+    """
     now = F.lit(ingest_ts).cast("timestamp") if isinstance(ingest_ts, str) else ingest_ts
-    parsed = F.when(raw.rlike(r"^\d{14}$"), F.try_to_timestamp(raw, F.lit("yyyyMMddHHmmss")))
-    return F.struct(F.coalesce(parsed, now).alias("ts"), parsed.isNotNull().alias("had_time"))
-
-
-def no_lookahead(parsed: Column) -> Column:
-    """STRUCT<day, hour_minute>: a date without a time counts from the next midnight."""
-    ts, had_time = parsed["ts"], parsed["had_time"]
-    return F.struct(
-        F.when(had_time, F.date_format(ts, "yyyy-MM-dd"))
-        .otherwise(F.date_format(F.date_add(F.to_date(ts), 1), "yyyy-MM-dd"))
-        .alias("day"),
-        F.when(had_time, F.date_format(ts, "HH:mm")).otherwise(F.lit("00:00")).alias("hour_minute"),
+    if stamps:
+        staged = df.withColumn("_parsed", parse_stamp14(raw)).withColumn("_timed", F.col("_parsed").isNotNull())
+    else:
+        staged = (
+            df.withColumn("_raw", raw)
+            .withColumn("_text", normalize_date_text(F.col("_raw")))
+            .withColumn("_parsed", parse_date_text(F.col("_text")))
+            .withColumn("_timed", F.col("_parsed").isNotNull() & F.col("_raw").contains(":"))
+            .drop("_raw", "_text")
+        )
+    timed, day = F.col("_timed"), F.to_date("_at")
+    return (
+        staged.withColumn("_at", F.coalesce("_parsed", now))
+        .withColumns(
+            {
+                "day": F.when(timed, day).otherwise(F.date_add(day, 1)).cast("string"),
+                "hour_minute": F.when(timed, F.date_format("_at", "HH:mm")).otherwise(F.lit("00:00")),
+            }
+        )
+        .drop("_parsed", "_timed", "_at")
     )
 
 

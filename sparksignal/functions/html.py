@@ -9,6 +9,7 @@ from urllib.parse import urljoin, urlsplit
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import squeeze, strip
 
@@ -80,7 +81,7 @@ def drop_nested_blocks(html: Column, names: list[str] = HIDDEN_BLOCKS) -> Column
     return F.when(html.rlike(rf"(?i)<(?:{either})(?![\w-])"), folded).otherwise(html)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_entities(text: pd.Series) -> pd.Series:
     """Decode character references such as &amp; and &#233;."""
     return text.map(html_lib.unescape, na_action="ignore")
@@ -128,7 +129,7 @@ def remove_hidden(html: str) -> str:
     return "".join(kept)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def drop_hidden_elements(html: pd.Series) -> pd.Series:
     return html.map(
         lambda page: remove_hidden(page) if "none" in page.lower() else page, na_action="ignore"
@@ -167,7 +168,7 @@ def page_body(html: Column) -> Column:
     return F.when(text != "", text)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _resolve(base: pd.Series, hrefs: pd.Series) -> pd.Series:
     def links(page: str | None, found) -> list[str]:
         out = set()

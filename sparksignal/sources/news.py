@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.common import collapse, strip
-from ..functions.dates import no_lookahead, parse_publication_date, parse_stamp14
+from ..functions.dates import with_publication_day
 from ..operators.filters import non_blank, raw_keyword_filter
 
 NEWS_COLUMNS = ["day", "hour_minute", "title", "news_summary", "source"]
@@ -53,22 +54,19 @@ def event_records(
     Rows with fewer than five columns or no URL are skipped. The URL stands in
     for the title and the organizations for the summary.
     """
-    kept = raw_keyword_filter(lines, keywords, line)
-    cols = F.split(F.col(line), "\t", -1)
     others = [c for c in lines.columns if c != line]
-    fields = kept.select(
-        *others,
-        cols.alias("_cols"),
-        no_lookahead(parse_stamp14(F.get(cols, RECORD_DATE), ingest_ts)).alias("_when"),
-    )
-    return fields.filter(
-        (F.size("_cols") >= RECORD_MIN_COLUMNS) & (F.get("_cols", F.lit(RECORD_URL)) != "")
-    ).select(
+    rows = raw_keyword_filter(lines, keywords, line).select(*others, F.split(F.col(line), "\t", -1).alias("_cols"))
+
+    def field(position: int) -> Column:
+        return F.get("_cols", F.lit(position))
+
+    usable = rows.filter((F.size("_cols") >= RECORD_MIN_COLUMNS) & (field(RECORD_URL) != ""))
+    return with_publication_day(usable, field(RECORD_DATE), ingest_ts, stamps=True).select(
         *others,
-        F.col("_when.day"),
-        F.col("_when.hour_minute"),
-        F.get("_cols", F.lit(RECORD_URL)).alias("title"),
-        F.coalesce(F.get("_cols", F.lit(RECORD_ORGANIZATIONS)), F.lit("")).alias("news_summary"),
+        "day",
+        "hour_minute",
+        field(RECORD_URL).alias("title"),
+        F.coalesce(field(RECORD_ORGANIZATIONS), F.lit("")).alias("news_summary"),
         F.lit(source_name).alias("source"),
     )
 
@@ -139,14 +137,12 @@ def feed_rows(entries: DataFrame, ingest_ts: Column | str) -> DataFrame:
     others = [c for c in entries.columns if c not in core]
     rows = entries.select(
         *others,
-        no_lookahead(parse_publication_date(raw_date, ingest_ts)).alias("_when"),
+        raw_date.alias("_date"),
         strip(text("title")).alias("title"),
         strip(text("summary")).alias("news_summary"),
         F.col("feed_name").alias("source"),
     )
-    return non_blank(rows, "title").select(
-        *others, "_when.day", "_when.hour_minute", "title", "news_summary", "source"
-    )
+    return with_publication_day(non_blank(rows, "title"), F.col("_date"), ingest_ts).select(*others, *NEWS_COLUMNS)
 
 
 def feed_entries(documents: DataFrame, xml: str = "xml", feed_name: str = "feed_name") -> DataFrame:
@@ -196,14 +192,12 @@ def api_articles(responses: DataFrame, ingest_ts: Column | str, default_source:
     ).otherwise(F.try_element_at(source, F.lit("name")))
     rows = articles.select(
         *others,
-        no_lookahead(parse_publication_date(F.coalesce("_a.publishedAt", empty), ingest_ts)).alias("_when"),
+        F.coalesce("_a.publishedAt", empty).alias("_date"),
         strip(F.coalesce("_a.title", empty)).alias("title"),
         strip(F.coalesce("_a.description", empty)).alias("news_summary"),
         name.alias("source"),
     )
-    return non_blank(rows, "title").select(
-        *others, "_when.day", "_when.hour_minute", "title", "news_summary", "source"
-    )
+    return with_publication_day(non_blank(rows, "title"), F.col("_date"), ingest_ts).select(*others, *NEWS_COLUMNS)
 
 
 def parse_api_json(documents: DataFrame, json: str = "json") -> DataFrame:
@@ -216,27 +210,42 @@ def read_api_json(spark: SparkSession, path) -> DataFrame:
     return spark.read.schema(ARTICLES_SCHEMA).option("multiLine", True).json(path)
 
 
-def read_ragged_csv(spark: SparkSession, path, width: int = 512) -> DataFrame:
-    """Rows of a headerless CSV as the array ``fields``.
+def read_ragged_csv(spark: SparkSession, path, *, multi_line: bool = True) -> DataFrame:
+    """Rows of a headerless CSV as the array ``fields``; rows may have any number of fields.
 
-    Rows may have any number of fields up to ``width``; a wider row is an error
-    rather than being cut.
+    With ``multi_line`` a quoted field may hold line breaks and a file is one
+    task; without it every line is a row and files are split freely.
     """
-    names = [f"_c{i}" for i in range(width + 1)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    absent = "\u0000absent"
-    rows = (
-        spark.read.options(
-            header=False, multiLine=True, quote='"', escape='"', nullValue=absent, emptyValue="", maxColumns=width + 2
-        )
-        .schema(schema)
-        .csv(path)
-    )
-    fields = F.array(*names[:width])
-    checked = F.when(
-        F.col(names[width]).isNotNull(), F.raise_error(F.lit(f"a row has more than {width} fields"))
-    ).otherwise(F.filter(fields, lambda f: f.isNotNull()))
-    return rows.select(checked.alias("fields"))
+    schema = "fields array<string>"
+
+    def rows_of(lines) -> Iterator[pa.RecordBatch]:
+        rows: list[list[str]] = []
+        for row in csv.reader(lines):
+            rows.append(row)
+            if len(rows) == 10_000:
+                yield pa.RecordBatch.from_pydict({"fields": pa.array(rows, pa.list_(pa.string()))})
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_pydict({"fields": pa.array(rows, pa.list_(pa.string()))})
+
+    def parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(2**31 - 1)
+        for batch in batches:
+            for content in batch.column("content"):
+                text = io.TextIOWrapper(io.BytesIO(content.as_py()), encoding="utf-8", newline="")
+                yield from rows_of(text)
+
+    if multi_line:
+        files = spark.read.format("binaryFile").load(path).select("content")
+        return files.mapInArrow(parse_files, schema)
+
+    def parse_line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(2**31 - 1)
+        for batch in batches:
+            rows = [row for line in batch.column("value").to_pylist() for row in csv.reader([line])]
+            yield pa.RecordBatch.from_pydict({"fields": pa.array(rows, pa.list_(pa.string()))})
+
+    return spark.read.text(path).mapInArrow(parse_line_batches, schema)
 
 
 def ragged_headlines(rows: DataFrame, fields: str = "fields") -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import series
+from . import news, series
 
-_GROUPS = (series,)
+_GROUPS = (series, news)
 
 
 def queries():
