@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import news, series
+from . import news, reports, series, similarity
 
-_GROUPS = (series, news)
+_GROUPS = (series, news, similarity, reports)
 
 
 def queries():

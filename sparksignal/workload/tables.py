@@ -139,9 +139,9 @@ headlines AS (
 
 SQL_CENTERS = """
 parts AS (
-  SELECT label, at, avg(embedding[at]::DOUBLE) AS x
-  FROM embeddings, range(1, 65) r(at) GROUP BY 1, 2),
-centers AS (SELECT label, list(x ORDER BY at) AS embedding FROM parts GROUP BY 1)
+  SELECT label, pos, avg(embedding[pos]::DOUBLE) AS x
+  FROM embeddings, range(1, 65) r(pos) GROUP BY 1, 2),
+centers AS (SELECT label, list(x ORDER BY pos) AS embedding FROM parts GROUP BY 1)
 """
 
 
