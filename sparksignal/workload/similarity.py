@@ -82,7 +82,7 @@ def similarity_top1(spark, sf):
     """Nearest label centre per vector, kept above a threshold."""
     centers = label_centers(spark, sf).withColumnRenamed("label", "category_id")
     best = top_k_join(vectors(spark, sf, "article_id"), centers, 1, article_id="article_id", category_id="category_id")
-    return confident(best, 0.6).select("article_id", "category_id", rounded("confidence_score").alias("confidence_score"))
+    return confident(best, 0.52).select("article_id", "category_id", rounded("confidence_score").alias("confidence_score"))
 
 
 def similarity_top1_legacy(spark, sf):
@@ -108,7 +108,7 @@ def similarity_topk(spark, sf):
 def similarity_ranked_labels(spark, sf):
     centers = label_centers(spark, sf).withColumnRenamed("label", "category_id")
     ranked = top_k_join(vectors(spark, sf, "article_id"), centers, 3, article_id="article_id", category_id="category_id")
-    labelled = ranked_labels(ranked, "article_id", ["category_id"], 0.6)
+    labelled = ranked_labels(ranked, "article_id", ["category_id"], 0.52)
     return labelled.select(
         "article_id",
         F.array_join(F.transform("labels", lambda x: x["category_id"].cast("string")), ",").alias("categories"),
@@ -242,7 +242,7 @@ def news_to_daily_sentiment(spark, sf):
         _nation_categories(spark, sf),
         lambda articles: join_vectors(articles, known, "article_id"),
         logits=lexicon_logits(F.col("headline"), WORDS),
-        threshold=0.55,
+        threshold=0.5,
         start_date="2024-01-01",
         end_date="2024-01-31",
         order=["published_at", "doc_id"],
@@ -348,7 +348,7 @@ SELECT article_id, string_agg(CAST(category_id AS VARCHAR), ',' ORDER BY categor
 FROM pairs WHERE s >= 0.25 GROUP BY 1""",
     "similarity_top1": f"""
 WITH {_NEAREST_CENTER}
-SELECT article_id, category_id, round(1 - sq / 2, 6) AS confidence_score FROM ranked WHERE r = 1 AND 1 - sq / 2 >= 0.6""",
+SELECT article_id, category_id, round(1 - sq / 2, 6) AS confidence_score FROM ranked WHERE r = 1 AND 1 - sq / 2 >= 0.52""",
     "similarity_top1_legacy": f"""
 WITH {_NEAREST_CENTER}
 SELECT article_id, category_id, round(1 - sq * sq / 2, 6) AS confidence_score FROM ranked
@@ -361,7 +361,7 @@ FROM pairs QUALIFY rank <= 3""",
     "similarity_ranked_labels": f"""
 WITH {_NEAREST_CENTER}
 SELECT article_id, string_agg(CAST(category_id AS VARCHAR), ',' ORDER BY r) AS categories,
-       round(max(1 - sq / 2), 6) AS best_score, max(1 - sq / 2) >= 0.6 AS classified
+       round(max(1 - sq / 2), 6) AS best_score, max(1 - sq / 2) >= 0.52 AS classified
 FROM ranked WHERE r <= 3 GROUP BY 1""",
     "pairwise_cosine": f"""
 WITH {_V}
@@ -406,7 +406,7 @@ WITH words AS (
   SELECT doc_id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 16 AS bucket FROM (
     SELECT doc_id, unnest(string_split_regex(lower(regexp_replace(text, '^\s+|\s+$', '', 'g')), '\s+')) AS w
     FROM documents) WHERE w <> ''),
-counts AS (SELECT doc_id, bucket, count(*) AS n FROM words GROUP BY 1, 2)
+counts AS (SELECT doc_id, bucket, count(*) AS n FROM words GROUP BY 1, 2),
 slots AS (SELECT doc_id, b AS bucket FROM documents, range(16) r(b))
 SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, CAST(coalesce(n, 0) AS DOUBLE) AS count
 FROM slots LEFT JOIN counts USING (doc_id, bucket)""",
@@ -422,7 +422,7 @@ news AS (
 hits AS (
   SELECT CAST(t AS DATE) AS d, c.label AS k, p - n AS value
   FROM scored JOIN embeddings e ON article_id = vec_id, centers c
-  WHERE 1 - pow(list_distance(e.embedding::DOUBLE[], c.embedding), 2) / 2 >= 0.55),
+  WHERE 1 - pow(list_distance(e.embedding::DOUBLE[], c.embedding), 2) / 2 >= 0.5),
 agg AS (SELECT d, k, count(*) AS cnt, avg(value) AS m FROM hits GROUP BY 1, 2),
 grid AS (
   SELECT CAST(r AS DATE) AS d, n_nationkey AS k, r_name
