@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import squeeze, strip
+from .common import strip
 
 # Elements without visible text. The first two hold raw text,
 # which may contain anything that looks like a tag.
@@ -37,10 +37,10 @@ VOID_TAGS = {
 }
 
 # Headings that delimit the business section of an annual report.
-SECTION_START = r"(?i)ITEM\s+1\.\s+BUSINESS"
-SECTION_END = r"(?i)ITEM\s+1A\.\s+RISK\s+FACTORS"
+SECTION_START = r"ITEM\s+1\.\s+BUSINESS"
+SECTION_END = r"ITEM\s+1A\.\s+RISK\s+FACTORS"
 
-_TAG = r"(?s)</?[a-zA-Z](?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|<[!?][^>]*>"
+_TAG = r"</?[a-zA-Z](?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[!?][^>]*+>"
 _HREF = r"(?is)<a\s[^>]*?(?<![\w-])href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)"
 _BREAK = "\u0001"
 
@@ -129,30 +129,46 @@ def remove_hidden(html: str) -> str:
     return "".join(kept)
 
 
+_COMMENT = re.compile(r"<!--.*?-->", re.DOTALL)
+_PYTHON_TAG = re.compile(r"</?[a-zA-Z](?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|<[!?][^>]*>")
+_PYTHON_SPACES = re.compile(r"\s+")
+
+
+def plain_filing_text(html: str) -> str:
+    """Text of one filing without hidden elements and tags, white space collapsed."""
+    page = _COMMENT.sub(" ", html)
+    if "none" in page.lower():
+        page = remove_hidden(page)
+    return _PYTHON_SPACES.sub(" ", html_lib.unescape(_PYTHON_TAG.sub(" ", page)).replace(_BREAK, " "))
+
+
 @F.pandas_udf(T.StringType())
-def drop_hidden_elements(html: pd.Series) -> pd.Series:
-    return html.map(
-        lambda page: remove_hidden(page) if "none" in page.lower() else page, na_action="ignore"
-    )
+def filing_text(html: pd.Series) -> pd.Series:
+    """``plain_filing_text`` by batches: nesting is beyond regular expressions."""
+    return html.map(plain_filing_text, na_action="ignore")
 
 
-def filing_text(html: Column) -> Column:
-    """Text of a filing without its hidden elements, white space collapsed."""
-    comments_out = F.regexp_replace(html, r"(?s)<!--.*?-->", _BREAK)
-    nodes = text_nodes(drop_hidden_elements(comments_out))
-    return squeeze(F.replace(nodes, F.lit(_BREAK), F.lit(" ")))
+def _sections(text: Column) -> Column:
+    """The business section as an array of one text, or empty."""
+    # Cut before every start heading; the last piece then begins with its heading.
+    last = F.element_at(F.split(text, rf"(?i)(?={SECTION_START})"), -1)
+    parts = F.split(last, rf"(?i){SECTION_END}", 2)
+    found = F.filter(F.array(parts), lambda p: (F.size(p) == 2) & F.get(p, 0).rlike(rf"(?i)^{SECTION_START}"))
+    return F.transform(found, lambda p: F.trim(F.get(p, 0)))
 
 
 def business_section(text: Column) -> Column:
     """From the last start heading to the first end heading after it, else NULL.
 
-    Taking the last start heading skips the table of contents.
+    Taking the last start heading skips the table of contents. Each pattern
+    runs over the text once.
     """
-    heading = F.element_at(F.regexp_extract_all(text, F.lit(f"({SECTION_START})"), F.lit(1)), -1)
-    body = F.element_at(F.split(text, SECTION_START), -1)
-    found = text.rlike(SECTION_START) & body.rlike(SECTION_END)
-    section = F.concat(heading, F.get(F.split(body, SECTION_END, 2), 0))
-    return F.when(found, F.trim(section))
+    return F.get(_sections(text), 0)
+
+
+def business_section_rows(text: Column) -> Column:
+    """Generator of the section, without a row where there is none."""
+    return F.explode(_sections(text))
 
 
 def page_title(html: Column) -> Column:

@@ -165,5 +165,7 @@ def _carries(ends: DataFrame, ratio: float, keys: list[str]) -> DataFrame:
         )
     # The block ends form a recurrence of the same kind, 4096 times shorter.
     renamed = ends.withColumnsRenamed({"_block": "_level", "_end": "_level_share"})
-    scanned = _scan(renamed, "_level_share", "_carry", ratio, "_level", keys)
-    return scanned.select(*keys, (F.col("_level") + 1).alias("_block"), "_carry")
+    scanned = _scan(renamed, "_level_share", "_level_value", ratio, "_level", keys)
+    return scanned.select(
+        *keys, (F.col("_level") + 1).alias("_block"), F.col("_level_value").alias("_carry")
+    )

@@ -53,14 +53,14 @@ def vectors_of(batch, name: str) -> np.ndarray:
 
 
 def small_matrix(df: DataFrame, vector: str, order: str, max_bytes: int = MATRIX_BYTES) -> Matrix | None:
-    """The vectors as one matrix in ``order``, or None if they exceed the limit."""
-    first = df.select(F.size(vector).alias("d")).first()
-    if first is None:
-        return Matrix(np.zeros((0, 0)), {c: pa.array([]) for c in df.columns if c != vector})
-    rows = max_bytes // (8 * max(1, first["d"]))
-    if df.select(order).limit(rows + 1).count() > rows:
+    """The vectors as one matrix in ``order``, or None if they exceed the limit.
+
+    The size is measured before anything is gathered.
+    """
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(vector)).alias("width")).first()
+    if size["rows"] * (size["width"] or 1) * 8 > max_bytes:
         return None
-    table = df.orderBy(order).toArrow()
+    table = df.toArrow().sort_by(order)
     others = {c: table.column(c).combine_chunks() for c in table.column_names if c != vector}
     return Matrix(vectors_of(table, vector), others)
 
@@ -114,9 +114,13 @@ def _present(df: DataFrame, vector: str) -> DataFrame:
 
 
 def _over_matrix(
-    articles: DataFrame, vector: str, schema: T.StructType, matrix: Matrix, pick: Callable
+    articles: DataFrame, vector: str, schema: T.StructType, matrix: Matrix, category_id: str, pick: Callable
 ) -> DataFrame:
-    """Score article batches against a shared matrix; ``pick`` selects the hits of a step."""
+    """Score article batches against a shared matrix.
+
+    ``pick`` gets the squared distances of a step, its article rows and the
+    category ids, and returns the hits.
+    """
     shared = articles.sparkSession.sparkContext.broadcast((matrix.vectors, matrix.squares, matrix.columns))
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,16 +130,22 @@ def _over_matrix(
         for batch in batches:
             left = vectors_of(batch, vector)
             for part in _steps(len(left), len(side)):
-                rows, picks, extra = pick(_pairwise_squares(left[part], side, squares))
+                source = batch.slice(part.start, part.stop - part.start)
+                distances = _pairwise_squares(left[part], side, squares)
+                rows, picks, extra = pick(distances, source, columns[category_id])
                 if len(rows):
-                    source = batch.slice(part.start, part.stop - part.start)
                     yield _emit(source, vector, rows, columns, picks, extra)
 
     return _present(articles, vector).mapInArrow(score_batches, schema)
 
 
-def _hits_above(threshold: float, formula: str, score: str) -> Callable:
-    def pick(squares: np.ndarray):
+def _hits_above(threshold: float, formula: str, score: str, ordered_by: str | None = None) -> Callable:
+    """All pairs at or above the threshold; with ``ordered_by`` only those with the lower id on the left."""
+
+    def pick(squares: np.ndarray, articles, category_ids):
+        if ordered_by is not None:
+            left, right = articles.column(ordered_by).to_numpy(), category_ids.to_numpy()
+            squares = np.where(left[:, None] < right[None, :], squares, np.inf)
         scores = _score(squares, formula)
         rows, picks = np.nonzero(scores >= threshold)
         return rows, picks, {score: pa.array(scores[rows, picks])}
@@ -164,7 +174,7 @@ def threshold_join(
     schema = _output_schema(articles, categories, vector, [T.StructField(score, T.DoubleType())])
     matrix = small_matrix(_present(categories, vector), vector, category_id, max_bytes)
     if matrix is not None:
-        return _over_matrix(articles, vector, schema, matrix, _hits_above(threshold, formula, score))
+        return _over_matrix(articles, vector, schema, matrix, category_id, _hits_above(threshold, formula, score))
     return _cell_join(articles, categories, threshold, article_id, category_id, vector, formula, score, schema)
 
 
@@ -182,7 +192,7 @@ def _piece_matcher(
             squares = (b**2).sum(axis=1)
             for part in _steps(len(a), len(b)):
                 piece = left.slice(part.start, part.stop - part.start)
-                rows, picks, extra = pick(_pairwise_squares(a[part], b, squares), piece, right)
+                rows, picks, extra = pick(_pairwise_squares(a[part], b, squares), piece, right.column(order))
                 data = {n: piece.column(n).take(pa.array(rows)) for n in kept}
                 data |= {n: values.take(pa.array(picks)) for n, values in columns.items()}
                 tables.append(pa.Table.from_pydict({**data, **extra}))
@@ -366,15 +376,7 @@ def _cell_join(
         .withColumn("_lp", all_pieces(left_pieces))
     )
     keys = ["_cell", "_lp", "_rp"]
-    above = _hits_above(threshold, formula, score)
-
-    def pick(squares: np.ndarray, left_piece: pa.Table, right_piece: pa.Table):
-        if ordered_pairs:
-            left_ids = left_piece.column(article_id).to_numpy()
-            right_ids = right_piece.column(category_id).to_numpy()
-            squares = np.where(left_ids[:, None] < right_ids[None, :], squares, np.inf)
-        return above(squares)
-
+    pick = _hits_above(threshold, formula, score, article_id if ordered_pairs else None)
     match = _piece_matcher(
         _names(articles, vector), _names(categories, vector), vector, category_id, pick, {score: pa.float64()}
     )
@@ -382,12 +384,21 @@ def _cell_join(
 
 
 def pairwise_similarity(
-    df: DataFrame, min_score: float, *, ident: str = "vec_id", vector: str = "embedding", score: str = "cosine"
+    df: DataFrame,
+    min_score: float,
+    *,
+    ident: str = "vec_id",
+    vector: str = "embedding",
+    score: str = "cosine",
+    max_bytes: int = MATRIX_BYTES,
 ) -> DataFrame:
     """Pairs (id_a < id_b) of one table whose cosine reaches ``min_score``."""
     rows = _present(df, vector).select(F.col(ident).alias("id_a"), unit(F.col(vector)).alias(vector))
     other = rows.withColumnRenamed("id_a", "id_b")
     schema = _output_schema(rows, other, vector, [T.StructField(score, T.DoubleType())])
+    matrix = small_matrix(other, vector, "id_b", max_bytes)
+    if matrix is not None:
+        return _over_matrix(rows, vector, schema, matrix, "id_b", _hits_above(min_score, "cosine", score, "id_a"))
     return _cell_join(rows, other, min_score, "id_a", "id_b", vector, "cosine", score, schema, ordered_pairs=True)
 
 
@@ -412,7 +423,7 @@ def top_k_join(
     schema = _output_schema(articles, categories, vector, extra)
     present = _present(categories, vector)
 
-    def pick(squares: np.ndarray):
+    def pick(squares: np.ndarray, *_):
         depth = min(k, squares.shape[1])
         if depth == 1:
             best = squares.argmin(axis=1)[:, None]
@@ -426,7 +437,7 @@ def top_k_join(
 
     matrix = small_matrix(present, vector, category_id, max_bytes)
     if matrix is not None:
-        return _over_matrix(articles, vector, schema, matrix, pick)
+        return _over_matrix(articles, vector, schema, matrix, category_id, pick)
     return _top_k_by_pieces(articles, present, k, article_id, category_id, vector, score, schema, pick, max_bytes)
 
 
@@ -465,7 +476,7 @@ def _top_k_by_pieces(
         _names(categories, vector),
         vector,
         category_id,
-        lambda squares, *_: pick(squares),
+        pick,
         {score: pa.float64(), "rank": pa.int32()},
     )
     candidates = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(match, schema)

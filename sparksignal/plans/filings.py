@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import business_section, filing_text
+from ..functions.html import business_section_rows, filing_text
 from ..operators.similarity import sector_probabilities
 
 
@@ -15,8 +15,7 @@ def filing_sections(filings: DataFrame, html: str = "html", out: str = "section"
     """The business section of each filing; filings without one are left out."""
     others = [c for c in filings.columns if c != html]
     texts = filings.select(*others, filing_text(F.col(html)).alias("_text"))
-    sections = texts.select(*others, business_section(F.col("_text")).alias(out))
-    return sections.filter(F.col(out).isNotNull())
+    return texts.select(*others, business_section_rows(F.col("_text")).alias(out))
 
 
 def filing_sectors(

@@ -47,8 +47,12 @@ def prepare_news(
         raise ValueError("News input must contain day/hour_minute or published_at/timestamp")
     dated = news.withColumn("published_at", when)
     inside = dated.filter(in_day_range(F.col("published_at"), start_date, end_date))
-    prepared = inside.withColumn("headline", compose_headline(inside))
-    return sequential_id(prepared, list(order)) if number else prepared
+    order = list(order)
+    # Numbering reads its input twice, so the texts are composed after it where the order allows.
+    early = number and set(order) <= set(inside.columns)
+    rows = sequential_id(inside, order) if early else inside
+    prepared = rows.withColumn("headline", compose_headline(inside))
+    return sequential_id(prepared, order) if number and not early else prepared
 
 
 def classify_news(

@@ -59,6 +59,15 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores where a small input comes as fewer partitions than there are cores.
+
+    Large inputs already have more partitions and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and read them back from there.
 

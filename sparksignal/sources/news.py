@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.common import collapse, strip
-from ..functions.dates import with_publication_day
+from ..functions.common import collapse, rows_where, strip
+from ..functions.dates import parse_stamp14, with_publication_day
 from ..operators.filters import non_blank, raw_keyword_filter
 
 NEWS_COLUMNS = ["day", "hour_minute", "title", "news_summary", "source"]
@@ -55,13 +55,16 @@ def event_records(
     for the title and the organizations for the summary.
     """
     others = [c for c in lines.columns if c != line]
-    rows = raw_keyword_filter(lines, keywords, line).select(*others, F.split(F.col(line), "\t", -1).alias("_cols"))
 
     def field(position: int) -> Column:
         return F.get("_cols", F.lit(position))
 
-    usable = rows.filter((F.size("_cols") >= RECORD_MIN_COLUMNS) & (field(RECORD_URL) != ""))
-    return with_publication_day(usable, field(RECORD_DATE), ingest_ts, stamps=True).select(
+    def usable(cols: Column) -> Column:
+        return (F.size(cols) >= RECORD_MIN_COLUMNS) & (F.get(cols, F.lit(RECORD_URL)) != "")
+
+    cols = F.split(F.col(line), "\t", -1)
+    rows = raw_keyword_filter(lines, keywords, line).select(*others, rows_where(cols, usable).alias("_cols"))
+    return with_publication_day(rows, field(RECORD_DATE), ingest_ts, stamps=True).select(
         *others,
         "day",
         "hour_minute",
@@ -105,23 +108,18 @@ def file_manifest(
     A line reads "size hash url". Both end days are included. Ordered by time
     when only the first ``max_files`` are wanted.
     """
-    parts = F.split(strip(F.col(line)), " ", -1)
-    url = F.element_at(parts, -1)
-    stamp = F.substring(F.element_at(F.split(url, "/"), -1), 1, 14)
-    listed = lines.select(
-        F.when(stamp.rlike(r"^\d{14}$"), F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmmss"))).alias("file_ts"),
-        url.alias("url"),
-        F.get(parts, F.lit(0)).try_cast("bigint").alias("size_bytes"),
-        F.size(parts).alias("_parts"),
-    )
     first = F.lit(start_date).cast("date").cast("timestamp")
     after = F.date_add(F.lit(end_date).cast("date"), 1).cast("timestamp")
-    kept = listed.filter(
-        (F.col("_parts") >= MANIFEST_PARTS)
-        & F.col("url").endswith(MANIFEST_SUFFIX)
-        & (F.col("file_ts") >= first)
-        & (F.col("file_ts") < after)
-    ).drop("_parts")
+    candidates = lines.filter(F.col(line).contains(MANIFEST_SUFFIX))
+    entries = candidates.select(
+        rows_where(
+            F.split(strip(F.col(line)), " ", -1),
+            lambda parts: (F.size(parts) >= MANIFEST_PARTS) & F.element_at(parts, -1).endswith(MANIFEST_SUFFIX),
+        ).alias("_parts")
+    ).select(F.element_at("_parts", -1).alias("url"), F.get("_parts", F.lit(0)).try_cast("bigint").alias("size_bytes"))
+    stamp = F.substring(F.substring_index("url", "/", -1), 1, 14)
+    in_range = rows_where(parse_stamp14(stamp), lambda at: (at >= first) & (at < after))
+    kept = entries.select(in_range.alias("file_ts"), "url", "size_bytes")
     return kept.orderBy("file_ts", "url").limit(max_files) if max_files else kept
 
 

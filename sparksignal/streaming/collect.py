@@ -54,7 +54,7 @@ def append_stream(
 
 
 def dedupe_within(stream: DataFrame, time: str, delay: str, keys: Sequence[str] = ("dedupe_key",)) -> DataFrame:
-    """Drop repeats that arrive within ``delay`` of each other; the state stays bounded."""
+    """Drop repeats within ``delay`` of each other, later ones at times too; the state stays bounded."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 

@@ -14,7 +14,7 @@ from ..plans.daily import daily_means, daily_sentiment as daily_job
 from ..plans.intraday import interval_means, scored_times, sentiment_series
 from ..plans.market import bar_indicators, market_indicators as market_job, numbered_bars
 from ..sources.bars import bars_to_long
-from .tables import SQL_BARS, SQL_VALUE, event_news, nation_taxonomy, rounded, stamp, supplier_bars, table, unit_price
+from .tables import SQL_BARS, SQL_VALUE, event_news, landed_bars, nation_taxonomy, rounded, stamp, supplier_bars, table, unit_price
 
 START, END = "2023-12-30", "2024-02-02"
 
@@ -169,13 +169,13 @@ def bars_wide_to_long(spark, sf):
 
 
 def bar_positions(spark, sf):
-    return numbered_bars(supplier_bars(spark, sf)).select(
+    return numbered_bars(landed_bars(spark, sf)).select(
         "ticker", stamp("timestamp").alias("timestamp"), F.col("_position").alias("position")
     )
 
 
 def _indicators(spark, sf, *columns):
-    rows = bar_indicators(supplier_bars(spark, sf).select("timestamp", "ticker", "close"))
+    rows = bar_indicators(landed_bars(spark, sf).select("timestamp", "ticker", "close"))
     return rows.select("ticker", stamp("timestamp").alias("timestamp"), *[rounded(c, 4).alias(c) for c in columns])
 
 
@@ -196,7 +196,7 @@ def market_macd(spark, sf):
 
 
 def market_indicators(spark, sf):
-    rows = market_job(supplier_bars(spark, sf))
+    rows = market_job(landed_bars(spark, sf))
     numbers = ["open", "high", "low", "close", "volume", "rsi", "macd"]
     return rows.select("ticker", stamp("timestamp").alias("timestamp"), *[rounded(c, 4).alias(c) for c in numbers])
 

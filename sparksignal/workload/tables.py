@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import strip
-from ..session import configure
+from ..session import configure, cut_lineage, spread, work_path
+from ..sources.sinks import write_stage
 
 PLACES = 6
 
@@ -20,8 +21,13 @@ EVENT_LABELS = {
 }
 
 
+# Tables whose rows hold long texts or vectors, worth spreading over all cores.
+HEAVY = {"documents", "pages", "embeddings"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf}/{name}.parquet")
+    rows = configure(spark).read.parquet(f"{sf}/{name}.parquet")
+    return spread(rows) if name in HEAVY else rows
 
 
 def rounded(col: Column | str, places: int = PLACES) -> Column:
@@ -61,13 +67,12 @@ def unit_price() -> Column:
 def supplier_bars(spark: SparkSession, sf: str) -> DataFrame:
     """One bar per supplier and ship date from line items, priced in whole cents."""
     price = unit_price()
-    order = F.struct("l_orderkey", "l_linenumber", price.alias("p"))
-    return (
+    cents = F.floor(price * 100)
+    # Order key, line and price as one number, so that all aggregates stay primitive.
+    order = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * F.lit(100_000_000) + cents
+    bars = (
         table(spark, sf, "lineitem")
-        .groupBy(
-            F.col("l_shipdate").cast("timestamp").alias("timestamp"),
-            F.concat(F.lit("S."), F.col("l_suppkey").cast("string")).alias("ticker"),
-        )
+        .groupBy("l_suppkey", "l_shipdate")
         .agg(
             F.min_by(price, order).alias("open"),
             F.max(price).alias("high"),
@@ -76,6 +81,20 @@ def supplier_bars(spark: SparkSession, sf: str) -> DataFrame:
             F.sum("l_quantity").alias("volume"),
         )
     )
+    return bars.select(
+        F.col("l_shipdate").cast("timestamp").alias("timestamp"),
+        F.concat(F.lit("S."), F.col("l_suppkey").cast("string")).alias("ticker"),
+        "open",
+        "high",
+        "low",
+        "close",
+        "volume",
+    )
+
+
+def landed_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """``supplier_bars`` as a stored table: numbering a series reads its bars twice."""
+    return write_stage(supplier_bars(spark, sf), work_path(spark, "bars"))
 
 
 def headlines(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,8 +120,8 @@ def labelled_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def label_centers(spark: SparkSession, sf: str) -> DataFrame:
-    """Mean vector per label: (label, embedding)."""
-    return (
+    """Mean vector per label: (label, embedding). Stored, as it serves several passes."""
+    centers = (
         table(spark, sf, "embeddings")
         .select("label", F.posexplode("embedding").alias("at", "x"))
         .groupBy("label", "at")
@@ -110,6 +129,7 @@ def label_centers(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("label")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda p: p["x"]).alias("embedding"))
     )
+    return cut_lineage(centers)
 
 
 # SQL counterparts of the tables above.
