@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.common import strip
+from ..session import cut_lineage
 from .dedupe import sequential_id
 from .filters import contains_any
 
@@ -69,9 +70,13 @@ def exact_median(df: DataFrame, value: str) -> float | None:
 
 
 def similarity_statistics(scores: DataFrame, score: str = "confidence_score") -> DataFrame:
-    """Count, min, max, mean, median and population deviation, before any threshold."""
-    median = exact_median(scores, score)
-    return scores.agg(
+    """Count, min, max, mean, median and population deviation, before any threshold.
+
+    The scores are stored once, since the median takes several passes over them.
+    """
+    stored = cut_lineage(scores.select(score))
+    median = exact_median(stored, score)
+    return stored.agg(
         F.count(score).alias("n"),
         F.min(score).alias("min_score"),
         F.max(score).alias("max_score"),

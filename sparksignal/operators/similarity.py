@@ -175,7 +175,32 @@ def threshold_join(
     matrix = small_matrix(_present(categories, vector), vector, category_id, max_bytes)
     if matrix is not None:
         return _over_matrix(articles, vector, schema, matrix, category_id, _hits_above(threshold, formula, score))
-    return _cell_join(articles, categories, threshold, article_id, category_id, vector, formula, score, schema)
+    pairs = _cell_join(
+        articles.select(article_id, vector),
+        categories.select(category_id, vector),
+        threshold,
+        article_id,
+        category_id,
+        vector,
+        formula,
+        score,
+    )
+    return _with_payload(pairs, articles, categories, article_id, category_id, vector).select(*schema.names)
+
+
+def _with_payload(
+    pairs: DataFrame, articles: DataFrame, categories: DataFrame, article_id: str, category_id: str, vector: str
+) -> DataFrame:
+    """Bring the other columns of both sides to the matched ids, which must be unique per side.
+
+    Only ids and vectors are copied to several cells; texts and the like move once per hit.
+    """
+    for side, ident in ((articles, article_id), (categories, category_id)):
+        payload = side.drop(vector)
+        if len(payload.columns) > 1:
+            # Aliased afresh, in case both sides come from one table.
+            pairs = pairs.join(payload.select(*[F.col(c).alias(c) for c in payload.columns]), ident)
+    return pairs
 
 
 def _piece_matcher(
@@ -233,7 +258,7 @@ def label_lists(
     matrix = small_matrix(_present(categories, vector), vector, category_id, max_bytes)
     if matrix is None:
         hits = threshold_join(
-            articles,
+            articles.select(article_id, vector),
             categories,
             threshold,
             article_id=article_id,
@@ -244,9 +269,8 @@ def label_lists(
             max_bytes=max_bytes,
         )
         # An article has at most one hit per category.
-        return hits.groupBy(*[f.name for f in kept]).agg(
-            F.collect_list(F.struct(*[f.name for f in fields])).alias(out)
-        )
+        lists = hits.groupBy(article_id).agg(F.collect_list(F.struct(*[f.name for f in fields])).alias(out))
+        return articles.drop(vector).join(lists, article_id).select(*[f.name for f in kept], out)
     schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.StructType(fields)))])
     shared = articles.sparkSession.sparkContext.broadcast((matrix.vectors, matrix.squares, matrix.columns))
 
@@ -336,11 +360,12 @@ def _cell_join(
     vector: str,
     formula: str,
     score: str,
-    schema: T.StructType,
     ordered_pairs: bool = False,
     pivot_count: int = PIVOTS,
     piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
+    """``threshold_join`` of two (id, vector) tables of any size."""
+    schema = _output_schema(articles, categories, vector, [T.StructField(score, T.DoubleType())])
     bound = _bound(threshold, formula)
     left, right = _present(articles, vector), _present(categories, vector)
     pivots = _pivot_matrix(right, vector, category_id, pivot_count)
@@ -399,7 +424,7 @@ def pairwise_similarity(
     matrix = small_matrix(other, vector, "id_b", max_bytes)
     if matrix is not None:
         return _over_matrix(rows, vector, schema, matrix, "id_b", _hits_above(min_score, "cosine", score, "id_a"))
-    return _cell_join(rows, other, min_score, "id_a", "id_b", vector, "cosine", score, schema, ordered_pairs=True)
+    return _cell_join(rows, other, min_score, "id_a", "id_b", vector, "cosine", score, ordered_pairs=True)
 
 
 def top_k_join(
@@ -438,7 +463,18 @@ def top_k_join(
     matrix = small_matrix(present, vector, category_id, max_bytes)
     if matrix is not None:
         return _over_matrix(articles, vector, schema, matrix, category_id, pick)
-    return _top_k_by_pieces(articles, present, k, article_id, category_id, vector, score, schema, pick, max_bytes)
+    best = _top_k_by_pieces(
+        articles.select(article_id, vector),
+        present.select(category_id, vector),
+        k,
+        article_id,
+        category_id,
+        vector,
+        score,
+        pick,
+        max_bytes,
+    )
+    return _with_payload(best, articles, categories, article_id, category_id, vector).select(*schema.names)
 
 
 def _top_k_by_pieces(
@@ -449,12 +485,13 @@ def _top_k_by_pieces(
     category_id: str,
     vector: str,
     score: str,
-    schema: T.StructType,
     pick: Callable,
     max_bytes: int,
     piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Top k of each category piece, then the best k of those per article."""
+    extra = [T.StructField(score, T.DoubleType()), T.StructField("rank", T.IntegerType())]
+    schema = _output_schema(articles, categories, vector, extra)
     width = categories.select(F.size(vector).alias("d")).first()["d"]
     per_piece = max(1, max_bytes // (8 * width))
     pieces = max(2, math.ceil(categories.count() / per_piece))
@@ -511,7 +548,12 @@ def kmeans_centers(df: DataFrame, vector: str = "embedding", cells: int | None =
     rows = _present(df, vector).select(
         array_to_vector(F.col(vector).cast("array<double>")).alias("features")
     )
-    wanted = cells or list_count(rows.count())
+    size = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    width = _present(df, vector).select(F.size(vector).alias("d")).first()
+    if width is None:
+        return df.sparkSession.createDataFrame([], "cell_id long, centre array<double>")
+    # The centres travel to every task, so their number is bounded by the matrix limit.
+    wanted = cells or min(list_count(size), MATRIX_BYTES // (8 * width["d"]))
     model = KMeans(k=wanted, seed=seed, maxIter=10).fit(rows)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return df.sparkSession.createDataFrame(centers, "cell_id long, centre array<double>")
@@ -559,13 +601,18 @@ def cell_top1_join(
     into bounded pieces on both sides, and the best piece result wins.
     """
     _check_formula(formula)
+    added = [T.StructField(score, T.DoubleType())]
+    names = _output_schema(articles, categories, vector, added).names
+    whole = articles, categories
+    # Only ids and vectors are copied to cells and pieces.
+    articles, categories = articles.select(article_id, vector), categories.select(category_id, vector)
     members = cell_probes(categories, centers, vector, 1).withColumn("_cell", F.get("cells", 0)).drop("cells")
     seekers = cell_probes(articles, centers, vector, probes).withColumn("_cell", F.explode("cells")).drop("cells")
     right_pieces = _piece_counts(members, piece_rows)
     left_pieces = _piece_counts(seekers, piece_rows)
-    schema = _output_schema(articles, categories, vector, [T.StructField(score, T.DoubleType())])
+    schema = _output_schema(articles, categories, vector, added)
     if not right_pieces or not left_pieces:
-        return articles.sparkSession.createDataFrame([], schema)
+        return articles.sparkSession.createDataFrame([], _output_schema(*whole, vector, added))
 
     def own(pieces: dict[int, int], ident: str):
         return F.pmod(F.xxhash64(ident), _lookup(pieces, F.col("_cell"))).cast("int")
@@ -589,7 +636,8 @@ def cell_top1_join(
     rank = F.struct(F.col(score), -F.col(category_id)) if _numeric(categories, category_id) else F.col(score)
     rest = [c for c in hits.columns if c != article_id]
     best = hits.groupBy(article_id).agg(F.max_by(F.struct(*rest), rank).alias("_best"))
-    return best.select(article_id, "_best.*").select(*hits.columns)
+    found = best.select(article_id, "_best.*")
+    return _with_payload(found, *whole, article_id, category_id, vector).select(*names)
 
 
 def _numeric(df: DataFrame, name: str) -> bool:
