@@ -67,7 +67,7 @@ def spread(df: DataFrame) -> DataFrame:
 
     Inputs above ``SMALL_INPUT_BYTES`` are split by the scan itself and stay as they are.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size > SMALL_INPUT_BYTES:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
