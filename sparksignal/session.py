@@ -77,8 +77,9 @@ def spread(df: DataFrame) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and read them back from there.
 
-    Survives the loss of executors, and gives later branches one fixed set of
-    rows to agree on.
+    Survives the loss of executors, gives later branches one fixed set of rows
+    to agree on, and lets each of them read only the columns it needs.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = work_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

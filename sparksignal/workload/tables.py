@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import strip
-from ..session import configure, cut_lineage, spread, work_path
-from ..sources.sinks import write_stage
+from ..session import configure, cut_lineage, spread
 
 PLACES = 6
 
@@ -94,7 +93,7 @@ def supplier_bars(spark: SparkSession, sf: str) -> DataFrame:
 
 def landed_bars(spark: SparkSession, sf: str) -> DataFrame:
     """``supplier_bars`` as a stored table: numbering a series reads its bars twice."""
-    return write_stage(supplier_bars(spark, sf), work_path(spark, "bars"))
+    return cut_lineage(supplier_bars(spark, sf))
 
 
 def headlines(spark: SparkSession, sf: str) -> DataFrame:
