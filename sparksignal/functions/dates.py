@@ -168,25 +168,49 @@ def publication_time(
     allow_date: bool = False,
 ) -> Column:
     """Pick the time column by fixed precedence from the columns the table has."""
-    if timestamp_column in df.columns:
-        return as_timestamp(df, timestamp_column)
-    if "published_at" in df.columns:
-        return as_timestamp(df, "published_at")
+    single = time_column_of(df, timestamp_column, (date_column, time_column), allow_date)
+    if single is not None:
+        return as_timestamp(df, single)
     if date_column in df.columns and time_column in df.columns:
         return day_and_time(df, date_column, time_column)
-    if allow_date and "date" in df.columns:
-        return as_timestamp(df, "date")
     raise ValueError("News must contain timestamp, published_at, or both day and hour_minute columns")
 
 
+def time_column_of(
+    df: DataFrame,
+    timestamp_column: str = "timestamp",
+    split_columns: tuple[str, str] = ("day", "hour_minute"),
+    allow_date: bool = False,
+) -> str | None:
+    """The one column that holds the publication time, None if it is split over two."""
+    for name in (timestamp_column, "published_at"):
+        if name in df.columns:
+            return name
+    if allow_date and "date" in df.columns and not set(split_columns) <= set(df.columns):
+        return "date"
+    return None
+
+
 def floor_minutes(ts: Column, minutes: int = 15) -> Column:
     """Start of the ``minutes``-wide window that holds ``ts``."""
     step = minutes * 60
     return F.timestamp_seconds(F.floor(F.unix_micros(ts) / F.lit(1_000_000 * step)) * F.lit(step))
 
 
-def in_day_range(ts: Column, start_date: str, end_date: str) -> Column:
-    """Both end days included; NULL timestamps fall out."""
-    first = F.lit(start_date).cast("date").cast("timestamp")
-    after = F.date_add(F.lit(end_date).cast("date"), 1).cast("timestamp")
+def in_day_range(ts: Column, start_date: str, end_date: str, kind: str = "timestamp") -> Column:
+    """Both end days included; NULL timestamps fall out.
+
+    The bounds take the type ``kind`` of the column, so that a filter on a
+    stored column reaches the scan.
+    """
+    first = F.lit(start_date).cast("date").cast(kind)
+    after = F.date_add(F.lit(end_date).cast("date"), 1).cast(kind)
     return (ts >= first) & (ts < after)
+
+
+def prune_days(df: DataFrame, name: str | None, start_date: str, end_date: str) -> DataFrame:
+    """Filter a stored time column in its own type; other columns are left to later filters."""
+    kind = df.schema[name].dataType if name is not None else None
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return df.filter(in_day_range(F.col(name), start_date, end_date, kind.simpleString()))
+    return df

@@ -74,7 +74,7 @@ def outlet_filter(
 
 def day_range_filter(df: DataFrame, start_date: str, end_date: str, time: str = "published_at") -> DataFrame:
     """Rows from the start of the first day to the end of the last one."""
-    return df.filter(in_day_range(F.col(time), start_date, end_date))
+    return df.filter(in_day_range(F.col(time), start_date, end_date, df.schema[time].dataType.simpleString()))
 
 
 def pending_enrichment(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import in_day_range, publication_time
+from ..functions.dates import in_day_range, prune_days, publication_time, time_column_of
 from ..functions.sentiment import sentiment_value
 from ..operators.grid import day_calendar, forward_fill, reindex
 
@@ -17,21 +17,24 @@ def daily_means(
     news: DataFrame, start_date: str, end_date: str, key: str = "subindustria_id", strict: bool = False
 ) -> DataFrame:
     """Mean sentiment and row count per (day, key) inside the day range."""
-    rows = news.select(
-        publication_time(news, allow_date=True).alias("_ts"),
-        F.col(key),
-        sentiment_value(news).alias("_value"),
-    )
     if strict:
         # Evaluates every value, also outside the range, and fails on a bad one.
-        rows.agg(F.sum("_value"), F.max("_ts")).collect()
+        _dated_values(news, key).agg(F.sum("_value"), F.max("_ts")).collect()
+    inside = prune_days(news, time_column_of(news, allow_date=True), start_date, end_date)
     return (
-        rows.filter(in_day_range(F.col("_ts"), start_date, end_date) & F.col(key).isNotNull())
+        _dated_values(inside, key)
+        .filter(in_day_range(F.col("_ts"), start_date, end_date) & F.col(key).isNotNull())
         .groupBy(F.to_date("_ts").alias("date"), key)
         .agg(F.count(F.lit(1)).alias("news_count"), F.avg("_value").alias("sentiment_mean"))
     )
 
 
+def _dated_values(news: DataFrame, key: str) -> DataFrame:
+    return news.select(
+        publication_time(news, allow_date=True).alias("_ts"), F.col(key), sentiment_value(news).alias("_value")
+    )
+
+
 def daily_sentiment(
     news: DataFrame,
     taxonomy: DataFrame,

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_timestamp, day_and_time, in_day_range
+from ..functions.dates import as_timestamp, day_and_time, in_day_range, prune_days, time_column_of
 from ..functions.sentiment import label_scores
 from ..functions.text import compose_headline
 from ..operators.dedupe import sequential_id
@@ -45,6 +45,8 @@ def prepare_news(
         when = as_timestamp(news, "timestamp")
     else:
         raise ValueError("News input must contain day/hour_minute or published_at/timestamp")
+    if "day" not in news.columns or "hour_minute" not in news.columns:
+        news = prune_days(news, time_column_of(news, "published_at"), start_date, end_date)
     dated = news.withColumn("published_at", when)
     inside = dated.filter(in_day_range(F.col("published_at"), start_date, end_date))
     order = list(order)

@@ -254,8 +254,8 @@ def outlet_news(spark, sf):
 
 
 def orders_in_range(spark, sf):
-    orders = table(spark, sf, "orders").withColumn("published_at", F.col("o_orderdate").cast("timestamp"))
-    return day_range_filter(orders, "1995-03-05", "1996-01-17").select("o_orderkey", stamp("published_at").alias("at"))
+    kept = day_range_filter(table(spark, sf, "orders"), "1995-03-05", "1996-01-17", "o_orderdate")
+    return kept.select("o_orderkey", stamp("o_orderdate").alias("at"))
 
 
 def publication_times(spark, sf):

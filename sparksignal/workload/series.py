@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import floor_minutes, in_day_range
+from ..functions.dates import floor_minutes, publication_time
 from ..functions.sentiment import sentiment_value
 from ..functions.text import normalize_symbol
+from ..operators.filters import day_range_filter
 from ..operators.grid import day_calendar, forward_fill, interval_calendar, reindex
 from ..operators.joins import dimension_join
 from ..operators.recurrence import recursive_smoothing
@@ -116,9 +117,9 @@ def dense_15m_calendar(spark, sf):
 
 def floored_events(spark, sf):
     news = event_news(spark, sf, "event_id")
-    return news.filter(in_day_range(F.col("published_at"), "2024-01-05", "2024-01-20")).select(
+    return day_range_filter(news, "2024-01-05", "2024-01-20").select(
         "event_id",
-        stamp(floor_minutes(F.col("published_at"))).alias("window_start"),
+        stamp(floor_minutes(publication_time(news))).alias("window_start"),
         F.to_date("published_at").cast("string").alias("day"),
         sentiment_value(news).alias("value"),
     )

@@ -42,7 +42,7 @@ def event_news(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Events as scored news: a label per event kind, a nation key per user."""
     labels = F.create_map(*[F.lit(x) for pair in EVENT_LABELS.items() for x in pair])
     return table(spark, sf, "events").select(
-        F.col("ts").cast("timestamp").alias("published_at"),
+        F.col("ts").alias("published_at"),
         F.pmod("user_id", F.lit(25)).cast("string").alias("subindustria_id"),
         F.try_element_at(labels, F.col("event_type")).alias("sentiment"),
         *columns,
