@@ -33,8 +33,18 @@ from ..plans.pipeline import daily_pipeline
 from .news import filing_html, headlines
 from .tables import SQL_CENTERS, SQL_HEADLINES, label_centers, labelled_vectors, rounded, table, vectors
 
-# Frequent words of the sample texts, as a stand-in sentiment lexicon.
-WORDS = {"the": 0.02, "and": 0.03, "der": 0.05, "la": 0.04, "of": -0.05, "to": -0.02, "die": -0.04, "que": -0.03}
+# Frequent words of the sample texts, as a stand-in sentiment lexicon. The weights
+# are sums of powers of two, so that totals are exact and equal totals are equal in any order.
+WORDS = {
+    "the": 0.015625,
+    "and": 0.03125,
+    "der": 0.046875,
+    "la": 0.046875,
+    "of": -0.046875,
+    "to": -0.015625,
+    "die": -0.03125,
+    "que": -0.03125,
+}
 
 
 def similarity_threshold(spark, sf):
