@@ -56,7 +56,8 @@ def dedupe_incremental(
     """``dedupe_first_wins`` on the rows whose key is not stored yet."""
     seen = with_article_key(stored, title, source).select("dedupe_key")
     fresh = with_article_key(new, title, source).join(seen, "dedupe_key", "left_anti")
-    return first_by_key(fresh, ["dedupe_key"], order).select(*new.columns, "dedupe_key")
+    others = [c for c in new.columns if c != "dedupe_key"]
+    return first_by_key(fresh, ["dedupe_key"], order).select(*others, "dedupe_key")
 
 
 def union_batches(first: DataFrame, *others: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,21 +79,30 @@ def collect_once_each(
 ) -> StreamingQuery:
     """Append only articles not stored by an earlier cycle; the first by ``order`` wins.
 
-    Every cycle owns one partition of the output and rewrites it if repeated, so
-    a restarted cycle neither loses nor doubles rows.
+    Every cycle of a checkpoint owns one partition of the output and rewrites it
+    if repeated, so a restarted cycle neither loses nor doubles rows, and a new
+    checkpoint adds to what is stored.
     """
     order = list(order)
+    run = "r" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def store(batch: DataFrame, cycle: int) -> None:
         spark = batch.sparkSession
-        target = f"{path.rstrip('/')}/cycle={cycle}"
+        keyed = with_article_key(batch)
         if _exists(spark, path):
-            stored = spark.read.parquet(path)
-            fresh = dedupe_incremental(batch, stored.filter(F.col("cycle") < cycle).select("dedupe_key"), order)
+            layout = T.StructType(
+                [
+                    keyed.schema["dedupe_key"],
+                    T.StructField("run", T.StringType()),
+                    T.StructField("cycle", T.LongType()),
+                ]
+            )
+            stored = spark.read.schema(layout).parquet(path)
+            earlier = stored.filter((F.col("run") != run) | (F.col("cycle") < cycle))
+            fresh = dedupe_incremental(keyed, earlier.select("dedupe_key"), order)
         else:
-            keyed = with_article_key(batch)
             fresh = first_by_key(keyed, ["dedupe_key"], order)
-        fresh.write.mode("overwrite").parquet(target)
+        fresh.select(*keyed.columns).write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}/cycle={cycle}")
 
     return _start(stream.writeStream.foreachBatch(store), checkpoint, interval)
 

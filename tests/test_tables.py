@@ -406,6 +406,7 @@ def test_streams(spark, tmp_path):
     land([(1, "t", "a", "2024-01-01 10:00:00", 1.0), (2, "t", "a", "2024-01-01 10:05:00", 0.0)])
 
     def cycle():
+        # ``log`` is looked up at each call.
         collect_once_each(landed_stream(spark, landed, schema), out, log, ["n"], interval=None).awaitTermination()
         return sorted(r["n"] for r in spark.read.parquet(out).collect())
 
@@ -413,6 +414,9 @@ def test_streams(spark, tmp_path):
     land([(3, "t", "a", "2024-01-01 12:00:00", 1.0), (4, "u", "a", "2024-01-01 12:01:00", 1.0)])
     assert cycle() == [1, 4]
     assert cycle() == [1, 4]
+    # A new checkpoint reads everything again and adds nothing.
+    log = str(tmp_path / "log2")
+    assert cycle() == [1, 4]
 
     stream = landed_stream(spark, landed, schema, max_files=1)
     means = live_interval_means(stream, time="ts", value="v")
@@ -423,3 +427,19 @@ def test_streams(spark, tmp_path):
         append_stream(deduped, str(tmp_path / name), str(tmp_path / f"{name}l"), interval=None).awaitTermination()
         titles = sorted(r["title"] for r in spark.read.parquet(str(tmp_path / name)).collect())
         assert titles == ["t", "u"]
+
+
+def test_hot_groups_stay_whole(spark):
+    """One key holds most of the rows in every grouping step."""
+    rows = spark.range(0, 30_000, numPartitions=8).select(
+        F.col("id").cast("int").alias("n"),
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("title"),
+        F.lit("s").alias("source"),
+    )
+    kept = dedupe_first_wins(rows, ["n"])
+    assert kept.count() == 10_001
+    assert kept.filter("title = 'hot'").first()["n"] == 1
+    pages = spark.createDataFrame([("http://hot", "page")], "url string, text string")
+    linked = rows.select(F.when(F.col("title") == "hot", "http://hot").otherwise(F.col("title")).alias("title"))
+    counts = {r["article_text_source"]: r["count"] for r in attach_page_text(linked, pages).groupBy("article_text_source").count().collect()}
+    assert counts == {"web": 20_000, "none": 10_000}
