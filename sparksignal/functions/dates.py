@@ -147,7 +147,7 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
 def _strict_timestamp(text: Column) -> Column:
     parsed = F.try_to_timestamp(text)
     return fail_if(
-        text.isNotNull() & parsed.isNull(), "News publication timestamps must be valid datetimes", parsed
+        text.isNotNull() & parsed.isNull(), "a publication time cannot be read as a timestamp", parsed
     )
 
 
@@ -173,7 +173,7 @@ def publication_time(
         return as_timestamp(df, single)
     if date_column in df.columns and time_column in df.columns:
         return day_and_time(df, date_column, time_column)
-    raise ValueError("News must contain timestamp, published_at, or both day and hour_minute columns")
+    raise ValueError("no publication time: expected timestamp, published_at, or day with hour_minute")
 
 
 def time_column_of(

@@ -32,12 +32,12 @@ def sentiment_value(df: DataFrame, sentiment_column: str = "sentiment_value") ->
         label = F.col("sentiment")
         value = fail_if(
             label_value(label).isNull(),
-            "sentiment labels must be positive, neutral, or negative",
+            "unknown sentiment label",
             label_value(label),
         )
     else:
-        raise ValueError("News must contain sentiment_value, model scores, or sentiment labels")
-    return fail_if(value.isNull() | F.isnan(value), "Sentiment values cannot be missing", value)
+        raise ValueError("no sentiment: expected sentiment_value, positive and negative scores, or labels")
+    return fail_if(value.isNull() | F.isnan(value), "a sentiment value is missing", value)
 
 
 def softmax(scores: Column, temperature: float = 1.0) -> Column:

@@ -18,7 +18,7 @@ def day_calendar(dimension: DataFrame, start_date: str, end_date: str) -> DataFr
     The days are generated inside each dimension row, so nothing is joined.
     """
     if start_date > end_date:
-        raise ValueError("start_date must not be after end_date")
+        raise ValueError("the day range ends before it starts")
     days = F.sequence(F.lit(start_date).cast("date"), F.lit(end_date).cast("date"))
     return dimension.select(F.explode(days).alias("date"), *dimension.columns)
 

@@ -46,7 +46,7 @@ def sentiment_series(
     timestamp_column, sentiment_column, date_column and time_column.
     """
     if not 0.0 <= previous_window_weight <= 1.0:
-        raise ValueError("previous_window_weight must be between 0 and 1")
+        raise ValueError("previous_window_weight lies outside 0..1")
     keys = list(keys)
     rows = scored_times(news, keys, **columns)
     grid = interval_calendar(rows, "_ts", keys, minutes)

@@ -44,7 +44,7 @@ def prepare_news(
     elif "timestamp" in news.columns:
         when = as_timestamp(news, "timestamp")
     else:
-        raise ValueError("News input must contain day/hour_minute or published_at/timestamp")
+        raise ValueError("no publication time: expected day with hour_minute, published_at, or timestamp")
     if "day" not in news.columns or "hour_minute" not in news.columns:
         news = prune_days(news, time_column_of(news, "published_at"), start_date, end_date)
     dated = news.withColumn("published_at", when)

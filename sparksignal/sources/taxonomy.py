@@ -57,7 +57,7 @@ def check_dimension(entries: DataFrame) -> DataFrame:
     blank = F.col("subindustria_id").isNull() | F.col("subindustria_nombre").isNull()
     named = entries.select(
         "industria_id",
-        fail_if(blank, "Each taxonomy sub-industry must have an id and nombre", F.col("subindustria_id")).alias(
+        fail_if(blank, "a sub-industry lacks its id or name", F.col("subindustria_id")).alias(
             "subindustria_id"
         ),
         "subindustria_nombre",
@@ -70,7 +70,7 @@ def check_dimension(entries: DataFrame) -> DataFrame:
     return grouped.select(
         "industria_id",
         fail_if(
-            F.col("_n") > 1, "The taxonomy contains duplicate sub-industry IDs", F.col("subindustria_id")
+            F.col("_n") > 1, "a sub-industry id repeats in the taxonomy", F.col("subindustria_id")
         ).alias("subindustria_id"),
         "subindustria_nombre",
     )
@@ -78,7 +78,7 @@ def check_dimension(entries: DataFrame) -> DataFrame:
 
 def require_entries(entries: DataFrame) -> DataFrame:
     if entries.isEmpty():
-        raise ValueError("The taxonomy does not contain any sub-industries")
+        raise ValueError("the taxonomy has no sub-industries")
     return entries
 
 

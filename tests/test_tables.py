@@ -174,13 +174,13 @@ def test_taxonomies(spark, tmp_path):
         assert sorted(tuples(read_taxonomy(spark, str(tmp_path / f"{name}.json")))) == expected
     twice = {"categorias": [{"id": "s", "categoria": "S"}, {"id": "s", "categoria": "T"}]}
     (tmp_path / "twice.json").write_text(json.dumps(twice))
-    with pytest.raises(PySparkException, match="duplicate"):
+    with pytest.raises(PySparkException, match="repeats in the taxonomy"):
         read_taxonomy(spark, str(tmp_path / "twice.json")).collect()
     (tmp_path / "unnamed.json").write_text(json.dumps({"categorias": [{"id": "s"}]}))
-    with pytest.raises(PySparkException, match="id and nombre"):
+    with pytest.raises(PySparkException, match="lacks its id"):
         read_taxonomy(spark, str(tmp_path / "unnamed.json")).collect()
     (tmp_path / "empty.json").write_text("{}")
-    with pytest.raises(ValueError, match="does not contain"):
+    with pytest.raises(ValueError, match="no sub-industries"):
         read_taxonomy(spark, str(tmp_path / "empty.json"))
 
 
