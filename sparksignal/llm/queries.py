@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
 from .common import table
+from .decontaminate import scan_texts, with_hit_counts
+from .language_id import identify_languages, learn
+from .license_scan import license_summary, scan_licenses
 from .piece_codec import encode_pieces
 from .token_counts import token_counts
 from .token_files import token_index, write_token_files
+from .url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +38,117 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = with_hit_counts(scan_texts(docs, table(spark, sf_dir, "benchmark")))
+    items = F.array_join(F.array_sort(F.col("item_ids").cast("array<string>")), ",")
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(items, 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def sql_words(text: str) -> str:
+    """Words of a text in DuckDB: A-Z lower-cased, runs of digits, letters and characters beyond ASCII."""
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+ORACLES["op2_decontamination"] = f"""
+WITH items AS (SELECT item_id, {sql_words("text")} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, len(w[s:s + 12]) AS k, array_to_string(w[s:s + 12], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM items WHERE len(w) > 0)),
+docs AS (SELECT doc_id, {sql_words("text")} AS w FROM documents),
+spots AS (
+  SELECT doc_id, s, k, array_to_string(w[s:s + k - 1], ' ') AS words
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s
+        FROM docs, (SELECT DISTINCT k FROM windows))),
+hits AS (SELECT doc_id, s, windows.k, item_id FROM spots JOIN windows ON spots.words = windows.words AND spots.k = windows.k),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + k)) AS pos FROM (SELECT DISTINCT doc_id, s, k FROM hits)) GROUP BY 1),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+# The rules of the URL query.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+# Words whose pages are listed for blocking.
+INSULTS = "idiot|pathetic|worthless"
+
+
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the canonical URLs of pages with an insult; other addresses of the same page are blocked with them."""
+    pages = table(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    listed = pages.where(F.col("html").rlike(INSULTS)).select("url", F.lit("block").alias("verdict"))
+    return judge_urls(pages, rules, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+_SQL_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op3_url_filter"] = rf"""
+WITH parts AS (
+  SELECT page_id, url, html,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT *, coalesce({_SQL_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")}, '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM parts),
+canon AS (
+  SELECT page_id, host, path, html, CASE WHEN strpos(url, '://') > 0 THEN
+         regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '')
+         || regexp_replace(regexp_replace(path, '/index\.(html?|php)$', '/'), '/+$', '')
+         || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END END AS canonical
+  FROM (SELECT *, list_sort(list_filter(
+          string_split(regexp_extract(regexp_replace(rest, '#.*$', '', 's'), '\?(.*)$', 1, 's'), '&'),
+          lambda p: p <> '' AND NOT regexp_matches(p, '(?i)^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS q FROM split)),
+listed AS (SELECT DISTINCT canonical FROM canon WHERE regexp_matches(html, '{INSULTS}') AND canonical IS NOT NULL),
+rules(rh, rp, v) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+fits AS (
+  SELECT page_id, arg_max(rh || rp, (length(rh || rp), rh || rp)) AS rule, arg_max(v, (length(rh || rp), rh || rp)) AS v
+  FROM canon JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY 1)
+SELECT canon.page_id, host, path, rule,
+       coalesce(v, CASE WHEN listed.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM canon LEFT JOIN fits ON canon.page_id = fits.page_id LEFT JOIN listed ON canon.canonical = listed.canonical
+"""
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_summary(scan_licenses(table(spark, sf_dir, "documents")))
+
+
+def held_out() -> Column:
+    """Rows no model learns from; a NULL id is not among them."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs.where(~held_out()))
+    rows = docs.select("doc_id", "text", held_out().alias("held_out"))
+    return identify_languages(rows, model).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
