@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import work_path
 from .common import table
 from .decontaminate import scan_texts, with_hit_counts
+from .embedding_dedup import near_duplicates
 from .language_id import identify_languages, learn
 from .license_scan import license_summary, scan_licenses
 from .piece_codec import encode_pieces
@@ -165,3 +166,25 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "tokens")
     write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"), end_id=2)
     return token_index(spark, path)
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op10_embedding_dedup"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY 1),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM embeddings LEFT JOIN degree ON vec_id = degree.a LEFT JOIN least ON vec_id = least.a
+"""
