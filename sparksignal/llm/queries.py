@@ -13,6 +13,7 @@ from .decontaminate import scan_texts, with_hit_counts
 from .embedding_dedup import near_duplicates
 from .language_id import identify_languages, learn
 from .license_scan import license_summary, scan_licenses
+from .ngram_jaccard import jaccard_groups
 from .piece_codec import encode_pieces
 from .token_counts import token_counts
 from .token_files import token_index, write_token_files
@@ -150,6 +151,31 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(rows, model).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op7_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[s:s + 4], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id
+  JOIN sizes sx ON sx.doc_id = x.doc_id JOIN sizes sy ON sy.doc_id = y.doc_id
+  GROUP BY 1, 2, sx.n, sy.n HAVING 100 * count(*) >= 75 * (sx.n + sy.n - count(*))),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY 1)
+SELECT words.doc_id, coalesce(n, 0) AS n_shingles, least(words.doc_id, coalesce(m, words.doc_id)) AS component_id
+FROM words LEFT JOIN sizes ON words.doc_id = sizes.doc_id LEFT JOIN least ON words.doc_id = least.a
+"""
+
+
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
