@@ -22,10 +22,14 @@ LOWER = bytes.maketrans(_UPPER, _LOWER)
 WORDS = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in LOWER)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A sample table; batches handed to Python are kept small."""
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hand few rows at a time to Python: single texts may be long."""
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def byte_words(text: bytes | None) -> list[bytes]:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import LOWER, column, record_batch
 from .components import connected_components
+from .url_filter import bloom_filter, may_be_listed, not_listed
 
 NGRAM = 5
 #: Least similarity, in hundredths.
@@ -45,6 +46,9 @@ HUB_ROUNDS = 3
 #: Parts of the n-gram space whose counts bound an overlap.
 PARTS = 8
 
+#: Blocks of the filter over rows to be dropped; 32 bytes each.
+BLOOM_BLOCKS = 1 << 16
+
 _HASH_BITS = 56
 _RARITY_MOST = 127
 _MASK = np.uint64((1 << _HASH_BITS) - 1)
@@ -113,9 +117,7 @@ def _fingerprint(grams: np.ndarray) -> int:
 
 
 def _profile(n):
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("gram", pa.int64()), ("held", pa.int64())]
-    )
+    schema = pa.schema([(name, pa.int64()) for name in ("doc_id", "row", "n", "set", "gram", "held")])
 
     def run(batches):
         chunk: list[np.ndarray] = []
@@ -126,15 +128,14 @@ def _profile(n):
             size = int(often.sum())
             chunk.clear()
             none = pa.nulls(size, pa.int64())
-            return record_batch(schema, none, none, none, grams[often].astype(np.int64), held[often])
+            return record_batch(schema, none, none, none, none, grams[often].astype(np.int64), held[often])
 
         for batch in batches:
             sets = [shingles(t, n) for t in column(batch, "text")]
             size = len(sets)
             none = pa.nulls(size, pa.int64())
-            yield record_batch(
-                schema, batch.column(0), [len(s) for s in sets], [_fingerprint(s) if len(s) else None for s in sets], none, none
-            )
+            prints = [_fingerprint(s) if len(s) else None for s in sets]
+            yield record_batch(schema, batch.column(0), batch.column(1), [len(s) for s in sets], prints, none, none)
             for s in sets:
                 chunk.append(s)
                 if len(chunk) == CHUNK:
@@ -379,32 +380,69 @@ def similar_sets(sets: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     return links.unionByName(_links(_bounds(pairs, sets), sets))
 
 
+def _row_key(id_col: str, text_col: str) -> Column:
+    """Equal for rows of equal id and text."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+
+
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM) -> DataFrame:
-    """(doc_id, n_shingles, set, component_id) for every row of ``docs``.
+    """(doc_id, row, n_shingles, set, root, component_id) for every row of ``docs``.
 
     Words are runs of bytes that are no ASCII white space, A-Z lower-cased. Two
     rows link when their sets of ``n``-word shingles have a Jaccard similarity of
-    0.75 or more; component_id is the least id within reach. A text of fewer words
-    is one shingle; one without words, or NULL, has an empty set, links with
-    nothing and has set NULL. Rows of equal text link, whatever their ids; NULL ids
-    take the component of what they link with, else NULL. Other columns take no part.
-
-    ``docs`` is read three times and should be a stored table.
+    0.75 or more; component_id is the least id within reach, ``root`` names the
+    component, ``set`` the set of shingles and ``row`` the id and text by a hash. A
+    text of fewer words is one shingle; one without words, or NULL, has an empty
+    set, links with nothing and has set and root NULL. Rows of equal text link,
+    whatever their ids; NULL ids take the component of what they link with, else
+    NULL. Other columns take no part.
+
+    ``docs`` is read twice and should be a stored table.
     """
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")
+        F.col(id_col).cast("long").alias("doc_id"),
+        _row_key(id_col, text_col).alias("row"),
+        F.col(text_col).cast("string").cast("binary").alias("text"),
     )
-    profile = cut_lineage(rows.mapInArrow(_profile(n), "doc_id long, n long, set long, gram long, held long"))
+    profile = cut_lineage(rows.mapInArrow(_profile(n), "doc_id long, row long, n long, set long, gram long, held long"))
     sets = cut_lineage(shared_sets(rows, profile, n))
     links = similar_sets(sets)
-    per_row = profile.where("gram is null").select("doc_id", "n", "set")
+    per_row = profile.where("gram is null").select("doc_id", "row", "n", "set")
     classes = per_row.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least"))
     labels = connected_components(links).withColumnRenamed("node", "set")
     placed = cut_lineage(
         classes.join(labels, "set", "left").select("set", "least", F.coalesce("component", "set").alias("root"))
     )
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    roots = placed.join(least, "root").select("set", "component_id")
+    roots = placed.join(least, "root").select("set", "root", "component_id")
     return per_row.join(roots, "set", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "set", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "row", F.col("n").alias("n_shingles"), "set", "root", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, with one of each group of linked rows: the one of least id.
+
+    NULL ids come after all others; at equal ids the row's hash decides, and of
+    rows equal in id and text any one stays. Rows without words all stay.
+
+    Rows to be dropped are named in a Bloom filter of fixed size, so that only
+    they and few others are shuffled for the exact test.
+    """
+    groups = cut_lineage(jaccard_groups(docs, id_col, text_col, n).where("root is not null").select("doc_id", "row", "root"))
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    kept = first.select(F.col("first.row").alias("row"), F.lit(True).alias("stays"))
+    rows = groups.groupBy("row").agg(F.count("*").alias("copies")).join(kept, "row", "left")
+    listed = cut_lineage(
+        rows.where("stays is null or copies > 1").select(F.col("row").alias("key"), F.coalesce("stays", F.lit(False)).alias("stays"))
+    )
+    keyed = docs.withColumn("_row_key", _row_key(id_col, text_col))
+    bloom = bloom_filter(listed, BLOOM_BLOCKS)
+    clear = not_listed(keyed, "_row_key", bloom, BLOOM_BLOCKS)
+    suspects = may_be_listed(keyed, "_row_key", bloom, BLOOM_BLOCKS).join(
+        listed.withColumnRenamed("key", "_row_key"), "_row_key", "left"
     )
+    # Suspects that are not listed stay, each for itself; of listed rows that stay, one does.
+    alone = F.when(F.col("stays").isNull(), F.monotonically_increasing_id())
+    chosen = suspects.where("stays is null or stays").withColumn("_alone", alone).dropDuplicates(["_row_key", "_alone"])
+    return clear.select(*docs.columns).unionByName(chosen.select(*docs.columns))

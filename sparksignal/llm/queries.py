@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
+from .chat_format import collapse_and_render
 from .common import table
 from .decontaminate import scan_texts, with_hit_counts
 from .embedding_dedup import near_duplicates
@@ -133,6 +134,30 @@ FROM canon LEFT JOIN fits ON canon.page_id = fits.page_id LEFT JOIN listed ON ca
 """
 
 
+@query
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op4_chat_format"] = r"""
+WITH turns AS (
+  SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(lower(trim(role)), 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+steps AS (
+  SELECT conv_id, turn, string_agg(turn || chr(1) || role || chr(1) || text, chr(2) ORDER BY role, text) AS step
+  FROM turns GROUP BY 1, 2),
+prefixes AS (
+  SELECT conv_id, turn, turn = max(turn) OVER (PARTITION BY conv_id) AS is_last,
+         md5(string_agg(step, chr(3)) OVER (PARTITION BY conv_id ORDER BY turn)) AS h FROM steps),
+whole AS (SELECT h, min(conv_id) AS conv_id, count(*) AS copies FROM prefixes WHERE is_last GROUP BY 1),
+kept AS (SELECT * FROM whole WHERE h NOT IN (SELECT h FROM prefixes WHERE NOT is_last)),
+sizes AS (SELECT conv_id, count(*) AS n_turns FROM turns GROUP BY 1)
+SELECT conv_id, greatest(turn, 0) // 256 AS part, n_turns, count(*) AS n_rendered, copies,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS rendered
+FROM turns JOIN kept USING (conv_id) JOIN sizes USING (conv_id) GROUP BY ALL
+"""
+
+
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_summary(scan_licenses(table(spark, sf_dir, "documents")))

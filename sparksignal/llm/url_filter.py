@@ -109,13 +109,25 @@ def bloom_filter(keys: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     )
 
 
-def possible_hits(candidates: DataFrame, bloom: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """The rows of ``candidates`` whose ``key`` may be listed."""
-    bits = _bits(F.col("key"))
-    hit = candidates.withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(bloom), "block")
+def _probed(rows: DataFrame, key: str, bloom: DataFrame, blocks: int, how: str) -> DataFrame:
+    bits = _bits(F.col(key))
+    found = rows.withColumn("_block", _block(F.col(key), blocks)).join(
+        F.broadcast(bloom.withColumnRenamed("block", "_block")), "_block", how
+    )
+    hit = F.lit(True)
     for k, b in enumerate(bits):
-        hit = hit.where(F.col(f"lane{k}").bitwiseAND(b) != 0)
-    return hit.select(*candidates.columns)
+        hit = hit & (F.coalesce(F.col(f"lane{k}"), F.lit(0)).bitwiseAND(b) != 0)
+    return found.withColumn("_hit", hit)
+
+
+def may_be_listed(rows: DataFrame, key: str, bloom: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """The rows whose key the filter lets pass: all that are listed, and a few others."""
+    return _probed(rows, key, bloom, blocks, "inner").where("_hit").select(*rows.columns)
+
+
+def not_listed(rows: DataFrame, key: str, bloom: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """The rows whose key the filter stops: surely not listed."""
+    return _probed(rows, key, bloom, blocks, "left").where("not _hit").select(*rows.columns)
 
 
 def judge_urls(
@@ -162,7 +174,7 @@ def judge_urls(
     )
     salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
     salted = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    hits = possible_hits(candidates, bloom, blocks).withColumn("salt", salt)
+    hits = may_be_listed(candidates, "key", bloom, blocks).withColumn("salt", salt)
     found = hits.join(salted.hint("shuffle_hash"), ["key", "salt"]).select("page_id", "url", "rule", "verdict")
     # By length of the rule, then its text; listed URLs come after all rules.
     weight = F.struct(F.coalesce(F.length("rule"), F.lit(-1)).alias("n"), F.col("rule").alias("rule"), F.col("verdict").alias("v"))
