@@ -59,7 +59,7 @@ def _links(low: float):
     def run(group: pa.Table) -> pa.Table:
         n = group.num_rows
         side = np.array(group.column("side").to_pylist(), bool)
-        same_block = not side.any()
+        same_block = group.column("i")[0].as_py() == group.column("j")[0].as_py()
         a = np.flatnonzero(~side)
         b = a if same_block else np.flatnonzero(side)
         if not len(a) or not len(b) or n < 2:
