@@ -1,8 +1,7 @@
-"""Byte-level BPE over pieces of text that no token can leave.
+"""Byte-level BPE by distinct pre-tokens.
 
-Where white space never follows white space, a blank always opens the next
-pre-token, so a text may be cut before every blank and each distinct piece
-handled once per worker. Other texts go to the tokenizer as they are.
+No token reaches over a pre-token's end, so a text's ids are its pre-tokens'
+ids in a row, and each distinct pre-token is encoded once per worker.
 """
 
 from __future__ import annotations
@@ -10,11 +9,18 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
-#: Distinct pieces a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Distinct pre-tokens a worker remembers before it starts anew.
+REMEMBERED = 800_000
 
-_SPACE_AFTER_SPACE = re.compile(r"\s\s")
+# The byte-level pre-tokenizer's pattern, for texts of ASCII and Latin letters alone.
+_LETTERS = r"a-zA-ZÀ-ÖØ-öø-ɏ"
+_BLANKS = r" \t\n\x0b\x0c\r"
+_SPLIT = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_BLANKS}{_LETTERS}0-9]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
+)
+_LATIN = re.compile(rf"[\x00-\x7f{_LETTERS}]*")
 
 
 class BpeText:
@@ -28,31 +34,29 @@ class BpeText:
         loaded = json.loads(spec)
         added = loaded.get("added_tokens") or []
         pre = loaded.get("pre_tokenizer") or {}
-        #: Whether cutting before blanks is known to leave the result as it is.
-        self.may_cut = (
+        #: Whether a text's ids are known to be its pre-tokens' ids.
+        self.may_split = (
             pre.get("type") == "ByteLevel"
             and bool(pre.get("use_regex", True))
             and not pre.get("add_prefix_space")
             and loaded.get("normalizer") is None
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in added)
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
         )
         contents = sorted((t["content"] for t in added), key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, contents)) + ")") if contents else None
         self.ids: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str] | None:
-        """The text cut at blanks, the blanks themselves left out; None where it may not be cut."""
-        if not self.may_cut or _SPACE_AFTER_SPACE.search(text):
-            return None
-        return text.split(" ")
-
     def pre_tokens(self, text: str) -> list[str]:
         """Pre-tokens as they stand in the text; a special string is one of them."""
+        if not self.may_split:
+            raise ValueError("pre-tokens are known for byte-level tokenizers only")
         out: list[str] = []
         for k, part in enumerate(self._added.split(text) if self._added else [text]):
             if k % 2:
                 out.append(part)
-            elif part:
+            elif _LATIN.fullmatch(part):
+                out += _SPLIT.findall(part)
+            else:
                 out += [part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
         return out
 
@@ -60,22 +64,17 @@ class BpeText:
         return [len(e.ids) for e in self._batch(texts)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        import numpy as np
-
-        cut = [self.pieces(t) for t in texts]
+        """Ids of each text as unsigned 32-bit integers."""
+        if not self.may_split:
+            return [array("I", e.ids).tobytes() for e in self._batch(texts)]
+        parts = [self.pre_tokens(t) for t in texts]
         if len(self.ids) > REMEMBERED:
             self.ids.clear()
-        new = list(set().union(*(c[1:] for c in cut if c)).difference(self.ids))
-        for piece, e in zip(new, self._batch([" " + p for p in new]), strict=True):
-            self.ids[piece] = np.array(e.ids, "<u4").tobytes()
+        new = list(set().union(*parts).difference(self.ids))
+        for part, e in zip(new, self._batch(new), strict=True):
+            self.ids[part] = array("I", e.ids).tobytes()
         get = self.ids.__getitem__
-        # First pieces stand without a blank; texts that may not be cut go in whole.
-        single = self._batch([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)])
-        return [
-            np.array(e.ids, "<u4").tobytes() + (b"".join(map(get, c[1:])) if c else b"")
-            for e, c in zip(single, cut, strict=True)
-        ]
+        return [b"".join(map(get, p)) for p in parts]
 
     def _batch(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)

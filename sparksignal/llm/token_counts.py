@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .bpe_text import BpeText, loaded, read_spec
+from .bpe_text import loaded, read_spec
 from .common import column, record_batch
 
 HEAD_PIECES = 1 << 18
 HEAD_BYTES = 64
-#: Distinct pieces a task gathers before it passes partial counts on.
-GATHERED = 400_000
+#: Distinct pre-tokens a task gathers before it passes partial counts on.
+GATHERED = 600_000
 
 _VOCABULARY = pa.schema([("piece", pa.string()), ("n", pa.int64())])
 _COUNTED = pa.schema([("piece", pa.string()), ("n", pa.int64()), ("tokens", pa.int32())])
@@ -41,38 +41,21 @@ _FREQUENCY = pa.schema(
 )
 
 
-def _pre_token_counts(bpe: BpeText, pieces: Counter, firsts: Counter) -> Counter:
-    total: Counter = Counter()
-    for prefix, found in ((" ", pieces), ("", firsts)):
-        for piece, n in found.items():
-            for part in bpe.pre_tokens(prefix + piece):
-                total[part] += n
-    return total
-
-
 def _vocabulary(spec):
     def run(batches):
-        bpe = loaded(spec.value)
-        pieces, firsts, rest = Counter(), Counter(), Counter()
+        bpe, total = loaded(spec.value), Counter()
 
         def flush():
-            total = _pre_token_counts(bpe, pieces, firsts)
-            total.update(rest)
-            for found in (pieces, firsts, rest):
-                found.clear()
             keys, values = list(total), list(total.values())
+            total.clear()
             for at in range(0, len(keys), 20_000):
                 yield record_batch(_VOCABULARY, keys[at : at + 20_000], values[at : at + 20_000])
 
         for batch in batches:
             for text in column(batch, "text"):
-                cut = bpe.pieces(text) if text else None
-                if cut:
-                    firsts[cut[0]] += 1
-                    pieces.update(cut[1:])
-                elif text:
-                    rest.update(bpe.pre_tokens(text))
-            if len(pieces) + len(rest) + len(firsts) > GATHERED:
+                if text:
+                    total.update(bpe.pre_tokens(text))
+            if len(total) > GATHERED:
                 yield from flush()
         yield from flush()
 
@@ -91,51 +74,24 @@ def _count_tokens(spec):
 def _frequencies(spec, head):
     def run(batches):
         bpe, known = loaded(spec.value), head.value
-        remembered: dict[str, tuple[int, tuple[str, ...]]] = {}
-
-        def look_up(piece):
-            """Tokens of the piece's frequent pre-tokens, and its other pre-tokens."""
-            tokens, others = 0, []
-            for part in bpe.pre_tokens(piece):
-                n = known.get(part)
-                if n is None:
-                    others.append(part)
-                else:
-                    tokens += n
-            return tokens, tuple(others)
-
+        get = known.get
         for batch in batches:
             out = [[] for _ in _FREQUENCY]
             for doc, mark, size, text in zip(
                 column(batch, "doc_id"), column(batch, "print"), column(batch, "n_bytes"), column(batch, "text"), strict=True
             ):
-                tokens, others = 0, Counter()
-                cut = bpe.pieces(text) if text else None
-                if cut:
-                    found = Counter(cut[1:])
-                    first, rest = look_up(cut[0])
-                    tokens += first
-                    others.update(rest)
-                    for piece, n in found.items():
-                        entry = remembered.get(piece)
-                        if entry is None:
-                            entry = remembered[piece] = look_up(" " + piece)
-                        tokens += n * entry[0]
-                        for part in entry[1]:
-                            others[part] += n
-                elif text:
-                    for part, n in Counter(bpe.pre_tokens(text)).items():
-                        if part in known:
-                            tokens += n * known[part]
-                        else:
-                            others[part] += n
+                tokens, others = 0, []
+                for part, n in Counter(bpe.pre_tokens(text)).items():
+                    one = get(part)
+                    if one is None:
+                        others.append((part, n))
+                    else:
+                        tokens += n * one
                 # The document's own row: no pre-token holds NUL and digits together.
                 rows = [(doc, mark, size, 1, f"\0{mark}", tokens)]
-                rows += [(doc, mark, size, 0, part, n) for part, n in others.items()]
+                rows += [(doc, mark, size, 0, part, n) for part, n in others]
                 for values, got in zip(out, zip(*rows, strict=True), strict=True):
                     values.extend(got)
-            if len(remembered) > GATHERED:
-                remembered.clear()
             yield record_batch(_FREQUENCY, *out)
 
     return run
