@@ -1,11 +1,11 @@
 """Vector similarity joins.
 
-The category side is normally a taxonomy: its size is checked first, and while
-it is small it travels to the tasks as one matrix, so that articles are scored
-batch by batch without any shuffle. A side beyond the limit is joined by cells:
-both sides are grouped around a few pivot vectors, the triangle inequality
-rules out cells that cannot hold a hit, and large cells are split into pieces
-on both sides. Both ways return exactly the same hits.
+The category side is normally a taxonomy. It is measured first and cut into
+chunks of a bounded size, in the order of its ids; each chunk travels to the
+tasks as one matrix and articles are scored batch by batch, without any
+shuffle. What an article has found is carried from chunk to chunk in its own
+row, so the result does not depend on the number of chunks, and ids may repeat
+or be NULL on either side.
 """
 
 from __future__ import annotations
@@ -16,24 +16,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.sentiment import softmax
 from ..functions.vectors import unit
+from ..session import cut_lineage
 
+#: Bytes of one chunk of categories, other columns included.
 MATRIX_BYTES = 128 * 1024 * 1024
 SCORES_PER_STEP = 4_000_000
-PIVOTS = 64
+#: Rows of an output batch; article columns repeat with every hit.
+EMITTED_ROWS = 16_384
 PIECE_ROWS = 4096
 
 
 @dataclass(frozen=True)
 class Matrix:
-    """Vectors with one identifying or descriptive value list per column."""
+    """Vectors in the order of their ids, with the other columns beside them."""
 
     vectors: np.ndarray
     columns: dict[str, pa.Array]
@@ -52,17 +55,36 @@ def vectors_of(batch, name: str) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def small_matrix(df: DataFrame, vector: str, order: str, max_bytes: int = MATRIX_BYTES) -> Matrix | None:
-    """The vectors as one matrix in ``order``, or None if they exceed the limit.
+def _present(df: DataFrame, vector: str) -> DataFrame:
+    return df.filter(F.col(vector).isNotNull() & (F.size(vector) > 0))
+
+
+def category_chunks(
+    categories: DataFrame, vector: str, order: str, max_bytes: int = MATRIX_BYTES
+) -> Iterator[Matrix]:
+    """The categories as matrices of about ``max_bytes`` each, ids ascending from chunk to chunk and NULL ids last.
 
-    The size is measured before anything is gathered.
+    Vectors and all other columns are measured before anything is gathered.
     """
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(vector)).alias("width")).first()
-    if size["rows"] * (size["width"] or 1) * 8 > max_bytes:
-        return None
+    rows = _present(categories, vector)
+    others = [c for c in rows.columns if c != vector]
+    each = 8 * F.size(vector) + F.coalesce(F.octet_length(F.to_json(F.struct(*others))), F.lit(0))
+    total = rows.agg(F.sum(each.cast("long"))).first()[0] or 0
+    wanted = max(1, math.ceil(total / max(1, max_bytes)))
+    if wanted == 1:
+        yield _matrix(rows, vector, order)
+        return
+    placed = rows.repartitionByRange(wanted, F.col(order).isNull(), order, F.xxhash64(vector))
+    stored = cut_lineage(placed.withColumn("_chunk", F.spark_partition_id()))
+    for chunk in range(wanted):
+        yield _matrix(stored.where(F.col("_chunk") == chunk).drop("_chunk"), vector, order)
+
+
+def _matrix(df: DataFrame, vector: str, order: str) -> Matrix:
     table = df.toArrow().sort_by(order)
-    others = {c: table.column(c).combine_chunks() for c in table.column_names if c != vector}
-    return Matrix(vectors_of(table, vector), others)
+    return Matrix(
+        vectors_of(table, vector), {c: table.column(c).combine_chunks() for c in table.column_names if c != vector}
+    )
 
 
 def _pairwise_squares(a: np.ndarray, b: np.ndarray, b_squares: np.ndarray) -> np.ndarray:
@@ -70,16 +92,21 @@ def _pairwise_squares(a: np.ndarray, b: np.ndarray, b_squares: np.ndarray) -> np
     return np.maximum(squares, 0.0)
 
 
-def _score(squares: np.ndarray, formula: str) -> np.ndarray:
-    return 1.0 - squares / 2.0 if formula == "cosine" else 1.0 - squares * squares / 2.0
+def _distance_scores(formula: str) -> Callable:
+    if formula not in ("cosine", "legacy"):
+        raise ValueError("formula must be cosine or legacy")
+
+    def scores(a: np.ndarray, b: np.ndarray, b_squares: np.ndarray) -> np.ndarray:
+        squares = _pairwise_squares(a, b, b_squares)
+        return 1.0 - squares / 2.0 if formula == "cosine" else 1.0 - squares * squares / 2.0
 
+    return scores
 
-def _bound(threshold: float, formula: str) -> float:
-    """Largest L2 distance that still reaches the threshold."""
-    half = 2.0 - 2.0 * threshold
-    if half < 0:
-        return -1.0
-    return math.sqrt(half) if formula == "cosine" else math.sqrt(math.sqrt(half))
+
+def _mean_cosines(a: np.ndarray, b: np.ndarray, _) -> np.ndarray:
+    """Unit article vectors times the categories as they are."""
+    length = np.sqrt((a**2).sum(axis=1))[:, None]
+    return (a @ b.T) / np.where(length > 0, length, 1.0)
 
 
 def _steps(rows: int, width: int) -> Iterator[slice]:
@@ -87,70 +114,17 @@ def _steps(rows: int, width: int) -> Iterator[slice]:
     return (slice(i, min(i + step, rows)) for i in range(0, rows, step))
 
 
-def _check_formula(formula: str) -> None:
-    if formula not in ("cosine", "legacy"):
-        raise ValueError("formula must be cosine or legacy")
-
-
-def _output_schema(articles: DataFrame, categories: DataFrame, vector: str, extra: list) -> T.StructType:
-    kept = [f for f in articles.schema if f.name != vector]
-    added = [f for f in categories.schema if f.name != vector]
-    clash = {f.name for f in kept} & {f.name for f in added}
+def _added_fields(articles: DataFrame, categories: DataFrame, vector: str, score: str) -> list[T.StructField]:
+    kept = {f.name for f in articles.schema if f.name != vector}
+    added = [T.StructField(f.name, f.dataType, True) for f in categories.schema if f.name != vector]
+    clash = kept & {f.name for f in added}
     if clash:
         raise ValueError(f"rename columns present on both sides: {sorted(clash)}")
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in kept + added] + extra)
-
-
-def _emit(batch, vector: str, rows: np.ndarray, columns: dict, picks: np.ndarray, extra: dict):
-    """Article rows repeated per hit, next to the category rows and the scores."""
-    rows, picks = pa.array(rows, pa.int64()), pa.array(picks, pa.int64())
-    data = {n: batch.column(n).take(rows) for n in batch.schema.names if n != vector}
-    data |= {n: values.take(picks) for n, values in columns.items()}
-    return pa.RecordBatch.from_pydict({**data, **extra})
+    return [*added, T.StructField(score, T.DoubleType())]
 
 
-def _present(df: DataFrame, vector: str) -> DataFrame:
-    return df.filter(F.col(vector).isNotNull() & (F.size(vector) > 0))
-
-
-def _over_matrix(
-    articles: DataFrame, vector: str, schema: T.StructType, matrix: Matrix, category_id: str, pick: Callable
-) -> DataFrame:
-    """Score article batches against a shared matrix.
-
-    ``pick`` gets the squared distances of a step, its article rows and the
-    category ids, and returns the hits.
-    """
-    shared = articles.sparkSession.sparkContext.broadcast((matrix.vectors, matrix.squares, matrix.columns))
-
-    def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side, squares, columns = shared.value
-        if not len(side):
-            return
-        for batch in batches:
-            left = vectors_of(batch, vector)
-            for part in _steps(len(left), len(side)):
-                source = batch.slice(part.start, part.stop - part.start)
-                distances = _pairwise_squares(left[part], side, squares)
-                rows, picks, extra = pick(distances, source, columns[category_id])
-                if len(rows):
-                    yield _emit(source, vector, rows, columns, picks, extra)
-
-    return _present(articles, vector).mapInArrow(score_batches, schema)
-
-
-def _hits_above(threshold: float, formula: str, score: str, ordered_by: str | None = None) -> Callable:
-    """All pairs at or above the threshold; with ``ordered_by`` only those with the lower id on the left."""
-
-    def pick(squares: np.ndarray, articles, category_ids):
-        if ordered_by is not None:
-            left, right = articles.column(ordered_by).to_numpy(), category_ids.to_numpy()
-            squares = np.where(left[:, None] < right[None, :], squares, np.inf)
-        scores = _score(squares, formula)
-        rows, picks = np.nonzero(scores >= threshold)
-        return rows, picks, {score: pa.array(scores[rows, picks])}
-
-    return pick
+def _kept_fields(articles: DataFrame, vector: str) -> list[T.StructField]:
+    return [T.StructField(f.name, f.dataType, True) for f in articles.schema if f.name != vector]
 
 
 def threshold_join(
@@ -170,68 +144,124 @@ def threshold_join(
     Every article meets every category. Both tables hold their vector in a
     column of the same name; all other columns are kept.
     """
-    _check_formula(formula)
-    schema = _output_schema(articles, categories, vector, [T.StructField(score, T.DoubleType())])
-    matrix = small_matrix(_present(categories, vector), vector, category_id, max_bytes)
-    if matrix is not None:
-        return _over_matrix(articles, vector, schema, matrix, category_id, _hits_above(threshold, formula, score))
-    pairs = _cell_join(
-        articles.select(article_id, vector),
-        categories.select(category_id, vector),
-        threshold,
-        article_id,
-        category_id,
-        vector,
-        formula,
-        score,
-    )
-    return _with_payload(pairs, articles, categories, article_id, category_id, vector).select(*schema.names)
+    return _threshold_join(articles, categories, threshold, category_id, vector, formula, score, max_bytes)
 
 
-def _with_payload(
-    pairs: DataFrame, articles: DataFrame, categories: DataFrame, article_id: str, category_id: str, vector: str
+def _threshold_join(
+    articles: DataFrame,
+    categories: DataFrame,
+    threshold: float,
+    category_id: str,
+    vector: str,
+    formula: str,
+    score: str,
+    max_bytes: int,
+    ordered_by: str | None = None,
+) -> DataFrame:
+    """With ``ordered_by`` only pairs with the lower id on the left."""
+    score_of = _distance_scores(formula)
+    kept, added = _kept_fields(articles, vector), _added_fields(articles, categories, vector, score)
+    schema = T.StructType([*kept, *added])
+
+    def join_chunk(chunk: Matrix) -> DataFrame:
+        shared = articles.sparkSession.sparkContext.broadcast((chunk.vectors, chunk.squares, chunk.columns))
+
+        def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            side, squares, columns = shared.value
+            if not len(side):
+                return
+            for batch in batches:
+                left = vectors_of(batch, vector)
+                for part in _steps(len(left), len(side)):
+                    source = batch.slice(part.start, part.stop - part.start)
+                    scores = score_of(left[part], side, squares)
+                    near = scores >= threshold
+                    if ordered_by is not None:
+                        near &= source.column(ordered_by).to_numpy()[:, None] < columns[category_id].to_numpy()[None, :]
+                    rows, picks = np.nonzero(near)
+                    for at in range(0, len(rows), EMITTED_ROWS):
+                        r, p = rows[at : at + EMITTED_ROWS], picks[at : at + EMITTED_ROWS]
+                        data = {f.name: source.column(f.name).take(pa.array(r)) for f in kept}
+                        data |= {f.name: columns[f.name].take(pa.array(p)) for f in added[:-1]}
+                        yield pa.RecordBatch.from_pydict({**data, score: pa.array(scores[r, p])})
+
+        return _present(articles, vector).mapInArrow(match, schema)
+
+    joined = None
+    for chunk in category_chunks(categories, vector, category_id, max_bytes):
+        hits = join_chunk(chunk)
+        joined = hits if joined is None else joined.unionByName(hits)
+    return joined
+
+
+def _found_per_article(
+    articles: DataFrame,
+    categories: DataFrame,
+    category_id: str,
+    vector: str,
+    score_of: Callable,
+    score: str,
+    out: str,
+    max_bytes: int,
+    *,
+    threshold: float | None = None,
+    best: int | None = None,
 ) -> DataFrame:
-    """Bring the other columns of both sides to the matched ids, which must be unique per side.
+    """One row per article with what it found in the array ``out``: all scores from ``threshold`` on, or the ``best``.
 
-    Only ids and vectors are copied to several cells; texts and the like move once per hit.
+    The array grows, or is merged, chunk by chunk; at equal scores the category
+    that comes first in the order of ids stays ahead.
     """
-    for side, ident in ((articles, article_id), (categories, category_id)):
-        payload = side.drop(vector)
-        if len(payload.columns) > 1:
-            # Aliased afresh, in case both sides come from one table.
-            pairs = pairs.join(payload.select(*[F.col(c).alias(c) for c in payload.columns]), ident)
-    return pairs
-
-
-def _piece_matcher(
-    kept: list[str], added: list[str], vector: str, order: str, pick: Callable, extra_types: dict
-) -> Callable:
-    """Function that scores one bounded piece of articles against one of categories."""
-
-    def match(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by(order)
-        a, b = vectors_of(left, vector), vectors_of(right, vector)
-        columns = {n: right.column(n).combine_chunks() for n in added}
-        tables = []
-        if len(a) and len(b):
-            squares = (b**2).sum(axis=1)
-            for part in _steps(len(a), len(b)):
-                piece = left.slice(part.start, part.stop - part.start)
-                rows, picks, extra = pick(_pairwise_squares(a[part], b, squares), piece, right.column(order))
-                data = {n: piece.column(n).take(pa.array(rows)) for n in kept}
-                data |= {n: values.take(pa.array(picks)) for n, values in columns.items()}
-                tables.append(pa.Table.from_pydict({**data, **extra}))
+    kept, added = _kept_fields(articles, vector), _added_fields(articles, categories, vector, score)
+    entry = T.StructType(added)
+    schema = T.StructType([*kept, articles.schema[vector], T.StructField(out, T.ArrayType(entry))])
+    carried = _present(articles, vector).select(*[f.name for f in kept], vector)
+    carried = carried.withColumn(out, F.array().cast(T.ArrayType(entry)))
+
+    def search(rows: DataFrame, chunk: Matrix) -> DataFrame:
+        shared = articles.sparkSession.sparkContext.broadcast((chunk.vectors, chunk.squares, chunk.columns))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            side, squares, columns = shared.value
+            for batch in batches:
+                left = vectors_of(batch, vector)
+                if not len(side):
+                    yield batch
+                    continue
+                for part in _steps(len(left), len(side)):
+                    source = batch.slice(part.start, part.stop - part.start)
+                    lists = _merged(score_of(left[part], side, squares), columns, source.column(out))
+                    arrays = [lists if n == out else source.column(n) for n in source.schema.names]
+                    yield pa.RecordBatch.from_arrays(arrays, names=source.schema.names)
+
+        return rows.mapInArrow(run, schema)
+
+    def _merged(scores: np.ndarray, columns: dict, before: pa.ListArray) -> pa.ListArray:
+        """Lists of earlier finds and those of this chunk."""
+        if best is not None:
+            depth = min(best, scores.shape[1])
+            picks = np.argsort(-scores, axis=1, kind="stable")[:, :depth].ravel()
+            rows = np.repeat(np.arange(len(scores)), depth)
         else:
-            data = {n: left.column(n).slice(0, 0) for n in kept}
-            data |= {n: values.slice(0, 0) for n, values in columns.items()}
-            tables.append(pa.table({**data, **{n: pa.array([], t) for n, t in extra_types.items()}}))
-        return pa.concat_tables(tables)
-
-    return match
-
-
-def _names(df: DataFrame, vector: str) -> list[str]:
-    return [c for c in df.columns if c != vector]
+            rows, picks = np.nonzero(scores >= threshold)
+        fresh = [columns[f.name].take(pa.array(picks)) for f in added[:-1]] + [pa.array(scores[rows, picks])]
+        old = before.flatten()
+        old_rows = np.repeat(np.arange(len(scores)), before.value_lengths().to_numpy(zero_copy_only=False))
+        parts = [pa.concat_arrays([old.field(k).cast(x.type), x]) for k, x in enumerate(fresh)]
+        owner = np.concatenate([old_rows, rows])
+        value = parts[-1].to_numpy(zero_copy_only=False)
+        order = np.lexsort((np.arange(len(owner)), -value, owner)) if best is not None else np.argsort(owner, kind="stable")
+        sizes = np.bincount(owner, minlength=len(scores))
+        if best is not None:
+            place = np.arange(len(owner)) - np.repeat(np.concatenate([[0], sizes.cumsum()[:-1]]), sizes)
+            order = order[place < best]
+            sizes = np.minimum(sizes, best)
+        entries = pa.StructArray.from_arrays([p.take(pa.array(order)) for p in parts], names=[f.name for f in added])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], sizes.cumsum()]).astype(np.int32)), entries)
+
+    for number, chunk in enumerate(category_chunks(categories, vector, category_id, max_bytes)):
+        carried = search(cut_lineage(carried) if number else carried, chunk)
+    return carried.select(*[f.name for f in kept], out)
 
 
 def label_lists(
@@ -251,161 +281,10 @@ def label_lists(
 
     Keeps one row per article, so later work per article needs no exchange.
     """
-    _check_formula(formula)
-    fields = [T.StructField(f.name, f.dataType) for f in categories.schema if f.name != vector]
-    fields.append(T.StructField(score, T.DoubleType()))
-    kept = [f for f in articles.schema if f.name != vector]
-    matrix = small_matrix(_present(categories, vector), vector, category_id, max_bytes)
-    if matrix is None:
-        hits = threshold_join(
-            articles.select(article_id, vector),
-            categories,
-            threshold,
-            article_id=article_id,
-            category_id=category_id,
-            vector=vector,
-            formula=formula,
-            score=score,
-            max_bytes=max_bytes,
-        )
-        # An article has at most one hit per category.
-        lists = hits.groupBy(article_id).agg(F.collect_list(F.struct(*[f.name for f in fields])).alias(out))
-        return articles.drop(vector).join(lists, article_id).select(*[f.name for f in kept], out)
-    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.StructType(fields)))])
-    shared = articles.sparkSession.sparkContext.broadcast((matrix.vectors, matrix.squares, matrix.columns))
-
-    def label_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side, squares, columns = shared.value
-        if not len(side):
-            return
-        for batch in batches:
-            left = vectors_of(batch, vector)
-            for part in _steps(len(left), len(side)):
-                scores = _score(_pairwise_squares(left[part], side, squares), formula)
-                near = scores >= threshold
-                sizes = near.sum(axis=1)
-                labelled = np.nonzero(sizes)[0]
-                if not len(labelled):
-                    continue
-                picks = np.nonzero(near)[1]
-                values = [columns[f.name].take(pa.array(picks)) for f in fields[:-1]]
-                entries = pa.StructArray.from_arrays(
-                    [*values, pa.array(scores[near])], names=[f.name for f in fields]
-                )
-                offsets = np.concatenate([[0], sizes[labelled].cumsum()]).astype(np.int32)
-                source = batch.slice(part.start, part.stop - part.start)
-                data = {f.name: source.column(f.name).take(pa.array(labelled)) for f in kept}
-                yield pa.RecordBatch.from_pydict({**data, out: pa.ListArray.from_arrays(offsets, entries)})
-
-    return _present(articles, vector).mapInArrow(label_batches, schema)
-
-
-def _pivot_matrix(df: DataFrame, vector: str, ident: str, count: int) -> np.ndarray:
-    """A fixed number of vectors, picked by hash so that every run picks the same."""
-    picked = df.orderBy(F.xxhash64(ident), ident).limit(count).select(vector)
-    return vectors_of(picked.toArrow(), vector)
-
-
-def _nearest_pivot(df: DataFrame, vector: str, pivots: np.ndarray) -> DataFrame:
-    """Add the nearest pivot as ``_cell`` and the distance to it as ``_gap``."""
-    shared = df.sparkSession.sparkContext.broadcast(pivots)
-    schema = T.StructType([*df.schema, T.StructField("_cell", T.LongType()), T.StructField("_gap", T.DoubleType())])
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side = shared.value
-        squares = (side**2).sum(axis=1)
-        for batch in batches:
-            gaps = _pairwise_squares(vectors_of(batch, vector), side, squares)
-            cell = gaps.argmin(axis=1)
-            columns = {n: batch.column(n) for n in batch.schema.names}
-            columns["_cell"] = pa.array(cell.astype(np.int64))
-            columns["_gap"] = pa.array(np.sqrt(gaps[np.arange(len(cell)), cell]))
-            yield pa.RecordBatch.from_pydict(columns)
-
-    return df.mapInArrow(assign, schema)
-
-
-def _reachable_cells(
-    df: DataFrame, vector: str, pivots: np.ndarray, reach: np.ndarray
-) -> DataFrame:
-    """Add every cell within ``reach`` of its pivot as the array ``_cells``."""
-    shared = df.sparkSession.sparkContext.broadcast((pivots, reach))
-    schema = T.StructType([*df.schema, T.StructField("_cells", T.ArrayType(T.LongType()))])
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side, limits = shared.value
-        squares = (side**2).sum(axis=1)
-        for batch in batches:
-            gaps = np.sqrt(_pairwise_squares(vectors_of(batch, vector), side, squares))
-            near = gaps <= limits[None, :]
-            offsets = np.concatenate([[0], near.sum(axis=1).cumsum()]).astype(np.int32)
-            cells = pa.ListArray.from_arrays(offsets, pa.array(np.nonzero(near)[1].astype(np.int64)))
-            columns = {n: batch.column(n) for n in batch.schema.names}
-            yield pa.RecordBatch.from_pydict({**columns, "_cells": cells})
-
-    return df.mapInArrow(probe, schema)
-
-
-def _lookup(values: dict[int, int], cell) -> F.Column:
-    pairs = [F.lit(x) for item in values.items() for x in item]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), cell), F.lit(1))
-
-
-def _cell_join(
-    articles: DataFrame,
-    categories: DataFrame,
-    threshold: float,
-    article_id: str,
-    category_id: str,
-    vector: str,
-    formula: str,
-    score: str,
-    ordered_pairs: bool = False,
-    pivot_count: int = PIVOTS,
-    piece_rows: int = PIECE_ROWS,
-) -> DataFrame:
-    """``threshold_join`` of two (id, vector) tables of any size."""
-    schema = _output_schema(articles, categories, vector, [T.StructField(score, T.DoubleType())])
-    bound = _bound(threshold, formula)
-    left, right = _present(articles, vector), _present(categories, vector)
-    pivots = _pivot_matrix(right, vector, category_id, pivot_count)
-    if bound < 0 or not len(pivots):
-        return articles.sparkSession.createDataFrame([], schema)
-
-    members = _nearest_pivot(right, vector, pivots)
-    # One row per pivot: the cell's radius and size.
-    cells = members.groupBy("_cell").agg(F.max("_gap").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
-    # A rounding margin keeps pairs that sit exactly on a bound.
-    reach = np.full(len(pivots), -1.0)
-    for row in cells:
-        reach[row["_cell"]] = row["radius"] + bound + 1e-6
-    right_pieces = {r["_cell"]: math.ceil(r["n"] / piece_rows) for r in cells}
-
-    probes = _reachable_cells(left, vector, pivots, reach).withColumn("_cell", F.explode("_cells")).drop("_cells")
-    left_counts = probes.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()
-    left_pieces = {r["_cell"]: math.ceil(r["n"] / piece_rows) for r in left_counts}
-    if not left_pieces:
-        return articles.sparkSession.createDataFrame([], schema)
-
-    def all_pieces(pieces: dict[int, int]):
-        return F.explode(F.sequence(F.lit(0), _lookup(pieces, F.col("_cell")) - 1))
-
-    def own_piece(pieces: dict[int, int], ident: str):
-        return F.pmod(F.xxhash64(ident), _lookup(pieces, F.col("_cell"))).cast("int")
-
-    # Each pair of pieces is one bounded group, however large the cell is.
-    probes = probes.withColumn("_lp", own_piece(left_pieces, article_id)).withColumn("_rp", all_pieces(right_pieces))
-    members = (
-        members.drop("_gap")
-        .withColumn("_rp", own_piece(right_pieces, category_id))
-        .withColumn("_lp", all_pieces(left_pieces))
-    )
-    keys = ["_cell", "_lp", "_rp"]
-    pick = _hits_above(threshold, formula, score, article_id if ordered_pairs else None)
-    match = _piece_matcher(
-        _names(articles, vector), _names(categories, vector), vector, category_id, pick, {score: pa.float64()}
+    found = _found_per_article(
+        articles, categories, category_id, vector, _distance_scores(formula), score, out, max_bytes, threshold=threshold
     )
-    return probes.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(match, schema)
+    return found.where(F.size(out) > 0)
 
 
 def pairwise_similarity(
@@ -415,16 +294,32 @@ def pairwise_similarity(
     ident: str = "vec_id",
     vector: str = "embedding",
     score: str = "cosine",
+    block: str | None = None,
     max_bytes: int = MATRIX_BYTES,
 ) -> DataFrame:
-    """Pairs (id_a < id_b) of one table whose cosine reaches ``min_score``."""
-    rows = _present(df, vector).select(F.col(ident).alias("id_a"), unit(F.col(vector)).alias(vector))
-    other = rows.withColumnRenamed("id_a", "id_b")
-    schema = _output_schema(rows, other, vector, [T.StructField(score, T.DoubleType())])
-    matrix = small_matrix(other, vector, "id_b", max_bytes)
-    if matrix is not None:
-        return _over_matrix(rows, vector, schema, matrix, "id_b", _hits_above(min_score, "cosine", score, "id_a"))
-    return _cell_join(rows, other, min_score, "id_a", "id_b", vector, "cosine", score, ordered_pairs=True)
+    """Pairs (id_a < id_b) of one table whose cosine reaches ``min_score``.
+
+    Every row meets every other, chunk by chunk. With ``block`` only rows that
+    agree in that column meet: they are compared in pieces of bounded size.
+    """
+    rows = _present(df, vector)
+    names = {"id_a": F.col(ident), vector: unit(F.col(vector))}
+    if block is None:
+        left = rows.select(*[c.alias(n) for n, c in names.items()])
+        return _threshold_join(
+            left, left.withColumnRenamed("id_a", "id_b"), min_score, "id_b", vector, "cosine", score, max_bytes, "id_a"
+        )
+    left = rows.where(F.col(block).isNotNull()).select(*[c.alias(n) for n, c in names.items()], F.col(block).alias("_cell"))
+    right = left.select(F.col("id_a").alias("id_b"), F.col(vector), F.col("_cell"))
+    score_of = _distance_scores("cosine")
+
+    def pick(a: np.ndarray, b: np.ndarray, squares: np.ndarray, piece: pa.Table, other: pa.Table):
+        scores = score_of(a, b, squares)
+        lower = piece.column("id_a").to_numpy()[:, None] < other.column("id_b").to_numpy()[None, :]
+        found = np.nonzero((scores >= min_score) & lower)
+        return *found, scores[found]
+
+    return _by_pieces(left, right, "id_a", "id_b", vector, score, pick, PIECE_ROWS)
 
 
 def top_k_join(
@@ -443,81 +338,12 @@ def top_k_join(
 
     Equal scores go to the lower category id. No threshold applies.
     """
-    _check_formula(formula)
-    extra = [T.StructField(score, T.DoubleType()), T.StructField("rank", T.IntegerType())]
-    schema = _output_schema(articles, categories, vector, extra)
-    present = _present(categories, vector)
-
-    def pick(squares: np.ndarray, *_):
-        depth = min(k, squares.shape[1])
-        if depth == 1:
-            best = squares.argmin(axis=1)[:, None]
-        else:
-            best = np.argsort(squares, axis=1, kind="stable")[:, :depth]
-        rows = np.repeat(np.arange(len(squares)), depth)
-        picks = best.ravel()
-        ranks = np.tile(np.arange(1, depth + 1, dtype=np.int32), len(squares))
-        scores = _score(squares[rows, picks], formula)
-        return rows, picks, {score: pa.array(scores), "rank": pa.array(ranks)}
-
-    matrix = small_matrix(present, vector, category_id, max_bytes)
-    if matrix is not None:
-        return _over_matrix(articles, vector, schema, matrix, category_id, pick)
-    best = _top_k_by_pieces(
-        articles.select(article_id, vector),
-        present.select(category_id, vector),
-        k,
-        article_id,
-        category_id,
-        vector,
-        score,
-        pick,
-        max_bytes,
-    )
-    return _with_payload(best, articles, categories, article_id, category_id, vector).select(*schema.names)
-
-
-def _top_k_by_pieces(
-    articles: DataFrame,
-    categories: DataFrame,
-    k: int,
-    article_id: str,
-    category_id: str,
-    vector: str,
-    score: str,
-    pick: Callable,
-    max_bytes: int,
-    piece_rows: int = PIECE_ROWS,
-) -> DataFrame:
-    """Top k of each category piece, then the best k of those per article."""
-    extra = [T.StructField(score, T.DoubleType()), T.StructField("rank", T.IntegerType())]
-    schema = _output_schema(articles, categories, vector, extra)
-    width = categories.select(F.size(vector).alias("d")).first()["d"]
-    per_piece = max(1, max_bytes // (8 * width))
-    pieces = max(2, math.ceil(categories.count() / per_piece))
-    article_pieces = max(1, math.ceil(articles.count() / piece_rows))
-    keys = ["_lp", "_rp"]
-    left = (
-        _present(articles, vector)
-        .withColumn("_lp", F.pmod(F.xxhash64(article_id), F.lit(article_pieces)))
-        .withColumn("_rp", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
-    )
-    # The names are aliased afresh, in case both sides come from one table.
-    fresh = categories.select(*[F.col(c).alias(c) for c in categories.columns])
-    right = fresh.withColumn("_rp", F.pmod(F.xxhash64(category_id), F.lit(pieces)).cast("int")).withColumn(
-        "_lp", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(article_pieces - 1).cast("long")))
-    )
-
-    match = _piece_matcher(
-        _names(articles, vector),
-        _names(categories, vector),
-        vector,
-        category_id,
-        pick,
-        {score: pa.float64(), "rank": pa.int32()},
+    found = _found_per_article(
+        articles, categories, category_id, vector, _distance_scores(formula), score, "_best", max_bytes, best=k
     )
-    candidates = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(match, schema)
-    return best_k(candidates, k, article_id, category_id, score)
+    kept = [f.name for f in _kept_fields(articles, vector)]
+    entries = found.select(*kept, F.posexplode("_best").alias("_at", "_hit"))
+    return entries.select(*kept, "_hit.*", (F.col("_at") + 1).alias("rank"))
 
 
 def best_k(hits: DataFrame, k: int, article_id: str, category_id: str, score: str = "confidence_score") -> DataFrame:
@@ -543,43 +369,93 @@ def list_count(vectors: int) -> int:
     return max(50, vectors // 50)
 
 
-def kmeans_centers(df: DataFrame, vector: str = "embedding", cells: int | None = None, seed: int = 42) -> DataFrame:
-    """Coarse cell centres (cell_id, centre) trained on the category vectors."""
-    rows = _present(df, vector).select(
-        array_to_vector(F.col(vector).cast("array<double>")).alias("features")
+def kmeans_centers(
+    df: DataFrame, vector: str = "embedding", cells: int | None = None, rounds: int = 5, max_bytes: int = MATRIX_BYTES
+) -> DataFrame:
+    """Coarse cell centres (cell_id, centre) trained on the category vectors, as a table of any size.
+
+    The first centres are distinct vectors in the order of a hash. Each round
+    assigns every vector to its nearest centre and takes the mean per cell; a
+    cell that gets no vector is dropped.
+    """
+    rows = _present(df, vector).select(F.col(vector).cast("array<double>").alias(vector))
+    wanted = cells or list_count(rows.count())
+    distinct = rows.distinct().orderBy(F.xxhash64(vector), F.col(vector)).limit(wanted)
+    centers = cut_lineage(distinct.select(F.xxhash64(vector).alias("cell_id"), F.col(vector).alias("centre")))
+    for _ in range(rounds):
+        nearest = cell_probes(rows, centers, vector, 1, max_bytes)
+        means = nearest.groupBy("_cell").agg(Summarizer.mean(array_to_vector(F.col(vector))).alias("m"))
+        centers = cut_lineage(means.select(F.col("_cell").alias("cell_id"), vector_to_array("m").alias("centre")))
+    return centers
+
+
+def cell_probes(df: DataFrame, centers: DataFrame, vector: str, count: int, max_bytes: int = MATRIX_BYTES) -> DataFrame:
+    """Each row once for each of its ``count`` nearest cells, named in ``_cell``."""
+    cells = centers.select(F.col("cell_id").alias("_cell"), F.col("centre").alias("_centre"))
+    copied = df.withColumn("_centre", F.col(vector))
+    near = top_k_join(
+        copied, cells, count, article_id="_cell", category_id="_cell", vector="_centre", score="_near", max_bytes=max_bytes
     )
-    size = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    width = _present(df, vector).select(F.size(vector).alias("d")).first()
-    if width is None:
-        return df.sparkSession.createDataFrame([], "cell_id long, centre array<double>")
-    # The centres travel to every task, so their number is bounded by the matrix limit.
-    wanted = cells or min(list_count(size), MATRIX_BYTES // (8 * width["d"]))
-    model = KMeans(k=wanted, seed=seed, maxIter=10).fit(rows)
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return df.sparkSession.createDataFrame(centers, "cell_id long, centre array<double>")
-
-
-def cell_probes(df: DataFrame, centers: DataFrame, vector: str, count: int) -> DataFrame:
-    """The ``count`` nearest cells of each row, as the array ``cells``."""
-    matrix = small_matrix(centers.withColumnRenamed("centre", vector), vector, "cell_id")
-    if matrix is None:
-        raise ValueError("too many coarse cells for one task")
-    ids = matrix.columns["cell_id"].to_numpy()
-    shared = df.sparkSession.sparkContext.broadcast((matrix.vectors, matrix.squares, ids))
-    schema = T.StructType([*df.schema, T.StructField("cells", T.ArrayType(T.LongType()))])
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side, squares, names = shared.value
-        depth = min(count, len(side))
-        for batch in batches:
-            gaps = _pairwise_squares(vectors_of(batch, vector), side, squares)
-            nearest = names[np.argsort(gaps, axis=1, kind="stable")[:, :depth]]
-            offsets = np.arange(0, nearest.size + 1, depth, dtype=np.int32)
-            cells = pa.ListArray.from_arrays(offsets, pa.array(nearest.ravel()))
-            columns = {n: batch.column(n) for n in batch.schema.names}
-            yield pa.RecordBatch.from_pydict({**columns, "cells": cells})
-
-    return _present(df, vector).mapInArrow(probe, schema)
+    return near.select(*df.columns, "_cell")
+
+
+def _by_pieces(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    vector: str,
+    score: str,
+    pick: Callable,
+    piece_rows: int,
+) -> DataFrame:
+    """Rows of equal ``_cell`` compared in pieces of about ``piece_rows`` rows on both sides.
+
+    ``pick`` gets vectors and rows of two pieces and returns row numbers on both
+    sides and scores. Large cells are split by a hash of the key and vector, and
+    every pair of pieces is one bounded group.
+    """
+    kept = [f for f in left.schema if f.name not in (vector, "_cell")]
+    added = [f for f in right.schema if f.name not in (vector, "_cell")]
+    schema = T.StructType([*kept, *added, T.StructField(score, T.DoubleType())])
+
+    def pieces(df: DataFrame, name: str) -> DataFrame:
+        counts = df.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+        return counts.select("_cell", F.ceil(F.col("_n") / piece_rows).cast("int").alias(name))
+
+    # Cells that one side lacks have no pairs.
+    sizes = pieces(left, "_ln").join(pieces(right, "_rn"), "_cell")
+
+    def cut(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        mine, theirs = ("_ln", "_rn") if own == "_lp" else ("_rn", "_ln")
+        return (
+            df.join(sizes, "_cell")
+            .withColumn(own, F.pmod(F.xxhash64(key, vector), F.col(mine)).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)))
+            .drop("_ln", "_rn")
+        )
+
+    def match(a: pa.Table, b: pa.Table) -> pa.Table:
+        b = b.sort_by(right_key)
+        va, vb = vectors_of(a, vector), vectors_of(b, vector)
+        squares = (vb**2).sum(axis=1) if len(vb) else None
+        tables = []
+        for part in _steps(len(va), len(vb)) if len(va) and len(vb) else ():
+            piece = a.slice(part.start, part.stop - part.start)
+            rows, picks, scores = pick(va[part], vb, squares, piece, b)
+            data = {f.name: piece.column(f.name).take(pa.array(rows)) for f in kept}
+            data |= {f.name: b.column(f.name).take(pa.array(picks)) for f in added}
+            tables.append(pa.Table.from_pydict({**data, score: pa.array(scores)}))
+        if not tables:
+            data = {f.name: a.column(f.name).slice(0, 0) for f in kept} | {f.name: b.column(f.name).slice(0, 0) for f in added}
+            return pa.Table.from_pydict({**data, score: pa.array([], pa.float64())})
+        return pa.concat_tables(tables)
+
+    keys = ["_cell", "_lp", "_rp"]
+    # Aliased afresh, in case both sides come from one table.
+    other = right.select(*[F.col(c).alias(c) for c in right.columns])
+    first, second = cut(left, left_key, "_lp", "_rp"), cut(other, right_key, "_rp", "_lp")
+    return first.groupBy(*keys).cogroup(second.groupBy(*keys)).applyInArrow(match, schema)
 
 
 def cell_top1_join(
@@ -594,60 +470,34 @@ def cell_top1_join(
     formula: str = "cosine",
     score: str = "confidence_score",
     piece_rows: int = PIECE_ROWS,
+    max_bytes: int = MATRIX_BYTES,
 ) -> DataFrame:
     """Approximate nearest category: only the nearest ``probes`` cells are searched.
 
     Candidates inside the probed cells are compared exactly. Cells are split
-    into bounded pieces on both sides, and the best piece result wins.
+    into bounded pieces on both sides, and the best piece result wins; equal
+    scores go to the lower category id. Rows are numbered first, so ids may repeat
+    or be NULL; articles whose cells hold no category are left out.
     """
-    _check_formula(formula)
-    added = [T.StructField(score, T.DoubleType())]
-    names = _output_schema(articles, categories, vector, added).names
-    whole = articles, categories
-    # Only ids and vectors are copied to cells and pieces.
-    articles, categories = articles.select(article_id, vector), categories.select(category_id, vector)
-    members = cell_probes(categories, centers, vector, 1).withColumn("_cell", F.get("cells", 0)).drop("cells")
-    seekers = cell_probes(articles, centers, vector, probes).withColumn("_cell", F.explode("cells")).drop("cells")
-    right_pieces = _piece_counts(members, piece_rows)
-    left_pieces = _piece_counts(seekers, piece_rows)
-    schema = _output_schema(articles, categories, vector, added)
-    if not right_pieces or not left_pieces:
-        return articles.sparkSession.createDataFrame([], _output_schema(*whole, vector, added))
-
-    def own(pieces: dict[int, int], ident: str):
-        return F.pmod(F.xxhash64(ident), _lookup(pieces, F.col("_cell"))).cast("int")
-
-    def every(pieces: dict[int, int]):
-        return F.explode(F.sequence(F.lit(0), _lookup(pieces, F.col("_cell")) - 1))
-
-    seekers = seekers.withColumn("_lp", own(left_pieces, article_id)).withColumn("_rp", every(right_pieces))
-    members = members.withColumn("_rp", own(right_pieces, category_id)).withColumn("_lp", every(left_pieces))
-    keys = ["_cell", "_lp", "_rp"]
-
-    def nearest(squares: np.ndarray, *_):
-        best = squares.argmin(axis=1)
+    added = _added_fields(articles, categories, vector, score)
+    score_of = _distance_scores(formula)
+    names = [f.name for f in (*_kept_fields(articles, vector), *added)]
+    left = cut_lineage(_present(articles, vector).withColumn("_a", F.monotonically_increasing_id()))
+    right = cut_lineage(_present(categories, vector).withColumn("_c", F.monotonically_increasing_id()))
+    # Only numbers, ids and vectors are copied to cells and pieces.
+    members = cell_probes(right.select("_c", category_id, vector), centers, vector, 1, max_bytes)
+    seekers = cell_probes(left.select("_a", vector), centers, vector, probes, max_bytes)
+
+    def nearest(a: np.ndarray, b: np.ndarray, squares: np.ndarray, piece: pa.Table, other: pa.Table):
+        scores = score_of(a, b, squares)
+        best = scores.argmax(axis=1)
         rows = np.arange(len(best))
-        return rows, best, {score: pa.array(_score(squares[rows, best], formula))}
-
-    match = _piece_matcher(
-        _names(articles, vector), _names(categories, vector), vector, category_id, nearest, {score: pa.float64()}
-    )
-    hits = seekers.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(match, schema)
-    rank = F.struct(F.col(score), -F.col(category_id)) if _numeric(categories, category_id) else F.col(score)
-    rest = [c for c in hits.columns if c != article_id]
-    best = hits.groupBy(article_id).agg(F.max_by(F.struct(*rest), rank).alias("_best"))
-    found = best.select(article_id, "_best.*")
-    return _with_payload(found, *whole, article_id, category_id, vector).select(*names)
-
+        return rows, best, scores[rows, best]
 
-def _numeric(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.NumericType)
-
-
-def _piece_counts(df: DataFrame, piece_rows: int) -> dict[int, int]:
-    """Pieces per cell; one row per cell comes back."""
-    counts = df.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()
-    return {r["_cell"]: math.ceil(r["n"] / piece_rows) for r in counts}
+    hits = _by_pieces(cut_lineage(seekers), cut_lineage(members), "_a", category_id, vector, score, nearest, piece_rows)
+    rank = F.struct((-F.col(score)).alias("s"), F.col(category_id).isNull().alias("n"), F.col(category_id).alias("i"), "_c")
+    best = hits.groupBy("_a").agg(F.min_by(F.struct("_c", score), rank).alias("_best")).select("_a", "_best.*")
+    return best.join(left.drop(vector), "_a").join(right.drop(vector), "_c").select(*names)
 
 
 def recall_against(approximate: DataFrame, exact: DataFrame, article_id: str, category_id: str) -> DataFrame:
@@ -655,7 +505,6 @@ def recall_against(approximate: DataFrame, exact: DataFrame, article_id: str, ca
     found = approximate.select(article_id, F.col(category_id).alias("_found"))
     return exact.join(found, article_id, "left").agg(
         F.count(F.lit(1)).alias("articles"),
-        F.avg((F.col(category_id) == F.col("_found")).cast("double")).alias("_hit"),
         F.count("_found").alias("answered"),
         F.sum(F.coalesce(F.col(category_id) == F.col("_found"), F.lit(False)).cast("long")).alias("matched"),
     ).select("articles", "answered", "matched", F.try_divide("matched", "articles").alias("recall"))
@@ -684,38 +533,18 @@ def sector_probabilities(
     sector: str = "sector",
     vector: str = "embedding",
     temperature: float = 0.03,
+    max_bytes: int = MATRIX_BYTES,
 ) -> DataFrame:
     """Mean cosine per (article, sector) and its softmax over the sectors.
 
     An empty taxonomy gives an empty result.
     """
     centroids = sector_centroids(categories, sector, vector)
-    matrix = small_matrix(centroids, vector, sector)
-    if matrix is None:
-        raise ValueError("sector table exceeds the size limit")
-    names = matrix.columns[sector]
-    kept = [f for f in articles.schema if f.name != vector]
-    schema = T.StructType(
-        [*kept, T.StructField("_scores", T.ArrayType(T.DoubleType()))]
+    kept = [f.name for f in _kept_fields(articles, vector)]
+    scored = _found_per_article(
+        articles, centroids, sector, vector, _mean_cosines, "score", "_sectors", max_bytes, threshold=-math.inf
     )
-    shared = articles.sparkSession.sparkContext.broadcast(matrix.vectors)
-
-    def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side = shared.value
-        if not len(side):
-            return
-        for batch in batches:
-            left = vectors_of(batch, vector)
-            length = np.sqrt((left**2).sum(axis=1))[:, None]
-            scores = (left @ side.T) / np.where(length > 0, length, 1.0)
-            offsets = np.arange(0, scores.size + 1, scores.shape[1], dtype=np.int32)
-            columns = {f.name: batch.column(f.name) for f in kept}
-            columns["_scores"] = pa.ListArray.from_arrays(offsets, pa.array(scores.ravel()))
-            yield pa.RecordBatch.from_pydict(columns)
-
-    scored = _present(articles, vector).mapInArrow(score_batches, schema)
-    labels = F.array(*[F.lit(x) for x in names.to_pylist()]) if len(names) else F.array().cast("array<string>")
-    return scored.withColumn("_probs", softmax(F.col("_scores"), temperature)).select(
-        *[f.name for f in kept],
-        F.explode(F.arrays_zip(labels.alias(sector), F.col("_scores").alias("score"), F.col("_probs").alias("probability"))).alias("_row"),
-    ).select(*[f.name for f in kept], f"_row.{sector}", "_row.score", "_row.probability")
+    shares = softmax(F.transform("_sectors", lambda s: s["score"]), temperature)
+    both = F.arrays_zip(F.col("_sectors").alias("s"), F.col("_probs").alias("p"))
+    rows = scored.withColumn("_probs", shares).select(*kept, F.explode(both).alias("_row"))
+    return rows.select(*kept, f"_row.s.{sector}", "_row.s.score", F.col("_row.p").alias("probability"))

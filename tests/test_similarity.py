@@ -39,9 +39,8 @@ def scores(a, b):
 
 
 @pytest.mark.parametrize("threshold", [-6.0, -2.0, 0.0, 2.0])
-@pytest.mark.parametrize("max_bytes", [sim.MATRIX_BYTES, 0])
-def test_threshold_join_equals_brute_force(spark, data, monkeypatch, threshold, max_bytes):
-    monkeypatch.setattr(sim._cell_join, "__defaults__", (False, 6, 7))
+@pytest.mark.parametrize("max_bytes", [sim.MATRIX_BYTES, 1500])
+def test_threshold_join_equals_brute_force(spark, data, threshold, max_bytes):
     left, right, a, b = data
     hits = threshold_join(left, right, threshold, **IDS, max_bytes=max_bytes).collect()
     s = scores(a, b)
@@ -55,7 +54,7 @@ def test_legacy_formula(spark, data):
     left, right, a, b = data
     squared = 2 * (1 - scores(a, b))
     expected = (1 - squared**2 / 2 >= -35.0).sum()
-    for max_bytes in (sim.MATRIX_BYTES, 0):
+    for max_bytes in (sim.MATRIX_BYTES, 3000):
         hits = threshold_join(left, right, -35.0, **IDS, formula="legacy", max_bytes=max_bytes)
         assert hits.count() == expected
     with pytest.raises(ValueError):
@@ -75,7 +74,7 @@ def test_top_k_breaks_ties_by_id(spark, data, max_bytes):
 
 def test_label_lists_match_threshold_join(spark, data):
     left, right, *_ = data
-    for max_bytes in (sim.MATRIX_BYTES, 0):
+    for max_bytes in (sim.MATRIX_BYTES, 3000):
         lists = label_lists(left, right, -2.0, **IDS, max_bytes=max_bytes)
         flat = lists.select("a", "title", F.inline("labels")).select("a", "title", "c", "sector").collect()
         hits = threshold_join(left, right, -2.0, **IDS).select("a", "title", "c", "sector").collect()
@@ -90,13 +89,12 @@ def test_ranked_labels(spark, data):
     assert all(r["classified"] == (r["best_score"] >= 0.0) and len(r["labels"]) == 2 for r in rows)
 
 
-def test_pairs(spark, data, monkeypatch):
-    monkeypatch.setattr(sim._cell_join, "__defaults__", (False, 6, 7))
+def test_pairs(spark, data):
     _, right, _, b = data
     unit = b / np.linalg.norm(b, axis=1)[:, None]
     s = unit @ unit.T
     expected = {(i, j) for i in range(len(b)) for j in range(i + 1, len(b)) if s[i, j] >= 0.4 - 1e-12}
-    for max_bytes in (sim.MATRIX_BYTES, 0):
+    for max_bytes in (sim.MATRIX_BYTES, 3000):
         pairs = pairwise_similarity(right, 0.4, ident="c", max_bytes=max_bytes).collect()
         assert {(r["id_a"], r["id_b"]) for r in pairs} == expected
         assert len(pairs) == len(expected)
@@ -109,6 +107,7 @@ def test_cells_with_all_probes_are_exact(spark, data):
     for piece_rows in (4096, 6):
         found = cell_top1_join(left, right, centers, **IDS, probes=50, piece_rows=piece_rows).select("a", "c").collect()
         assert sorted(map(tuple, found)) == sorted(map(tuple, exact))
+    assert centers.count() == 5
     one = cell_top1_join(left, right, centers, **IDS, probes=1)
     assert one.count() == 80
 
@@ -130,4 +129,57 @@ def test_empty_sides(spark, data):
     left, right, *_ = data
     assert threshold_join(left.limit(0), right, -9.0, **IDS).count() == 0
     assert threshold_join(left, right.limit(0), -9.0, **IDS).count() == 0
-    assert threshold_join(left, right, 1.5, **IDS, max_bytes=0).count() == 0
+    assert threshold_join(left, right, 1.5, **IDS, max_bytes=3000).count() == 0
+
+
+def odd_sides(spark):
+    """Repeated, NULL and text ids, and many equal categories."""
+    draw = np.random.default_rng(5)
+    vectors = [[float(x) for x in v] for v in draw.normal(size=(9, 4))]
+    left = [("1", "x", vectors[0]), ("1", "y", vectors[0]), (None, "z", vectors[1]), (None, "z", vectors[1]), ("2", "n", None)]
+    right = [("c3", 1, vectors[2]), ("c3", 2, vectors[3]), (None, 3, vectors[4]), (None, 4, vectors[5])]
+    right += [(f"t{i:03d}", 9, vectors[6]) for i in range(40)]
+    return (
+        spark.createDataFrame(left, "a string, title string, embedding array<double>"),
+        spark.createDataFrame(right, "c string, n int, embedding array<double>"),
+    )
+
+
+@pytest.mark.parametrize("how", ["threshold", "lists", "top"])
+def test_results_do_not_depend_on_the_number_of_chunks(spark, how):
+    left, right = odd_sides(spark)
+
+    def run(max_bytes):
+        if how == "threshold":
+            out = threshold_join(left, right, -4.0, **IDS, max_bytes=max_bytes)
+        elif how == "lists":
+            out = label_lists(left, right, -4.0, **IDS, max_bytes=max_bytes).select("a", "title", F.inline("labels"))
+        else:
+            out = top_k_join(left, right, 42, **IDS, max_bytes=max_bytes)
+        return sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in out.collect()), key=str)
+
+    whole = run(sim.MATRIX_BYTES)
+    assert whole and len({r[1] for r in whole}) == 3
+    assert run(700) == run(150) == whole
+    if how == "top":
+        assert len(whole) == 4 * 42
+        ties = [r for r in whole if r[1] == "x" and r[3] == 9]
+        assert [r[2] for r in sorted(ties, key=lambda r: r[-1])] == [f"t{i:03d}" for i in range(len(ties))]
+
+
+def test_cells_keep_text_ids_and_ties(spark):
+    left, right = odd_sides(spark)
+    exact = top_k_join(left, right, 1, **IDS).select("a", "title", "c", "n").collect()
+    for rounds, piece_rows in ((1, 4096), (2, 3)):
+        centers = kmeans_centers(right, cells=4, rounds=rounds)
+        found = cell_top1_join(left, right, centers, **IDS, probes=9, piece_rows=piece_rows).select("a", "title", "c", "n")
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, exact), key=str)
+
+
+def test_pairs_inside_blocks(spark, data):
+    _, right, _, b = data
+    unit = b / np.linalg.norm(b, axis=1)[:, None]
+    s = unit @ unit.T
+    expected = {(i, j) for i in range(90) for j in range(i + 1, 90) if s[i, j] >= 0.3 and i % 4 == j % 4}
+    pairs = pairwise_similarity(right, 0.3, ident="c", block="sector").collect()
+    assert {(r["id_a"], r["id_b"]) for r in pairs} == expected and len(pairs) == len(expected)
