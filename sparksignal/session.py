@@ -59,21 +59,6 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a small input comes as fewer partitions than there are cores.
-
-    Inputs above ``SMALL_INPUT_BYTES`` are split by the scan itself and stay as they are.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SMALL_INPUT_BYTES:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and read them back from there.
 

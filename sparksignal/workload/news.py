@@ -72,7 +72,6 @@ def _record_lines(spark, sf):
         F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 61), "yyyyMMddHHmmss"
     )
     empty = F.lit("")
-    words = F.slice(F.split(collapse(F.col("text")), " "), 1, 3)
     full = F.concat_ws(
         "\t",
         F.col("doc_id"),
@@ -81,7 +80,7 @@ def _record_lines(spark, sf):
         F.col("source"),
         F.coalesce("url", empty),
         *[empty] * 5,
-        F.array_join(words, ";"),
+        F.translate(collapse(F.col("text")), " ", ";"),
         F.lit("tail"),
     )
     short = F.concat_ws("\t", F.col("doc_id"), when, F.lit("1"), F.col("source"))
@@ -472,7 +471,7 @@ _URL_TITLE = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replac
 _RECORDS = f"""
 records AS (
   SELECT doc_id, source, lang, coalesce(url, '') AS url, {_DOC_TIME} AS t,
-         array_to_string(string_split({_COLLAPSED}, ' ')[1:3], ';') AS orgs
+         replace({_COLLAPSED}, ' ', ';') AS orgs
   FROM documents LEFT JOIN pages ON doc_id = page_id)
 """
 _LINKED = """

@@ -24,13 +24,13 @@ from ..sources.taxonomy import flatten_raw_taxonomy
 from ..streaming.collect import append_stream, collect_once_each, landed_stream, live_interval_means
 from .news import _RAW_TAXONOMY, _linked_news, raw_taxonomy
 from .similarity import _PAIRS
-from .tables import EVENT_LABELS, SQL_VALUE, labelled_vectors, rounded, stamp, table, vectors
+from .tables import EVENT_LABELS, SQL_GROUPS, SQL_VALUE, group_centers, rounded, stamp, table, vectors
 
 
 def _mirror_scores(spark, sf):
     """Best score of every vector read backwards."""
     articles = vectors(spark, sf, "article_id").withColumn("embedding", F.reverse("embedding"))
-    return top_k_join(articles, labelled_vectors(spark, sf), 1, article_id="article_id", category_id="category_id")
+    return top_k_join(articles, group_centers(spark, sf), 1, article_id="article_id", category_id="category_id")
 
 
 def similarity_stats(spark, sf):
@@ -41,8 +41,8 @@ def similarity_stats(spark, sf):
 def _classified(spark, sf):
     hits = threshold_join(
         vectors(spark, sf, "article_id"),
-        labelled_vectors(spark, sf),
-        0.2,
+        group_centers(spark, sf),
+        0.5,
         article_id="article_id",
         category_id="category_id",
     )
@@ -178,14 +178,14 @@ QUERIES = {
 
 _SAMPLE = f"""
 {_PAIRS}, hits AS (
-  SELECT article_id || '-' || category_id AS hit, sector, category_id, s FROM pairs WHERE s >= 0.2
+  SELECT article_id || '-' || category_id AS hit, sector, category_id, s FROM pairs WHERE s >= 0.5
   ORDER BY md5(article_id || '-' || category_id || '|42'), hit LIMIT 100)
 """
 
 ORACLES = {
-    "similarity_stats": """
-WITH vecs AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
-best AS (SELECT a.id, max(1 - pow(list_distance(list_reverse(a.v), b.v), 2) / 2) AS s FROM vecs a, vecs b GROUP BY 1)
+    "similarity_stats": f"""
+WITH vecs AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings), {SQL_GROUPS},
+best AS (SELECT a.id, max(1 - pow(list_distance(list_reverse(a.v), b.v), 2) / 2) AS s FROM vecs a, cats b GROUP BY 1)
 SELECT count(*) AS n, round(min(s), 6) AS min_score, round(max(s), 6) AS max_score, round(avg(s), 6) AS mean_score,
        round(median(s), 6) AS median_score, round(stddev_pop(s), 6) AS std_score FROM best""",
     "classification_check": f"""

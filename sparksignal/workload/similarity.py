@@ -6,20 +6,18 @@ from pyspark.sql import functions as F
 
 from ..functions.common import strip
 from ..functions.sentiment import label_scores
-from ..functions.vectors import cosine, distance_score, squared_distance
+from ..functions.vectors import cosine, distance_score, squared_distance, unit
 from ..operators.filters import LEGACY_THRESHOLD, confident
 from ..operators.joins import many_to_one
 from ..operators.scoring import (
     embed_text,
     hashing_encoder,
-    join_vectors,
     lexicon_logits,
     lexicon_scorer,
     score_articles,
 )
 from ..operators.similarity import (
     cell_top1_join,
-    kmeans_centers,
     label_lists,
     pairwise_similarity,
     ranked_labels,
@@ -30,8 +28,19 @@ from ..operators.similarity import (
 )
 from ..plans.filings import filing_sectors
 from ..plans.pipeline import daily_pipeline
+from ..session import cut_lineage
 from .news import filing_html, headlines
-from .tables import SQL_CENTERS, SQL_HEADLINES, label_centers, labelled_vectors, rounded, table, vectors
+from .tables import (
+    SQL_CENTERS,
+    SQL_GROUPS,
+    SQL_HEADLINES,
+    group_centers,
+    label_centers,
+    labelled_vectors,
+    rounded,
+    table,
+    vectors,
+)
 
 # Frequent words of the sample texts, as a stand-in sentiment lexicon. The weights
 # are sums of powers of two, so that totals are exact and equal totals are equal in any order.
@@ -47,12 +56,16 @@ WORDS = {
 }
 
 
+#: Least cosine of two vectors of one label that count as a pair.
+PAIR_SCORE = 0.35
+
+
 def similarity_threshold(spark, sf):
-    """Every vector against every vector at a threshold."""
+    """Every vector against fifty categories at a threshold."""
     hits = threshold_join(
         vectors(spark, sf, "article_id"),
-        labelled_vectors(spark, sf),
-        0.2,
+        group_centers(spark, sf),
+        0.5,
         article_id="article_id",
         category_id="category_id",
     )
@@ -60,14 +73,14 @@ def similarity_threshold(spark, sf):
 
 
 def similarity_threshold_by_cells(spark, sf):
-    """The same join along the way taken when the categories are too many for one matrix."""
+    """The same join with the categories cut into several chunks."""
     hits = threshold_join(
         vectors(spark, sf, "article_id"),
-        labelled_vectors(spark, sf),
-        0.2,
+        group_centers(spark, sf),
+        0.5,
         article_id="article_id",
         category_id="category_id",
-        max_bytes=0,
+        max_bytes=8_000,
     )
     return hits.select("article_id", "category_id", "sector", rounded("confidence_score").alias("confidence_score"))
 
@@ -76,8 +89,8 @@ def similarity_label_lists(spark, sf):
     """All hits of an article in one row."""
     hits = label_lists(
         vectors(spark, sf, "article_id"),
-        labelled_vectors(spark, sf),
-        0.25,
+        group_centers(spark, sf),
+        0.52,
         article_id="article_id",
         category_id="category_id",
     )
@@ -108,7 +121,7 @@ def similarity_top1_legacy(spark, sf):
 
 def similarity_topk(spark, sf):
     ranked = top_k_join(
-        vectors(spark, sf, "article_id"), labelled_vectors(spark, sf), 3, article_id="article_id", category_id="category_id"
+        vectors(spark, sf, "article_id"), group_centers(spark, sf), 3, article_id="article_id", category_id="category_id"
     )
     return ranked.select(
         "article_id", "category_id", "sector", rounded("confidence_score").alias("confidence_score"), "rank"
@@ -128,7 +141,8 @@ def similarity_ranked_labels(spark, sf):
 
 
 def pairwise_cosine(spark, sf):
-    pairs = pairwise_similarity(table(spark, sf, "embeddings"), 0.25)
+    """The closest pairs among the vectors of each label."""
+    pairs = pairwise_similarity(table(spark, sf, "embeddings"), PAIR_SCORE, block="label")
     return pairs.select("id_a", "id_b", rounded("cosine").alias("cosine"))
 
 
@@ -137,28 +151,25 @@ def _mirrored(spark, sf):
     return vectors(spark, sf, "article_id").withColumn("embedding", F.reverse("embedding"))
 
 
+def _cells(spark, sf):
+    return label_centers(spark, sf).select(F.col("label").cast("long").alias("cell_id"), F.col("embedding").alias("centre"))
+
+
 def coarse_cell_top1(spark, sf):
-    """Approximate nearest vector, searched only in the cell of the nearest label centre."""
-    centers = label_centers(spark, sf).select(F.col("label").cast("long").alias("cell_id"), F.col("embedding").alias("centre"))
+    """Approximate nearest category, searched only in the cell of the nearest label centre."""
     best = cell_top1_join(
-        _mirrored(spark, sf), labelled_vectors(spark, sf), centers, article_id="article_id", category_id="category_id"
+        _mirrored(spark, sf), group_centers(spark, sf), _cells(spark, sf), article_id="article_id", category_id="category_id"
     )
     return best.select("article_id", "category_id", rounded("confidence_score").alias("confidence_score"))
 
 
 def coarse_cell_recall(spark, sf):
-    """Share of articles whose approximate nearest vector is the exact one, with trained cells."""
-    articles, categories = _mirrored(spark, sf), labelled_vectors(spark, sf)
-    found = cell_top1_join(
-        articles,
-        categories,
-        kmeans_centers(categories),
-        article_id="article_id",
-        category_id="category_id",
-        probes=8,
-    )
-    exact = top_k_join(articles, categories, 1, article_id="article_id", category_id="category_id")
-    return recall_against(found, exact, "article_id", "category_id")
+    """Share of articles whose approximate nearest category, out of two cells, is the exact one."""
+    articles, categories = _mirrored(spark, sf), group_centers(spark, sf)
+    ids = {"article_id": "article_id", "category_id": "category_id"}
+    found = cell_top1_join(articles, categories, _cells(spark, sf), **ids, probes=2)
+    recall = recall_against(found, top_k_join(articles, categories, 1, **ids), "article_id", "category_id")
+    return recall.withColumn("recall", rounded("recall"))
 
 
 def center_cosines(spark, sf):
@@ -222,11 +233,30 @@ def hashed_embeddings(spark, sf):
     )
 
 
+#: Buckets of the hashing encoder in the queries below.
+WIDTH = 16
+
+
+def _encoded(df, text):
+    """Unit vectors of whole texts from hashed word counts."""
+    counts = embed_text(df, text, hashing_encoder(WIDTH))
+    return counts.withColumn("embedding", unit(F.col("embedding")))
+
+
+def _text_groups(spark, sf, groups):
+    """Mean unit vector of the documents by their number modulo ``groups``: (part, embedding)."""
+    docs = table(spark, sf, "documents").select(F.pmod("doc_id", F.lit(groups)).cast("int").alias("part"), "text")
+    parts = _encoded(docs, "text").select("part", F.posexplode("embedding").alias("at", "x"))
+    means = parts.groupBy("part", "at").agg(F.avg("x").alias("x"))
+    vector = F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda p: p["x"])
+    return cut_lineage(means.groupBy("part").agg(vector.alias("embedding")))
+
+
 def _nation_categories(spark, sf):
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     return (
         nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(label_centers(spark, sf), F.col("n_nationkey") == F.col("label"))
+        .join(_text_groups(spark, sf, 25), F.col("n_nationkey") == F.col("part"), "left")
         .select(
             F.col("r_name").alias("industria_id"),
             F.col("n_nationkey").cast("string").alias("subindustria_id"),
@@ -246,13 +276,12 @@ def news_to_daily_sentiment(spark, sf):
         F.col("text").alias("title"),
         "news_summary",
     )
-    known = vectors(spark, sf, "article_id")
     daily = daily_pipeline(
         news,
         _nation_categories(spark, sf),
-        lambda articles: join_vectors(articles, known, "article_id"),
+        lambda articles: _encoded(articles, "headline"),
         logits=lexicon_logits(F.col("headline"), WORDS),
-        threshold=0.5,
+        threshold=0.9,
         start_date="2024-01-01",
         end_date="2024-01-31",
         order=["published_at", "doc_id"],
@@ -268,11 +297,9 @@ def news_to_daily_sentiment(spark, sf):
 
 
 def filing_sector_probabilities(spark, sf):
-    """Business sections of the sample filings, placed among the sectors."""
-    known = vectors(spark, sf, "doc_id")
-    rows = filing_sectors(
-        filing_html(spark, sf), labelled_vectors(spark, sf), lambda sections: join_vectors(sections, known, "doc_id")
-    )
+    """Business sections of the sample filings, placed among four sectors."""
+    sectors = _text_groups(spark, sf, 4).select(F.col("part").cast("string").alias("sector"), "embedding")
+    rows = filing_sectors(filing_html(spark, sf), sectors, lambda sections: _encoded(sections, "section"))
     return rows.select("doc_id", "sector", rounded("probability").alias("probability"))
 
 
@@ -303,9 +330,9 @@ QUERIES = {
 
 _V = "vecs AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings)"
 _PAIRS = f"""
-{_V}, pairs AS (
+{_V}, {SQL_GROUPS}, pairs AS (
   SELECT a.id AS article_id, b.id AS category_id, CAST(b.label AS VARCHAR) AS sector,
-         1 - pow(list_distance(a.v, b.v), 2) / 2 AS s FROM vecs a, vecs b)
+         1 - pow(list_distance(a.v, b.v), 2) / 2 AS s FROM vecs a, cats b)
 """
 _NEAREST_CENTER = f"""
 {_V}, {SQL_CENTERS}, pairs AS (
@@ -313,6 +340,39 @@ _NEAREST_CENTER = f"""
   FROM vecs, centers c),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY sq, category_id) AS r FROM pairs)
 """
+_SEARCH = f"""
+{_V}, {SQL_CENTERS}, {SQL_GROUPS},
+seekers AS (SELECT id, list_reverse(v) AS v FROM vecs),
+homes AS (SELECT id, v, arg_min(cell, (list_distance(v, embedding), cell)) AS cell
+          FROM (SELECT cats.id, cats.v, c.label AS cell, c.embedding FROM cats, centers c) GROUP BY 1, 2),
+probes AS (SELECT s.id, s.v, c.label AS cell,
+                  row_number() OVER (PARTITION BY s.id ORDER BY list_distance(s.v, c.embedding), c.label) AS turn
+           FROM seekers s, centers c)
+"""
+
+
+def _hashed(source: str, key: str, text: str, name: str = "hashed") -> str:
+    """SQL of the hashing encoder: unit vectors ``v`` of all rows by ``key``."""
+    return rf"""
+{name}_words AS (
+  SELECT {key}, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {WIDTH} AS bucket FROM (
+    SELECT {key}, unnest(string_split_regex(lower({text}), '\s+')) AS w FROM {source}) WHERE w <> ''),
+{name}_counts AS (SELECT {key}, bucket, count(*) AS n FROM {name}_words GROUP BY 1, 2),
+{name}_lists AS (
+  SELECT {key}, list(coalesce(n, 0)::DOUBLE ORDER BY bucket) AS raw
+  FROM (SELECT {key}, b AS bucket FROM {source}, range({WIDTH}) r(b)) LEFT JOIN {name}_counts USING ({key}, bucket)
+  GROUP BY 1),
+{name} AS (
+  SELECT {key}, list_transform(raw, lambda x: CASE WHEN list_sum(raw) > 0 THEN x / sqrt(list_inner_product(raw, raw)) ELSE x END) AS v
+  FROM {name}_lists)"""
+
+
+def _groups(name: str, groups: int) -> str:
+    return f"""
+{name}_groups AS (
+  SELECT part, list(x ORDER BY pos) AS v FROM (
+    SELECT doc_id % {groups} AS part, pos, avg(v[pos]) AS x FROM {name}, range(1, {WIDTH + 1}) r(pos) GROUP BY 1, 2)
+  GROUP BY 1)"""
 
 
 def _total(sign: int) -> str:
@@ -349,13 +409,13 @@ sectors AS (SELECT id, CAST(sector AS VARCHAR) AS sector, score, e / sum(e) OVER
 
 ORACLES = {
     "similarity_threshold": f"""
-WITH {_PAIRS} SELECT article_id, category_id, sector, round(s, 6) AS confidence_score FROM pairs WHERE s >= 0.2""",
+WITH {_PAIRS} SELECT article_id, category_id, sector, round(s, 6) AS confidence_score FROM pairs WHERE s >= 0.5""",
     "similarity_threshold_by_cells": f"""
-WITH {_PAIRS} SELECT article_id, category_id, sector, round(s, 6) AS confidence_score FROM pairs WHERE s >= 0.2""",
+WITH {_PAIRS} SELECT article_id, category_id, sector, round(s, 6) AS confidence_score FROM pairs WHERE s >= 0.5""",
     "similarity_label_lists": f"""
 WITH {_PAIRS}
 SELECT article_id, string_agg(CAST(category_id AS VARCHAR), ',' ORDER BY category_id) AS categories, count(*) AS n
-FROM pairs WHERE s >= 0.25 GROUP BY 1""",
+FROM pairs WHERE s >= 0.52 GROUP BY 1""",
     "similarity_top1": f"""
 WITH {_NEAREST_CENTER}
 SELECT article_id, category_id, round(1 - sq / 2, 6) AS confidence_score FROM ranked WHERE r = 1 AND 1 - sq / 2 >= 0.52""",
@@ -376,17 +436,19 @@ FROM ranked WHERE r <= 3 GROUP BY 1""",
     "pairwise_cosine": f"""
 WITH {_V}
 SELECT a.id AS id_a, b.id AS id_b, round(list_cosine_similarity(a.v, b.v), 6) AS cosine
-FROM vecs a JOIN vecs b ON a.id < b.id WHERE list_cosine_similarity(a.v, b.v) >= 0.25""",
+FROM vecs a JOIN vecs b ON a.id < b.id AND a.label = b.label WHERE list_cosine_similarity(a.v, b.v) >= {PAIR_SCORE}""",
     "coarse_cell_top1": f"""
-WITH {_V}, {SQL_CENTERS},
-seekers AS (SELECT id, list_reverse(v) AS v FROM vecs),
-homes AS (SELECT id, v, arg_min(label, (list_distance(v, embedding), label)) AS cell
-          FROM (SELECT vecs.id, vecs.v, c.label, c.embedding FROM vecs, centers c) GROUP BY 1, 2),
-probes AS (SELECT id, v, arg_min(label, (list_distance(v, embedding), label)) AS cell
-           FROM (SELECT s.id, s.v, c.label, c.embedding FROM seekers s, centers c) GROUP BY 1, 2)
+WITH {_SEARCH}
 SELECT p.id AS article_id, h.id AS category_id, round(1 - pow(list_distance(p.v, h.v), 2) / 2, 6) AS confidence_score
-FROM probes p JOIN homes h USING (cell)
+FROM probes p JOIN homes h USING (cell) WHERE p.turn = 1
 QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY list_distance(p.v, h.v), h.id) = 1""",
+    "coarse_cell_recall": f"""
+WITH {_SEARCH},
+found AS (SELECT p.id, arg_min(h.id, (list_distance(p.v, h.v), h.id)) AS c
+          FROM probes p JOIN homes h USING (cell) WHERE p.turn <= 2 GROUP BY 1),
+exact AS (SELECT s.id, arg_min(c.id, (list_distance(s.v, c.v), c.id)) AS e FROM seekers s, cats c GROUP BY 1)
+SELECT count(*) AS articles, count(c) AS answered, count(*) FILTER (c = e) AS matched,
+       round(count(*) FILTER (c = e)::DOUBLE / count(*), 6) AS recall FROM exact LEFT JOIN found USING (id)""",
     "center_cosines": f"""
 WITH {_V}, {SQL_CENTERS}
 SELECT id AS vec_id, round(list_cosine_similarity(v, embedding), 6) AS cosine,
@@ -421,22 +483,21 @@ slots AS (SELECT doc_id, b AS bucket FROM documents, range(16) r(b))
 SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, CAST(coalesce(n, 0) AS DOUBLE) AS count
 FROM slots LEFT JOIN counts USING (doc_id, bucket)""",
     "news_to_daily_sentiment": f"""
-WITH {SQL_CENTERS}, dated AS (
+WITH {_hashed("documents", "doc_id", "text")}, {_groups("hashed", 25)}, dated AS (
   SELECT doc_id, date_trunc('minute', ts) AS t,
          regexp_replace(text || '. ' || lang, '^\\s+|\\s+$', '', 'g') AS headline
   FROM documents JOIN events ON doc_id = event_id),
-news AS (
-  SELECT *, row_number() OVER (ORDER BY t, doc_id) - 1 AS article_id FROM dated
-  WHERE t >= TIMESTAMP '2024-01-01' AND t < TIMESTAMP '2024-02-01'),
+news AS (SELECT * FROM dated WHERE t >= TIMESTAMP '2024-01-01' AND t < TIMESTAMP '2024-02-01'),
+{_hashed("news", "doc_id", "headline", "articles")},
 {_SCORES},
 hits AS (
-  SELECT CAST(t AS DATE) AS d, c.label AS k, p - n AS value
-  FROM scored JOIN embeddings e ON article_id = vec_id, centers c
-  WHERE 1 - pow(list_distance(e.embedding::DOUBLE[], c.embedding), 2) / 2 >= 0.5),
+  SELECT CAST(t AS DATE) AS d, c.part AS k, p - n AS value
+  FROM scored JOIN articles e USING (doc_id), hashed_groups c
+  WHERE 1 - pow(list_distance(e.v, c.v), 2) / 2 >= 0.9),
 agg AS (SELECT d, k, count(*) AS cnt, avg(value) AS m FROM hits GROUP BY 1, 2),
 grid AS (
   SELECT CAST(r AS DATE) AS d, n_nationkey AS k, r_name
-  FROM nation JOIN region ON n_regionkey = r_regionkey JOIN centers ON n_nationkey = label,
+  FROM nation JOIN region ON n_regionkey = r_regionkey,
        range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', INTERVAL 1 DAY) t(r))
 SELECT CAST(d AS VARCHAR) AS date, CAST(k AS VARCHAR) AS subindustria_id, coalesce(cnt, 0) AS news_count,
        round(m, 6) AS sentiment_mean,
@@ -444,8 +505,15 @@ SELECT CAST(d AS VARCHAR) AS date, CAST(k AS VARCHAR) AS subindustria_id, coales
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS sentiment,
        r_name AS industria_id
 FROM grid LEFT JOIN agg USING (d, k)""",
-    "filing_sector_probabilities": f"""
-WITH {_SECTORS}
-SELECT doc_id, sector, round(probability, 6) AS probability
-FROM sectors JOIN documents ON id = doc_id LEFT JOIN labels USING (doc_id) WHERE toxic IS NULL OR toxic <> 1""",
+    "filing_sector_probabilities": rf"""
+WITH {_hashed("documents", "doc_id", "text")}, {_groups("hashed", 4)},
+found AS (SELECT doc_id, trim(regexp_replace('ITEM 1. Business ' || text, '\s+', ' ', 'g')) AS section
+          FROM documents LEFT JOIN labels USING (doc_id) WHERE toxic IS NULL OR toxic <> 1),
+{_hashed("found", "doc_id", "section", "sections")},
+means AS (
+  SELECT doc_id, CAST(part AS VARCHAR) AS sector,
+         list_inner_product(s.v, g.v) / sqrt(list_inner_product(s.v, s.v)) / sqrt(list_inner_product(g.v, g.v)) AS score
+  FROM sections s, hashed_groups g),
+probs AS (SELECT *, exp((score - max(score) OVER (PARTITION BY doc_id)) / 0.03) AS e FROM means)
+SELECT doc_id, sector, round(e / sum(e) OVER (PARTITION BY doc_id), 6) AS probability FROM probs""",
 }

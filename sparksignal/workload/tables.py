@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import strip
-from ..session import configure, cut_lineage, spread
+from ..session import configure, cut_lineage
 
 PLACES = 6
 
@@ -20,13 +20,8 @@ EVENT_LABELS = {
 }
 
 
-# Tables whose rows hold long texts or vectors, worth spreading over all cores.
-HEAVY = {"documents", "pages", "embeddings"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    rows = configure(spark).read.parquet(f"{sf}/{name}.parquet")
-    return spread(rows) if name in HEAVY else rows
+    return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
 def rounded(col: Column | str, places: int = PLACES) -> Column:
@@ -97,10 +92,10 @@ def landed_bars(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def headlines(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as news rows; the first word stands for a title that repeats."""
+    """Documents as news rows; the whole text stands for the title, and copies for news that repeat."""
     return table(spark, sf, "documents").select(
         "doc_id",
-        F.get(F.split(strip(F.col("text")), r"\s+"), 0).alias("title"),
+        strip(F.col("text")).alias("title"),
         F.col("lang").alias("news_summary"),
         "source",
         "text",
@@ -131,6 +126,21 @@ def label_centers(spark: SparkSession, sf: str) -> DataFrame:
     return cut_lineage(centers)
 
 
+def group_centers(spark: SparkSession, sf: str) -> DataFrame:
+    """Fifty categories, whatever the size: mean vectors of each label's vectors by their number modulo five."""
+    group = (F.col("label") * 5 + F.pmod("vec_id", F.lit(5))).cast("long")
+    centers = (
+        table(spark, sf, "embeddings")
+        .select(group.alias("category_id"), F.posexplode("embedding").alias("at", "x"))
+        .groupBy("category_id", "at")
+        .agg(F.avg(F.col("x").cast("double")).alias("x"))
+        .groupBy("category_id")
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda p: p["x"]).alias("embedding"))
+    )
+    sector = F.floor(F.col("category_id") / 5).cast("string")
+    return cut_lineage(centers.select("category_id", sector.alias("sector"), "embedding"))
+
+
 # SQL counterparts of the tables above.
 
 SQL_VALUE = (
@@ -151,8 +161,7 @@ bars AS (
 
 SQL_HEADLINES = r"""
 headlines AS (
-  SELECT doc_id, string_split_regex(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\s+')[1] AS title,
-         lang AS news_summary, source, text
+  SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS title, lang AS news_summary, source, text
   FROM documents)
 """
 
@@ -163,6 +172,14 @@ parts AS (
 centers AS (SELECT label, list(x ORDER BY pos) AS embedding FROM parts GROUP BY 1)
 """
 
+SQL_GROUPS = """
+group_parts AS (
+  SELECT label, vec_id % 5 AS part, pos, avg(embedding[pos]::DOUBLE) AS x
+  FROM embeddings, range(1, 65) r(pos) GROUP BY 1, 2, 3),
+cats AS (
+  SELECT label * 5 + part AS id, label, list(x ORDER BY pos) AS v FROM group_parts GROUP BY 1, 2)
+"""
+
 
 def sql_visible(html: str) -> str:
     """Readable page text in DuckDB; enough for pages whose blocks do not nest."""
