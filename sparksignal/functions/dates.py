@@ -2,99 +2,138 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fail_if, strip
 
-# Date layouts accepted from feeds and APIs, tried in this order after ISO 8601.
-DATE_PATTERNS = [
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm Z",
-    "d MMM yyyy HH:mm:ss",
-    "d MMM yyyy HH:mm",
-    "d MMM yyyy",
-    "MMM d yyyy HH:mm:ss",
-    "MMM d yyyy HH:mm",
-    "MMM d yyyy h:mm a",
-    "MMM d yyyy",
-    "MMMM d yyyy HH:mm",
-    "MMMM d yyyy h:mm a",
-    "MMMM d yyyy",
-    "d MMMM yyyy HH:mm",
-    "d MMMM yyyy",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd HH:mm",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
-    "yyyyMMddHHmmss",
-    "yyyyMMdd",
-]
-
-# RFC 822 zone names and their offsets.
+# RFC 822 zone names and their offsets in hours. Other names are ignored.
 ZONE_OFFSETS = {
-    "GMT": "+0000",
-    "UTC": "+0000",
-    "UT": "+0000",
-    "Z": "+0000",
-    "EST": "-0500",
-    "EDT": "-0400",
-    "CST": "-0600",
-    "CDT": "-0500",
-    "MST": "-0700",
-    "MDT": "-0600",
-    "PST": "-0800",
-    "PDT": "-0700",
+    "GMT": 0,
+    "UTC": 0,
+    "UT": 0,
+    "Z": 0,
+    "EST": -5,
+    "EDT": -4,
+    "CST": -6,
+    "CDT": -5,
+    "MST": -7,
+    "MDT": -6,
+    "PST": -8,
+    "PDT": -7,
 }
 
-_ZONE_NAME = r"\s(" + "|".join(ZONE_OFFSETS) + r")$"
-_WEEKDAY = r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
-_ISO = r"^\d{4}-\d"
-
-# The text each layout letter group stands for.
-_LETTER_TEXT = {
-    "yyyy": r"\d{4}",
-    "MMMM": r"[A-Za-z]{4,}",
-    "MMM": r"[A-Za-z]{3}",
-    "MM": r"\d{2}",
-    "dd": r"\d{2}",
-    "d": r"\d{1,2}",
-    "HH": r"\d{2}",
-    "h": r"\d{1,2}",
-    "mm": r"\d{2}",
-    "ss": r"\d{2}",
-    "a": r"[AaPp][Mm]",
-    "Z": r"[+-]\d{4}",
-}
+# Month names by their first three letters.
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
+_MONTH = r"(?i)(?<![a-z])(" + "|".join(MONTHS) + r")[a-z]*\.?"
+_TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?\s*(?:([AaPp])\.?[Mm]\b\.?)?"
+_ZONE = r"\d\s*(?:[A-Za-z]{1,5}\s*)?([+-])(\d{2}):?(\d{2})\b"
+_ZONE_NAME = r"(?:\d|[AaPp]\.?[Mm]\.?)\s*\(?(" + "|".join(ZONE_OFFSETS) + r")\b"
+#: Two-digit years from here on belong to the last century.
+_LAST_CENTURY = 69
 
-def _shape(layout: str) -> str:
-    """Pattern of the texts a layout can read, so that only one layout is tried per row."""
-    groups = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", layout)
-    parts = [_LETTER_TEXT[first + rest] if first else re.escape(other) for first, rest, other in groups]
-    return "^" + "".join(parts) + "$"
 
+def date_parts(text: Column) -> Column:
+    """Year, month, day, time of day and zone offset of a date text, as texts and numbers in one struct.
 
-def normalize_date_text(raw: Column) -> Column:
-    """Date text without weekday and commas, its zone as an offset."""
-    bare = F.regexp_replace(F.regexp_replace(strip(raw), _WEEKDAY, ""), ",", "")
-    zone = F.regexp_extract(bare, _ZONE_NAME, 1)
-    offsets = F.create_map(*[F.lit(x) for pair in ZONE_OFFSETS.items() for x in pair])
-    numeric = F.concat(F.regexp_replace(bare, _ZONE_NAME, " "), F.try_element_at(offsets, zone))
-    return F.when(bare.rlike(_ISO) | (zone == ""), bare).otherwise(numeric)
+    The time is what looks like ``h:mm``, the zone what follows it. A month name
+    is taken from anywhere; with one, the remaining numbers are day and year.
+    Without one, a date is year first, month first, or in bare digits.
+    """
+    bare = strip(text)
+    time = F.regexp_extract(bare, _TIME, 0)
+    # What stands before the time, and after it without zone and white space.
+    at = F.when(time != "", F.instr(bare, time)).otherwise(F.length(bare) + 1)
+    before = F.substring(bare, F.lit(1), at - 1)
+    after = F.substring(bare, at + F.length(time), F.length(bare))
+    zone = F.substring(bare, at, F.length(bare))
+    rest = F.concat_ws(" ", before, F.regexp_replace(after, r"[+-]\d{2}:?\d{2}\b|\(.*\)", " "))
+    return F.struct(
+        F.regexp_extract(rest, _MONTH, 1).alias("month"),
+        F.regexp_extract_all(F.regexp_replace(rest, r"\.\d+$", ""), F.lit(r"\d+"), F.lit(0)).alias("numbers"),
+        F.regexp_extract(time, _TIME, 1).alias("hour"),
+        F.regexp_extract(time, _TIME, 2).alias("minute"),
+        F.regexp_extract(time, _TIME, 3).alias("second"),
+        F.lower(F.regexp_extract(time, _TIME, 4)).alias("half"),
+        F.regexp_extract(zone, _ZONE, 1).alias("sign"),
+        F.regexp_extract(zone, _ZONE, 2).alias("zone_hours"),
+        F.regexp_extract(zone, _ZONE, 3).alias("zone_minutes"),
+        F.regexp_extract(zone, _ZONE_NAME, 1).alias("zone_name"),
+    )
+
+
+def compose_date(parts: Column) -> Column:
+    """Timestamp in UTC from ``date_parts``; NULL where they make no date."""
+
+    def number(text: Column) -> Column:
+        return F.try_to_number(text, F.lit("99999999999999")).cast("int")
+
+    def at(k: int) -> Column:
+        return F.get(parts["numbers"], k)
+
+    named = parts["month"] != ""
+    first, size = at(0), F.size(parts["numbers"])
+    year_first = F.length(first) == 4
+    # Bare digits: yyyyMMdd, with or without HHmm and ss.
+    digits = F.when((size >= 1) & F.length(first).isin(8, 12, 14) & ~named, first)
+    month_name = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(parts["month"])).cast("int")
+    # Month before day, unless the first number can be no month.
+    swapped = number(at(0)) > 12
+    year_text = (
+        F.when(digits.isNotNull(), F.substring(digits, 1, 4))
+        .when(named, F.when(year_first, first).otherwise(at(1)))
+        .when(year_first, first)
+        .otherwise(at(2))
+    )
+    month = (
+        F.when(digits.isNotNull(), number(F.substring(digits, 5, 2)))
+        .when(named, month_name)
+        .when(year_first, number(at(1)))
+        .otherwise(F.when(swapped, number(at(1))).otherwise(number(at(0))))
+    )
+    day = (
+        F.when(digits.isNotNull(), number(F.substring(digits, 7, 2)))
+        .when(named, F.when(year_first, number(at(1))).otherwise(number(first)))
+        .when(year_first, number(at(2)))
+        .otherwise(F.when(swapped, number(at(0))).otherwise(number(at(1))))
+    )
+    short = number(year_text)
+    year = (
+        F.when(F.length(year_text) == 4, short)
+        .when(F.length(year_text) == 2, short + F.when(short < _LAST_CENTURY, 2000).otherwise(1900))
+    )
+    hour12 = F.pmod(number(parts["hour"]), F.lit(12)) + F.when(parts["half"] == "p", 12).otherwise(0)
+    hour = F.when(parts["half"] != "", hour12).otherwise(number(parts["hour"]))
+    # Times of day in bare digits follow the date's eight.
+    hour = F.coalesce(hour, number(F.substring(digits, 9, 2)), F.lit(0))
+    minute = F.coalesce(number(parts["minute"]), number(F.substring(digits, 11, 2)), F.lit(0))
+    second = F.coalesce(number(parts["second"]), number(F.substring(digits, 13, 2)), F.lit(0))
+    local = F.try_make_timestamp(year, month, day, hour, minute, second, F.lit("UTC"))
+    offset = number(parts["zone_hours"]) * 60 + number(parts["zone_minutes"])
+    names = F.create_map(*[F.lit(x) for pair in ZONE_OFFSETS.items() for x in pair])
+    named_offset = F.try_element_at(names, parts["zone_name"]) * 60
+    signed = F.when(parts["sign"] != "", offset * F.when(parts["sign"] == "-", -1).otherwise(1))
+    minutes = F.coalesce(signed, named_offset, F.lit(0))
+    return F.timestamp_seconds(F.unix_seconds(local) - minutes * 60)
 
 
 def parse_date_text(text: Column) -> Column:
-    """Timestamp from normalized date text, NULL if no layout fits."""
-    parsed = F.when(text.rlike(_ISO), F.try_to_timestamp(text))
-    for layout in DATE_PATTERNS:
-        parsed = parsed.when(text.rlike(_shape(layout)), F.try_to_timestamp(text, F.lit(layout)))
-    return parsed
+    """Timestamp from a date text in any usual style, NULL if it holds no date."""
+    return compose_date(date_parts(text))
+
+
+def unreadable_dates(df: DataFrame, raw: Column) -> DataFrame:
+    """Counts of all rows, of rows without a date text, and of texts that hold no date."""
+    rows = df.select(strip(raw).alias("_raw")).select("_raw", date_parts(F.col("_raw")).alias("_parts"))
+    blank = F.coalesce(F.col("_raw") == "", F.lit(True))
+    lost = ~blank & compose_date(F.col("_parts")).isNull()
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(blank.cast("long")), F.lit(0)).alias("without_date"),
+        F.coalesce(F.sum(lost.cast("long")), F.lit(0)).alias("unreadable"),
+    )
 
 
 def parse_stamp14(text: Column) -> Column:
@@ -118,10 +157,10 @@ def with_publication_day(
     else:
         staged = (
             df.withColumn("_raw", raw)
-            .withColumn("_text", normalize_date_text(F.col("_raw")))
-            .withColumn("_parsed", parse_date_text(F.col("_text")))
+            .withColumn("_parts", date_parts(F.col("_raw")))
+            .withColumn("_parsed", compose_date(F.col("_parts")))
             .withColumn("_timed", F.col("_parsed").isNotNull() & F.col("_raw").contains(":"))
-            .drop("_raw", "_text")
+            .drop("_raw", "_parts")
         )
     timed, day = F.col("_timed"), F.to_date("_at")
     return (

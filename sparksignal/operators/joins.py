@@ -50,14 +50,36 @@ def attach_url_text(news: DataFrame, url: str = "title") -> DataFrame:
     )
 
 
-def attach_page_text(news: DataFrame, texts: DataFrame, url: str = "title") -> DataFrame:
+def first_per_url(pages: DataFrame, wanted: DataFrame, url: str = "url") -> DataFrame:
+    """One landed copy of each page whose URL is in ``wanted`` (url): the one of least content hash.
+
+    Only hashes are compared and grouped; page contents move once, and only those of wanted pages.
+    """
+    rest = [c for c in pages.columns if c != url]
+    asked = pages.join(wanted.select(F.col(url)).distinct(), url, "left_semi")
+    hashed = asked.withColumn("_hash", F.xxhash64(*rest))
+    least = hashed.groupBy(url).agg(F.min("_hash").alias("_hash"), F.count(F.lit(1)).alias("_n"))
+    found = hashed.join(least, [url, "_hash"])
+    # Equal copies share the hash; only URLs landed more than once are grouped.
+    single = found.where("_n = 1").drop("_hash", "_n")
+    several = found.where("_n > 1").drop("_hash", "_n").dropDuplicates([url])
+    return single.unionByName(several)
+
+
+def attach_page_text(
+    news: DataFrame, pages: DataFrame, url: str = "title", *, text: Column | None = None
+) -> DataFrame:
     """Text of landed pages by URL, else text derived from the URL.
 
-    ``texts`` has one (url, text) row per page. A URL that many rows share is
-    split by adaptive skew handling; the page side has one row per URL.
+    ``pages`` holds ``url`` and either ``text`` or what the ``text`` expression
+    needs; it is evaluated once per referenced URL. A URL may have landed several
+    times: one copy counts. Every news row comes back once.
     """
     web = F.coalesce(is_web_url(F.col(url)), F.lit(False))
-    found = texts.select(F.col("url").alias("_key"), F.col("text").alias("_text")).filter(F.col("_text") != "")
+    asked = news.filter(web).select(F.col(url).alias("url"))
+    copies = first_per_url(pages, asked)
+    found = copies.select(F.col("url").alias("_key"), (F.col("text") if text is None else text).alias("_text"))
+    found = found.filter(F.col("_text") != "")
     # Rows without a URL, often most of the table, take no part in the exchange.
     plain = news.filter(~web).withColumns(
         {"article_text": F.lit(""), "article_text_source": F.lit("none")}
@@ -84,10 +106,11 @@ def urls_without_text(attached: DataFrame, url: str = "title") -> DataFrame:
 def enrich_articles(pending: DataFrame, extracted: DataFrame, summary_chars: int = 500) -> DataFrame:
     """Put the page's title and the start of its body into rows that hold a bare URL.
 
-    ``extracted`` has one (url, page_title, page_body) row per landed page. The
-    source keeps the URL; rows without a page stay as they are.
+    ``extracted`` has (url, page_title, page_body) rows; of several with one URL, one
+    counts. The source keeps the URL; rows without a page stay as they are.
     """
-    found = extracted.select(
+    pages = first_per_url(extracted, pending.select(F.col("title").alias("url")))
+    found = pages.select(
         F.col("url").alias("title"),
         "page_title",
         F.replace(F.trim("page_body"), F.lit("\n"), F.lit(" ")).alias("page_body"),

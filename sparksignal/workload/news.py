@@ -262,14 +262,33 @@ def publication_times(spark, sf):
     when = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.pmod("o_orderkey", F.lit(1440)).cast("int")
     )
-    priority = F.col("o_orderpriority")
-    raw = (
-        F.when(priority == "1-URGENT", F.concat(F.date_format(when, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0200")))
-        .when(priority == "2-HIGH", F.date_format(when, "yyyy-MM-dd"))
-        .when(priority == "3-MEDIUM", F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(priority == "4-NOT SPECIFIED", F.concat(F.date_format(when, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" EST")))
-        .otherwise(F.lit("soon: maybe"))
-    )
+    day, clock = F.date_format(when, "EEE, dd MMM yyyy"), F.date_format(when, "HH:mm:ss")
+
+    def text(layout, tail=""):
+        return F.concat(F.date_format(when, layout), F.lit(tail))
+
+    styles = [
+        F.concat(day, F.lit(" "), clock, F.lit(" +0200")),
+        F.concat(day, F.lit(" "), clock, F.lit(" EST")),
+        F.concat(day, F.lit(" "), clock, F.lit(" -05:30")),
+        F.concat(day, F.lit(" "), clock, F.lit(" CET")),
+        text("yyyy-MM-dd"),
+        text("yyyy-MM-dd'T'HH:mm:ss", "Z"),
+        text("EEE, d MMM yy H:mm:ss", " GMT"),
+        text("MMMM d, yyyy h:mm a"),
+        text("MMM. d, yyyy HH:mm"),
+        text("EEE MMM d HH:mm:ss yyyy"),
+        text("dd-MMM-yyyy HH:mm"),
+        text("M/d/yyyy h:mm a"),
+        text("yyyy-MM-dd h:mm a"),
+        text("d MMMM yyyy"),
+        text("yyyyMMdd"),
+        F.lit("soon: maybe"),
+    ]
+    style = F.pmod(F.floor(F.col("o_orderkey") / 3), F.lit(len(styles))).cast("int")
+    raw = F.lit(None)
+    for k, written in enumerate(styles):
+        raw = F.when(style == k, written).otherwise(raw)
     rows = table(spark, sf, "orders").select("o_orderkey", raw.alias("raw"))
     return with_publication_day(rows, F.col("raw"), INGEST).drop("raw")
 
@@ -336,8 +355,7 @@ def _linked_news(spark, sf):
 def attached_page_text(spark, sf):
     """Text of landed https pages; other URLs give their own words."""
     pages = table(spark, sf, "pages").filter(F.col("url").startswith("https"))
-    texts = pages.select("url", visible_text(F.col("html")).alias("text"))
-    return attach_page_text(_linked_news(spark, sf), texts).select(
+    return attach_page_text(_linked_news(spark, sf), pages, text=visible_text(F.col("html"))).select(
         "doc_id", "article_text_source", F.md5("article_text").alias("text_md5")
     )
 
@@ -563,13 +581,15 @@ FROM documents WHERE source IN ('src3', 'src11')""",
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "at" FROM orders
 WHERE o_orderdate >= TIMESTAMP '1995-03-05' AND o_orderdate < TIMESTAMP '1996-01-18'""",
     "publication_times": """
-WITH timed AS (SELECT o_orderkey, o_orderpriority AS p, o_orderdate + to_minutes(o_orderkey % 1440) AS t FROM orders),
-zoned AS (SELECT *, CASE WHEN p = '1-URGENT' THEN t - INTERVAL 2 HOUR
-                         WHEN p = '4-NOT SPECIFIED' THEN t + INTERVAL 5 HOUR ELSE t END AS u FROM timed)
+WITH timed AS (
+  SELECT o_orderkey, o_orderkey // 3 % 16 AS k, o_orderdate + to_minutes(o_orderkey % 1440) AS t FROM orders),
+zoned AS (
+  SELECT *, CASE k WHEN 0 THEN t - INTERVAL 2 HOUR WHEN 1 THEN t + INTERVAL 5 HOUR
+                   WHEN 2 THEN t + INTERVAL 330 MINUTE ELSE t END AS u FROM timed)
 SELECT o_orderkey,
-       CASE WHEN p = '2-HIGH' THEN strftime(u + INTERVAL 1 DAY, '%Y-%m-%d')
-            WHEN p = '5-LOW' THEN '2024-03-02' ELSE strftime(u, '%Y-%m-%d') END AS day,
-       CASE WHEN p IN ('2-HIGH', '5-LOW') THEN '00:00' ELSE strftime(u, '%H:%M') END AS hour_minute
+       CASE WHEN k IN (4, 13, 14) THEN strftime(u + INTERVAL 1 DAY, '%Y-%m-%d')
+            WHEN k = 15 THEN '2024-03-02' ELSE strftime(u, '%Y-%m-%d') END AS day,
+       CASE WHEN k IN (4, 13, 14, 15) THEN '00:00' ELSE strftime(u, '%H:%M') END AS hour_minute
 FROM zoned""",
     "pending_pages": "SELECT page_id, url AS title, 'GDELT' AS source FROM pages WHERE url LIKE 'https%'",
     "first_pending_pages": "SELECT page_id, url AS title, 'GDELT' AS source FROM pages ORDER BY page_id LIMIT 25",

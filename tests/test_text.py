@@ -224,3 +224,70 @@ def test_outlet_and_pending(spark):
     )
     assert pending_enrichment(news).count() == 3
     assert [r["title"] for r in pending_enrichment(news, order="title", limit=1).collect()] == ["http://a"]
+
+
+DATE_TEXTS = [
+    ("Tue, 02 Jan 2024 10:00:00 +01:00", "2024-01-02 09:00"),
+    ("Tue, 02 Jan 2024 10:00:00 CET", "2024-01-02 10:00"),
+    ("Tue, 02 Jan 2024 10:00:00 BST", "2024-01-02 10:00"),
+    ("Tue, 02 Jan 2024 10:00:00 EST", "2024-01-02 15:00"),
+    ("Tue, 02 Jan 2024 10:00:00 GMT+0200", "2024-01-02 08:00"),
+    ("Tue, 2 Jan 24 10:00:00 +0000", "2024-01-02 10:00"),
+    ("02 Jan 2024 9:05:00 GMT", "2024-01-02 09:05"),
+    ("2 January 2024 10:00:00 GMT", "2024-01-02 10:00"),
+    ("Jan. 2, 2024 10:00", "2024-01-02 10:00"),
+    ("Tue Jan  2 10:00:00 2024", "2024-01-02 10:00"),
+    ("Tue Jan 2 10:00:00 UTC 2024", "2024-01-02 10:00"),
+    ("02-Jan-2024 10:00", "2024-01-02 10:00"),
+    ("1/2/2024 9:05 AM", "2024-01-02 09:05"),
+    ("31/12/2023 9:05 PM", "2023-12-31 21:05"),
+    ("May 5 2024 12:30 a.m.", "2024-05-05 00:30"),
+    ("2024-01-02 10:00 PM", "2024-01-02 22:00"),
+    ("2024-01-02T10:00:00.123+02:00", "2024-01-02 08:00"),
+    ("2024-01-02T10:00:00-0500", "2024-01-02 15:00"),
+    ("2024/01/02 03:04", "2024-01-02 03:04"),
+    ("Sept 2, 2024", "2024-09-02 00:00"),
+    ("2 Jan 70", "1970-01-02 00:00"),
+    ("20240102", "2024-01-02 00:00"),
+    ("20240102103000", "2024-01-02 10:30"),
+    ("2024-13-45", None),
+    ("30 Feb 2024", None),
+    ("soon: maybe", None),
+    ("99999999999999999999", None),
+    ("Jan", None),
+    ("", None),
+    (None, None),
+]
+
+
+def test_date_texts_of_many_styles(spark):
+    from pyspark.sql import functions as F
+
+    from sparksignal.functions.dates import parse_date_text, unreadable_dates, with_publication_day
+
+    df = spark.createDataFrame(DATE_TEXTS, "raw string, want string")
+    got = df.select("raw", "want", F.date_format(parse_date_text(F.col("raw")), "yyyy-MM-dd HH:mm").alias("got")).collect()
+    assert [(r["raw"], r["got"]) for r in got] == [(r["raw"], r["want"]) for r in got]
+    counts = unreadable_dates(df, F.col("raw")).first()
+    assert tuple(counts) == (len(DATE_TEXTS), 2, sum(1 for t, w in DATE_TEXTS if t and w is None))
+    day = {r["raw"]: r for r in with_publication_day(df, F.col("raw"), "2024-03-01 12:00:00").collect()}
+    assert (day["Sept 2, 2024"]["day"], day["Sept 2, 2024"]["hour_minute"]) == ("2024-09-03", "00:00")
+    assert (day["soon: maybe"]["day"], day["soon: maybe"]["hour_minute"]) == ("2024-03-02", "00:00")
+
+
+def test_urls_that_landed_twice_keep_one_row(spark):
+    from pyspark.sql import functions as F
+
+    from sparksignal.operators.joins import attach_page_text, enrich_articles
+
+    news = spark.createDataFrame([(1, "http://a/x-y"), (2, "http://a/x-y"), (3, "plain"), (4, "http://b/z")], "n int, title string")
+    pages = spark.createDataFrame(
+        [("http://a/x-y", "one"), ("http://a/x-y", "two"), ("http://a/x-y", "two"), ("http://c/", "unused")], "url string, html string"
+    )
+    rows = attach_page_text(news, pages, text=F.upper("html")).collect()
+    assert sorted(r["n"] for r in rows) == [1, 2, 3, 4]
+    texts = {r["article_text"] for r in rows if r["n"] < 3}
+    assert len(texts) == 1 and texts < {"ONE", "TWO"}
+    pending = news.select("n", "title", F.lit("").alias("news_summary"), F.lit("S").alias("source"))
+    extracted = pages.select("url", F.col("html").alias("page_title"), F.col("html").alias("page_body"))
+    assert sorted(r["n"] for r in enrich_articles(pending, extracted).collect()) == [1, 2, 3, 4]
