@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .recurrence import block_plan, block_window, smoothed, span_ratio, with_history
+from ..session import cut_lineage
+from .recurrence import block_carries, block_size, block_window, in_blocks, share_of, smoothed, span_ratio, with_history
 
 
 def number_series(
@@ -61,29 +62,35 @@ def series_indicators(
 ) -> DataFrame:
     """Add ``diff``, ``rsi``, ``ema_fast``, ``ema_slow`` and ``macd`` to numbered series.
 
-    All of them share one shuffle and one sort.
+    All of them share one block layout, whatever the spans. The numbered rows
+    are stored once: the blocks' end values are taken from them first.
     """
-    ratios = [span_ratio(fast), span_ratio(slow)]
-    plan = block_plan(ratios, history=period)
-    if plan is None:
-        raise ValueError("spans too long for one pass; use recursive_smoothing per span")
-    window = block_window(keys, position)
+    ratios = {"_fast": span_ratio(fast), "_slow": span_ratio(slow)}
+    block = block_size(ratios.values())
     price = F.col(value).cast("double")
-    change = difference(price, window)
+    stored = cut_lineage(df)
+    shares = {name: (share_of(price, ratio, position), ratio) for name, ratio in ratios.items()}
+    carries = block_carries(in_blocks(stored, position, block), {k: v for k, v in shares.items() if v[1] > 0}, block, keys)
+    rows = with_history(stored, position, block, period).join(carries, [*keys, "_block"], "left")
+    window = block_window(keys, position)
     moved = F.when(F.col(position) == 0, F.lit(0.0)).otherwise(F.col("diff"))
+
+    def mean(name: str) -> Column:
+        share, ratio = shares[name]
+        return smoothed(share, F.col(name) if name in carries.columns else F.lit(0.0), ratio, window)
+
     return (
-        with_history(df, position, plan)
-        .withColumn("diff", change)
+        rows.withColumn("diff", difference(price, window))
         .withColumn("_gain", F.greatest(moved, F.lit(0.0)))
         .withColumn("_loss", F.greatest(-moved, F.lit(0.0)))
         .withColumns(
             {
                 "rsi": strength_index(F.col("_gain"), F.col("_loss"), position, window, period),
-                "ema_fast": smoothed(price, ratios[0], position, window),
-                "ema_slow": smoothed(price, ratios[1], position, window),
+                "ema_fast": mean("_fast"),
+                "ema_slow": mean("_slow"),
             }
         )
         .filter(~F.col("_repeat"))
         .withColumn("macd", F.col("ema_fast") - F.col("ema_slow"))
-        .drop("_block", "_offset", "_repeat", "_gain", "_loss")
+        .drop("_block", "_offset", "_repeat", "_gain", "_loss", "_fast", "_slow")
     )

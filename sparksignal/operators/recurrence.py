@@ -2,81 +2,71 @@
 
 A series is cut into fixed blocks of consecutive positions, so no task ever
 holds more than one block of one key, however long a single key's series is.
-
-* Short memory (nearly every use): each block also receives the tail of the
-  block before it. Older rows weigh less than 1e-18, below double rounding, so
-  the block yields its rows on its own in one shuffle.
-* Long memory: blocks are reduced to their end values, the carries between
-  blocks are computed from those, and joined back.
+Inside a block the rows are summed with weights; what all earlier blocks leave
+behind, the carry, comes from the blocks' end values. These form a recurrence
+of the same kind, many times shorter, and nothing of the history is cut off.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BLOCK = 4096
 MAX_LAGS = 64
-NEGLIGIBLE = 1e-18
-# e**575 is about 1e250: powers of 1/r stay inside the double range.
-MAX_EXPONENT = 575.0
-# Below this ratio the previous value cannot change a double.
-ZERO_RATIO = 1e-30
-
+# Powers of the ratio inside a block span about 50 decimal places.
+MAX_EXPONENT = 115.0
+# Factors below e**-1500 turn any double into zero.
+ZERO_EXPONENT = 1500.0
 
-@dataclass(frozen=True)
-class BlockPlan:
-    """``block`` output rows per block, preceded by ``halo`` rows of history."""
 
-    block: int
-    halo: int
+def block_size(ratios: Sequence[float]) -> int:
+    """Rows of a block that serves all ratios."""
+    return max(1, min([MAX_BLOCK, *(int(MAX_EXPONENT / -math.log(r)) for r in ratios if 0.0 < r < 1.0)]))
 
 
-def _memory(ratio: float) -> int:
-    return max(1, math.ceil(math.log(NEGLIGIBLE) / math.log(ratio)))
+def block_window(keys: Sequence[str], position: str):
+    return Window.partitionBy(*keys, "_block").orderBy(position)
 
 
-def block_plan(ratios: Sequence[float], history: int = 0) -> BlockPlan | None:
-    """Block size serving all ratios in one pass, or None if their memory is too long."""
-    ratios = [r for r in ratios if r > ZERO_RATIO]
-    halo = max([history, *(_memory(r) for r in ratios)])
-    room = min([2 * MAX_BLOCK, *(int(MAX_EXPONENT / -math.log(r)) for r in ratios)])
-    block = min(MAX_BLOCK, room - halo)
-    return BlockPlan(block, halo) if block >= halo and block >= 1 else None
+def in_blocks(df: DataFrame, position: str, block: int) -> DataFrame:
+    """Add each row's ``_block`` and its ``_offset`` in it."""
+    return df.withColumn("_block", F.floor(F.col(position) / block)).withColumn(
+        "_offset", F.pmod(F.col(position), F.lit(block))
+    )
 
 
-def with_history(df: DataFrame, position: str, plan: BlockPlan) -> DataFrame:
-    """Give every row its block, and repeat the last ``halo`` rows for the next block.
+def with_history(df: DataFrame, position: str, block: int, history: int) -> DataFrame:
+    """``in_blocks``, with the ``history`` rows before a block repeated in it.
 
-    Adds ``_block``, ``_offset`` (from the start of the block's history) and
-    ``_repeat``, which marks the copies to drop after the window functions ran.
+    ``_repeat`` marks the copies to drop after the window functions ran; their
+    ``_offset`` is negative.
     """
-    block = F.floor(F.col(position) / plan.block)
-    in_tail = F.pmod(F.col(position), F.lit(plan.block)) >= plan.block - plan.halo
-    targets = F.when(in_tail, F.array(block, block + 1)).otherwise(F.array(block))
+    first, last = F.floor(F.col(position) / block), F.floor((F.col(position) + history) / block)
     return (
-        df.withColumn("_block", F.explode(targets))
-        .withColumn("_repeat", F.col("_block") != block)
-        .withColumn("_offset", F.col(position) - (F.col("_block") * plan.block - plan.halo))
+        df.withColumn("_block", F.explode(F.sequence(first, last)))
+        .withColumn("_repeat", F.col("_block") != first)
+        .withColumn("_offset", F.col(position) - F.col("_block") * block)
     )
 
 
-def block_window(keys: Sequence[str], position: str):
-    return Window.partitionBy(*keys, "_block").orderBy(position)
+def share_of(value: Column, ratio: float, position: str) -> Column:
+    """What a row adds to the recurrence."""
+    return F.when(F.col(position) == 0, value.cast("double")).otherwise(value * F.lit(1.0 - ratio))
 
 
-def smoothed(value: Column, ratio: float, position: str, window) -> Column:
-    """The smoothed value inside a block prepared by ``with_history``."""
-    if ratio <= ZERO_RATIO:
-        return value
+def smoothed(share: Column, carry: Column, ratio: float, window) -> Column:
+    """The smoothed value inside a block, given the carry from the blocks before; rows of history add nothing."""
+    if ratio <= 0.0:
+        return share
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    weight = F.pow(F.lit(float(ratio)), F.col("_offset"))
-    share = F.when(F.col(position) == 0, value).otherwise(value * F.lit(1.0 - ratio))
-    return F.sum(share / weight).over(running) * weight
+    rate = F.lit(float(ratio))
+    own = F.when(F.col("_offset") >= 0, share / F.pow(rate, F.col("_offset")))
+    inside = F.coalesce(F.sum(own).over(running), F.lit(0.0)) * F.pow(rate, F.col("_offset"))
+    return inside + F.pow(rate, F.col("_offset") + 1) * F.coalesce(carry, F.lit(0.0))
 
 
 def recursive_smoothing(
@@ -89,29 +79,19 @@ def recursive_smoothing(
 ) -> DataFrame:
     """Smooth ``value`` along ``position``, which counts 0, 1, 2, ... in each key.
 
-    ``ratio`` is the weight of the previous smoothed value.
+    ``ratio`` is the weight of the previous smoothed value. The rows are read
+    twice, so a costly input should be stored first.
     """
     if not 0.0 <= ratio <= 1.0:
         raise ValueError("the weight of the previous value must be between 0 and 1")
     keys = list(keys)
-    if ratio <= ZERO_RATIO:
+    if ratio == 0.0:
         return df.withColumn(out, F.col(value).cast("double"))
     if ratio == 1.0:
         first = df.filter(F.col(position) == 0).select(*keys, F.col(value).cast("double").alias(out))
         return df.join(first, keys) if keys else _attach_single(df, first, out)
-    plan = block_plan([ratio])
-    if plan is not None:
-        window = block_window(keys, position)
-        return (
-            with_history(df, position, plan)
-            .withColumn(out, smoothed(F.col(value).cast("double"), ratio, position, window))
-            .filter(~F.col("_repeat"))
-            .drop("_block", "_offset", "_repeat")
-        )
-    share = F.when(F.col(position) == 0, F.col(value).cast("double")).otherwise(
-        F.col(value) * F.lit(1.0 - ratio)
-    )
-    return _scan(df.withColumn("_share", share), "_share", out, ratio, position, keys).drop("_share")
+    shares = df.withColumn("_share", share_of(F.col(value), ratio, position))
+    return _scan(shares, "_share", out, ratio, position, keys).drop("_share")
 
 
 def span_ratio(span: int) -> float:
@@ -124,48 +104,58 @@ def _attach_single(df: DataFrame, one: DataFrame, out: str) -> DataFrame:
 
 
 def _scan(df: DataFrame, share: str, out: str, ratio: float, position: str, keys: list[str]) -> DataFrame:
-    """e[i] = ratio*e[i-1] + share[i] for ratios whose memory spans many blocks."""
-    block = min(MAX_BLOCK, max(1, int(MAX_EXPONENT / -math.log(ratio))))
-    rate = F.lit(float(ratio))
-    blocked = df.withColumn("_block", F.floor(F.col(position) / block)).withColumn(
-        "_offset", F.pmod(F.col(position), F.lit(block))
+    """e[i] = ratio*e[i-1] + share[i]."""
+    blocked = in_blocks(df, position, block_size([ratio]))
+    carried = block_carries(blocked, {"_carry": (F.col(share), ratio)}, block_size([ratio]), keys)
+    window = block_window(keys, position)
+    return (
+        blocked.join(carried, [*keys, "_block"], "left")
+        .withColumn(out, smoothed(F.col(share), F.col("_carry"), ratio, window))
+        .drop("_block", "_offset", "_carry")
     )
-    weight = F.pow(rate, F.col("_offset"))
-    running = block_window(keys, position).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def block_carries(
+    blocked: DataFrame, recurrences: dict[str, tuple[Column, float]], block: int, keys: Sequence[str]
+) -> DataFrame:
+    """For every block that has one before it, the value each recurrence starts from.
+
+    ``recurrences`` names (share, ratio) pairs; all must fit ``block``. Rows
+    come as from ``in_blocks``.
+    """
+    keys = list(keys)
     ends = blocked.groupBy(*keys, "_block").agg(
-        (F.sum(F.col(share) / weight) * F.pow(rate, F.max("_offset"))).alias("_end")
-    )
-    carries = _carries(ends, ratio**block, keys)
-    return (
-        blocked.withColumn("_inside", F.sum(F.col(share) / weight).over(running) * weight)
-        .join(carries, [*keys, "_block"], "left")
-        .withColumn(
-            out, F.col("_inside") + F.pow(rate, F.col("_offset") + 1) * F.coalesce("_carry", F.lit(0.0))
-        )
-        .drop("_block", "_offset", "_inside", "_carry")
+        *[
+            (F.sum(share / F.pow(F.lit(ratio), F.col("_offset"))) * F.pow(F.lit(ratio), F.max("_offset"))).alias(name)
+            for name, (share, ratio) in recurrences.items()
+        ]
     )
+    carried = None
+    for name, (_, ratio) in recurrences.items():
+        one = _carries(ends.select(*keys, "_block", F.col(name).alias("_end")), ratio, block, keys)
+        one = one.withColumnRenamed("_carry", name)
+        carried = one if carried is None else carried.join(one, [*keys, "_block"])
+    return carried
 
 
-def _carries(ends: DataFrame, ratio: float, keys: list[str]) -> DataFrame:
+def _carries(ends: DataFrame, ratio: float, block: int, keys: list[str]) -> DataFrame:
     """The smoothed value each block starts from, keyed by block."""
-    if ratio <= 0.0:
-        return ends.select(*keys, (F.col("_block") + 1).alias("_block"), F.col("_end").alias("_carry"))
-    lags = _memory(ratio) + 1
+    exponent = -math.log(ratio) * block
+    lags = math.ceil(ZERO_EXPONENT / exponent) + 1
     if lags <= MAX_LAGS:
+        # Every block takes from each earlier one that can still be felt; only existing blocks are kept.
         reach = F.explode(F.sequence(F.lit(0), F.lit(lags - 1)))
-        return (
-            ends.select(*keys, "_block", "_end", reach.alias("_lag"))
-            .select(
-                *keys,
-                (F.col("_block") + F.col("_lag") + 1).alias("_block"),
-                (F.col("_end") * F.pow(F.lit(ratio), F.col("_lag"))).alias("_part"),
-            )
-            .groupBy(*keys, "_block")
-            .agg(F.sum("_part").alias("_carry"))
+        # Two factors, so that the power itself cannot vanish before the product does.
+        half = F.floor(F.col("_lag") / 2)
+        rate = F.lit(math.exp(-exponent))
+        part = F.col("_end") * F.pow(rate, half) * F.pow(rate, F.col("_lag") - half)
+        parts = ends.select(*keys, "_block", "_end", reach.alias("_lag")).select(
+            *keys, (F.col("_block") + F.col("_lag") + 1).alias("_block"), part.alias("_part")
         )
-    # The block ends form a recurrence of the same kind, 4096 times shorter.
+        return parts.groupBy(*keys, "_block").agg(F.sum("_part").alias("_carry"))
+    # The block ends form a recurrence of the same kind, many times shorter.
     renamed = ends.withColumnsRenamed({"_block": "_level", "_end": "_level_share"})
-    scanned = _scan(renamed, "_level_share", "_level_value", ratio, "_level", keys)
+    scanned = _scan(renamed, "_level_share", "_level_value", math.exp(-exponent), "_level", keys)
     return scanned.select(
         *keys, (F.col("_level") + 1).alias("_block"), F.col("_level_value").alias("_carry")
     )

@@ -11,6 +11,7 @@ from ..functions.dates import floor_minutes, publication_time
 from ..functions.sentiment import sentiment_value
 from ..operators.grid import forward_fill_blocks, interval_calendar, reindex
 from ..operators.recurrence import recursive_smoothing
+from ..session import cut_lineage
 
 DEFAULT_PREVIOUS_WINDOW_WEIGHT = 0.8
 
@@ -49,9 +50,11 @@ def sentiment_series(
         raise ValueError("previous_window_weight lies outside 0..1")
     keys = list(keys)
     rows = scored_times(news, keys, **columns)
-    grid = interval_calendar(rows, "_ts", keys, minutes)
-    dense = reindex(grid, interval_means(rows, keys, minutes), [*keys, "timestamp"], ["news_count"])
-    filled = forward_fill_blocks(dense, "sentiment_mean", "sentiment", "position", keys)
+    # The news are read once: calendar, filling and smoothing all start from the stored means.
+    means = cut_lineage(interval_means(rows, keys, minutes))
+    grid = interval_calendar(means, "timestamp", keys, minutes)
+    dense = reindex(grid, means, [*keys, "timestamp"], ["news_count"])
+    filled = cut_lineage(forward_fill_blocks(dense, "sentiment_mean", "sentiment", "position", keys))
     smooth = recursive_smoothing(
         filled, "sentiment", "sentiment_influenced", previous_window_weight, "position", keys
     )

@@ -1,14 +1,15 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sparksignal.operators import recurrence
 from sparksignal.operators.grid import forward_fill_blocks
-from sparksignal.operators.indicators import number_series
-from sparksignal.operators.recurrence import block_plan, recursive_smoothing, span_ratio
+from sparksignal.operators.indicators import number_series, series_indicators
+from sparksignal.operators.recurrence import recursive_smoothing, span_ratio
 from sparksignal.plans.daily import daily_sentiment
 from sparksignal.plans.intraday import sentiment_series
 from sparksignal.plans.market import bar_indicators, market_indicators
@@ -145,17 +146,36 @@ def test_smoothing_equals_a_plain_loop(spark, ratio):
 
 def test_smoothing_scans_block_ends_recursively(spark, monkeypatch):
     monkeypatch.setattr(recurrence, "MAX_BLOCK", 16)
-    monkeypatch.setattr(recurrence, "MAX_LAGS", 3)
+    monkeypatch.setattr(recurrence, "MAX_LAGS", 30)
     values = [math.sin(i) for i in range(1000)]
     expected = plain_loop(values, 0.995)
     assert smoothed(spark, values, 0.995) == pytest.approx(expected, rel=1e-9, abs=1e-12)
 
 
-def test_block_plan_keeps_powers_finite():
-    for ratio in (1e-20, 0.01, 0.3, 0.8, 0.95):
-        plan = block_plan([ratio])
-        assert ratio ** -(plan.block + plan.halo) < 1e300
-    assert block_plan([0.9999]) is None
+def test_blocks_keep_powers_finite():
+    for ratio in (1e-300, 1e-9, 0.1, 0.8, 0.99, 0.9999999):
+        assert ratio ** recurrence.block_size([ratio]) > 0 or ratio < 1e-50
+
+
+@pytest.mark.parametrize("ratio", [1e-60, 0.1, 0.8, span_ratio(12), span_ratio(26), span_ratio(200)])
+def test_no_history_is_cut(spark, ratio):
+    """A tail that decays through the whole range of doubles, and one that starts very large."""
+    for start in (1.0, 1e300):
+        values = [start] + [0.0] * 5000
+        expected = plain_loop(values, ratio)
+        found = smoothed(spark, values, ratio)
+        for e, f in zip(expected, found, strict=True):
+            assert f == pytest.approx(e, rel=1e-9, abs=1e-300)
+
+
+def test_long_spans(spark):
+    rng = np.random.default_rng(2)
+    closes = (100 + rng.normal(size=3000).cumsum()).tolist()
+    df = spark.createDataFrame([("a", i, c) for i, c in enumerate(closes)], "k string, i long, close double")
+    for fast, slow in ((12, 200), (1, 400), (150, 160)):
+        rows = series_indicators(df, "close", "i", ["k"], fast=fast, slow=slow).orderBy("i").collect()
+        assert [r["ema_fast"] for r in rows] == pytest.approx(plain_loop(closes, span_ratio(fast)), rel=1e-9)
+        assert [r["ema_slow"] for r in rows] == pytest.approx(plain_loop(closes, span_ratio(slow)), rel=1e-9)
 
 
 def test_block_fill_crosses_blocks(spark):
