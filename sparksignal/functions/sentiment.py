@@ -29,15 +29,12 @@ def sentiment_value(df: DataFrame, sentiment_column: str = "sentiment_value") ->
     elif {"score_positive", "score_negative"} <= columns:
         value = F.col("score_positive").cast("double") - F.col("score_negative").cast("double")
     elif "sentiment" in columns:
-        label = F.col("sentiment")
-        value = fail_if(
-            label_value(label).isNull(),
-            "unknown sentiment label",
-            label_value(label),
-        )
+        # Unknown labels have no value and fail below.
+        value = label_value(F.col("sentiment"))
     else:
         raise ValueError("no sentiment: expected sentiment_value, positive and negative scores, or labels")
-    return fail_if(value.isNull() | F.isnan(value), "a sentiment value is missing", value)
+    missing = F.raise_error(F.lit("a sentiment value is missing, or its label is unknown")).cast("double")
+    return F.coalesce(F.nanvl(value, F.lit(None).cast("double")), missing)
 
 
 def softmax(scores: Column, temperature: float = 1.0) -> Column:

@@ -90,8 +90,8 @@ def pending_enrichment(
 
 
 def first_rows(df: DataFrame, order: str | None, limit: int) -> DataFrame:
-    """The first ``limit`` rows; repeatable only with an order column."""
-    return (df.orderBy(order) if order else df).limit(limit)
+    """The first ``limit`` rows by ``order``; without one, by a hash of the whole row, so that runs agree."""
+    return df.orderBy(order if order else F.xxhash64(*df.columns)).limit(limit)
 
 
 def non_blank(df: DataFrame, *names: str) -> DataFrame:

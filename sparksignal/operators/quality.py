@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.common import strip
+from ..functions.common import fail_if, strip
 from ..session import cut_lineage
 from .dedupe import sequential_id
-from .filters import contains_any
+from .filters import contains_any, first_rows
 
 EXACT_ROWS = 1_000_000
 HISTOGRAM_BINS = 4096
@@ -24,9 +24,11 @@ def order_statistics(df: DataFrame, value: str, positions: Sequence[int]) -> lis
 
     The value range is narrowed by histograms until few rows are left, so no
     task sorts the whole column. Only bin counts and single values reach the
-    driver.
+    driver. NULL values have no place; NaN and infinite ones are an error.
     """
-    column = F.col(value).cast("double")
+    column = fail_if(
+        F.isnan(value) | (F.abs(F.col(value)) == float("inf")), "a value is not a finite number", F.col(value).cast("double")
+    )
     rows = df.select(column.alias("_v")).filter(F.col("_v").isNotNull())
     return [_value_at(rows, place) for place in positions]
 
@@ -142,7 +144,7 @@ def dataset_profile(
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    rows = df.limit(first) if first else df
+    rows = first_rows(df, None, first) if first else df
     nulls = [
         expr
         for c in required

@@ -12,13 +12,13 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.sentiment import label_scores
 from .dedupe import first_by_key
-from .joins import many_to_one
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
 ModelFactory = Callable[[], Encoder]
@@ -48,8 +48,11 @@ def embed_text(
 
 
 def join_vectors(df: DataFrame, vectors: DataFrame, key: str) -> DataFrame:
-    """Precomputed vectors instead of an encoder."""
-    return df.join(vectors, key)
+    """Precomputed vectors instead of an encoder; a row without one is an error, not a loss."""
+    known = vectors.select(key, F.col("embedding").alias("_known"))
+    missing = F.raise_error(F.lit("an article has no vector")).cast(vectors.schema["embedding"].dataType)
+    joined = df.join(known, key, "left")
+    return joined.withColumn("embedding", F.coalesce("_known", missing)).drop("_known")
 
 
 def hashing_encoder(dimension: int = 64) -> ModelFactory:
@@ -78,19 +81,21 @@ def hashing_encoder(dimension: int = 64) -> ModelFactory:
     return factory
 
 
-def score_logits(df: DataFrame, key: str, text: str, scorer_factory: ModelFactory, *, batch_rows: int = 32) -> DataFrame:
-    """(key, logits) with logits in positive, negative, neutral order."""
-    schema = T.StructType([df.schema[key], T.StructField("logits", T.ArrayType(T.DoubleType()))])
+def add_logits(df: DataFrame, text: str, scorer_factory: ModelFactory, *, batch_rows: int = 32) -> DataFrame:
+    """Add ``logits`` in positive, negative, neutral order; all other columns pass through as they are."""
+    schema = T.StructType([*df.schema, T.StructField("logits", T.ArrayType(T.DoubleType()))])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_factory()
         for batch in batches:
-            for start in range(0, len(batch), batch_rows):
-                part = batch.iloc[start : start + batch_rows]
-                logits = np.asarray(scorer(part[text].fillna("").tolist()), dtype=np.float64)
-                yield pd.DataFrame({key: part[key], "logits": list(logits)})
+            for start in range(0, batch.num_rows, batch_rows):
+                part = batch.slice(start, batch_rows)
+                texts = [t or "" for t in part.column(text).to_pylist()]
+                logits = np.asarray(scorer(texts), dtype=np.float64)
+                arrays = [*part.columns, pa.array(list(logits), pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, "logits"])
 
-    return df.select(key, text).mapInPandas(score, schema)
+    return df.mapInArrow(score, schema)
 
 
 def lexicon_scorer(
@@ -141,17 +146,21 @@ def score_articles(
     text: str = "headline",
     logits: Column | None = None,
     batch_rows: int = 32,
+    unique: bool = False,
 ) -> DataFrame:
     """Add sentiment columns; each article is scored once, however many labels it has.
 
     Give either a batch scorer or a ``logits`` expression over the text column.
+    With ``unique`` every row is an article of its own and is scored in place;
+    otherwise the texts of repeated keys are taken once, scored and joined back.
     """
-    articles = first_by_key(news.select(key, text), [key], [text])
+    if scorer_factory is None and logits is None:
+        raise ValueError("give a scorer factory or a logits expression")
+    articles = news if unique else first_by_key(news.select(key, text), [key], [text])
     if scorer_factory is not None:
-        scored = score_logits(articles, key, text, scorer_factory, batch_rows=batch_rows)
-    elif logits is not None:
-        scored = articles.select(key, logits.alias("logits"))
+        scored = add_logits(articles, text, scorer_factory, batch_rows=batch_rows)
     else:
-        raise ValueError("give a scorer factory or a logits expression")
-    values = scored.select(key, label_scores(F.col("logits")).alias("_s")).select(key, "_s.*")
-    return many_to_one(news, values, [key]).select(*news.columns, *SCORE_COLUMNS)
+        scored = articles.withColumn("logits", logits)
+    kept = news.columns if unique else [key]
+    values = scored.select(*kept, label_scores(F.col("logits")).alias("_s")).select(*kept, "_s.*")
+    return values if unique else news.join(values, key, "left").select(*news.columns, *SCORE_COLUMNS)

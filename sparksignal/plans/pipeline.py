@@ -13,7 +13,7 @@ from ..functions.text import compose_headline
 from ..operators.dedupe import sequential_id
 from ..operators.filters import DEFAULT_THRESHOLD
 from ..operators.joins import attach_page_text, attach_url_text
-from ..operators.scoring import ModelFactory, score_logits
+from ..operators.scoring import ModelFactory, add_logits
 from ..operators.similarity import label_lists
 from ..sources.sinks import write_stage
 from .daily import DEFAULT_END_DATE, DEFAULT_START_DATE, daily_sentiment
@@ -85,8 +85,7 @@ def score_news(
 ) -> DataFrame:
     """Sentiment per labelled article, then one row per (article, label)."""
     if scorer_factory is not None:
-        values = score_logits(labelled, "article_id", "headline", scorer_factory, batch_rows=batch_rows)
-        scored = labelled.join(values, "article_id")
+        scored = add_logits(labelled, "headline", scorer_factory, batch_rows=batch_rows)
     elif logits is not None:
         scored = labelled.withColumn("logits", logits)
     else:
@@ -107,14 +106,15 @@ def daily_pipeline(
     threshold: float = DEFAULT_THRESHOLD,
     start_date: str = DEFAULT_START_DATE,
     end_date: str = DEFAULT_END_DATE,
-    order: Sequence[str] = ("published_at", "headline"),
     stage_dir: str | None = None,
     resume: bool = False,
 ) -> DataFrame:
     """Raw news to one row per (day, sub-industry).
 
     Everything is one lazy plan unless ``stage_dir`` is given; then every stage
-    is stored, and ``resume`` picks up stages that are already complete.
+    is stored, and ``resume`` picks up stages that are already complete. Articles
+    are named by a hash of time and headline: nothing needs them in a sequence, so
+    no texts are sorted.
     """
 
     def stage(name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -126,7 +126,12 @@ def daily_pipeline(
         return write_stage(build(), path)
 
     extracted = stage("extracted", lambda: extract_text(news, pages))
-    prepared = stage("prepared", lambda: prepare_news(extracted, start_date, end_date, order=order))
+
+    def prepare() -> DataFrame:
+        rows = prepare_news(extracted, start_date, end_date, number=False)
+        return rows.withColumn("article_id", F.xxhash64("published_at", "headline"))
+
+    prepared = stage("prepared", prepare)
     labelled = stage("classified", lambda: classify_news(prepared, categories, encode, threshold))
     scored = stage("scored", lambda: score_news(labelled, scorer_factory, logits))
     return daily_sentiment(

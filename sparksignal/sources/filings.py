@@ -33,12 +33,13 @@ def main_documents(files: DataFrame) -> DataFrame:
 def read_main_documents(spark: SparkSession, path: str) -> DataFrame:
     """filing, path, html of the main document of every filing below a folder.
 
-    Only the chosen documents are read in full.
+    Files whose name starts with R are never opened; of the others, the ones that
+    are not the largest of their filing are dropped by the join.
     """
     chosen = main_documents(list_filing_files(spark, path))
     pages = (
         spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, pathGlobFilter="*.htm")
+        .options(recursiveFileLookup=True, pathGlobFilter="[!R]*.htm")
         .load(path)
         .select("path", F.decode("content", "UTF-8").alias("html"))
     )

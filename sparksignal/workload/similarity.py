@@ -192,21 +192,24 @@ def sector_softmax(spark, sf):
 
 
 def article_sentiment(spark, sf):
-    """Each article scored once, joined to its label rows by a checked join."""
+    """Each article scored once, in place, before its labels are listed."""
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("article_id"))
     news = headlines(spark, sf).select(F.col("doc_id").alias("article_id"), F.col("text").alias("headline"))
-    rows = news.join(table(spark, sf, "labels"), F.col("article_id") == F.col("doc_id"))
-    labelled = rows.select(
-        "article_id", "headline", F.explode(F.array(F.lit("quality"), F.lit("toxic"))).alias("label")
-    )
-    scored = score_articles(labelled, logits=lexicon_logits(F.col("headline"), WORDS))
+    rows = news.join(labels, "article_id")
+    scored = score_articles(rows, logits=lexicon_logits(F.col("headline"), WORDS), unique=True)
     numbers = ["score_positive", "score_negative", "score_neutral", "sentiment_value"]
-    return scored.select("article_id", "label", "sentiment", *[rounded(c).alias(c) for c in numbers])
+    return scored.select(
+        "article_id",
+        F.explode(F.array(F.lit("quality"), F.lit("toxic"))).alias("label"),
+        "sentiment",
+        *[rounded(c).alias(c) for c in numbers],
+    )
 
 
 def batch_scored_sentiment(spark, sf):
     """The same scores from a batch model in Python workers."""
     news = headlines(spark, sf).select(F.col("doc_id").alias("article_id"), F.col("text").alias("headline"))
-    scored = score_articles(news, lexicon_scorer(WORDS))
+    scored = score_articles(news, lexicon_scorer(WORDS), unique=True)
     numbers = ["score_positive", "score_negative", "score_neutral", "sentiment_value"]
     return scored.select("article_id", "sentiment", *[rounded(c).alias(c) for c in numbers])
 
@@ -284,7 +287,6 @@ def news_to_daily_sentiment(spark, sf):
         threshold=0.9,
         start_date="2024-01-01",
         end_date="2024-01-31",
-        order=["published_at", "doc_id"],
     )
     return daily.select(
         F.col("date").cast("string").alias("date"),

@@ -15,7 +15,14 @@ from sparksignal.operators.dedupe import (
     union_batches,
 )
 from sparksignal.operators.joins import attach_page_text, attach_url_text, enrich_articles, many_to_one, urls_without_text
-from sparksignal.operators.scoring import embed_text, hashing_encoder, lexicon_logits, lexicon_scorer, score_articles
+from sparksignal.operators.scoring import (
+    embed_text,
+    hashing_encoder,
+    join_vectors,
+    lexicon_logits,
+    lexicon_scorer,
+    score_articles,
+)
 from sparksignal.plans.pipeline import daily_pipeline, prepare_news
 from sparksignal.sources.bars import bars_to_long
 from sparksignal.sources.filings import read_main_documents
@@ -301,6 +308,34 @@ def test_scorers_agree(spark):
         score_articles(df)
 
 
+def test_articles_are_scored_in_place_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        scorer = lexicon_scorer()()
+
+        def score(texts):
+            calls.add(len(texts))
+            return scorer(texts)
+
+        return score
+
+    rows = [(i, "gain" if i % 2 else "loss", [i]) for i in range(50)]
+    df = spark.createDataFrame(rows, "article_id long, headline string, tags array<int>")
+    scored = score_articles(df, factory, unique=True).collect()
+    assert calls.value == len(scored) == 50
+    assert all(r["tags"] == [r["article_id"]] for r in scored)
+    assert {r["sentiment"] for r in scored if r["article_id"] % 2} == {"positive"}
+
+
+def test_articles_without_a_vector_are_an_error(spark):
+    df = spark.createDataFrame([(1,), (2,)], "article_id long")
+    known = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "article_id long, embedding array<double>")
+    assert join_vectors(df, known, "article_id").count() == 2
+    with pytest.raises(Exception, match="has no vector"):
+        join_vectors(df, known.where("article_id = 1"), "article_id").collect()
+
+
 def test_embedding_batches(spark):
     df = spark.createDataFrame([(i, "a b a" if i % 2 else None) for i in range(300)], "id long, text string")
     rows = embed_text(df, "text", hashing_encoder(8), batch_rows=7).collect()
