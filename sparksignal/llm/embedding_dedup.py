@@ -5,7 +5,7 @@ sign pattern in several tables; vectors that share a pattern are candidates and
 their cosine is computed. Each bucket is cut into blocks and compared block by
 block, so no task holds more than two blocks; a pair counts in the first table
 where its patterns meet. Buckets return, per vector, how many others it links
-with, and one link per vector and block pair that keeps linked vectors together.
+with, and one tie per vector and block pair that keeps linked vectors together.
 """
 
 from __future__ import annotations
@@ -19,15 +19,24 @@ from ..session import cut_lineage
 from .common import column, record_batch
 from .components import connected_components
 
-#: A pair at cosine 0.98 shares a pattern of 16 signs in one table with probability 0.35,
-#: and in none of 24 tables with probability 3e-5.
-BITS = 16
-TABLES = 24
+#: A pair at cosine 0.98 shares a pattern of 24 signs in one table with probability 0.2,
+#: and in none of 48 tables with probability 2e-5.
+BITS = 24
+TABLES = 48
 #: Vectors of a block; two blocks are compared at a time.
 BLOCK = 1_000
 SEED = 20240229
 
-_SIGNS = pa.schema([("vec", pa.int64()), ("label", pa.int64()), ("signs", pa.list_(pa.int32()))])
+_SIGNS = pa.schema(
+    [
+        ("vec", pa.int64()),
+        ("label", pa.int64()),
+        ("w", pa.int64()),
+        ("least", pa.int64()),
+        ("v", pa.list_(pa.float64())),
+        ("signs", pa.list_(pa.int32())),
+    ]
+)
 _FOUND = pa.schema([("vec", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
 
@@ -50,11 +59,23 @@ def _signer(tables, bits, seed):
                 side = (np.array([vectors[k] for k in rows]) @ planes[width] > 0).reshape(len(rows), tables, bits)
                 for k, s in zip(rows, (side * weights).sum(axis=2), strict=True):
                     signs[k] = s
-            yield record_batch(_SIGNS, batch.column(0), batch.column(1), signs)
+            yield record_batch(_SIGNS, *batch.columns, signs)
 
     return run
 
 
+def _tied(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Roots after tying ``p[k]`` and ``q[k]`` together for all k; a root is the first row of its group."""
+    while True:
+        a, b = root[p], root[q]
+        apart = a != b
+        if not apart.any():
+            return root
+        np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def _links(low: float):
     def run(group: pa.Table) -> pa.Table:
         n = group.num_rows
@@ -69,7 +90,7 @@ def _links(low: float):
         table = group.column("table")[0].as_py()
         signs = np.array(group.column("signs").to_pylist(), np.int32)
         lists = group.column("v").to_pylist()
-        links, others = np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max)
+        links, root = np.zeros(n, np.int64), np.arange(n)
         for width in {len(v) for v in lists}:
             at = np.array([k for k in range(n) if len(lists[k]) == width])
             vectors = np.zeros((n, width))
@@ -89,10 +110,9 @@ def _links(low: float):
                 p, q = i[p], j[q]
                 np.add.at(links, p, weights[q])
                 np.add.at(links, q, weights[p])
-                np.minimum.at(others, p, ids[q])
-                np.minimum.at(others, q, ids[p])
+                root = _tied(root, p, q)
         hit = np.flatnonzero(links)
-        return pa.Table.from_arrays([pa.array(ids[hit]), pa.array(links[hit]), pa.array(others[hit])], schema=_FOUND)
+        return pa.Table.from_arrays([pa.array(ids[hit]), pa.array(links[hit]), pa.array(ids[root[hit]])], schema=_FOUND)
 
     return run
 
@@ -137,15 +157,17 @@ def near_duplicates(
     )
     # One representative for all rows of equal content and label: its number is a hash, any id may be NULL or repeated.
     number = F.xxhash64("label", "content")
-    classes = cut_lineage(
+    grouped = (
         marked.where("v is not null")
         .groupBy(number.alias("vec"), "label")
         .agg(F.count("*").alias("w"), F.min("vec_id").alias("least"), F.any_value("v").alias("v"))
     )
-    signed = cut_lineage(
-        classes.select("vec", "label", "v").mapInArrow(_signer(tables, bits, seed), "vec long, label long, signs array<int>")
+    classes = cut_lineage(
+        grouped.mapInArrow(
+            _signer(tables, bits, seed), "vec long, label long, w long, least long, v array<double>, signs array<int>"
+        )
     )
-    patterns = signed.select("vec", "label", "signs", F.posexplode("signs").alias("table", "sign"))
+    patterns = classes.select("vec", "label", F.posexplode("signs").alias("table", "sign"))
     bucket = ["label", "table", "sign"]
     crowded = patterns.groupBy(*bucket).agg(F.count("*").alias("size")).where("size > 1")
     crowded = crowded.select(*bucket, F.ceil(F.col("size") / block).cast("int").alias("blocks"))
@@ -153,17 +175,17 @@ def near_duplicates(
     # Each block meets itself and every other once: as the first side of later blocks, as the second of earlier ones.
     own = F.pmod(F.xxhash64("vec", "table"), F.col("blocks")).cast("int")
     spread = members.withColumn("own", own).select(
-        "vec", "signs", *bucket, "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")
+        "vec", *bucket, "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")
     )
     spread = spread.select(
         "vec",
-        "signs",
         *bucket,
         F.least("own", "with").alias("i"),
         F.greatest("own", "with").alias("j"),
         (F.col("own") > F.col("with")).alias("side"),
     )
-    full = spread.join(classes.select("vec", "w", "v"), "vec").select("vec", "w", "v", "signs", *bucket, "i", "j", "side")
+    full = spread.join(classes.select("vec", "w", "v", "signs"), "vec").select("vec", "w", "v", "signs", *bucket, "i", "j", "side")
+    # Each linked vector comes with how many it links with here and with the first vector of its group here.
     found = cut_lineage(
         full.groupBy(*bucket, "i", "j").applyInArrow(_links(threshold), "vec long, links long, other long")
     )

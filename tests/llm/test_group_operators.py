@@ -187,6 +187,20 @@ def test_embedding_links_equal_brute_force(spark, block):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(brute_links(rows), key=str)
 
 
+@pytest.mark.parametrize("block", [1000, 7])
+def test_chains_of_embeddings_stay_together(spark, block):
+    """Vectors along arcs, each near its two neighbours only, numbered at random."""
+    draw = random.Random(4)
+    steps = [np.deg2rad(8 * k + (30 if k >= 15 else 0)) for k in range(30)]
+    ids = draw.sample(range(1000), len(steps))
+    rows = [(i, [float(np.cos(s)), float(np.sin(s))], 1) for i, s in zip(ids, steps, strict=True)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = near_duplicates(df, bits=2, tables=24, block=block)
+    want = brute_links(rows)
+    assert len({r[2] for r in want}) == 2
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_no_embeddings(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
