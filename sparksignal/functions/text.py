@@ -58,12 +58,14 @@ def compose_headline(df: DataFrame) -> Column:
 def category_search_text(sector: Column, category: Column, description: Column, keywords: Column) -> Column:
     """Embedding text of a category; the keywords appear twice for weight."""
     words = F.array_join(keywords, " ")
+    # Fixed value: the layout the category texts have.
     layout = "[%s]\n%s\n\n%s\n\nTérminos clave: %s\n\nRelevantes: %s"
     return strip(F.format_string(layout, sector, category, description, words, words))
 
 
 def category_sentence(name: Column, description: Column, keywords: Column) -> Column:
     """One-line category text used for sector scoring."""
+    # Fixed value: the layout the category sentences have.
     layout = "Sub-industry: %s. Description: %s. Keywords: %s."
     return F.format_string(layout, name, description, F.array_join(keywords, ", "))
 

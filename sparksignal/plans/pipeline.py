@@ -111,8 +111,8 @@ def daily_pipeline(
 ) -> DataFrame:
     """Raw news to one row per (day, sub-industry).
 
-    Everything is one lazy plan unless ``stage_dir`` is given; then every stage
-    is stored, and ``resume`` picks up stages that are already complete. Articles
+    The news are one lazy plan unless ``stage_dir`` is given (the categories are
+    gathered while it is built); then every stage is stored, and ``resume`` picks up stages that are already complete. Articles
     are named by a hash of time and headline: nothing needs them in a sequence, so
     no texts are sorted.
     """

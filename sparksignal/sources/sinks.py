@@ -55,7 +55,9 @@ def append_table(df: DataFrame, table: str) -> None:
 def publish(df: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
     """All or nothing: write beside the target, then swap the folders.
 
-    Readers see the old or the new output, never a part of it.
+    Readers see the old or the new output, never a part of it. Between the two
+    renames there is, for a moment, no output under ``path``; if the second one
+    fails, the old output is put back.
     """
     spark = df.sparkSession
     jvm = spark._jvm

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.common import fail_if
 from ..functions.text import category_id, category_search_text
 
-DEFAULT_SECTOR = "sin_sector"
+# The sector of categories without one, and the level every category has.
+DEFAULT_SECTOR, LEVEL = "sin_sector", "CATEGORIA"
 
 NESTED_SCHEMA = "industrias array<struct<id:string,nombre:string,subindustrias:array<struct<id:string,nombre:string>>>>"
 FLAT_SCHEMA = "categorias array<struct<id:string,sector:string,categoria:string>>"
@@ -111,7 +112,7 @@ def flatten_raw_taxonomy(documents: DataFrame, json: str = "json") -> DataFrame:
         F.size(words).alias("keywords_count"),
         category_search_text(F.col("sector"), F.col("categoria"), described, words).alias("texto_para_embedding"),
         F.coalesce(F.col("_d.avoid_confusion_with"), F.array().cast("array<string>")).alias("evitar_confusion"),
-        F.lit("CATEGORIA").alias("nivel"),
+        F.lit(LEVEL).alias("nivel"),
     )
 
 
