@@ -190,35 +190,74 @@ def _word_scores(model: Model, codes: np.ndarray, letters: np.ndarray):
     return starts, ends - starts, scores
 
 
-def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float) -> np.ndarray:
-    """Best path of each of several word sequences: (texts, words, languages) padded with zeros, to (texts, words).
+#: Words of a block whose paths are found side by side with those of all other blocks.
+BLOCK = 64
+#: Words x languages x languages held at once.
+CELLS = 1 << 23
 
-    A path earns its words' scores and pays ``switch`` for each change. At equal
-    value the path stays; among equal languages the first is taken.
+
+def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
+    """Best path of each of several texts: word scores (words, languages), where texts begin, to a language per word.
+
+    A path earns its words' scores and pays ``switch`` for each change. Texts
+    are cut into blocks; for all blocks at once, the best way from each language
+    before the block to each at its end is found word by word. These ways are then
+    joined block by block, and the path is read backwards.
     """
-    texts, words, languages = scores.shape
-    back = np.zeros((words, texts, languages), np.int16)
-    own = np.arange(languages, dtype=np.int16)
-    value = scores[:, 0].astype(np.float64)
-    for t in range(1, words):
-        best = value.argmax(axis=1)
-        moved = np.take_along_axis(value, best[:, None], 1) - switch
-        stays = value >= moved
-        back[t] = np.where(stays, own, best[:, None])
-        value = np.where(stays, value, moved) + scores[:, t]
-        if t % 256 == 0:
-            value -= value.max(axis=1, keepdims=True)
-    path = np.zeros((texts, words), np.int16)
-    # Padding scores nothing, so a path through it stays where the text ended.
-    state = value.argmax(axis=1)
-    for t in range(words - 1, -1, -1):
+    languages = scores.shape[1]
+    sizes = np.diff(first)
+    blocks = -(-sizes // BLOCK)
+    begin = np.concatenate([[0], np.cumsum(blocks)])
+    count = int(begin[-1])
+    at = np.arange(len(scores)) + np.repeat(begin[:-1] * BLOCK - first[:-1], sizes)
+    padded = np.zeros((count * BLOCK, languages))
+    padded[at] = scores  # padding scores nothing, so a path stays as it is there
+    padded = padded.reshape(count, BLOCK, languages)
+
+    # Value of the best way by (block, language before, language now).
+    entry = np.where(np.eye(languages, dtype=bool), 0.0, -switch)
+    value = np.broadcast_to(entry, (count, languages, languages)).copy()
+    value[begin[:-1][blocks > 0]] = 0.0  # nothing stands before a text
+    value += padded[:, :1]
+    stayed = np.ones((BLOCK, count, languages, languages), bool)
+    came = np.zeros((BLOCK, count, languages), np.int16)
+    for t in range(1, BLOCK):
+        came[t] = value.argmax(axis=2)
+        moved = value.max(axis=2)[:, :, None] - switch
+        np.greater_equal(value, moved, out=stayed[t])
+        value = np.maximum(value, moved) + padded[:, t : t + 1]
+
+    # From block to block.
+    before = np.zeros((count, languages), np.int16)
+    total = np.zeros((len(sizes), languages))
+    order = np.argsort(-blocks, kind="stable")
+    longest = int(blocks.max(initial=0))
+    active = np.searchsorted(-blocks[order], -np.arange(longest), side="left")
+    for b in range(longest):
+        texts = order[: active[b]]
+        k = begin[texts] + b
+        ways = total[texts][:, :, None] + value[k]
+        before[k] = ways.argmax(axis=1)
+        total[texts] = ways.max(axis=1)
+    start, end = np.zeros(count, np.int64), np.zeros(count, np.int64)
+    state = total.argmax(axis=1)
+    for b in range(longest - 1, -1, -1):
+        texts = order[: active[b]]
+        k = begin[texts] + b
+        end[k] = state[texts]
+        start[k] = before[k, end[k]]
+        state[texts] = start[k]
+
+    # Backwards inside all blocks.
+    rows = np.arange(count)
+    path = np.zeros((count, BLOCK), np.int16)
+    state = end
+    for t in range(BLOCK - 1, -1, -1):
         path[:, t] = state
-        state = np.take_along_axis(back[t], state[:, None].astype(np.int64), 1)[:, 0]
-    return path
+        state = np.where(stayed[t, rows, start, state], state, came[t, rows, start])
+    return path.reshape(-1)[at]
 
 
-#: Scores held at once: texts x words x languages.
-CELLS = 1 << 21
 #: Code points scored at once.
 CHUNK = 1 << 20
 
@@ -228,29 +267,32 @@ def _label(model: Model, texts: list[str | None]) -> list[tuple[list[tuple[int,
     codes, letters, bounds = _separate(texts)
     starts, lengths, scores = _word_scores(model, codes, letters)
     first = np.searchsorted(starts, bounds)
-    sizes = np.diff(first)
-    out: list = [([], {})] * len(texts)
-    order = np.argsort(sizes, kind="stable")[::-1]
-    at = 0
-    while at < len(order) and sizes[order[at]]:
-        longest = int(sizes[order[at]])
-        group = order[at : at + max(1, min(512, CELLS // (longest * len(model.languages))))]
-        group = group[sizes[group] > 0]
-        at += len(group)
-        padded = np.zeros((len(group), longest, len(model.languages)), np.float32)
-        for row, g in enumerate(group):
-            padded[row, : sizes[g]] = scores[first[g] : first[g + 1]]
-        paths = viterbi(padded, sizes[group], SWITCH)
-        for row, g in enumerate(group):
-            path, n = paths[row, : sizes[g]], lengths[first[g] : first[g + 1]]
-            place = starts[first[g] : first[g + 1]] - bounds[g]
-            cut = np.flatnonzero(np.diff(path)) + 1
-            spans = [
-                (int(place[a]), int(place[b - 1] + n[b - 1]), model.languages[path[a]])
-                for a, b in zip([0, *cut], [*cut, len(path)], strict=True)
-            ]
-            sums = np.bincount(path, weights=n, minlength=len(model.languages))
-            out[g] = (spans, {model.languages[k]: int(sums[k]) for k in np.flatnonzero(sums)})
+    path = np.zeros(len(starts), np.int16)
+    most = max(1, CELLS // len(model.languages) ** 2)
+    begin = 0
+    while begin < len(texts):
+        # As many texts as fit, one at least.
+        end = max(begin + 1, int(np.searchsorted(first, first[begin] + most, side="right")) - 1)
+        end = min(end, len(texts))
+        lo, hi = first[begin], first[end]
+        if hi > lo:
+            path[lo:hi] = viterbi(scores[lo:hi], first[begin : end + 1] - lo, SWITCH)
+        begin = end
+    out: list = []
+    names = model.languages
+    for g in range(len(texts)):
+        lo, hi = first[g], first[g + 1]
+        if lo == hi:
+            out.append(([], {}))
+            continue
+        own, n, place = path[lo:hi], lengths[lo:hi], starts[lo:hi] - bounds[g]
+        cut = np.flatnonzero(np.diff(own)) + 1
+        spans = [
+            (int(place[a]), int(place[b - 1] + n[b - 1]), names[own[a]])
+            for a, b in zip([0, *cut], [*cut, len(own)], strict=True)
+        ]
+        sums = np.bincount(own, weights=n, minlength=len(names))
+        out.append((spans, {names[k]: int(sums[k]) for k in np.flatnonzero(sums)}))
     return out
 
 

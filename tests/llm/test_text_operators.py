@@ -1,6 +1,7 @@
 """Operators on single texts against brute force: counts, windows, licenses, languages, ids."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -289,21 +290,32 @@ def test_contained_detections_are_suppressed():
 
 
 def test_viterbi_equals_all_paths():
-    import itertools
-
     draw = np.random.default_rng(5)
-    for _ in range(40):
-        sizes = draw.integers(1, 6, 3)
-        scores = draw.normal(0, 2, (3, 5, 3)).astype(np.float32)
-        for k, n in enumerate(sizes):
-            scores[k, n:] = 0
-        paths = viterbi(scores, sizes, 1.5)
-        for k, n in enumerate(sizes):
-            def worth(path, k=k):
-                return sum(scores[k, t, x] for t, x in enumerate(path)) - 1.5 * sum(a != b for a, b in itertools.pairwise(path))
-
-            best = max(worth(p) for p in itertools.product(range(3), repeat=int(n)))
-            assert worth(paths[k, :n]) == pytest.approx(best, abs=1e-5)
+    for size, repeat in ((6, 40), (9, 10)):
+        for _ in range(repeat):
+            sizes = draw.integers(0, size, 4)
+            first = np.concatenate([[0], np.cumsum(sizes)])
+            scores = draw.normal(0, 2, (first[-1], 3)).astype(np.float32)
+            paths = viterbi(scores, first, 1.5)
+            for lo, hi in itertools.pairwise(first):
+                best = max(worth(scores[lo:hi], p) for p in itertools.product(range(3), repeat=int(hi - lo)))
+                assert worth(scores[lo:hi], paths[lo:hi]) == pytest.approx(best, abs=1e-5)
+
+
+def worth(scores, path):
+    return sum(scores[t, x] for t, x in enumerate(path)) - 1.5 * sum(a != b for a, b in itertools.pairwise(path))
+
+
+def test_viterbi_over_several_blocks(monkeypatch):
+    """Blocks of three words give the same values as one block."""
+    draw = np.random.default_rng(6)
+    scores = draw.normal(0, 2, (200, 4)).astype(np.float32)
+    first = np.array([0, 0, 1, 50, 113, 200])
+    whole = viterbi(scores, first, 1.5)
+    monkeypatch.setattr("sparksignal.llm.language_id.BLOCK", 3)
+    parts = viterbi(scores, first, 1.5)
+    for lo, hi in itertools.pairwise(first):
+        assert worth(scores[lo:hi], parts[lo:hi]) == pytest.approx(worth(scores[lo:hi], whole[lo:hi]), abs=1e-5)
 
 
 def test_languages_of_mixed_texts(spark):
