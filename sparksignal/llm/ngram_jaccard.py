@@ -291,8 +291,13 @@ def _labelled(entries: DataFrame, links: DataFrame | None) -> DataFrame:
 
 
 def _main_components(entries: DataFrame, turn: int) -> DataFrame:
-    """For each token that several components hold, the component with the most entries and one of its sets, the hub."""
-    hub = F.struct(F.xxhash64(F.lit(turn), "set").alias("order"), F.col("set"), F.col("n"), F.col("at"))
+    """For each token that several components hold, the component with the most entries and one of its sets, the hub.
+
+    The fewer n-grams a set has to itself, the more of its copies it can link
+    with: the first hub is the set with the fewest, later ones are drawn from more.
+    """
+    own = F.floor(F.col("unique") / F.lit(1 << (turn - 1)))
+    hub = F.struct(own.alias("own"), F.xxhash64(F.lit(turn), "set").alias("order"), "set", "n", "at")
     counted = entries.groupBy("token", "component").agg(F.count("*").alias("size"), F.min(hub).alias("hub"))
     main = counted.groupBy("token").agg(
         F.max(F.struct("size", "component", "hub")).alias("main"), F.count("*").alias("components")
@@ -322,7 +327,7 @@ def _cross_pairs(entries: DataFrame) -> DataFrame:
     One side are the entries outside the token's main component; entries of
     the main component never meet each other.
     """
-    several = _main_components(entries, 0).select("token", "main")
+    several = _main_components(entries, 1).select("token", "main")
     mixed = entries.join(several, "token")
     minor = mixed.where("component <> main").select(
         "token", *[F.col(c).alias(f"x_{c}") for c in ("set", "n", "at", "component")]
@@ -339,8 +344,8 @@ def _cross_pairs(entries: DataFrame) -> DataFrame:
 
 
 def _bucket_bits(spark: SparkSession) -> int:
-    """As many buckets as shuffle partitions, rounded up to a power of two; they grow with the cluster's setting."""
-    return max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    """As many buckets as shuffle partitions, 128 at least, rounded up to a power of two."""
+    return max(7, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
 def shared_sets(rows: DataFrame, profile: DataFrame, n: int) -> DataFrame:
@@ -368,7 +373,7 @@ def similar_sets(sets: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     entries = cut_lineage(
         sets.select(
             "set", "n", unique.alias("unique"), F.posexplode(F.slice("tokens", F.lit(1), _prefix_size(F.col("n")) - unique))
-        ).select("set", "n", (F.col("unique") + F.col("pos") + 1).alias("at"), F.col("col").alias("token"))
+        ).select("set", "n", "unique", (F.col("unique") + F.col("pos") + 1).alias("at"), F.col("col").alias("token"))
     )
     links = None
     for turn in range(1, hub_rounds + 1):
