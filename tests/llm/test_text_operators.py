@@ -36,7 +36,7 @@ def pieces():
     return sentencepiece.SentencePieceProcessor(model_file=PIECES)
 
 
-@pytest.mark.parametrize("head", [1 << 18, 3, 0])
+@pytest.mark.parametrize("head", [1 << 18, 3])
 def test_token_counts_equal_the_library(spark, head):
     docs = odd_docs(spark)
     got = sorted(map(tuple, token_counts(docs, BYTE_BPE, head_pieces=head).collect()), key=str)
@@ -154,7 +154,7 @@ SCANNED = [
 ]
 
 
-@pytest.mark.parametrize("block_words", [1 << 20, 9, 4])
+@pytest.mark.parametrize("block_words", [1 << 20, 9])
 def test_windows_equal_brute_force(spark, block_words):
     docs = spark.createDataFrame(SCANNED, "doc_id long, text string").withColumn("item_id", F.lit(1))
     items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("doc_id", F.lit("x"))
