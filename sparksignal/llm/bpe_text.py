@@ -22,6 +22,22 @@ _SPLIT = re.compile(
 )
 _LATIN = re.compile(rf"[\x00-\x7f{_LETTERS}]*")
 
+#: Byte-level tokenizers write printable bytes as they are and the others, in order, as the characters from 256 on.
+_PRINTED = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+_AS_CHARACTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
+class _Remembered(dict):
+    """Ids by pre-token; asks for those it does not hold yet."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self[part] = array("I", self.find(part)).tobytes()
+        return ids
+
 
 class BpeText:
     def __init__(self, spec: str):
@@ -44,7 +60,9 @@ class BpeText:
         )
         contents = sorted((t["content"] for t in added), key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, contents)) + ")") if contents else None
-        self.ids: dict[str, bytes] = {}
+        self._added_ids = {t["content"]: t["id"] for t in added}
+        self._model = self.tokenizer.model
+        self.ids = _Remembered(self.part_ids)
 
     def pre_tokens(self, text: str) -> list[str]:
         """Pre-tokens as they stand in the text; a special string is one of them."""
@@ -60,21 +78,24 @@ class BpeText:
                 out += [part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
         return out
 
-    def counts(self, texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self._batch(texts)]
+    def part_ids(self, part: str) -> list[int]:
+        """Ids of one pre-token."""
+        if part in self._added_ids:
+            return [self._added_ids[part]]
+        return [t.id for t in self._model.tokenize(part.encode().decode("latin-1").translate(_AS_CHARACTERS))]
+
+    def counts(self, parts: list[str]) -> list[int]:
+        """Number of ids of each pre-token."""
+        return [len(self.part_ids(p)) for p in parts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit integers."""
         if not self.may_split:
             return [array("I", e.ids).tobytes() for e in self._batch(texts)]
-        parts = [self.pre_tokens(t) for t in texts]
         if len(self.ids) > REMEMBERED:
             self.ids.clear()
-        new = list(set().union(*parts).difference(self.ids))
-        for part, e in zip(new, self._batch(new), strict=True):
-            self.ids[part] = array("I", e.ids).tobytes()
         get = self.ids.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        return [b"".join(map(get, self.pre_tokens(t))) for t in texts]
 
     def _batch(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
