@@ -83,7 +83,7 @@ def taxonomy_problems(spark, sf):
         )
     )
     industries = supplier.select(
-        F.when(F.col("s_acctbal") > -500, F.concat(F.lit("s"), F.pmod("s_suppkey", F.lit(60)))).alias("id"),
+        F.when(F.col("s_acctbal") > -500, F.concat(F.lit("s"), F.pmod("s_suppkey", F.lit(4)))).alias("id"),
         F.col("s_name").alias("nombre"),
         subs.alias("subindustrias"),
     )
@@ -204,7 +204,7 @@ SELECT count(*) AS categories, count(DISTINCT sector) AS sectors, CAST(sum(keywo
 WITH {_RAW_TAXONOMY} SELECT sector, count(*) AS categories FROM flat GROUP BY 1""",
     "taxonomy_problems": """
 WITH s AS (
-  SELECT CASE WHEN s_acctbal > -500 THEN 's' || (s_suppkey % 60) END AS id, s_name AS nombre,
+  SELECT CASE WHEN s_acctbal > -500 THEN 's' || (s_suppkey % 4) END AS id, s_name AS nombre,
          CAST(s_nationkey AS VARCHAR) AS sub_id, CASE WHEN s_acctbal > 0 THEN s_name END AS sub_name FROM supplier)
 SELECT 'industry without id or name' AS "check", coalesce(id, nombre) AS item FROM s WHERE id IS NULL OR nombre IS NULL
 UNION ALL SELECT 'sub-industry without id or name', coalesce(sub_id, sub_name) FROM s WHERE sub_name IS NULL
