@@ -56,6 +56,16 @@ class PieceCodec:
         self.id_of = {piece: i for i, piece in self.text.items()}
         self.may_cut = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.text.values())
         self.halves: dict[int, tuple[int, int]] = {}
+        #: Rank of the merge of two neighbours, where it makes a piece.
+        self.merges = {
+            (self.id_of[p[:k]], self.id_of[p[k:]]): self.rank[i]
+            for i in self.rank
+            for p in (self.text[i],)
+            for k in range(1, len(p))
+            if p[:k] in self.id_of and p[k:] in self.id_of
+        }
+        #: For each piece made by a merge: the merge's rank and its two halves.
+        self.undone: dict[int, tuple[int, int, int]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.units: dict[str, bytes] = {}
         self._find_halves()
@@ -78,6 +88,7 @@ class PieceCodec:
                 if all(len(self.text[t]) == 1 or t in self.halves for t in (left, right)):
                     if self._adjacent(left, right, self.rank[i]):
                         self.halves[i] = (left, right)
+                        self.undone[i] = (self.rank[i], left, right)
                         break
 
     def _adjacent(self, left: int, right: int, until: int | None = None) -> bool:
@@ -88,22 +99,20 @@ class PieceCodec:
         over the boundary must not have been due before that. At equal ranks the
         merge further left goes first.
         """
-        rank, halves, text, id_of = self.rank, self.halves, self.text, self.id_of
-        # A state's end as (rank, 0 before or 1 after a boundary merge of that rank).
-        end = (len(rank), 0) if until is None else (until, 0)
+        merges, undone = self.merges, self.undone
+        # Times count in thirds of a rank: a merge left of the boundary, over it, right of it.
+        end = 1 << 60 if until is None else 3 * until + 1
         while True:
-            over = id_of.get(text[left] + text[right])
-            if over is not None and (rank[over], 0) < end and over in self.rank:
+            over = merges.get((left, right))
+            if over is not None and 3 * over + 1 < end:
                 return False
-            # A merge inside the left token lies before the boundary, one inside the right token after it.
-            made_left = (rank[left], -1) if left in halves else None
-            made_right = (rank[right], 1) if right in halves else None
-            if made_left is None and made_right is None:
-                return True
-            if made_right is None or (made_left is not None and made_left > made_right):
-                end, left = made_left, halves[left][1]
+            made_left, made_right = undone.get(left), undone.get(right)
+            if made_right is not None and (made_left is None or made_right[0] >= made_left[0]):
+                end, right = 3 * made_right[0] + 2, made_right[1]
+            elif made_left is not None:
+                end, left = 3 * made_left[0], made_left[2]
             else:
-                end, right = made_right, halves[right][0]
+                return True
 
     def _unit(self, unit: str) -> bytes:
         """Ids of one unit as little-endian integers."""
