@@ -500,6 +500,47 @@ def cell_top1_join(
     return best.join(left.drop(vector), "_a").join(right.drop(vector), "_c").select(*names)
 
 
+def probes_needed(
+    articles: DataFrame,
+    categories: DataFrame,
+    centers: DataFrame,
+    *,
+    article_id: str,
+    category_id: str,
+    vector: str = "embedding",
+    formula: str = "cosine",
+    max_bytes: int = MATRIX_BYTES,
+) -> DataFrame:
+    """(article_id, probes): how many cells, nearest first, an article searches until the one of its exact nearest category.
+
+    Cells stand in the order of ``cell_probes``. An article's cells are ranked inside its own row.
+    """
+    members = cell_probes(categories.select(category_id, vector), centers, vector, 1, max_bytes)
+    copied = articles.select(F.col(article_id).alias("_a"), vector, F.col(vector).alias("_centre"))
+    nearest = top_k_join(
+        copied, members, 1, article_id="_a", category_id=category_id, vector=vector, formula=formula, max_bytes=max_bytes
+    )
+    cells = cut_lineage(centers.select(F.col("cell_id").alias("_other"), F.col("centre").alias("_centre")))
+    ranked = _found_per_article(
+        nearest.select("_a", "_centre", "_cell"),
+        cells,
+        "_other",
+        "_centre",
+        _distance_scores("cosine"),
+        "_near",
+        "_order",
+        max_bytes,
+        best=cells.count(),
+    )
+    place = F.array_position(F.transform("_order", lambda c: c["_other"]), F.col("_cell"))
+    return ranked.select(F.col("_a").alias(article_id), place.alias("probes"))
+
+
+def probes_for_recall(needed: DataFrame, target: float) -> int:
+    """The least number of probes with which a share ``target`` of the articles of ``probes_needed`` is answered exactly; 1 if there are none."""
+    return int(needed.agg(F.expr(f"percentile_disc({target!r}) WITHIN GROUP (ORDER BY probes)")).first()[0] or 1)
+
+
 def recall_against(approximate: DataFrame, exact: DataFrame, article_id: str, category_id: str) -> DataFrame:
     """Share of articles whose approximate nearest category is the exact one."""
     found = approximate.select(article_id, F.col(category_id).alias("_found"))

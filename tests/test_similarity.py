@@ -8,6 +8,8 @@ from sparksignal.operators.similarity import (
     kmeans_centers,
     label_lists,
     pairwise_similarity,
+    probes_for_recall,
+    probes_needed,
     ranked_labels,
     sector_probabilities,
     threshold_join,
@@ -112,6 +114,35 @@ def test_cells_with_all_probes_are_exact(spark, data):
     assert one.count() == 80
 
 
+@pytest.mark.parametrize("max_bytes", [sim.MATRIX_BYTES, 64 * 20])
+def test_probes_needed_reach_the_exact_nearest(spark, data, max_bytes):
+    left, right, a, b = data
+    centers = kmeans_centers(right, cells=12)
+    rows = sorted(centers.collect(), key=lambda r: r["cell_id"])
+    c = np.array([r["centre"] for r in rows])
+    needed = probes_needed(left, right, centers, **IDS, max_bytes=max_bytes)
+    got = {r["a"]: r["probes"] for r in needed.collect()}
+    home = scores(b, c).argmax(axis=1)[scores(a, b).argmax(axis=1)]
+    order = np.argsort(-scores(a, c), axis=1, kind="stable")
+    assert got == {i: int(np.flatnonzero(order[i] == home[i])[0]) + 1 for i in range(len(a))}
+    least = probes_for_recall(needed, 0.9)
+    share = [sum(p <= n for p in got.values()) / len(got) for n in range(len(c) + 1)]
+    assert share[least] >= 0.9 > share[least - 1]
+
+
+def test_trained_cells_find_nine_tenths_of_the_nearest(spark):
+    """Cells trained on all vectors, by the surveyed number of cells, against brute force over every vector."""
+    from sparksignal.workload.registry import queries
+
+    sf = "/root/testdata/sf0.001"
+    row = queries()["trained_cell_recall"](spark, sf).first()
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
+    assert row["vectors"] == len(table) and row["cells"] == sim.list_count(len(table))
+    assert row["articles"] == row["answered"] == (table["vec_id"] % 20 == 0).sum()
+    assert row["recall"] >= 0.9 and row["probes"] < row["cells"]
+    assert row["recall"] == pytest.approx(row["matched"] / row["articles"], abs=1e-6)
+
+
 def test_sector_probabilities(spark, data):
     left, right, a, b = data
     ua, ub = a / np.linalg.norm(a, axis=1)[:, None], b / np.linalg.norm(b, axis=1)[:, None]
