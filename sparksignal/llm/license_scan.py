@@ -1,7 +1,8 @@
 """License detection by ordered signature rules.
 
 Rules are regular expressions over a text's lower-cased words, joined by single
-blanks. A rule runs only where its keyword occurs. Detections are taken in
+blanks: names and versions of license families, and hand-written sentences of the
+licenses themselves. A rule runs only where its keyword occurs. Detections are taken in
 order of priority, then length, then place; one that lies inside a detection
 taken before is suppressed.
 """
@@ -92,6 +93,72 @@ CREATIVE = (
     ("cc-by-nc-nd", "by nc nd", "attribution non ?commercial no ?deriv(?:s|atives|ative works)"),
 )
 CREATIVE_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
+# Short names and identifiers that mean a license wherever they stand.
+BARE = (
+    "gpl lgpl agpl gfdl cddl eupl cecill odbl pddl sspl busl lppl cpal apsl wtfpl unlicense 0bsd".split()
+    + ["gnu gpl", "gnu lgpl", "gnu agpl", "ms pl", "ms rl", "odc by", "bsd 2 clause", "bsd 3 clause", "bsd 4 clause"]
+)
+# How a text says that a license holds.
+GRANTS = ("licensed", "released", "distributed", "available")
+_MIT_GRANT = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
+_MIT_RIGHTS = (
+    "without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+    "and or sell copies of the software and to permit persons to whom the software is furnished to do so"
+)
+_ISC_GRANT = "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"
+_BSD_BINARY = (
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+    "disclaimer in the documentation and or other materials provided with the distribution"
+)
+# Sentences of the licenses themselves as (label, pattern, keyword, priority). Sentences that several
+# licenses share name the family; longer ones that only one has rank higher.
+SIGNATURES = (
+    ("mit", "permission is hereby granted free of charge", "permission is hereby granted free of charge", 45),
+    ("mit", _MIT_GRANT, "permission is hereby granted free of charge", 80),
+    ("mit", f"{_MIT_GRANT} the software to deal in the software without restriction", "to deal in the software", 85),
+    ("mit-0", f"{_MIT_GRANT} the software to deal in the software {_MIT_RIGHTS}(?! subject to)", "furnished to do so", 90),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "this permission notice shall be included", 80),
+    ("ncsa", f"{_MIT_GRANT} the software to deal with the software without restriction", "to deal with the software", 85),
+    ("x11", "except as contained in this notice the names? of (?:[^ ]+ ){1,20}?shall not be used in advertising or otherwise", "except as contained in this notice", 80),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", "person or organization obtaining a copy", 85),
+    ("isc", f"{_ISC_GRANT} provided that the above copyright notice and this permission notice appear in all copies", "with or without fee is hereby granted", 85),
+    ("0bsd", f"{_ISC_GRANT}(?! provided)", "with or without fee is hereby granted", 80),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "without a written agreement is hereby granted", 85),
+    ("hpnd", "permission to use copy modify(?: and)? distribute(?: and sell)? this software and its documentation for any purpose (?:and|is hereby granted|with or without fee)", "this software and its documentation for any purpose", 70),
+    ("w3c", "permission to copy modify and distribute this software and its documentation with or without modification for any purpose and without fee or royalty", "without fee or royalty", 85),
+    ("bsd", "redistribution and use in source and binary forms", "redistribution and use in source and binary forms", 45),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms", 70),
+    ("bsd-2-clause", f"{_BSD_BINARY} this software is provided", "redistributions in binary form must reproduce", 80),
+    ("bsd-3-clause", "neither the names? of (?:[^ ]+ ){1,20}?may be used to endorse or promote products derived from this software", "may be used to endorse or promote products", 80),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "all advertising materials mentioning features", 85),
+    ("apache-1.1", "the end user documentation included with the redistribution if any must include the following acknowledge?ment", "the end user documentation included with", 80),
+    ("apache-2.0", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright|except as stated in this section patent) license", "each contributor hereby grants to you a perpetual", 80),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at https? www apache org licenses license 2 0", "apache org licenses license 2 0", 85),
+    ("apache-2.0", "apache org licenses license 2 0", "apache org licenses license 2 0", 80),
+    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e", "you can redistribute it and or modify it", 60),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[cs]e", "you can redistribute it and or modify it", 60),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e", "you can redistribute it and or modify it", 60),
+    ("gpl-2", "the gnu general public license is intended to guarantee your freedom to share and change free software", "guarantee your freedom to share and change", 80),
+    ("gpl-3", "the gnu general public license is a free copyleft license for software and other kinds of works", "is a free copyleft license for software", 80),
+    ("agpl-3", "the gnu affero general public license is a free copyleft license for software and other kinds of works", "is a free copyleft license for software", 80),
+    ("lgpl-2", "this is the first released version of the library gpl", "the first released version of the library gpl", 80),
+    ("lgpl-2.1", "this is the first released version of the lesser gpl", "the first released version of the lesser gpl", 80),
+    ("lgpl-3", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3", "incorporates the terms and conditions of version 3", 80),
+    ("mpl-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at", "a copy of the mpl was not distributed", 80),
+    ("epl", "the accompanying program is provided under the terms of this eclipse public license", "the accompanying program is provided under", 70),
+    ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain", "associated a work with this deed", 85),
+    ("cc0", "the laws of most jurisdictions throughout the world automatically confer exclusive copyright and related rights", "automatically confer exclusive copyright", 80),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software", 85),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", "anyone is free to copy modify publish", 80),
+    ("zlib", "in no event will the authors? be held liable for any damages arising from the use of this software", "be held liable for any damages arising from", 70),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software", "the origin of this software must not be", 80),
+    ("wtfpl", "you just do what the fuck you want to", "you just do what the", 80),
+    ("artistic-1.0", "the intent of this document is to state the conditions under which a package may be copied", "conditions under which a package may be copied", 80),
+    ("artistic-2.0", "this license establishes the terms under which a given free software package may be copied", "a given free software package may be copied", 80),
+    ("ofl", "the goals of the open font license ofl are to stimulate worldwide development", "the goals of the open font license", 80),
+    ("psf", "psf is making python available to licensee on an as is basis", "psf is making python available", 80),
+    ("openssl", "this product includes software developed by the openssl project", "software developed by the openssl project", 70),
+)
 
 
 @dataclass(frozen=True)
@@ -99,7 +166,7 @@ class Rule:
     label: str
     #: Over words joined by blanks; needs a blank before and after.
     pattern: str
-    #: A text that must occur for the rule to run.
+    #: A text that must occur, at the beginning of a word, for the rule to run.
     keyword: str
     #: 1 to 100; higher rules win, and a detection's score is a hundredth of it.
     priority: int
@@ -114,38 +181,55 @@ def _keyword(alternatives: str) -> str | None:
 
 def _add(rules: list[Rule], label: str, names: str, tail: str, priority: int, head: str = "") -> None:
     """One rule for each alternative name, gated by the name's longest plain part."""
-    for name in re.split(r"\|(?![^(]*\))", names):
+    for name in re.split(r"\|(?![^(]*\))", names) if names else ():
         rules.append(Rule(label, f"{head}{name}{tail}", _keyword(name), priority))
 
 
 @cache
 def signature_rules() -> tuple[Rule, ...]:
-    """All rules, built from the families; several hundred."""
-    license_, version = " licen[cs]es?", "(?: version| v| ver)?"
+    """All rules: those built from the families, several hundred, and the sentences of ``SIGNATURES``.
+
+    The mark of a version may be a word or joined to the number, and after a
+    short name to both: "version 3", "v 3", "v3", "gplv3", "gpl3".
+    """
+    license_, version = " licen[cs]es?", "(?: version| ver| v)? v?"
+    joined = f"(?:(?:{license_})?{version}|v?)"
     rules: list[Rule] = []
     for label, names, short, versions in FAMILIES:
         _add(rules, label, names, license_, 50)
-        _add(rules, label, names, "", 40, head="licensed under (?:the )?(?:terms of the )?")
+        either = "|".join(dict.fromkeys(re.split(r"\|(?![^(]*\))", f"{names}|{short}")))
+        for grant in GRANTS:
+            _add(rules, label, either, "", 40, head=f"{grant} under (?:the )?(?:terms of the )?")
+        _add(rules, label, "|".join(n for n in short.split("|") if n not in names.split("|")), license_, 50)
+        _add(rules, label, "|".join(n for n in short.split("|") if n in BARE), "", 35)
+        _add(rules, label, short, "", 85, head="opensource org licenses? ")
         _add(rules, label, short, "", 90, head="spdx license identifier ")
         for v in versions:
             dashed = f"{label}-{v.replace(' ', '.')}"
             number = f"{v}(?: 0)?" if " " not in v else v
-            _add(rules, dashed, names, f"{license_}{version} {number}", 70)
-            _add(rules, dashed, short, f"{version} {number}(?: only| or later)?", 60)
+            # A version N.0 is also called N, where the text has no other figure after it.
+            whole = f"{v[:-2]}(?: 0|(?! [0-9]))" if v.endswith(" 0") and v[:-2] not in versions else number
+            _add(rules, dashed, names, f"{license_}{version}{whole}", 70)
+            _add(rules, dashed, names, f"{license_} as published by the free software foundation(?: either)? version {number}", 75)
+            _add(rules, dashed, short, f"{joined}{number}(?: only| or later)?", 60)
+            _add(rules, dashed, short, f"(?: v|v){whole}(?: only| or later)?", 60)
+            _add(rules, dashed, short, f"(?:{version}|v?){whole}{license_}", 65)
             _add(rules, dashed, short, f" {number}(?: only| or later)?", 95, head="spdx license identifier ")
+            _add(rules, dashed, short, f" {number}(?: only| or later)?", 88, head="opensource org licenses? ")
     for label, short, words in CREATIVE:
         rules.append(Rule(label, f"cc {short}", f"cc {short}", 55))
         rules.append(Rule(label, f"creative commons {words}{license_}", "creative commons", 55))
         rules.append(Rule(label, f"creativecommons org licenses {short}", "creativecommons org", 85))
         for v in CREATIVE_VERSIONS:
             dashed = f"{label}-{v.replace(' ', '.')}"
-            rules.append(Rule(dashed, f"cc {short} {v}", f"cc {short} {v}", 75))
-            rules.append(Rule(dashed, f"creative commons {words} {v}", "creative commons", 75))
+            rules.append(Rule(dashed, f"cc {short}{version}{v}", f"cc {short}", 75))
+            rules.append(Rule(dashed, f"creative commons {words}(?:{license_})?{version}{v}", "creative commons", 75))
             rules.append(Rule(dashed, f"creativecommons org licenses {short} {v}", "creativecommons org", 88))
     rules.append(Rule("cc0", "cc0(?: 1 0)?", "cc0", 55))
     rules.append(Rule("cc0", "creative commons zero", "creative commons zero", 60))
     rules.append(Rule("public-domain", "(?:released |dedicated )?(?:in|into|to) the public domain", "the public domain", 30))
     rules.append(Rule("all-rights-reserved", "all rights reserved", "all rights reserved", 20))
+    rules += [Rule(*signature) for signature in SIGNATURES]
     return tuple(rules)
 
 
@@ -155,7 +239,7 @@ class Scanner:
         self.gated: dict[bytes, list[tuple[re.Pattern, Rule]]] = {}
         for rule in rules:
             compiled = re.compile(f"(?<= )(?:{rule.pattern})(?= )".encode())
-            self.gated.setdefault(rule.keyword.encode(), []).append((compiled, rule))
+            self.gated.setdefault(f" {rule.keyword}".encode(), []).append((compiled, rule))
 
     def base_hits(self, joined: bytes) -> list[tuple[int, str]]:
         """(first word, label) of every place of a base phrase."""

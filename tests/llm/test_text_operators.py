@@ -280,6 +280,62 @@ def test_license_lines(spark):
     assert rows[9]["labels"] == ""
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+and to permit persons to whom the Software is furnished to do so"""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+1. Redistributions of source code must retain the above copyright notice. 2. Redistributions in binary form must reproduce
+the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+materials provided with the distribution. """
+ISC_TEXT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+
+# Texts and the labels a reader gives them; none is taken from the rules.
+LABELLED = [
+    ("GPL v3", "gpl-3"),
+    ("the GPLv3", "gpl-3"),
+    ("GPLv2+", "gpl-2"),
+    ("GPL3", "gpl-3"),
+    ("GPL-2.0-or-later", "gpl-2"),
+    ("GNU General Public License v3.0", "gpl,gpl-3"),
+    ("Apache License v2.0", "apache,apache-2.0"),
+    ("Apache License, Version 2", "apache,apache-2.0"),
+    ("Apache 2.0 License", "apache-2.0"),
+    ("Apache v2", "apache-2.0"),
+    ("an Apache v2.4 server", ""),
+    ("LGPL v2.1", "lgpl-2.1"),
+    ("LGPLv2.1+", "lgpl-2.1"),
+    ("AGPLv3", "agpl-3"),
+    ("MPL v2.0", "mpl-2.0"),
+    ("MPLv2", "mpl-2.0"),
+    ("CC BY-SA v4.0", "cc-by,cc-by-sa-4.0"),
+    ("BSD-3-Clause", "bsd-3-clause"),
+    ("BSD-2-Clause OR 0BSD", "0bsd,bsd-2-clause"),
+    ("released under the GPL", "gpl"),
+    ("available under MIT", "mit"),
+    ("wir gehen mit v2 los", ""),
+    ("under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License", "gpl,gpl-3"),
+    ("permission is hereby granted, free of charge", "mit"),
+    (MIT_TEXT + ", subject to the following conditions:", "mit"),
+    (MIT_TEXT + ".", "mit-0"),
+    (MIT_TEXT.replace("deal in", "deal with") + ", subject to", "ncsa"),
+    ("redistribution and use in source and binary forms", "bsd"),
+    (BSD_TEXT + "THIS SOFTWARE IS PROVIDED BY THE AUTHORS", "bsd,bsd-2-clause"),
+    (BSD_TEXT + "3. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software", "bsd,bsd-3-clause"),
+    (ISC_TEXT + ", provided that the above copyright notice and this permission notice appear in all copies.", "isc"),
+    (ISC_TEXT + ".", "0bsd"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("The origin of this software must not be misrepresented; you must not claim that you wrote the original software.", "zlib"),
+]
+
+
+def test_common_forms_and_wordings_get_their_labels(spark):
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(LABELLED)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in license_summary(scan_licenses(docs)).collect()}
+    assert {t: rows[k]["labels"] for k, (t, _) in enumerate(LABELLED)} == dict(LABELLED)
+    assert all((rows[k]["score"] > 0) == bool(want) for k, (_, want) in enumerate(LABELLED))
+
+
 def test_contained_detections_are_suppressed():
     low, high = Rule("low", "a", "a", 10), Rule("high", "b", "b", 20)
     kept = suppress([(0, 9, low), (2, 4, high), (3, 4, low), (8, 12, high), (2, 4, high)])
