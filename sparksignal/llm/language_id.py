@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import column, record_batch, slices
 
 UNDETERMINED = "und"
-#: Labelled documents read per language, about; which ones is decided by a hash of the text.
+#: Different labelled texts read per language, about; which ones is decided by a hash of the text.
 SAMPLE_PER_LANGUAGE = 4_000
 #: Hash buckets per n-gram length.
 BUCKETS = 1 << 15
@@ -142,19 +142,25 @@ def _counts(batches):
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Learn from rows with a language and a text.
 
-    About ``per_language`` rows of each language are read, chosen by a hash of
-    their text, so that the model's cost does not depend on the input's size.
-    The model holds a fixed number of weights per language.
+    About ``per_language`` different texts of each language are read, chosen by
+    a hash of the text, so that the model's cost does not depend on the input's
+    size. A text counts once however often it repeats, and every language has one
+    text at least. The model holds a fixed number of weights per language.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    scale = 1 << 40
+    place = F.pmod(F.xxhash64("text"), F.lit(scale))
+    # Only hashes are dealt out here; copies of a text are one row.
+    found = rows.select("lang", place.alias("at")).distinct().groupBy("lang").agg(F.count("at"), F.min("at")).collect()
+    sizes = {lang: (texts, least) for lang, texts, least in found}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((len(ORDERS), BUCKETS, 0), np.float32), np.ones((len(SCRIPT_NAMES), 0), bool))
-    scale = 1_000_000
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(scale, -(-per_language * scale // sizes[lang])))])
-    taken = rows.where(F.pmod(F.xxhash64("text"), F.lit(scale)) < F.try_element_at(share, F.col("lang")))
+    # The share of the texts, and at least the one of least hash.
+    ends = {lang: min(scale, max(-(-per_language * scale // texts), least + 1)) for lang, (texts, least) in sizes.items()}
+    share = F.create_map(*[F.lit(x).cast(kind) for lang in languages for x, kind in ((lang, "string"), (ends[lang], "long"))])
+    taken = rows.where(place < F.try_element_at(share, F.col("lang"))).distinct()
     counted = (
         taken.mapInArrow(_counts, "lang string, order int, bucket int, n long")
         .groupBy("lang", "order", "bucket")

@@ -400,6 +400,22 @@ def test_scripts_narrow_candidates(spark):
     assert identify(nothing, ["abc"]) == [("und", 0.0, [])]
 
 
+def test_copies_of_a_text_do_not_change_the_model(spark):
+    """A hot text counts once, and a language of few texts in many copies is learned."""
+    texts = [("en", f"the word {k} and another", 1) for k in range(60)] + [("en", "a text that all repeat", 3000)]
+    texts += [("fi", f"sana {k} ja toinen", 50) for k in range(40)]
+    once = spark.createDataFrame([t[:2] for t in texts], "lang string, text string")
+    counted = spark.createDataFrame(texts, "lang string, text string, n int")
+    copies = counted.select("lang", "text", F.explode(F.sequence(F.lit(1), "n")).alias("copy"))
+    for per_language in (1, 5, 1000):
+        one, many = learn(once, per_language=per_language), learn(copies, per_language=per_language)
+        assert one.languages == many.languages == ["en", "fi"]
+        assert np.array_equal(one.weights, many.weights) and np.array_equal(one.allowed, many.allowed)
+        # A flat column of weights would mean a language without a text.
+        assert (many.weights.max(axis=1) > many.weights.min(axis=1)).all()
+    assert [f[0] for f in identify(many, ["the word", "sana ja toinen"])] == ["en", "fi"]
+
+
 def test_held_out_accuracy(spark):
     got = queries.op6_language_id(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
     rows = got.where("held_out").collect()
