@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import LOWER, column, record_batch
 from .components import connected_components
+from .hashing import mixed, word_hashes
 from .url_filter import bloom_filter, may_be_listed, not_listed
 
 NGRAM = 5
@@ -52,68 +53,26 @@ BLOOM_BLOCKS = 1 << 16
 _HASH_BITS = 56
 _RARITY_MOST = 127
 _MASK = np.uint64((1 << _HASH_BITS) - 1)
-_BASE = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64, as far as needed."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def __call__(self, n: int):
-        if n > len(self.up):
-            n = max(n, 2 * len(self.up), 1 << 16)
-            inverse = pow(_BASE, -1, 1 << 64)
-            one = np.ones(1, np.uint64)
-            self.up = np.concatenate([one, np.cumprod(np.full(n - 1, _BASE, np.uint64), dtype=np.uint64)])
-            self.down = np.concatenate([one, np.cumprod(np.full(n - 1, inverse, np.uint64), dtype=np.uint64)])
-        return self.up, self.down
-
-
-_powers = _Powers()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    parts = []
-    for at in range(0, len(words), 100_000):
-        some = words[at : at + 100_000]
-        joined = np.frombuffer(b" ".join(some), np.uint8)
-        up, down = _powers(len(joined) + 1)
-        sums = np.zeros(len(joined) + 1, np.uint64)
-        np.cumsum(joined * up[: len(joined)], out=sums[1:])
-        blanks = np.flatnonzero(joined == 0x20)
-        starts, ends = np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(joined)]])
-        parts.append(_mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
-    return np.concatenate(parts)
-
-
 def shingles(text: bytes | None, n: int = NGRAM) -> np.ndarray:
     """Sorted distinct hashes of a text's word n-grams; of a shorter text, of its whole sequence."""
     words = text.translate(LOWER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    hashed = _word_hashes(words)
+    hashed = word_hashes(words)
     size = min(n, len(words))
     total = np.zeros(len(words) - size + 1, np.uint64)
     for k in range(size):
         total = total * _STEP + hashed[k : k + len(total)]
-    return np.unique(_mixed(total + np.uint64(size)) & _MASK)
+    return np.unique(mixed(total + np.uint64(size)) & _MASK)
 
 
 def _fingerprint(grams: np.ndarray) -> int:
     """One number for a set."""
-    mixed = _mixed(np.array([_mixed(grams ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(grams))]))
-    return int(mixed.view(np.int64)[0])
+    total = mixed(grams ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(grams))
+    return int(mixed(np.array([total])).view(np.int64)[0])
 
 
 def _profile(n):
@@ -328,13 +287,13 @@ def _cross_pairs(entries: DataFrame) -> DataFrame:
     the main component never meet each other.
     """
     several = _main_components(entries, 1).select("token", "main")
-    mixed = entries.join(several, "token")
-    minor = mixed.where("component <> main").select(
+    together = entries.join(several, "token")
+    minor = together.where("component <> main").select(
         "token", *[F.col(c).alias(f"x_{c}") for c in ("set", "n", "at", "component")]
     )
     met = minor.join(
-        mixed,
-        (minor["token"] == mixed["token"])
+        together,
+        (minor["token"] == together["token"])
         & (F.col("x_component") != F.col("component"))
         & ((F.col("x_set") < F.col("set")) | (F.col("component") == F.col("main")))
         & _long_enough(F.col("x_n"), F.col("n"))

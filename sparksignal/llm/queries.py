@@ -16,6 +16,7 @@ from .language_id import identify_languages, learn
 from .license_scan import license_summary, scan_licenses
 from .ngram_jaccard import jaccard_groups
 from .piece_codec import encode_pieces
+from .substring_dedup import remove_repeats
 from .token_counts import token_counts
 from .token_files import token_index, write_token_files
 from .url_filter import judge_urls
@@ -239,3 +240,26 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS
        vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
 FROM embeddings LEFT JOIN degree ON vec_id = degree.a LEFT JOIN least ON vec_id = least.a
 """
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op13_substring_dedup"] = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM words)),
+least AS (SELECT h, min(doc_id) AS m FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM windows JOIN least ON windows.h = least.h AND m < doc_id),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+kept AS (
+  SELECT each.doc_id, string_agg(word, ' ' ORDER BY each.p) AS t, count(*) AS n
+  FROM each LEFT JOIN gone ON each.doc_id = gone.doc_id AND each.p = gone.p WHERE gone.p IS NULL GROUP BY 1)
+SELECT words.doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept ON words.doc_id = kept.doc_id
+"""
