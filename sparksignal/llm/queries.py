@@ -14,6 +14,7 @@ from .decontaminate import scan_texts, with_hit_counts
 from .embedding_dedup import near_duplicates
 from .language_id import identify_languages, learn
 from .license_scan import license_summary, scan_licenses
+from .merkle import fold, leaf_hash, merkle_manifest, proof_hash
 from .ngram_jaccard import jaccard_groups
 from .piece_codec import encode_pieces
 from .substring_dedup import remove_repeats
@@ -263,3 +264,79 @@ kept AS (
 SELECT words.doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM words LEFT JOIN kept ON words.doc_id = kept.doc_id
 """
+
+
+def sql_crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text in DuckDB, bit by bit."""
+    bits = "list_reduce(range(8), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), xor({}, {}))"
+    each = bits.format("r", "b")
+    return (
+        f"xor(list_reduce(list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT), lambda r, b: {each}, "
+        "4294967295::BIGINT), 4294967295)"
+    )
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampered rows, those whose id has an even checksum, have lost the line ends of their text."""
+    docs = table(spark, sf_dir, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, leaf_hash(*values, F.replace("text", F.lit("\n"), F.lit(""))))
+    leaves = docs.select("doc_id", "source", leaf_hash(*values, F.col("text")).alias("leaf"), tampered.alias("tampered"))
+    steps = F.col("steps")
+    folded = fold(F.coalesce("tampered", "leaf"), steps)
+    return merkle_manifest(leaves).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof_hash(steps).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
+def _merkle_sql(levels: int = 16) -> str:
+    """Levels of leaves, then of subroots, one after the other: up to 3 ** ``levels`` nodes each."""
+    field = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR, '-')"
+    values = [field.format(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    parts = [
+        f"""leaves AS (SELECT doc_id, source, sha256({" || ".join([*values, field.format("text")])}) AS leaf,
+          CASE WHEN {sql_crc32("doc_id::VARCHAR")} % 2 = 0
+               THEN sha256({" || ".join([*values, field.format("replace(text, chr(10), '')")])}) END AS tampered FROM documents)""",
+        """a0 AS (SELECT *, leaf AS h, coalesce(source, '') || (source IS NULL) AS g, source IS NOT NULL AS later,
+          row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+          count(*) OVER (PARTITION BY source) AS n FROM leaves)""",
+    ]
+    # Every row keeps its place; h becomes the hash of its node, sib what stood beside it on the way.
+    start = "leaf, coalesce(tampered, leaf) AS f, ''::VARCHAR AS sib"
+    parts.append(f"w0 AS (SELECT doc_id, source, g, later, pos, n, h, {start} FROM a0)")
+
+    def climb(name: str, key: str, k: int) -> str:
+        """Nodes of level ``k`` and, from them, rows of level ``k`` + 1."""
+        old, new = f"{name}{k}", f"{name}{k + 1}"
+        return f"""
+          {old}n AS (SELECT DISTINCT {key} AS g, pos, n, h FROM {old}),
+          {old}r AS (SELECT g, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM {old}n WHERE n > 1 GROUP BY ALL),
+          {new} AS (
+            SELECT o.* REPLACE (
+              CASE WHEN n > 1 THEN pos // 3 ELSE pos END AS pos,
+              CASE WHEN n > 1 THEN (n + 2) // 3 ELSE n END AS n,
+              CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE h END AS h,
+              CASE WHEN n > 1 THEN sha256(array_to_string(hs[:pos % 3], '') || f || array_to_string(hs[pos % 3 + 2:], '')) ELSE f END AS f,
+              CASE WHEN n > 1 THEN sib || array_to_string(hs[:pos % 3], '') || array_to_string(hs[pos % 3 + 2:], '') ELSE sib END AS sib)
+            FROM {old} o LEFT JOIN {old}r r ON o.{key} = r.g AND o.pos // 3 = r.run)"""
+
+    parts += [climb("w", "g", k) for k in range(levels)]
+    parts.append(
+        f"""u0 AS (SELECT doc_id, leaf, f, sib, h AS subroot, h, 'all' AS every,
+          dense_rank() OVER (ORDER BY later, source) - 1 AS pos,
+          (SELECT count(DISTINCT g) FROM a0) AS n FROM w{levels})"""
+    )
+    parts += [climb("u", "every", k) for k in range(levels)]
+    return f"""WITH {", ".join(parts)}
+SELECT doc_id, leaf, subroot, h AS root, sha256(sib) AS proof_sha256, f AS folded_root, f = h AS verified FROM u{levels}"""
+
+
+ORACLES["op11_merkle_manifest"] = _merkle_sql()
