@@ -17,9 +17,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..session import cut_lineage
+from .numbering import numbered
 from .skew import join_per_key
 
 #: Children of a node.
@@ -31,7 +31,6 @@ BLOCK = ARITY**DEPTH
 WIDTH = 64
 
 _STEP = "struct<before: string, after: string>"
-_PART_BITS = 33
 
 
 def _field(value: Column) -> Column:
@@ -45,33 +44,6 @@ def leaf_hash(*values: Column) -> Column:
     return F.sha2(F.concat(*[_field(v) for v in values]), 256)
 
 
-def _numbered(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """``rows`` with pos (place in the group, from 0) and total (rows of the group).
-
-    Range partitions over all rows are sorted side by side; a group may lie in
-    any number of them. Rows of each group are counted per partition, and the
-    counts, one per partition and group in it, complete the place.
-    """
-    keys = [*group, *order]
-    placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
-    fixed = cut_lineage(placed).withColumn("_part", F.shiftright("_mid", _PART_BITS))
-    counts = fixed.groupBy("_part", *group).agg(F.count("*").alias("_n"), F.min("_mid").alias("_first"))
-    # A group's counts are one per partition it lies in.
-    of_group = Window.partitionBy(*group)
-    before = of_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        *group,
-        F.col("_part").alias("_in"),
-        (F.col("_first") - F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_base"),
-        F.sum("_n").over(of_group).alias("total"),
-    )
-    same = F.col("_part") == F.col("_in")
-    for g in group:
-        starts = starts.withColumnRenamed(g, f"_of_{g}")
-        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
-    return fixed.join(starts, same).select(*rows.columns, (F.col("_mid") - F.col("_base")).alias("pos"), "total")
-
-
 def _cut(level: Column, first: Column, count: Column) -> Column:
     """``count`` characters of a level from the (0-based) ``first`` on. Levels are ASCII and come as bytes, so nothing is scanned."""
     return F.substring(level, first + 1, count).cast("string")
@@ -188,15 +160,15 @@ def merkle_manifest(rows: DataFrame, group_col: str = "source", id_col: str = "d
     if clash:
         raise ValueError(f"rename the columns {sorted(clash)} first")
     nodes = rows.withColumn(group_col, F.col(group_col).cast("string")).withColumn("hash", F.col(leaf_col))
-    numbered = cut_lineage(_numbered(nodes, [group_col], [id_col, leaf_col]))
-    proven = cut_lineage(prove(numbered, [group_col], _most(numbered)))
+    placed = cut_lineage(numbered(nodes, [group_col], [id_col, leaf_col]))
+    proven = cut_lineage(prove(placed, [group_col], _most(placed)))
     subroots = proven.where("pos = 0").select(F.lit(0).alias("all"), F.col(group_col).alias("name"), F.col("subroot").alias("hash"), "total")
-    tops = cut_lineage(_numbered(subroots.withColumn("leaves", F.col("total")).drop("total"), ["all"], ["name"]))
+    tops = cut_lineage(numbered(subroots.withColumn("leaves", F.col("total")).drop("total"), ["all"], ["name"]))
     # A name and whether it is NULL, as join keys.
     name = {"_name": F.coalesce("name", F.lit("")), "_null": F.col("name").isNull()}
     upper = cut_lineage(prove(tops, ["all"], _most(tops)).withColumns(name)).select(
         "_name", "_null", "leaves", F.col("subroot").alias("root"), F.col("steps").alias("upper")
     )
     keyed = proven.withColumns({k: F.coalesce(F.col(group_col), F.lit("")) if k == "_name" else F.col(group_col).isNull() for k in name})
-    placed = join_per_key(keyed, upper, ["_name", "_null"], "leaves")
-    return placed.withColumn("steps", F.concat("steps", "upper")).select(*rows.columns, "subroot", "root", "steps")
+    rooted = join_per_key(keyed, upper, ["_name", "_null"], "leaves")
+    return rooted.withColumn("steps", F.concat("steps", "upper")).select(*rows.columns, "subroot", "root", "steps")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import work_path
 from .chat_format import collapse_and_render
 from .common import table
+from .conversation_repair import repair_summary
 from .decontaminate import scan_texts, with_hit_counts
 from .embedding_dedup import near_duplicates
 from .language_id import identify_languages, learn
@@ -243,29 +244,6 @@ FROM embeddings LEFT JOIN degree ON vec_id = degree.a LEFT JOIN least ON vec_id
 """
 
 
-@query
-def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = remove_repeats(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
-
-
-ORACLES["op13_substring_dedup"] = r"""
-WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-windows AS (
-  SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS h
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM words)),
-least AS (SELECT h, min(doc_id) AS m FROM windows GROUP BY h),
-gone AS (
-  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM windows JOIN least ON windows.h = least.h AND m < doc_id),
-each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
-kept AS (
-  SELECT each.doc_id, string_agg(word, ' ' ORDER BY each.p) AS t, count(*) AS n
-  FROM each LEFT JOIN gone ON each.doc_id = gone.doc_id AND each.p = gone.p WHERE gone.p IS NULL GROUP BY 1)
-SELECT words.doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
-FROM words LEFT JOIN kept ON words.doc_id = kept.doc_id
-"""
-
-
 def sql_crc32(text: str) -> str:
     """Unsigned CRC-32 of an ASCII text in DuckDB, bit by bit."""
     bits = "list_reduce(range(8), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), xor({}, {}))"
@@ -340,3 +318,120 @@ SELECT doc_id, leaf, subroot, h AS root, sha256(sib) AS proof_sha256, f AS folde
 
 
 ORACLES["op11_merkle_manifest"] = _merkle_sql()
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The conversations with faults of a fixed rule: rows dropped, emptied, without sentence ends, repeated, given to the user."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = (F.crc32(key.cast("binary")) % 20).alias("kind")
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    changed = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate(text, ".!?", "")).otherwise(text)
+    return (
+        conversations.select("conv_id", "turn", "role", "text", kind)
+        .where("kind <> 0")
+        .select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(role).alias("role"), changed.alias("text"), "kind")
+        .withColumn("_copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .drop("kind", "_copy")
+    )
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    repaired = repair_summary(damaged(conversations)).withColumnRenamed("conv_id", "_conv")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    originals = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    return originals.join(repaired, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def _repair_sql() -> str:
+    never = 1000000
+
+    def row(stay: str, initials: dict[str, str], turned: str) -> str:
+        """Cost before a row, from the costs after it, without insertions."""
+        kept = "".join(f" WHEN '{i}' THEN {b}" for i, b in initials.items())
+        return f"least(2 + {stay}, CASE WHEN del THEN {never} ELSE pen + least(CASE ini{kept} ELSE {never} END, 1 + {turned}) END)"
+
+    after = [row("b0", {"s": "b1", "u": "b2"}, "b2"), row("b1", {"u": "b2"}, "b2"), row("b2", {"a": "b3"}, "b3"), row("b3", {"u": "b2"}, "b2")]
+    costs = ", ".join(f"{x} AS x{k}" for k, x in enumerate(after))
+    return rf"""
+WITH RECURSIVE hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {sql_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind FROM conversations),
+changed AS (
+  SELECT coalesce(conv_id::VARCHAR, ' ') AS c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM hit WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM changed),
+marked AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS stem, left(role, 1) AS ini,
+         row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS seen,
+         left(lag(role) OVER (PARTITION BY c ORDER BY i), 1) AS prior FROM placed),
+facts AS (
+  SELECT *, stem = '' AS blank, stem <> '' AND seen AS dup, stem <> '' AND NOT seen AND right(stem, 1) NOT IN ('.', '!', '?') AS cut,
+         stem = '' OR seen AS del, CASE WHEN right(stem, 1) NOT IN ('.', '!', '?') THEN 5 ELSE 0 END AS pen FROM marked),
+counts AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (prior || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM facts GROUP BY c),
+back AS (
+  SELECT c, n + 1 AS i, 0 AS b0, 10 AS b1, 5 AS b2, 0 AS b3 FROM counts
+  UNION ALL
+  SELECT c, i, least(x0, 5 + x2, 10 + x3), least(x1, 5 + x2, 10 + x3), least(x2, 5 + x3), least(x3, 5 + x2)
+  FROM (SELECT back.c, facts.i, {costs} FROM back JOIN facts ON facts.c = back.c AND facts.i = back.i - 1)),
+vec AS (SELECT c, i, [b0, b1, b2, b3] AS b FROM back),
+walk AS (
+  SELECT c, 1::BIGINT AS i, 0 AS q, ''::VARCHAR AS audit, []::VARCHAR[] AS said, false AS stop FROM counts
+  UNION ALL
+  SELECT c, CASE WHEN e IN ('I', '') THEN i ELSE i + 1 END, CASE e WHEN 'D' THEN q WHEN '' THEN q WHEN 'K' THEN k ELSE t END, audit || e,
+         CASE WHEN e IN ('D', '') THEN said ELSE list_append(said, CASE WHEN e = 'K' THEN role
+              WHEN t = 2 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END) END,
+         e = ''
+  FROM (
+    SELECT *, CASE WHEN here THEN CASE WHEN 2 + w[q + 1] = v[q + 1] THEN 'D' WHEN 5 + v[t + 1] = v[q + 1] THEN 'I'
+                                       WHEN k IS NOT NULL AND pen + w[k + 1] = v[q + 1] THEN 'K' ELSE 'R' END
+                   WHEN v[q + 1] > 0 THEN 'I' ELSE '' END AS e
+    FROM (SELECT walk.*, v.b AS v, w.b AS w, f.role, f.text, f.pen, f.i IS NOT NULL AS here,
+                 CASE WHEN q = 2 THEN 3 ELSE 2 END AS t,
+                 CASE WHEN ini = 's' AND q = 0 THEN 1 WHEN ini = 'u' AND q <> 2 THEN 2 WHEN ini = 'a' AND q = 2 THEN 3 END AS k
+          FROM walk JOIN vec v ON v.c = walk.c AND v.i = walk.i LEFT JOIN vec w ON w.c = walk.c AND w.i = walk.i + 1
+          LEFT JOIN facts f ON f.c = walk.c AND f.i = walk.i WHERE NOT stop))),
+done AS (SELECT walk.c, audit, said, b[1] AS cost FROM walk JOIN vec ON vec.c = walk.c AND vec.i = 1 WHERE stop)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts ON counts.c = coalesce(conv_id::VARCHAR, ' ') LEFT JOIN done ON done.c = coalesce(conv_id::VARCHAR, ' ')
+"""
+
+
+ORACLES["op12_conversation_repair"] = _repair_sql()
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op13_substring_dedup"] = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM words)),
+least AS (SELECT h, min(doc_id) AS m FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM windows JOIN least ON windows.h = least.h AND m < doc_id),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+kept AS (
+  SELECT each.doc_id, string_agg(word, ' ' ORDER BY each.p) AS t, count(*) AS n
+  FROM each LEFT JOIN gone ON each.doc_id = gone.doc_id AND each.p = gone.p WHERE gone.p IS NULL GROUP BY 1)
+SELECT words.doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept ON words.doc_id = kept.doc_id
+"""
