@@ -9,12 +9,12 @@ from .common import fail_if
 
 # Label order of the scoring model, and the value of each label.
 SENTIMENT_LABELS = ["positive", "negative", "neutral"]
-LABEL_TO_VALUE = {"positive": 1.0, "neutral": 0.0, "negative": -1.0}
+VALUE_OF_LABEL = {"positive": 1.0, "neutral": 0.0, "negative": -1.0}
 
 
 def label_value(label: Column) -> Column:
     """positive, neutral, negative (exact case) as 1, 0, -1; anything else is NULL."""
-    mapping = F.create_map(*[F.lit(x) for pair in LABEL_TO_VALUE.items() for x in pair])
+    mapping = F.create_map(*[F.lit(x) for pair in VALUE_OF_LABEL.items() for x in pair])
     return F.try_element_at(mapping, label)
 
 
@@ -24,6 +24,7 @@ def sentiment_value(df: DataFrame, sentiment_column: str = "sentiment_value") ->
     A missing value or an unknown label is an error.
     """
     columns = set(df.columns)
+    fault = F.lit("a sentiment value is missing")
     if sentiment_column in columns:
         value = F.col(sentiment_column).cast("double")
     elif {"score_positive", "score_negative"} <= columns:
@@ -31,10 +32,12 @@ def sentiment_value(df: DataFrame, sentiment_column: str = "sentiment_value") ->
     elif "sentiment" in columns:
         # Unknown labels have no value and fail below.
         value = label_value(F.col("sentiment"))
+        unknown = F.concat(F.lit("unknown sentiment label: "), F.col("sentiment"))
+        fault = F.coalesce(unknown, fault)
     else:
         raise ValueError("no sentiment: expected sentiment_value, positive and negative scores, or labels")
-    missing = F.raise_error(F.lit("a sentiment value is missing, or its label is unknown")).cast("double")
-    return F.coalesce(F.nanvl(value, F.lit(None).cast("double")), missing)
+    # The value is evaluated once; the message only where there is none.
+    return F.coalesce(F.nanvl(value, F.lit(None).cast("double")), F.raise_error(fault).cast("double"))
 
 
 def softmax(scores: Column, temperature: float = 1.0) -> Column:

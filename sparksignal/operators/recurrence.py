@@ -2,8 +2,9 @@
 
 A series is cut into fixed blocks of consecutive positions, so no task ever
 holds more than one block of one key, however long a single key's series is.
-Inside a block the rows are summed with weights; what all earlier blocks leave
-behind, the carry, comes from the blocks' end values. These form a recurrence
+Inside a block the rows are folded in order, as a plain loop would, or, where
+several recurrences share one pass, summed with weights; what all earlier blocks
+leave behind, the carry, comes from the blocks' end values. These form a recurrence
 of the same kind, many times shorter, and nothing of the history is cut off.
 """
 
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BLOCK = 4096
+# Rows that are folded one by one; a fold copies what it has found so far, so blocks are short.
+FOLD_BLOCK = 256
 MAX_LAGS = 64
 # Powers of the ratio inside a block span about 50 decimal places.
 MAX_EXPONENT = 115.0
@@ -104,15 +107,26 @@ def _attach_single(df: DataFrame, one: DataFrame, out: str) -> DataFrame:
 
 
 def _scan(df: DataFrame, share: str, out: str, ratio: float, position: str, keys: list[str]) -> DataFrame:
-    """e[i] = ratio*e[i-1] + share[i]."""
-    blocked = in_blocks(df, position, block_size([ratio]))
-    carried = block_carries(blocked, {"_carry": (F.col(share), ratio)}, block_size([ratio]), keys)
-    window = block_window(keys, position)
-    return (
-        blocked.join(carried, [*keys, "_block"], "left")
-        .withColumn(out, smoothed(F.col(share), F.col("_carry"), ratio, window))
-        .drop("_block", "_offset", "_carry")
+    """e[i] = ratio*e[i-1] + share[i], folded row by row inside each block."""
+    names, rate = df.columns, F.lit(ratio)
+    order = lambda a, b: F.when(a[position] < b[position], -1).otherwise(1)
+    packed = (
+        df.withColumn("_block", F.floor(F.col(position) / FOLD_BLOCK))
+        .groupBy(*keys, "_block")
+        .agg(F.array_sort(F.collect_list(F.struct(*names)), order).alias("_rows"))
     )
+    end = F.aggregate("_rows", F.lit(0.0), lambda e, row: rate * e + row[share])
+    carried = _carries(packed.select(*keys, "_block", end.alias("_end")), ratio, FOLD_BLOCK, keys)
+
+    def fold(state: Column, row: Column) -> Column:
+        value = rate * state["e"] + row[share]
+        return F.struct(value.alias("e"), F.array_append(state["values"], value).alias("values"))
+
+    start = F.struct(F.coalesce("_carry", F.lit(0.0)).alias("e"), F.expr("cast(array() as array<double>)").alias("values"))
+    values = F.aggregate("_rows", start, fold, lambda state: state["values"])
+    joined = packed.join(carried, [*keys, "_block"], "left").select("_rows", values.alias("_values"))
+    opened = joined.select(F.explode(F.arrays_zip("_rows", "_values")).alias("_row"))
+    return opened.select(*[F.col(f"_row._rows.{c}").alias(c) for c in names], F.col("_row._values").alias(out))
 
 
 def block_carries(

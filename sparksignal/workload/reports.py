@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.sentiment import sentiment_value
+from ..operators.dedupe import with_article_key
+from ..operators.joins import attach_url_text, urls_without_text
 from ..operators.quality import (
     backfill_estimate,
     categories_per_sector,
@@ -15,16 +18,26 @@ from ..operators.quality import (
     taxonomy_report,
     taxonomy_violations,
 )
-from ..operators.dedupe import with_article_key
-from ..operators.joins import attach_url_text, urls_without_text
 from ..operators.similarity import threshold_join, top_k_join
-from ..session import work_path
+from ..session import cut_lineage, work_path
 from ..sources.news import file_manifest
 from ..sources.taxonomy import flatten_raw_taxonomy
 from ..streaming.collect import append_stream, collect_once_each, landed_stream, live_interval_means
+from ..streaming.state import collect_new, keep_state_on_disk, live_sentiment_series
 from .news import _RAW_TAXONOMY, _linked_news, raw_taxonomy
 from .similarity import _PAIRS
-from .tables import EVENT_LABELS, SQL_GROUPS, SQL_VALUE, group_centers, rounded, stamp, table, vectors
+from .tables import (
+    EVENT_LABELS,
+    SQL_GROUPS,
+    SQL_VALUE,
+    event_news,
+    group_centers,
+    nation_taxonomy,
+    rounded,
+    stamp,
+    table,
+    vectors,
+)
 
 
 def _mirror_scores(spark, sf):
@@ -158,6 +171,45 @@ def live_collection(spark, sf):
     return spark.read.parquet(out).select("event_id", "title", "source", "dedupe_key")
 
 
+def keyed_collection(spark, sf):
+    """Two landings, the second with all of the first again: only its new articles are stored."""
+    landed = work_path(spark, "landed-news")
+    out, log = work_path(spark, "live-news"), work_path(spark, "live-log")
+    events = table(spark, sf, "events").select(
+        "event_id", F.concat(F.lit("u"), F.col("user_id")).alias("title"), F.col("event_type").alias("source")
+    )
+    for part in (F.col("source") != "error", F.lit(True)):
+        events.where(part).write.mode("append").parquet(landed)
+        stream = landed_stream(spark, landed, events.schema)
+        collect_new(stream, out, log, ["event_id"], interval=None).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "title", "source", "dedupe_key")
+
+
+def live_sentiment_by_industry(spark, sf):
+    """The streamed form of the smoothed series per industry, from three landings that follow each other in time."""
+    landed = work_path(spark, "landed-news")
+    out, log = work_path(spark, "live-series"), work_path(spark, "live-log")
+    news = event_news(spark, sf).join(nation_taxonomy(spark, sf), "subindustria_id")
+    rows = cut_lineage(
+        news.select(
+            "industria_id", F.col("published_at").cast("timestamp").alias("timestamp"), sentiment_value(news).alias("sentiment_value")
+        )
+    )
+    keep_state_on_disk(spark)
+    for first, end in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-20"), ("2024-01-20", "2100-01-01")):
+        rows.where(F.col("timestamp").between(first, end) & (F.col("timestamp") < end)).write.mode("append").parquet(landed)
+        stream = landed_stream(spark, landed, rows.schema)
+        series = live_sentiment_series(stream, keys=["industria_id"], previous_window_weight=0.5)
+        append_stream(series, out, log, interval=None).awaitTermination()
+    return spark.read.parquet(out).select(
+        "industria_id",
+        stamp("timestamp").alias("timestamp"),
+        "news_count",
+        rounded("sentiment").alias("sentiment"),
+        rounded("sentiment_influenced").alias("sentiment_influenced"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -173,6 +225,8 @@ QUERIES = {
         backfill_volume,
         live_15m_means,
         live_collection,
+        keyed_collection,
+        live_sentiment_by_industry,
     )
 }
 
@@ -250,4 +304,24 @@ FROM news, closed WHERE w + INTERVAL 15 MINUTE <= mark GROUP BY w""",
 SELECT min(event_id) AS event_id, 'u' || user_id AS title, event_type AS source,
        md5('u' || user_id || '|' || event_type) AS dedupe_key
 FROM events GROUP BY user_id, event_type""",
+    "keyed_collection": """
+SELECT min(event_id) AS event_id, 'u' || user_id AS title, event_type AS source,
+       md5('u' || user_id || '|' || event_type) AS dedupe_key
+FROM events GROUP BY user_id, event_type""",
+    "live_sentiment_by_industry": f"""
+WITH news AS (
+  SELECT r_name AS k, time_bucket(INTERVAL 15 MINUTE, ts) AS w, {SQL_VALUE} AS v
+  FROM events JOIN nation ON user_id % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+closed AS (SELECT time_bucket(INTERVAL 15 MINUTE, date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE) AS mark FROM events),
+agg AS (SELECT k, w, count(*) AS n, avg(v) AS m FROM news, closed WHERE w < mark GROUP BY 1, 2),
+grid AS (SELECT k, unnest(generate_series(min(w), any_value(mark) - INTERVAL 15 MINUTE, INTERVAL 15 MINUTE)) AS w
+         FROM agg, closed GROUP BY 1),
+filled AS (SELECT k, w, coalesce(n, 0) AS n,
+                  last_value(m IGNORE NULLS) OVER (PARTITION BY k ORDER BY w) AS s,
+                  row_number() OVER (PARTITION BY k ORDER BY w) AS i
+           FROM grid LEFT JOIN agg USING (k, w)),
+series AS (SELECT k, list(s ORDER BY w) AS xs FROM filled GROUP BY 1)
+SELECT k AS industria_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS timestamp, n AS news_count, round(s, 6) AS sentiment,
+       round(list_reduce(xs[1:i], lambda a, x: 0.5::DOUBLE * a + 0.5::DOUBLE * x), 6) + 0.0 AS sentiment_influenced
+FROM filled JOIN series USING (k)""",
 }
