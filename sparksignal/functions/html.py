@@ -36,11 +36,36 @@ VOID_TAGS = {
     "wbr",
 }
 
+# Elements whose end tag may be left out before the element named, and those that keep them open.
+_TABLE = frozenset({"table", "template"})
+_LISTS = frozenset({"ul", "ol", "menu", "table", "template"})
+_PARAGRAPH_LIMITS = frozenset({"button", "caption", "object", "table", "td", "template", "th"})
+ENDED_BY = {
+    "li": (frozenset({"li"}), _LISTS),
+    "dt": (frozenset({"dt", "dd"}), frozenset({"dl", "table", "template"})),
+    "dd": (frozenset({"dt", "dd"}), frozenset({"dl", "table", "template"})),
+    "td": (frozenset({"td", "th"}), _TABLE | {"tr"}),
+    "th": (frozenset({"td", "th"}), _TABLE | {"tr"}),
+    "tr": (frozenset({"tr", "td", "th"}), _TABLE),
+    "thead": (frozenset({"thead", "tbody", "tfoot", "tr", "td", "th"}), _TABLE),
+    "tbody": (frozenset({"thead", "tbody", "tfoot", "tr", "td", "th"}), _TABLE),
+    "tfoot": (frozenset({"thead", "tbody", "tfoot", "tr", "td", "th"}), _TABLE),
+    "option": (frozenset({"option"}), frozenset({"select", "datalist"})),
+    "optgroup": (frozenset({"option", "optgroup"}), frozenset({"select"})),
+    "body": (frozenset({"head"}), frozenset()),
+} | {
+    name: (frozenset({"p"}), _PARAGRAPH_LIMITS)
+    for name in (
+        "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
+        "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul"
+    ).split()
+}
+_NOTHING = (frozenset(), frozenset())
+
 # Headings that delimit the business section of an annual report.
 SECTION_START = r"ITEM\s+1\.\s+BUSINESS"
 SECTION_END = r"ITEM\s+1A\.\s+RISK\s+FACTORS"
 
-_TAG = r"</?[a-zA-Z](?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[!?][^>]*+>"
 _HREF = r"(?is)<a\s[^>]*?(?<![\w-])href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)"
 _BREAK = "\u0001"
 
@@ -53,93 +78,117 @@ def drop_raw_blocks(html: Column, names: list[str] = RAW_BLOCKS) -> Column:
     return out
 
 
-def drop_nested_blocks(html: Column, names: list[str] = HIDDEN_BLOCKS) -> Column:
-    """Remove elements that may contain each other.
-
-    The text is cut before every opening and closing tag of the named elements;
-    only pieces outside all of them are kept. A block that is never closed runs
-    to the end of the page.
-    """
-    either = "|".join(names)
-    pieces = F.split(html, rf"(?i)(?=</?(?:{either})(?![\w-]))")
-    opening, closing = rf"(?i)^<(?:{either})(?![\w-])", rf"(?is)^</(?:{either})\s*>"
-    empty = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
-
-    def fold(state: Column, piece: Column) -> Column:
-        opens = piece.rlike(opening)
-        closes = piece.rlike(closing)
-        depth = (
-            F.when(opens, state["depth"] + 1)
-            .when(closes, F.greatest(state["depth"] - 1, F.lit(0)))
-            .otherwise(state["depth"])
-        )
-        visible = F.when(closes, F.regexp_replace(piece, closing, _BREAK)).otherwise(piece)
-        kept = F.when(depth == 0, F.concat(state["kept"], F.array(visible))).otherwise(state["kept"])
-        return F.struct(depth.alias("depth"), kept.alias("kept"))
-
-    folded = F.aggregate(pieces, empty, fold, lambda state: F.array_join(state["kept"], _BREAK))
-    return F.when(html.rlike(rf"(?i)<(?:{either})(?![\w-])"), folded).otherwise(html)
-
-
 @F.pandas_udf(T.StringType())
 def unescape_entities(text: pd.Series) -> pd.Series:
     """Decode character references such as &amp; and &#233;."""
     return text.map(html_lib.unescape, na_action="ignore")
 
 
-def text_nodes(html: Column) -> Column:
-    """Page text with every tag turned into one separator, entities decoded."""
-    return unescape_entities(F.regexp_replace(html, _TAG, _BREAK))
-
-
 def join_text_nodes(nodes: Column) -> Column:
     """Trim each text piece and join the non-empty ones by blanks."""
     pieces = F.transform(F.split(nodes, _BREAK), strip)
     return F.array_join(F.filter(pieces, lambda piece: piece != ""), " ")
 
 
-def visible_text(html: Column) -> Column:
-    """Readable text of a page, page title included."""
-    return join_text_nodes(text_nodes(drop_nested_blocks(drop_raw_blocks(html))))
-
-
-_ANY_TAG = re.compile(r"<(/?)([a-zA-Z][\w:.-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>")
+_TOKEN = re.compile(
+    r"<!--.*?-->|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.DOTALL
+)
 _HIDDEN_STYLE = re.compile(
     r"""style\s*=\s*(?:"[^"]*display:\s*none[^"]*"|'[^']*display:\s*none[^']*'|display:none)""", re.IGNORECASE
 )
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW_BLOCKS}
+
+
+class _OpenElements:
+    """The elements open at a place of a page, and whether one of them hides what is in it."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.count: dict[str, int] = {}
+        self.hidden_from: int | None = None
+
+    def open(self, name: str, hidden: bool) -> None:
+        if hidden and self.hidden_from is None:
+            self.hidden_from = len(self.names)
+        self.names.append(name)
+        self.count[name] = self.count.get(name, 0) + 1
+
+    def _cut(self, size: int) -> None:
+        while len(self.names) > size:
+            self.count[self.names.pop()] -= 1
+        if self.hidden_from is not None and self.hidden_from >= size:
+            self.hidden_from = None
+
+    def close(self, name: str) -> None:
+        """An end tag also ends all elements inside; one that nothing waits for is ignored."""
+        if self.count.get(name):
+            self._cut(len(self.names) - 1 - self.names[::-1].index(name))
+
+    def close_before(self, name: str) -> None:
+        """End the elements whose end tag may be left out before a ``name`` element."""
+        ends, limits = ENDED_BY.get(name, _NOTHING)
+        while any(self.count.get(e) for e in ends):
+            for at in range(len(self.names) - 1, -1, -1):
+                if self.names[at] in ends:
+                    self._cut(at)
+                    break
+                if self.names[at] in limits:
+                    return
+            else:
+                return
+
+
+def page_pieces(page: str, hidden_names: frozenset[str] = frozenset(), styled: bool = False) -> list[str]:
+    """The text between a page's tags, in one pass, without what hidden elements hold.
+
+    ``hidden_names`` are hidden elements; with ``styled``, so are elements styled
+    ``display: none``. A hidden element ends where its end tag stands, where an
+    element around it ends, or where a new element ends it (a list entry the one
+    before it). Scripts, style sheets and comments are no text.
+    """
+    kept, position, elements = [], 0, _OpenElements()
+    token = _TOKEN.search(page)
+    while token:
+        if elements.hidden_from is None:
+            kept.append(page[position : token.start()])
+        position = token.end()
+        closing, name, attributes = token.group(1), token.group(2), token.group(3)
+        if name:
+            name = name.lower()
+            if closing:
+                elements.close(name)
+            else:
+                elements.close_before(name)
+                whole = name in VOID_TAGS or attributes.endswith("/")
+                if not whole and name in _RAW_END:
+                    end = _RAW_END[name].search(page, position)
+                    position = end.end() if end else len(page)
+                elif not whole:
+                    elements.open(name, name in hidden_names or (styled and bool(_HIDDEN_STYLE.search(attributes))))
+        token = _TOKEN.search(page, position)
+    if elements.hidden_from is None:
+        kept.append(page[position:])
+    return kept
+
+
+@F.pandas_udf(T.StringType())
+def text_nodes(html: pd.Series) -> pd.Series:
+    """Texts between tags, entities decoded, separated by one mark; none from elements without visible text."""
+    names = frozenset(HIDDEN_BLOCKS)
+    return html.map(lambda page: html_lib.unescape(_BREAK.join(page_pieces(page, names))), na_action="ignore")
+
+
+def visible_text(html: Column) -> Column:
+    """Readable text of a page, page title included."""
+    return join_text_nodes(text_nodes(html))
 
 
-def remove_hidden(html: str) -> str:
-    """Cut out elements styled ``display: none`` together with all they contain."""
-    kept, position, name, depth = [], 0, None, 0
-    for tag in _ANY_TAG.finditer(html):
-        closing, tag_name, attributes = tag.group(1), tag.group(2).lower(), tag.group(3)
-        if name is not None:
-            if tag_name == name and not attributes.endswith("/"):
-                depth += -1 if closing else 1
-                if depth == 0:
-                    position, name = tag.end(), None
-        elif not closing and _HIDDEN_STYLE.search(attributes):
-            kept += [html[position : tag.start()], _BREAK]
-            position = tag.end()
-            if tag_name not in VOID_TAGS and not attributes.endswith("/"):
-                name, depth = tag_name, 1
-    if name is None:
-        kept.append(html[position:])
-    return "".join(kept)
-
-
-_COMMENT = re.compile(r"<!--.*?-->", re.DOTALL)
-_PYTHON_TAG = re.compile(r"</?[a-zA-Z](?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|<[!?][^>]*>")
 _PYTHON_SPACES = re.compile(r"\s+")
 
 
 def plain_filing_text(html: str) -> str:
     """Text of one filing without hidden elements and tags, white space collapsed."""
-    page = _COMMENT.sub(" ", html)
-    if "none" in page.lower():
-        page = remove_hidden(page)
-    return _PYTHON_SPACES.sub(" ", html_lib.unescape(_PYTHON_TAG.sub(" ", page)).replace(_BREAK, " "))
+    return _PYTHON_SPACES.sub(" ", html_lib.unescape(" ".join(page_pieces(html, styled=True))))
 
 
 @F.pandas_udf(T.StringType())

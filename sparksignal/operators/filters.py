@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions.common import collapse, is_blank, strip
 from ..functions.dates import in_day_range
+from .keywords import keyword_rows
 
 # Outlets whose headlines are kept by default.
-PERMITTED_OUTLETS = {"wsj"}
+DEFAULT_OUTLETS = {"wsj"}
+
+# Longer keyword lists are looked for by an automaton, in one pass.
+FEW_KEYWORDS = 32
 
 DEFAULT_THRESHOLD = 0.55
 LEGACY_THRESHOLD = -35.0
@@ -27,7 +31,7 @@ def contains_any(text: Column, keywords: Iterable[str]) -> Column:
 
 def keyword_filter(
     df: DataFrame,
-    keywords: Sequence[str],
+    keywords: Sequence[str] | DataFrame,
     *,
     title: str = "title",
     summary: str = "news_summary",
@@ -37,28 +41,39 @@ def keyword_filter(
     """Rows whose title and/or summary contain a keyword.
 
     Keywords are trimmed and blank ones ignored; without any keyword there is
-    no output.
+    no output. They are a list or a table's first column, of any length.
     """
-    words = [k.strip() for k in keywords if k.strip()]
-    if not words:
-        return df.limit(0)
     parts = [F.coalesce(F.col(title), F.lit(""))] * match_title
     parts += [F.coalesce(F.col(summary), F.lit(""))] * match_summary
     text = F.concat_ws(" ", *parts) if parts else F.lit("")
-    return df.filter(contains_any(text, words))
+    if isinstance(keywords, DataFrame):
+        return _by_table(df, text, keywords, trim=True)
+    words = [k.strip() for k in keywords if k.strip()]
+    if not words:
+        return df.limit(0)
+    return df.filter(contains_any(text, words)) if len(words) <= FEW_KEYWORDS else _by_table(df, text, words, trim=True)
 
 
-def raw_keyword_filter(df: DataFrame, keywords: Sequence[str] | None, line: str = "value") -> DataFrame:
+def raw_keyword_filter(df: DataFrame, keywords: Sequence[str] | DataFrame | None, line: str = "value") -> DataFrame:
     """Raw records that contain a keyword anywhere.
 
     Keywords are taken as they are, so an empty one matches every record; no
-    keyword list at all keeps everything.
+    keyword list at all, or an empty one, keeps everything. An empty table does not.
     """
-    return df.filter(contains_any(F.col(line), keywords)) if keywords else df
+    if isinstance(keywords, DataFrame):
+        return _by_table(df, F.col(line), keywords, trim=False)
+    if not keywords:
+        return df
+    few = len(keywords) <= FEW_KEYWORDS
+    return df.filter(contains_any(F.col(line), keywords)) if few else _by_table(df, F.col(line), keywords, trim=False)
+
+
+def _by_table(df: DataFrame, text: Column, keywords: Sequence[str] | DataFrame, trim: bool) -> DataFrame:
+    return keyword_rows(df, text, keywords, out="_matched", trim=trim).drop("_matched")
 
 
 def outlet_filter(
-    df: DataFrame, outlets: Iterable[str] = PERMITTED_OUTLETS, outlet: str = "outlet"
+    df: DataFrame, outlets: Iterable[str] = DEFAULT_OUTLETS, outlet: str = "outlet"
 ) -> DataFrame:
     """Rows of permitted outlets, with date, headline and outlet cleaned."""
     name = F.lower(strip(F.col(outlet)))

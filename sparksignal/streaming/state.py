@@ -31,35 +31,42 @@ def keep_state_on_disk(spark: SparkSession) -> None:
 
 
 def first_of_each_key(
-    stream: DataFrame, order: Sequence[str], key: str = "dedupe_key", forget_after: str | None = None
+    stream: DataFrame, order: Sequence[str], key: str = "dedupe_key", time: str | None = None, forget_after: str | None = None
 ) -> DataFrame:
     """Rows whose key no earlier cycle had; of a cycle's rows of one key, the first by ``order``.
 
     Rows of a NULL key are taken as one key. With ``forget_after`` (such as
-    ``30 days``) a key is new again if nothing of it came for so long.
+    ``30 days``) a key is forgotten once the latest ``time`` of all rows is so far
+    ahead of the key's own; rows that come later than that are left out.
     """
-    order = list(order)
-    columns = stream.columns
-    limit = None if forget_after is None else int(pd.Timedelta(forget_after).total_seconds() * 1000)
+    if (time is None) != (forget_after is None):
+        raise ValueError("forgetting keys takes a time column and a duration")
+    order, columns = list(order), stream.columns
 
     def pick(_, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        best = None
-        if not state.exists:
-            # Parts are bounded batches, so a key may have any number of rows.
-            for part in parts:
+        best, latest = None, state.get[0] if state.exists else -1
+        # Parts are bounded batches, so a key may have any number of rows.
+        for part in parts:
+            if time is not None:
+                latest = max(latest, int(part["_millis"].max()))
+            if not state.exists:
                 found = part.sort_values(order, kind="stable").head(1)
                 best = found if best is None else pd.concat([best, found]).sort_values(order, kind="stable").head(1)
-        state.update((True,))
-        if limit is not None:
-            state.setTimeoutDuration(limit)
+        state.update((latest,))
+        if time is not None:
+            state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + 1)
         if best is not None:
             yield best[columns]
 
-    timeout = GroupStateTimeout.NoTimeout if limit is None else GroupStateTimeout.ProcessingTimeTimeout
-    return stream.groupBy(key).applyInPandasWithState(pick, stream.schema, "seen boolean", "append", timeout)
+    timeout = GroupStateTimeout.NoTimeout
+    rows = stream
+    if time is not None:
+        rows = stream.where(F.col(time).isNotNull()).withWatermark(time, forget_after).withColumn("_millis", F.unix_millis(time))
+        timeout = GroupStateTimeout.EventTimeTimeout
+    return rows.groupBy(key).applyInPandasWithState(pick, stream.schema, "latest long", "append", timeout)
 
 
 def collect_new(
@@ -69,15 +76,16 @@ def collect_new(
     order: Sequence[str],
     *,
     interval: str | None = DEFAULT_INTERVAL,
+    time: str | None = None,
     forget_after: str | None = None,
 ) -> StreamingQuery:
     """Append articles no cycle of this checkpoint has seen; the first by ``order`` wins.
 
     What is stored is never read again, unlike in ``collect_once_each``, which
-    also knows what other checkpoints stored.
+    also knows what other checkpoints stored. See ``first_of_each_key``.
     """
     keep_state_on_disk(stream.sparkSession)
-    fresh = first_of_each_key(with_article_key(stream), order, forget_after=forget_after)
+    fresh = first_of_each_key(with_article_key(stream), order, time=time, forget_after=forget_after)
     return append_stream(fresh, path, checkpoint, interval=interval)
 
 

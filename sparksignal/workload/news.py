@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import collapse
 from ..functions.dates import with_publication_day
-from ..functions.html import page_body, page_links, page_title, visible_text
+from ..functions.html import filing_text, page_body, page_links, page_title, visible_text
 from ..functions.sentiment import sentiment_value
 from ..functions.text import category_sentence, compose_headline, url_title
 from ..operators.dedupe import (
@@ -25,6 +25,7 @@ from ..operators.filters import (
     raw_keyword_filter,
 )
 from ..operators.joins import attach_page_text, enrich_articles
+from ..operators.keywords import keyword_rows
 from ..plans.filings import filing_sections
 from ..plans.pipeline import prepare_news
 from ..session import work_path
@@ -237,6 +238,36 @@ def keyword_news(spark, sf):
     return keyword_filter(news, ["SRC7 ", " ", "Von Der"]).select("doc_id", "news_summary")
 
 
+def keyword_table_news(spark, sf):
+    """Orders as news that name their customer and parts, against all names of parts and customers, with what they name."""
+    part, customer = table(spark, sf, "part"), table(spark, sf, "customer")
+    padded = F.concat(F.lit(" \t"), F.upper("keyword"), F.lit("\n"))
+    names = part.select(F.col("p_name").alias("keyword")).unionByName(customer.select(F.col("c_name").alias("keyword")))
+    blank = spark.createDataFrame([(" ",), (None,)], "keyword string")
+    asked = names.select(padded.alias("keyword")).unionByName(blank)
+    items = table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    sold = items.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("p_name")), ", ").alias("news_summary"))
+    orders = table(spark, sf, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    news = orders.join(sold, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        "o_orderkey", F.concat(F.lit("Order by "), "c_name").alias("title"), "news_summary"
+    )
+    text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("news_summary", F.lit("")))
+    return keyword_rows(news, text, asked).select("o_orderkey", F.array_join("matched", "|").alias("matched"))
+
+
+def raw_keyword_table(spark, sf):
+    """Raw lines of whole documents against all words of the benchmark and of the taxonomy, blanks around them kept."""
+    lines = table(spark, sf, "documents").select("doc_id", F.concat_ws("\t", "source", "lang", "text").alias("value"))
+    words = table(spark, sf, "benchmark").select(F.explode(F.split("text", r"[ \n]")).alias("keyword")).distinct()
+    names = table(spark, sf, "customer").select("c_name").union(table(spark, sf, "part").select("p_name"))
+    asked = words.select(F.concat(F.lit(" "), "keyword", F.lit(" ")).alias("keyword")).where("keyword <> '  '").unionByName(
+        names.toDF("keyword")
+    )
+    return keyword_rows(lines, F.col("value"), asked, trim=False).select(
+        "doc_id", F.size("matched").cast("long").alias("n_matched"), F.md5(F.array_join("matched", "|")).alias("matched_md5")
+    )
+
+
 def keyword_summaries(spark, sf):
     news = headlines(spark, sf).withColumn("news_summary", F.col("source"))
     return keyword_filter(news, ["src1"], match_title=False).select("doc_id")
@@ -369,6 +400,37 @@ def enriched_articles(spark, sf):
     return enrich_articles(pending, extracted)
 
 
+def _as_html(text):
+    return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def _unclosed_pages(spark, sf):
+    """Whole documents in pages that leave hidden elements and menus open."""
+    docs = table(spark, sf, "documents")
+    text, lang = _as_html(F.coalesce("text", F.lit(""))), F.coalesce("lang", F.lit("?"))
+    parts = [
+        ("<div><p style='display:none'>gone <b>gone<p>", lang, "</div><section>", text),
+        ("<ul><li style=\"color:red; DISPLAY: none\">gone<li>", lang, "</ul></b><p>", text),
+        ("<main><nav style='display:none'><a>gone</main><p>", lang, "<section>", text),
+        ("<table><tr><td style=display:none>gone<td>", lang, "<tr><td>", text, "</table><header style='display:none'>gone"),
+    ]
+    pages = [F.concat(*[F.lit(p) if isinstance(p, str) else p for p in page]) for page in parts]
+    html = F.get(F.array(*pages), F.pmod("doc_id", F.lit(len(pages))).cast("int"))
+    return docs.select("doc_id", html.alias("html"))
+
+
+def unclosed_hidden_filings(spark, sf):
+    """Filing text of pages with hidden elements that nothing closes."""
+    text = F.trim(filing_text(F.col("html")))
+    return _unclosed_pages(spark, sf).select("doc_id", F.length(text).alias("chars"), F.md5(text).alias("text_md5"))
+
+
+def unclosed_block_pages(spark, sf):
+    """Visible text of pages whose menus are closed by the elements around them; styles hide nothing here."""
+    text = F.replace(F.replace(visible_text(F.col("html")), F.lit("\n"), F.lit("")), F.lit(" "), F.lit(""))
+    return _unclosed_pages(spark, sf).select("doc_id", F.length(text).alias("chars"), F.md5(text).alias("text_md5"))
+
+
 def page_visible_text(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", visible_text(F.col("html")).alias("text"))
     return pages.select("page_id", F.md5("text").alias("text_md5"), F.length("text").alias("chars"))
@@ -456,6 +518,8 @@ QUERIES = {
         ragged_outlet_headlines,
         main_filing_documents,
         keyword_news,
+        keyword_table_news,
+        raw_keyword_table,
         keyword_summaries,
         outlet_news,
         orders_in_range,
@@ -469,6 +533,8 @@ QUERIES = {
         attached_page_text,
         enriched_articles,
         page_visible_text,
+        unclosed_hidden_filings,
+        unclosed_block_pages,
         page_link_edges,
         business_sections,
         deduped_headlines,
@@ -572,6 +638,20 @@ QUALIFY row_number() OVER (PARTITION BY filing ORDER BY length DESC, path) = 1""
     "keyword_news": """
 SELECT doc_id, source AS news_summary FROM documents
 WHERE contains(lower(text || ' ' || source), 'src7') OR contains(lower(text || ' ' || source), 'von der')""",
+    "keyword_table_news": r"""
+WITH asked AS (SELECT DISTINCT lower(k) AS k FROM (SELECT p_name AS k FROM part UNION ALL SELECT c_name FROM customer)),
+sold AS (SELECT l_orderkey, string_agg(p_name, ', ' ORDER BY p_name) AS s
+         FROM (SELECT DISTINCT l_orderkey, p_name FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY 1),
+news AS (SELECT o_orderkey, lower('Order by ' || c_name || ' ' || coalesce(s, '')) AS t
+         FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN sold ON o_orderkey = l_orderkey)
+SELECT o_orderkey, string_agg(k, '|' ORDER BY k) AS matched FROM news JOIN asked ON contains(t, k) GROUP BY 1""",
+    "raw_keyword_table": r"""
+WITH asked AS (
+  SELECT DISTINCT lower(' ' || k || ' ') AS k FROM (SELECT unnest(regexp_split_to_array(text, '[ \n]')) AS k FROM benchmark) WHERE k <> ''
+  UNION SELECT lower(p_name) FROM part UNION SELECT lower(c_name) FROM customer),
+lines AS (SELECT doc_id, lower(concat_ws(chr(9), source, lang, text)) AS t FROM documents)
+SELECT doc_id, count(*) AS n_matched, md5(string_agg(k, '|' ORDER BY k)) AS matched_md5
+FROM lines JOIN asked ON contains(t, k) GROUP BY 1""",
     "keyword_summaries": "SELECT doc_id FROM documents WHERE contains(lower(source), 'src1')",
     "outlet_news": f"""
 SELECT CAST(doc_id AS VARCHAR) AS date, source AS outlet, md5({_COLLAPSED}) AS headline_md5,
@@ -634,6 +714,13 @@ SELECT doc_id, CASE WHEN hit AND page_title <> '' THEN page_title ELSE url END A
        CASE WHEN hit AND body <> '' THEN substr(replace(body, chr(10), ' '), 1, 500) ELSE '' END AS news_summary,
        CASE WHEN hit THEN 'GDELT|' || url ELSE 'GDELT' END AS source
 FROM named""",
+    "unclosed_hidden_filings": r"""
+SELECT doc_id, length(t) AS chars, md5(t) AS text_md5
+FROM (SELECT doc_id, trim(coalesce(lang, '?') || ' ' || trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS t FROM documents)""",
+    "unclosed_block_pages": r"""
+SELECT doc_id, length(t) AS chars, md5(t) AS text_md5
+FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'gonegone' WHEN 2 THEN '' ELSE 'gone' END || coalesce(lang, '?')
+             || regexp_replace(coalesce(text, ''), '\s+', '', 'g') AS t FROM documents)""",
     "page_visible_text": f"""
 WITH texts AS (SELECT page_id, {sql_visible("html")} AS text FROM pages)
 SELECT page_id, md5(text) AS text_md5, CAST(length(text) AS INTEGER) AS chars FROM texts""",

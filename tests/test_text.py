@@ -7,6 +7,7 @@ from sparksignal.functions.html import (
     business_section,
     filing_text,
     page_body,
+    page_pieces,
     page_links,
     page_title,
     visible_text,
@@ -291,3 +292,36 @@ def test_urls_that_landed_twice_keep_one_row(spark):
     pending = news.select("n", "title", F.lit("").alias("news_summary"), F.lit("S").alias("source"))
     extracted = pages.select("url", F.col("html").alias("page_title"), F.col("html").alias("page_body"))
     assert sorted(r["n"] for r in enrich_articles(pending, extracted).collect()) == [1, 2, 3, 4]
+
+
+PAGES = [
+    # (page, filing text, visible text)
+    ("<div><p style='display:none'>x<p>y</p></div>Item 1. Business tail", "y Item 1. Business tail", "x y Item 1. Business tail"),
+    ('<li style="display:none">a<li>b</ul><p>tail', "b tail", "a b tail"),
+    ("<div style='display:none'>a<span>b</div>c", "c", "a b c"),
+    ("<b style='display:none'>a<i>b</b>c</i>d", "c d", "a b c d"),
+    ("<main><nav>menu<a>x</main>text", "menu x text", "text"),
+    ("<div><header>top</div>text<footer>end", "top text end", "text"),
+    ("<nav>a<nav>b</nav>c</nav>d", "a b c d", "d"),
+    ("</nav>a</p>b", "a b", "a b"),
+    ("<table><tr><td style=display:none>a<td>b<tr><td>c<table><tr><td style='display: none'>d</table>e</table>f", "b c e f", "a b c d e f"),
+    ("<p style='display:none'>a<div>b</div>", "b", "a b"),
+    ("<p style='display:none'>a<button><p>b</button>c</p>d", "d", "a b c d"),
+    ("<div style='display:none'/>a<br style='display:none'>b", "a b", "a b"),
+    ("<script>var a = '<nav>';</script>a<style>b</style>c<!-- <nav> -->d", "a c d", "a c d"),
+    ("<script>never closed", "", ""),
+    ("<dl><dt style='display:none'>a<dd>b</dl>c<select><option style='display:none'>d<option>e</select>", "b c e", "a b c d e"),
+    ("a < b and 1<2 <nav", "a < b and 1<2 <nav", "a < b and 1<2 <nav"),
+    ("", "", ""),
+]
+
+
+def test_open_elements(spark):
+    df = spark.createDataFrame([(i, p[0]) for i, p in enumerate(PAGES)] + [(len(PAGES), None)], "i int, html string")
+    found = df.select("i", F.trim(filing_text(F.col("html"))), visible_text(F.col("html"))).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in found] == [p[1:] for p in PAGES] + [(None, None)]
+
+
+def test_deep_pages_take_one_pass():
+    page = "<div>" * 50_000 + "<p style='display:none'>x" + "<b>" * 50_000 + "</div>text"
+    assert page_pieces(page, styled=True)[-1] == "text"
