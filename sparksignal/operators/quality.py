@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.common import fail_if, strip
 from ..session import cut_lineage
@@ -15,6 +18,9 @@ from .filters import contains_any, first_rows
 EXACT_ROWS = 1_000_000
 HISTOGRAM_BINS = 4096
 
+#: How the time of a file names its partition.
+FILE_TIME = "yyyyMMddHHmmss"
+
 # Planning constants of the backfill estimate.
 BYTES_PER_ROW, SECONDS_PER_FILE = 400, 0.5
 
@@ -214,14 +220,23 @@ def backfill_estimate(
     *,
     sample_files: int = 20,
     line: str = "value",
+    partition: str | None = None,
 ) -> DataFrame:
     """Volume of a backfill, extrapolated from a sample of its files.
 
     ``manifest`` is (file_ts, url, size_bytes); ``contents`` is (url, value) with
-    one record per row. Only records of sampled files are read further.
+    one record per row. Only records of sampled files are read further. If the
+    contents are stored by file time (see ``land_by_file_time``), ``partition``
+    names that column, and only the partitions of sampled files are read at all.
     """
-    sample = stride_sample(manifest, sample_files)
-    records = contents.join(sample.select("url"), "url", "left_semi").filter(strip(F.col(line)) != "")
+    sample = cut_lineage(stride_sample(manifest, sample_files))
+    keys = sample.select("url")
+    if partition:
+        # The sample has at most ``sample_files`` rows: it is broadcast, and its times prune the scan. Without a
+        # comparison on this side the planner would not expect that to pay; no listed URL is empty.
+        named = sample.where(F.col("url") != "")
+        keys = F.broadcast(named.select("url", F.date_format("file_ts", FILE_TIME).alias(partition)))
+    records = contents.join(keys, keys.columns, "left_semi").filter(strip(F.col(line)) != "")
     matched = contains_any(F.col(line), keywords) if keywords else F.lit(True)
     content = records.agg(
         F.count(F.lit(1)).alias("total_rows"),
@@ -259,6 +274,14 @@ def backfill_estimate(
     )
 
 
+def land_by_file_time(contents: DataFrame, path: str, partition: str = "file_time", time: str = "file_ts") -> DataFrame:
+    """Store records by the time of their file, one partition each, and return the stored table."""
+    landed = contents.withColumn(partition, F.date_format(time, FILE_TIME))
+    landed.drop(time).write.partitionBy(partition).parquet(path)
+    schema = T.StructType([f for f in landed.schema if f.name not in (time, partition)] + [T.StructField(partition, T.StringType())])
+    return contents.sparkSession.read.schema(schema).parquet(path)
+
+
 def observe_run(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, Observation]:
     """Attach run counters that are gathered while the job runs, without a second pass."""
     observation = Observation(name)
@@ -267,12 +290,30 @@ def observe_run(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame
     return df.observe(observation, *metrics), observation
 
 
+def write_counted(df: DataFrame, path: str, **counters: Column) -> DataFrame:
+    """Store the rows; the same counters as a table, from the job that writes them and no other."""
+    watched, seen = observe_run(df, f"run-{uuid.uuid4().hex}", **counters)
+    watched.write.parquet(path)
+    names = ["total", *counters]
+    counted = df.sparkSession.createDataFrame([tuple(seen.get[n] for n in names)], ", ".join(f"`{n}` long" for n in names))
+    return _with_shares(counted, counters)
+
+
+def stream_counters(query: StreamingQuery, name: str) -> list[dict[str, int]]:
+    """What an observation of this name counted in each cycle of a running or finished stream."""
+    return [p.observedMetrics[name].asDict() for p in query.recentProgress if name in p.observedMetrics]
+
+
 def run_counters(df: DataFrame, **counters: Column) -> DataFrame:
-    """The same counters as a table, each with its share of all rows in percent."""
+    """The same counters as a table, each with its share of all rows in percent, in a pass of its own."""
     counted = df.agg(
         F.count(F.lit(1)).alias("total"),
         *[F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(n) for n, c in counters.items()],
     )
+    return _with_shares(counted, counters)
+
+
+def _with_shares(counted: DataFrame, counters: Iterable[str]) -> DataFrame:
     shares = [
         F.coalesce(F.try_divide(F.col(n) * F.lit(100.0), F.col("total")), F.lit(0.0)).alias(f"{n}_pct")
         for n in counters

@@ -42,6 +42,7 @@ from ..sources.news import (
     read_ragged_csv,
 )
 from ..sources.sinks import publish, write_csv
+from ..sources.versions import publish_version, read_published
 from ..sources.taxonomy import check_dimension, flatten_raw_taxonomy, taxonomy_entries
 from .tables import SQL_HEADLINES, headlines, sql_visible, stamp, table
 
@@ -65,6 +66,16 @@ def published_news(spark, sf):
     return spark.read.parquet(path)
 
 
+def versioned_news(spark, sf):
+    """Published ten times, source by source and then whole; readers of the table get the last version."""
+    path = work_path(spark, "versions")
+    news = headlines(spark, sf).select("doc_id", "title", "source")
+    for k in range(9):
+        publish_version(news.where(F.col("source") == f"src{k}"), path)
+    publish_version(news, path)
+    return read_published(spark, path)
+
+
 def _record_lines(spark, sf):
     """Documents as tab-separated event records; those in Spanish are too short."""
     pages = table(spark, sf, "pages").select("page_id", "url")
@@ -506,6 +517,7 @@ QUERIES = {
     for f in (
         news_csv_roundtrip,
         published_news,
+        versioned_news,
         event_record_rows,
         event_record_rows_by_keyword,
         raw_record_filter,
@@ -751,3 +763,4 @@ UNION ALL SELECT conv_id, role FROM conversations""",
     "numbered_events": "SELECT event_id, row_number() OVER (ORDER BY value, event_id) - 1 AS article_id FROM events",
     "sentiment_values": "SELECT doc_id, quality * 0.75::DOUBLE - toxic * 0.5::DOUBLE AS sentiment_value FROM labels",
 }
+ORACLES["versioned_news"] = ORACLES["published_news"]

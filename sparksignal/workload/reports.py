@@ -13,11 +13,14 @@ from ..operators.quality import (
     classification_quality,
     dataset_profile,
     industry_distribution,
-    run_counters,
+    land_by_file_time,
     similarity_statistics,
     taxonomy_report,
     taxonomy_violations,
+    write_counted,
 )
+from ..operators.quarantine import score_with_quarantine
+from ..operators.scoring import NEGATIVE_WORDS, POSITIVE_WORDS, lexicon_scorer
 from ..operators.similarity import threshold_join, top_k_join
 from ..session import cut_lineage, work_path
 from ..sources.news import file_manifest
@@ -116,8 +119,10 @@ def headline_profile(spark, sf):
 
 
 def collection_counters(spark, sf):
+    """Counted by the job that stores the rows."""
     news = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    counters = run_counters(news, labelled=F.col("quality").isNotNull(), toxic=F.coalesce(F.col("toxic"), F.lit(0)) == 1)
+    toxic = F.coalesce(F.col("toxic"), F.lit(0)) == 1
+    counters = write_counted(news, work_path(spark, "collected"), labelled=F.col("quality").isNotNull(), toxic=toxic)
     return counters.withColumns({c: rounded(c) for c in ("labelled_pct", "toxic_pct")})
 
 
@@ -125,20 +130,53 @@ def extraction_counters(spark, sf):
     return urls_without_text(attach_url_text(_linked_news(spark, sf)))
 
 
-def backfill_volume(spark, sf):
+def _page_files(spark, sf):
     """Pages as listed files, their records cut at paragraph ends."""
-    pages = table(spark, sf, "pages")
-    when = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 900), "yyyyMMddHHmmss")
-    url = F.concat(F.lit("http://files.example.org/"), when, F.lit(".gkg.csv.zip"))
+    pages = table(spark, sf, "pages").withColumn("file_ts", F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 900))
+    url = F.concat(F.lit("http://files.example.org/"), F.date_format("file_ts", "yyyyMMddHHmmss"), F.lit(".gkg.csv.zip"))
     lines = pages.select(F.concat(F.length("html"), F.lit(" h "), url).alias("value"))
-    contents = pages.select(url.alias("url"), F.explode(F.split("html", "</p>")).alias("value"))
-    estimate = backfill_estimate(
-        file_manifest(lines, "2024-01-01", "2024-12-31"), contents, ["nicht", "the and"], sample_files=20
-    )
+    contents = pages.select("file_ts", url.alias("url"), F.explode(F.split("html", "</p>")).alias("value"))
+    return file_manifest(lines, "2024-01-01", "2024-12-31"), contents
+
+
+def _estimate(manifest, contents, **options):
+    estimate = backfill_estimate(manifest, contents, ["nicht", "the and"], sample_files=20, **options)
     numbers = ["match_rate", "listed_bytes", "zip_bytes", "text_bytes", "estimated_seconds"]
     return estimate.withColumns({c: rounded(F.col(c).cast("double")) for c in numbers})
 
 
+def backfill_volume(spark, sf):
+    manifest, contents = _page_files(spark, sf)
+    return _estimate(manifest, contents.drop("file_ts"))
+
+
+def backfill_volume_by_time(spark, sf):
+    """The same from records that are stored by file time: only the sampled files' partitions are read."""
+    manifest, contents = _page_files(spark, sf)
+    return _estimate(manifest, land_by_file_time(contents, work_path(spark, "landed")), partition="file_time")
+
+
+def quarantined_scores(spark, sf):
+    """Sentiment of whole documents by a scorer that fails on some of them; what it fails on is kept apart with the reason."""
+
+    def factory():
+        score = lexicon_scorer()()
+
+        def checked(texts):
+            for text in texts:
+                if "@" in text or len(text) > 9000:
+                    raise ValueError("mail address" if "@" in text else "too long")
+            return score(texts)
+
+        return checked
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = score_with_quarantine(docs, "text", factory)
+    total = F.lit(scored.counts["total"] - scored.counts["kept"] - scored.counts["quarantined"]).alias("lost")
+    kept = scored.kept.select("doc_id", F.lit(None).cast("string").alias("reason"), "sentiment", total)
+    return kept.unionByName(scored.quarantined.select("doc_id", "reason", F.lit(None).cast("string").alias("sentiment"), total))
+
+
 def _event_stream(spark, sf):
     schema = table(spark, sf, "events").schema
     stream = landed_stream(spark, sf, schema, name_filter="events.parquet")
@@ -223,6 +261,8 @@ QUERIES = {
         collection_counters,
         extraction_counters,
         backfill_volume,
+        backfill_volume_by_time,
+        quarantined_scores,
         live_15m_means,
         live_collection,
         keyed_collection,
@@ -295,6 +335,14 @@ SELECT files, n AS sampled_files, total_rows, matched_rows, round(matched_rows::
        round(listed::DOUBLE, 6) AS listed_bytes, round(zip::DOUBLE / n * files, 6) AS zip_bytes,
        round(bytes::DOUBLE / n * files, 6) AS text_bytes, est AS estimated_rows, est * 400 AS estimated_output_bytes,
        round(files * 0.5::DOUBLE, 6) AS estimated_seconds FROM e""",
+    "quarantined_scores": f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, lower(coalesce(text, '')) AS low FROM documents),
+n AS (SELECT *, len(regexp_extract_all(low, '\\b(?:{"|".join(POSITIVE_WORDS)})\\b')) AS p,
+             len(regexp_extract_all(low, '\\b(?:{"|".join(NEGATIVE_WORDS)})\\b')) AS q FROM docs)
+SELECT doc_id, CASE WHEN contains(t, '@') THEN 'ValueError: mail address' WHEN length(t) > 9000 THEN 'ValueError: too long' END AS reason,
+       CASE WHEN contains(t, '@') OR length(t) > 9000 THEN NULL WHEN p >= q AND p >= 1 THEN 'positive' WHEN q >= 1 THEN 'negative'
+            ELSE 'neutral' END AS sentiment,
+       0 AS lost FROM n""",
     "live_15m_means": f"""
 WITH news AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS w, {SQL_VALUE} AS v FROM events),
 closed AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE AS mark FROM events)
@@ -325,3 +373,4 @@ SELECT k AS industria_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS timestamp, n AS ne
        round(list_reduce(xs[1:i], lambda a, x: 0.5::DOUBLE * a + 0.5::DOUBLE * x), 6) + 0.0 AS sentiment_influenced
 FROM filled JOIN series USING (k)""",
 }
+ORACLES["backfill_volume_by_time"] = ORACLES["backfill_volume"]
