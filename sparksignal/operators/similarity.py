@@ -18,12 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.sentiment import softmax
-from ..functions.vectors import unit
+from ..functions.vectors import cosine, unit
 from ..session import cut_lineage
 
 #: Bytes of one chunk of categories, other columns included.
@@ -346,14 +346,6 @@ def top_k_join(
     return entries.select(*kept, "_hit.*", (F.col("_at") + 1).alias("rank"))
 
 
-def best_k(hits: DataFrame, k: int, article_id: str, category_id: str, score: str = "confidence_score") -> DataFrame:
-    """The best k hits per article; an article has at most one hit per category."""
-    from pyspark.sql import Window
-
-    window = Window.partitionBy(article_id).orderBy(F.desc(score), F.asc(category_id))
-    return hits.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-
-
 def ranked_labels(
     ranked: DataFrame, article_id: str, labels: Sequence[str], threshold: float, score: str = "confidence_score"
 ) -> DataFrame:
@@ -589,3 +581,97 @@ def sector_probabilities(
     both = F.arrays_zip(F.col("_sectors").alias("s"), F.col("_probs").alias("p"))
     rows = scored.withColumn("_probs", shares).select(*kept, F.explode(both).alias("_row"))
     return rows.select(*kept, f"_row.s.{sector}", "_row.s.score", F.col("_row.p").alias("probability"))
+
+
+def _cells_of(rows: DataFrame, vector: str, cells: int | None, max_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``_cell``, cells with their centre and radius): about sqrt(n) cells, radii as angles."""
+    wanted = cells or max(1, math.ceil(math.sqrt(rows.count())))
+    centers = kmeans_centers(rows, vector, wanted, rounds=3, max_bytes=max_bytes)
+    centers = cut_lineage(centers.select("cell_id", unit(F.col("centre")).alias("centre")))
+    placed = cut_lineage(cell_probes(rows, centers, vector, 1, max_bytes))
+    with_centre = placed.join(centers.withColumnRenamed("cell_id", "_cell"), "_cell")
+    radius = F.max(_angle(cosine(F.col(vector), F.col("centre"))))
+    sizes = with_centre.groupBy("_cell").agg(radius.alias("radius"), F.count(F.lit(1)).alias("size"))
+    return placed, cut_lineage(sizes.join(centers.withColumnRenamed("cell_id", "_cell"), "_cell"))
+
+
+def _angle(cosine_: Column) -> Column:
+    return F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cosine_)))
+
+
+#: Angles are known up to so much; bounds are wider by it, so that rounding skips nothing.
+_ROUNDING = 1e-6
+
+
+def _near_cells(cells: DataFrame, min_score: float, max_bytes: int) -> DataFrame:
+    """Pairs (cell_a <= cell_b) that may hold vectors as close as ``min_score``.
+
+    The angle between two vectors is at least that between their centres, less
+    both radii.
+    """
+    widest = cells.agg(F.max("radius")).first()[0] or 0.0
+    reach = math.acos(max(-1.0, min(1.0, min_score))) + _ROUNDING
+    least = math.cos(min(math.pi, reach + 2 * widest))
+    left = cells.select(F.col("_cell").alias("cell_a"), F.col("radius").alias("radius_a"), F.col("size").alias("size_a"), "centre")
+    right = cells.select(F.col("_cell").alias("cell_b"), F.col("radius").alias("radius_b"), F.col("size").alias("size_b"), "centre")
+    # Scores carry rounding errors, too.
+    met = _threshold_join(left, right, least - _ROUNDING, "cell_b", "centre", "cosine", "_score", max_bytes)
+    angle = _angle(F.col("_score"))
+    return met.where((F.col("cell_a") <= F.col("cell_b")) & (angle - F.col("radius_a") - F.col("radius_b") <= reach))
+
+
+@dataclass(frozen=True)
+class BoundedPairs:
+    """All pairs that reach the score, and how many pairs of vectors were compared, of how many."""
+
+    pairs: DataFrame
+    compared: int
+    possible: int
+
+
+def bounded_pairs(
+    df: DataFrame,
+    min_score: float,
+    *,
+    ident: str = "vec_id",
+    vector: str = "embedding",
+    score: str = "cosine",
+    cells: int | None = None,
+    piece_rows: int = PIECE_ROWS,
+    max_bytes: int = MATRIX_BYTES,
+) -> BoundedPairs:
+    """Every pair (id_a < id_b) of the table whose cosine reaches ``min_score``, exactly.
+
+    Vectors are put into about sqrt(n) cells around trained centres. Two cells
+    meet only if the angle between their centres, less both radii, leaves room for
+    such a pair; all others are skipped whole. Cells that meet are compared in
+    pieces of bounded size. Vectors that are NULL or empty take no part; ids should
+    be unique and of one type. The tighter the cells, the more is skipped: vectors
+    without any clusters may leave nothing to skip.
+    """
+    rows = cut_lineage(_present(df, vector).select(F.col(ident).alias("_id"), unit(F.col(vector)).alias(vector)))
+    placed, around = _cells_of(rows, vector, cells, max_bytes)
+    near = cut_lineage(_near_cells(around, min_score, max_bytes))
+    work = F.when(F.col("cell_a") == F.col("cell_b"), F.col("size_a") * (F.col("size_a") - 1) / 2).otherwise(F.col("size_a") * F.col("size_b"))
+    compared = int(near.agg(F.sum(work)).first()[0] or 0)
+    n = rows.count()
+
+    # A pair of cells is the group in which their vectors meet.
+    pair = near.select("cell_a", "cell_b", F.xxhash64("cell_a", "cell_b").alias("_pair"))
+    left = placed.join(pair.withColumnRenamed("cell_a", "_cell"), "_cell").select(
+        F.col("_id").alias("id_a"), vector, (F.col("_cell") == F.col("cell_b")).alias("same"), F.col("_pair").alias("_cell")
+    )
+    right = placed.join(pair.withColumnRenamed("cell_b", "_cell"), "_cell").select(F.col("_id").alias("id_b"), vector, F.col("_pair").alias("_cell"))
+    score_of = _distance_scores("cosine")
+
+    def pick(a: np.ndarray, b: np.ndarray, squares: np.ndarray, piece: pa.Table, other: pa.Table):
+        scores = score_of(a, b, squares)
+        wanted = scores >= min_score
+        if piece.column("same")[0].as_py():
+            wanted &= piece.column("id_a").to_numpy()[:, None] < other.column("id_b").to_numpy()[None, :]
+        found = np.nonzero(wanted)
+        return *found, scores[found]
+
+    met = _by_pieces(cut_lineage(left), cut_lineage(right), "id_a", "id_b", vector, score, pick, piece_rows)
+    pairs = met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), score)
+    return BoundedPairs(pairs, compared, n * (n - 1) // 2)

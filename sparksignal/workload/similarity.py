@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.common import strip
 from ..functions.sentiment import label_scores
 from ..functions.vectors import cosine, distance_score, squared_distance, unit
+from ..operators.cell_index import add_to_index, build_index, fit_probes, index_centers, search_index
 from ..operators.filters import LEGACY_THRESHOLD, confident
 from ..operators.joins import many_to_one
 from ..operators.scoring import (
@@ -17,6 +18,7 @@ from ..operators.scoring import (
     score_articles,
 )
 from ..operators.similarity import (
+    bounded_pairs,
     cell_top1_join,
     kmeans_centers,
     label_lists,
@@ -31,7 +33,7 @@ from ..operators.similarity import (
 )
 from ..plans.filings import filing_sectors
 from ..plans.pipeline import daily_pipeline
-from ..session import cut_lineage
+from ..session import cut_lineage, work_path
 from .news import filing_html, headlines
 from .tables import (
     SQL_CENTERS,
@@ -61,6 +63,7 @@ WORDS = {
 
 #: Least cosine of two vectors of one label that count as a pair.
 PAIR_SCORE = 0.35
+ALL_PAIRS_SCORE = 0.25
 
 
 def similarity_threshold(spark, sf):
@@ -149,6 +152,12 @@ def pairwise_cosine(spark, sf):
     return pairs.select("id_a", "id_b", rounded("cosine").alias("cosine"))
 
 
+def pairwise_all(spark, sf):
+    """All close pairs among all vectors, whatever their labels."""
+    found = bounded_pairs(table(spark, sf, "embeddings"), ALL_PAIRS_SCORE)
+    return found.pairs.select("id_a", "id_b", rounded("cosine").alias("cosine"))
+
+
 def _mirrored(spark, sf):
     """Every vector read backwards: articles that equal no category."""
     return vectors(spark, sf, "article_id").withColumn("embedding", F.reverse("embedding"))
@@ -210,6 +219,26 @@ def trained_cell_recall(spark, sf):
     )
 
 
+def stored_index_recall(spark, sf):
+    """An index built of half the vectors and added to, then searched twice; probes are fitted on other queries than those measured."""
+    path = work_path(spark, "index")
+    ids = {"article_id": "article_id", "category_id": "category_id"}
+    categories = vectors(spark, sf, "category_id")
+    build_index(categories.where("category_id % 2 = 0"), path)
+    add_to_index(categories.where("category_id % 2 <> 0"), path)
+    asked = cut_lineage(_mirrored(spark, sf))
+    share = F.pmod("article_id", F.lit(20))
+    # Fitted a little above what is asked for, as the queries differ.
+    probes = fit_probes(asked.where(share != 0), path, RECALL + 0.03)
+    articles = asked.where(share == 0)
+    found = search_index(articles, path, probes=probes)
+    recall = recall_against(found, top_k_join(articles, categories, 1, **ids), "article_id", "category_id")
+    cells = index_centers(spark, path).count()
+    return recall.select(
+        F.lit(cells).alias("cells"), F.lit(probes).alias("probes"), "articles", "answered", "matched", rounded("recall").alias("recall")
+    )
+
+
 def center_cosines(spark, sf):
     """Cosine and both distance scores of every vector to its own label's centre."""
     rows = table(spark, sf, "embeddings").join(
@@ -354,9 +383,11 @@ QUERIES = {
         similarity_topk,
         similarity_ranked_labels,
         pairwise_cosine,
+        pairwise_all,
         coarse_cell_top1,
         coarse_cell_recall,
         trained_cell_recall,
+        stored_index_recall,
         center_cosines,
         sector_softmax,
         article_sentiment,
@@ -478,6 +509,10 @@ FROM ranked WHERE r <= 3 GROUP BY 1""",
 WITH {_V}
 SELECT a.id AS id_a, b.id AS id_b, round(list_cosine_similarity(a.v, b.v), 6) AS cosine
 FROM vecs a JOIN vecs b ON a.id < b.id AND a.label = b.label WHERE list_cosine_similarity(a.v, b.v) >= {PAIR_SCORE}""",
+    "pairwise_all": f"""
+WITH {_V}
+SELECT a.id AS id_a, b.id AS id_b, round(list_cosine_similarity(a.v, b.v), 6) AS cosine
+FROM vecs a JOIN vecs b ON a.id < b.id WHERE list_cosine_similarity(a.v, b.v) >= {ALL_PAIRS_SCORE}""",
     "coarse_cell_top1": f"""
 WITH {_SEARCH}
 SELECT p.id AS article_id, h.id AS category_id, round(1 - pow(list_distance(p.v, h.v), 2) / 2, 6) AS confidence_score
