@@ -15,8 +15,8 @@ from ..operators.filters import DEFAULT_THRESHOLD
 from ..operators.joins import attach_page_text, attach_url_text
 from ..operators.scoring import ModelFactory, add_logits
 from ..operators.similarity import label_lists
-from ..sources.sinks import write_stage
 from .daily import DEFAULT_END_DATE, DEFAULT_START_DATE, daily_sentiment
+from .days import fingerprint, stored_stage
 
 
 def extract_text(news: DataFrame, pages: DataFrame | None = None) -> DataFrame:
@@ -108,41 +108,42 @@ def daily_pipeline(
     end_date: str = DEFAULT_END_DATE,
     stage_dir: str | None = None,
     resume: bool = False,
+    version: str = "",
 ) -> DataFrame:
     """Raw news to one row per (day, sub-industry).
 
     The news are one lazy plan unless ``stage_dir`` is given (the categories are
-    gathered while it is built); then every stage is stored, and ``resume`` picks up stages that are already complete. Articles
-    are named by a hash of time and headline: nothing needs them in a sequence, so
+    gathered while it is built); then every stage is stored with a fingerprint of its input and parameters, and
+    ``resume`` picks up the stages whose fingerprint is still the same. ``version`` names the models, which a
+    fingerprint cannot look into. Articles are named by a hash of time and headline: nothing needs them in a sequence, so
     no texts are sorted.
     """
 
-    def stage(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    made_from = ""
+
+    def stage(name: str, build: Callable[[], DataFrame], *inputs: DataFrame, **parameters: object) -> DataFrame:
+        nonlocal made_from
         if stage_dir is None:
             return build()
-        path = f"{stage_dir.rstrip('/')}/{name}"
-        if resume and _complete(news, path):
-            return news.sparkSession.read.parquet(path)
-        return write_stage(build(), path)
+        # A stage is made from the one before, so its fingerprint holds that of the first input, too.
+        made_from = fingerprint(made_from, *inputs, name=name, **parameters)
+        return stored_stage(news.sparkSession, f"{stage_dir.rstrip('/')}/{name}", made_from, build, resume)
 
-    extracted = stage("extracted", lambda: extract_text(news, pages))
+    landed = [news] if pages is None else [news, pages]
+    extracted = stage("extracted", lambda: extract_text(news, pages), *landed)
 
     def prepare() -> DataFrame:
         rows = prepare_news(extracted, start_date, end_date, number=False)
         return rows.withColumn("article_id", F.xxhash64("published_at", "headline"))
 
-    prepared = stage("prepared", prepare)
-    labelled = stage("classified", lambda: classify_news(prepared, categories, encode, threshold))
-    scored = stage("scored", lambda: score_news(labelled, scorer_factory, logits))
+    prepared = stage("prepared", prepare, start=start_date, end=end_date)
+    labelled = stage(
+        "classified", lambda: classify_news(prepared, categories, encode, threshold), categories, threshold=threshold, version=version
+    )
+    scored = stage("scored", lambda: score_news(labelled, scorer_factory, logits), version=version, logits=str(logits))
     return daily_sentiment(
         scored.select("published_at", "subindustria_id", "sentiment_value"),
         categories,
         start_date=start_date,
         end_date=end_date,
     )
-
-
-def _complete(df: DataFrame, path: str) -> bool:
-    spark = df.sparkSession
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)

@@ -12,9 +12,11 @@ from ..operators.grid import day_calendar, forward_fill, interval_calendar, rein
 from ..operators.joins import dimension_join
 from ..operators.recurrence import recursive_smoothing
 from ..plans.daily import daily_means, daily_sentiment as daily_job
+from ..plans.days import build_days, read_days, update_days
 from ..plans.intraday import interval_means, scored_times, sentiment_series
 from ..plans.market import bar_indicators, market_indicators as market_job, numbered_bars
 from ..sources.bars import bars_to_long
+from ..session import work_path
 from .tables import SQL_BARS, SQL_VALUE, event_news, landed_bars, nation_taxonomy, rounded, stamp, supplier_bars, table, unit_price
 
 START, END = "2023-12-30", "2024-02-02"
@@ -33,6 +35,27 @@ def daily_sentiment(spark, sf):
     )
 
 
+def daily_sentiment_by_days(spark, sf):
+    """The daily series built for its first days with half of one day's news, then corrected for that day and carried on."""
+    path = work_path(spark, "days")
+    news, taxonomy = event_news(spark, sf), nation_taxonomy(spark, sf)
+    day = F.to_date("published_at")
+    partial = news.where((day != "2024-01-12") | (F.hour("published_at") < 12))
+    build_days(partial.where(day <= "2024-01-20"), taxonomy, path, START, "2024-01-20")
+    update_days(news, taxonomy, path, "2024-01-12", "2024-01-12")
+    update_days(news, taxonomy, path, "2024-01-21", "2024-01-25", end_date=END)
+    update_days(news, taxonomy, path, "2024-01-26", END)
+    return read_days(spark, path).select(
+        F.col("date").cast("string").alias("date"),
+        "subindustria_id",
+        "news_count",
+        rounded("sentiment_mean").alias("sentiment_mean"),
+        rounded("sentiment").alias("sentiment"),
+        "industria_id",
+        "subindustria_nombre",
+    )
+
+
 def daily_news_means(spark, sf):
     return daily_means(event_news(spark, sf), START, END).select(
         F.col("date").cast("string").alias("date"),
@@ -206,6 +229,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         daily_sentiment,
+        daily_sentiment_by_days,
         daily_news_means,
         calendar_grid,
         reindexed_counts,
@@ -353,3 +377,4 @@ SELECT {_KEY}, round(o, 4) AS open, round(h, 4) AS high, round(l, 4) AS low, rou
        round(v, 4) AS volume, round(rsi, 4) AS rsi, round(fast - slow, 4) AS macd
 FROM done WHERE rsi IS NOT NULL""",
 }
+ORACLES["daily_sentiment_by_days"] = ORACLES["daily_sentiment"]
