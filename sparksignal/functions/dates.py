@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,26 +44,38 @@ def date_parts(text: Column) -> Column:
     is taken from anywhere; with one, the remaining numbers are day and year.
     Without one, a date is year first, month first, or in bare digits.
     """
-    bare = strip(text)
-    time = F.regexp_extract(bare, _TIME, 0)
+    return _once(strip(text), lambda bare: _once(F.regexp_extract(bare, _TIME, 0), lambda time: _parts(bare, time)))
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _parts(bare: Column, time: Column) -> Column:
     # What stands before the time, and after it without zone and white space.
     at = F.when(time != "", F.instr(bare, time)).otherwise(F.length(bare) + 1)
     before = F.substring(bare, F.lit(1), at - 1)
     after = F.substring(bare, at + F.length(time), F.length(bare))
     zone = F.substring(bare, at, F.length(bare))
     rest = F.concat_ws(" ", before, F.regexp_replace(after, r"[+-]\d{2}:?\d{2}\b|\(.*\)", " "))
-    return F.struct(
-        F.regexp_extract(rest, _MONTH, 1).alias("month"),
-        F.regexp_extract_all(F.regexp_replace(rest, r"\.\d+$", ""), F.lit(r"\d+"), F.lit(0)).alias("numbers"),
-        F.regexp_extract(time, _TIME, 1).alias("hour"),
-        F.regexp_extract(time, _TIME, 2).alias("minute"),
-        F.regexp_extract(time, _TIME, 3).alias("second"),
-        F.lower(F.regexp_extract(time, _TIME, 4)).alias("half"),
-        F.regexp_extract(zone, _ZONE, 1).alias("sign"),
-        F.regexp_extract(zone, _ZONE, 2).alias("zone_hours"),
-        F.regexp_extract(zone, _ZONE, 3).alias("zone_minutes"),
-        F.regexp_extract(zone, _ZONE_NAME, 1).alias("zone_name"),
-    )
+    fields = F.split(F.regexp_replace(time, _TIME, "$1:$2:$3:$4"), ":")
+    # The last five characters are the sign, hours and minutes.
+    offset = F.replace(F.regexp_extract(zone, _ZONE, 0), F.lit(":"), F.lit(""))
+
+    def struct(rest: Column, fields: Column, offset: Column) -> Column:
+        return F.struct(
+            F.regexp_extract(rest, _MONTH, 1).alias("month"),
+            F.regexp_extract_all(F.regexp_replace(rest, r"\.\d+$", ""), F.lit(r"\d+"), F.lit(0)).alias("numbers"),
+            *[F.coalesce(F.get(fields, k), F.lit("")).alias(name) for k, name in enumerate(("hour", "minute", "second"))],
+            F.lower(F.coalesce(F.get(fields, 3), F.lit(""))).alias("half"),
+            F.substring(offset, F.lit(-5), F.lit(1)).alias("sign"),
+            F.substring(offset, F.lit(-4), F.lit(2)).alias("zone_hours"),
+            F.substring(offset, F.lit(-2), F.lit(2)).alias("zone_minutes"),
+            F.regexp_extract(zone, _ZONE_NAME, 1).alias("zone_name"),
+        )
+
+    return _once(rest, lambda r: _once(fields, lambda f: _once(offset, lambda o: struct(r, f, o))))
 
 
 def compose_date(parts: Column) -> Column:
@@ -121,14 +135,14 @@ def compose_date(parts: Column) -> Column:
 
 def parse_date_text(text: Column) -> Column:
     """Timestamp from a date text in any usual style, NULL if it holds no date."""
-    return compose_date(date_parts(text))
+    return _once(date_parts(text), compose_date)
 
 
 def unreadable_dates(df: DataFrame, raw: Column) -> DataFrame:
     """Counts of all rows, of rows without a date text, and of texts that hold no date."""
     rows = df.select(strip(raw).alias("_raw")).select("_raw", date_parts(F.col("_raw")).alias("_parts"))
     blank = F.coalesce(F.col("_raw") == "", F.lit(True))
-    lost = ~blank & compose_date(F.col("_parts")).isNull()
+    lost = ~blank & _once(F.col("_parts"), compose_date).isNull()
     return rows.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(blank.cast("long")), F.lit(0)).alias("without_date"),
@@ -158,7 +172,7 @@ def with_publication_day(
         staged = (
             df.withColumn("_raw", raw)
             .withColumn("_parts", date_parts(F.col("_raw")))
-            .withColumn("_parsed", compose_date(F.col("_parts")))
+            .withColumn("_parsed", _once(F.col("_parts"), compose_date))
             .withColumn("_timed", F.col("_parsed").isNotNull() & F.col("_raw").contains(":"))
             .drop("_raw", "_parts")
         )
