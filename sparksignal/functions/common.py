@@ -51,7 +51,3 @@ def rows_where(value: Column, keep) -> Column:
     a filter would be pushed below the projection and compute it again.
     """
     return F.explode(F.filter(F.array(value), keep))
-
-
-def nan_to_null(col: Column) -> Column:
-    return F.when(F.isnan(col), F.lit(None)).otherwise(col)

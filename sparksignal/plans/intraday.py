@@ -13,7 +13,7 @@ from ..operators.grid import forward_fill_blocks, interval_calendar, reindex
 from ..operators.recurrence import recursive_smoothing
 from ..session import cut_lineage
 
-DEFAULT_PREVIOUS_WINDOW_WEIGHT = 0.8
+CARRIED_SHARE = 0.8
 
 
 def scored_times(news: DataFrame, keys: Sequence[str] = (), **columns: str) -> DataFrame:
@@ -38,7 +38,7 @@ def sentiment_series(
     *,
     keys: Sequence[str] = (),
     minutes: int = 15,
-    previous_window_weight: float = DEFAULT_PREVIOUS_WINDOW_WEIGHT,
+    previous_window_weight: float = CARRIED_SHARE,
     **columns: str,
 ) -> DataFrame:
     """Mean, carried and smoothed sentiment for every window, per key if keys are given.

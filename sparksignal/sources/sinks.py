@@ -30,6 +30,7 @@ def write_taxonomy_json(categories: DataFrame, path: str, generated_at: str, ver
 
     A taxonomy is a small document, so it is one row and one file.
     """
+    # The envelope's field names.
     envelope = categories.agg(
         F.to_json(
             F.struct(

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.dedupe import with_article_key
-from ..plans.intraday import DEFAULT_PREVIOUS_WINDOW_WEIGHT
+from ..plans.intraday import CARRIED_SHARE
 from .collect import DEFAULT_INTERVAL, append_stream
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -149,7 +149,7 @@ def live_sentiment_series(
     value: str = "sentiment_value",
     minutes: int = 15,
     delay: str = "10 minutes",
-    previous_window_weight: float = DEFAULT_PREVIOUS_WINDOW_WEIGHT,
+    previous_window_weight: float = CARRIED_SHARE,
 ) -> DataFrame:
     """The live form of ``sentiment_series``: every window of every key, as soon as it is closed.
 
