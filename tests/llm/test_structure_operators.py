@@ -309,3 +309,48 @@ def test_spans_that_do_not_agree_stay(spark, monkeypatch):
 
     monkeypatch.setattr(substring_dedup, "repeated_spans", with_false_ones)
     assert spark_removal(spark, rows, 50) == plain_removal(rows, 50)
+
+
+# What several operators share
+
+
+def test_components_joined_link_by_link(spark):
+    from sparksignal.llm.components import connected_components, joined_components
+
+    rng = random.Random(8)
+    rounds = [[(rng.randint(0, 200), rng.randint(0, 200)) for _ in range(40)] for _ in range(3)] + [[], [(5, 5)]]
+    labels, seen = None, []
+    for links in rounds:
+        seen += links
+        labels = joined_components(labels, spark.createDataFrame(links, "a long, b long"))
+        whole = connected_components(spark.createDataFrame(seen, "a long, b long"))
+        assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_forgotten_pre_tokens_are_encoded_again(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from sparksignal.llm import bpe_text
+
+    monkeypatch.setattr(bpe_text, "REMEMBERED", 20)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    bpe, library = bpe_text.BpeText(bpe_text.read_spec(path)), Tokenizer.from_file(path)
+    rng = random.Random(2)
+    for _ in range(60):
+        texts = [" ".join(f"word{rng.randint(0, 60)}" for _ in range(rng.randint(0, 15))) for _ in range(4)]
+        assert [np.frombuffer(e, "<u4").tolist() for e in bpe.encode(texts)] == [
+            library.encode(t, add_special_tokens=False).ids for t in texts
+        ]
+        assert len(bpe.ids) < 20 + 4 * 16 * 4 and not getattr(bpe.ids.before, "before", None)
+
+
+def test_heavy_and_light_keys_join_alike(spark):
+    from sparksignal.llm.skew import join_per_key
+
+    rows = [(0, i) for i in range(3000)] + [(k, k) for k in range(1, 1500)] + [(None, 1), (5000, 1)]
+    left = spark.createDataFrame(rows, "k long, v long")
+    per_key = spark.createDataFrame([(k, 3000 if k == 0 else 1, f"n{k}") for k in range(1500)], "k long, n long, name string")
+    found = join_per_key(left, per_key, ["k"], "n").select("k", "v", "name").collect()
+    assert sorted(map(tuple, found)) == sorted((k, v, f"n{k}") for k, v in rows if k is not None and k < 1500)
+    assert join_per_key(left, per_key.limit(0), ["k"], "n").collect() == []
