@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -31,22 +31,44 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return seen.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(seen.select("a", F.col("m").alias("b")))
 
 
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, stored, and a number that names their set, found by the job that stores them."""
+    seen = Observation()
+    mix = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.bit_xor(F.xxhash64("b", "a")).alias("y")]
+    stored = cut_lineage(edges.observe(seen, *mix))
+    return stored, tuple(sorted(seen.get.items()))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): the least node that links lead to.
 
-    Large stars and small stars alternate until nothing changes; each round
-    ends in a stored table, holds as many edges as nodes at most after the first,
-    and no node's neighbours ever come together in one task. Self links and
-    repeated links are allowed; NULL ends are ignored.
+    Large stars and small stars alternate until nothing changes; each round is
+    one job that ends in a stored table, and holds as many edges as nodes at most
+    after the first. A node with many neighbours meets them by one join key, as
+    numbers only; the adaptive planner splits such a key. Self links and repeated
+    links are allowed; NULL ends are ignored.
     """
-    edges = cut_lineage(edges.where("a <> b").select("a", "b").distinct())
-    before = None
+    edges, before = _stored(edges.where("a <> b").select("a", "b").distinct())
     while True:
-        edges = cut_lineage(_small_star(_large_star(edges)).where("a <> b").distinct())
+        edges, now = _stored(_small_star(_large_star(edges)).where("a <> b").distinct())
         # The stars are final once the set of edges stays the same.
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
         if now == before:
             break
         before = now
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def joined_components(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component), stored, after further ``links`` (a, b): whole components are linked, not their nodes anew."""
+    if labels is None:
+        return cut_lineage(connected_components(links))
+    of_a = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    ends = links.join(of_a, "a", "left").join(of_b, "b", "left")
+    tied = ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    moved = cut_lineage(connected_components(tied))
+    new = moved.join(labels, "node", "left_anti")
+    renamed = moved.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    old = labels.join(renamed, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    return cut_lineage(old.unionByName(new))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import LOWER, column, record_batch
-from .components import connected_components
+from .components import joined_components
 from .hashing import mixed, word_hashes
 from .url_filter import bloom_filter, may_be_listed, not_listed
 
@@ -242,11 +242,11 @@ def _far_enough(n: Column, at: Column, other: Column, other_at: Column) -> Colum
     return (100 + PERCENT) * most >= PERCENT * (n + other)
 
 
-def _labelled(entries: DataFrame, links: DataFrame | None) -> DataFrame:
-    if links is None:
+def _labelled(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
         return entries.withColumn("component", F.col("set"))
-    labels = connected_components(links).withColumnRenamed("node", "set")
-    return entries.join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    named = labels.withColumnRenamed("node", "set")
+    return entries.join(named, "set", "left").withColumn("component", F.coalesce("component", "set"))
 
 
 def _main_components(entries: DataFrame, turn: int) -> DataFrame:
@@ -327,21 +327,22 @@ def shared_sets(rows: DataFrame, profile: DataFrame, n: int) -> DataFrame:
 
 
 def similar_sets(sets: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
-    """Links (a, b) between sets that tie together exactly those which similar pairs connect."""
+    """(node, component) of the sets that similar pairs connect with others: what a round links is taken together at once."""
     unique = F.col("n") - F.size("tokens")
     entries = cut_lineage(
         sets.select(
             "set", "n", unique.alias("unique"), F.posexplode(F.slice("tokens", F.lit(1), _prefix_size(F.col("n")) - unique))
         ).select("set", "n", "unique", (F.col("unique") + F.col("pos") + 1).alias("at"), F.col("col").alias("token"))
     )
-    links = None
+    labels = None
     for turn in range(1, hub_rounds + 1):
-        found = cut_lineage(_links(_hub_pairs(_labelled(entries, links), turn), sets))
-        links = found if links is None else cut_lineage(links.unionByName(found))
-        if found.isEmpty():
+        found = cut_lineage(_links(_hub_pairs(_labelled(entries, labels), turn), sets))
+        if labels is not None and found.isEmpty():
             break
-    pairs = cut_lineage(_cross_pairs(_labelled(entries, links)))
-    return links.unionByName(_links(_bounds(pairs, sets), sets))
+        labels = joined_components(labels, found)
+    pairs = cut_lineage(_cross_pairs(_labelled(entries, labels)))
+    found = cut_lineage(_links(_bounds(pairs, sets), sets))
+    return labels if found.isEmpty() else joined_components(labels, found)
 
 
 def _row_key(id_col: str, text_col: str) -> Column:
@@ -370,10 +371,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     profile = cut_lineage(rows.mapInArrow(_profile(n), "doc_id long, row long, n long, set long, gram long, held long"))
     sets = cut_lineage(shared_sets(rows, profile, n))
-    links = similar_sets(sets)
+    labels = similar_sets(sets).withColumnRenamed("node", "set")
     per_row = profile.where("gram is null").select("doc_id", "row", "n", "set")
     classes = per_row.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least"))
-    labels = connected_components(links).withColumnRenamed("node", "set")
     placed = cut_lineage(
         classes.join(labels, "set", "left").select("set", "least", F.coalesce("component", "set").alias("root"))
     )
