@@ -130,7 +130,15 @@ def _cut_edges(window):
     def run(batches):
         for batch in batches:
             for doc, row, text, asked in zip(*(column(batch, c) for c in ("doc", "row", "text", "asked")), strict=True):
-                runs = Runs(word_hashes(text.split()))
+                words = text.split()
+                needed = np.zeros(len(words) + 1, np.int64)
+                for path in asked:
+                    needed[path["start"]] += 1
+                    needed[path["start"] + path["n"] + window - 1] -= 1
+                at = np.flatnonzero(np.cumsum(needed[:-1]))
+                hashed = np.zeros(len(words), np.uint64)
+                hashed[at] = word_hashes([words[k] for k in at.tolist()])
+                runs = Runs(hashed)
                 for path in asked:
                     off = np.arange(path["n"])
                     start = off + path["start"]
@@ -163,8 +171,15 @@ def _merged(batches, rows=50_000):
         yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
 
 
+def _repeated(found: DataFrame) -> DataFrame:
+    """The paths of anchors that documents of different ids have; all others are left out by their counts alone."""
+    anchors = found.groupBy("anchor").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("places"))
+    anchors = cut_lineage(anchors.where("first < last").select("anchor", "places"))
+    return join_per_key(found, anchors, ["anchor"], "places").drop("places")
+
+
 def _classes(found: DataFrame) -> DataFrame:
-    """Paths of equal words with their least source, for anchors that more than one document has.
+    """Paths of equal words with their least source.
 
     ``occ``, ``heads`` and ``tails`` count and name the places where the path starts
     and ends; ``ways`` is the number of different paths of the anchor.
@@ -183,13 +198,8 @@ def _classes(found: DataFrame) -> DataFrame:
             places(F.col("start") + F.col("n")).alias("tails"),
         )
     )
-    anchors = cut_lineage(
-        classes.groupBy("anchor")
-        .agg(F.min("src.doc").alias("first_doc"), F.max("last_doc").alias("most_doc"), F.count("*").alias("ways"))
-        .where("first_doc < most_doc")
-        .select("anchor", "ways")
-    )
-    return join_per_key(classes, anchors, ["anchor"], "ways")
+    ways = cut_lineage(classes.groupBy("anchor").agg(F.count("*").alias("ways")))
+    return join_per_key(classes, ways, ["anchor"], "ways")
 
 
 def _split_edges(texts: DataFrame, classes: DataFrame, window: int) -> DataFrame:
@@ -308,6 +318,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = cut_lineage(
         texts.select("doc", "row", "text").mapInArrow(_cut_paths(window, min(ANCHOR, window)), _sql(_PATHS))
     )
+    found = cut_lineage(_repeated(found))
     classes = cut_lineage(_classes(found))
     plain = classes.where("ways = 1").select(
         *_CLASS,
