@@ -11,8 +11,8 @@ import os
 import re
 from array import array
 
-#: Distinct pre-tokens a worker remembers before it starts anew.
-REMEMBERED = 800_000
+#: Distinct pre-tokens of a generation; a worker remembers two generations.
+REMEMBERED = 400_000
 
 # The byte-level pre-tokenizer's pattern, for texts of ASCII and Latin letters alone.
 _LETTERS = r"a-zA-ZÀ-ÖØ-öø-ɏ"
@@ -28,16 +28,24 @@ _AS_CHARACTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b no
 
 
 class _Remembered(dict):
-    """Ids by pre-token; asks for those it does not hold yet."""
+    """Ids by pre-token, of those asked for since the generation began; asks the one before, then ``find``."""
 
-    def __init__(self, find):
+    def __init__(self, find, before: dict | None = None):
         super().__init__()
-        self.find = find
+        self.find, self.before = find, before or {}
 
     def __missing__(self, part: str) -> bytes:
-        ids = self[part] = array("I", self.find(part)).tobytes()
+        ids = self.before.get(part)
+        if ids is None:
+            ids = array("I", self.find(part)).tobytes()
+        self[part] = ids
         return ids
 
+    def next(self) -> _Remembered:
+        """A new generation, before which is this one; what the last had and this one did not ask for is forgotten."""
+        self.before = {}
+        return _Remembered(self.find, self)
+
 
 class BpeText:
     def __init__(self, spec: str):
@@ -93,7 +101,7 @@ class BpeText:
         if not self.may_split:
             return [array("I", e.ids).tobytes() for e in self._batch(texts)]
         if len(self.ids) > REMEMBERED:
-            self.ids.clear()
+            self.ids = self.ids.next()
         get = self.ids.__getitem__
         return [b"".join(map(get, self.pre_tokens(t))) for t in texts]
 
