@@ -1,11 +1,14 @@
 """Pairs by bounds, and the stored index of cells."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sparksignal.operators.cell_index import add_to_index, build_index, fit_probes, index_centers, probed_members, search_index
 from sparksignal.operators.similarity import bounded_pairs, recall_against, top_k_join
+from sparksignal.session import shared_dir
 
 SCHEMA = "vec_id long, embedding array<double>"
 
@@ -44,6 +47,30 @@ def test_pairs_of_few_and_odd_vectors(spark):
     assert sorted((r["id_a"], r["id_b"]) for r in found.pairs.collect()) == [(1, 2), (1, 5), (2, 5)]
 
 
+@pytest.mark.parametrize("piece_rows", [1, 37, 400])
+def test_a_large_cell_of_copies_meets_itself_in_parts(spark, piece_rows):
+    vectors = np.concatenate([np.tile([[1.0, 2.0, 0.5]], (90, 1)), clustered(4, 3, 20, 0.4, width=3)])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    found = bounded_pairs(spark.createDataFrame(rows, SCHEMA), 0.8, cells=4, piece_rows=piece_rows).pairs.collect()
+    assert sorted((r["id_a"], r["id_b"]) for r in found) == sorted(plain_pairs(vectors, 0.8))
+
+
+def test_vectors_are_not_stored_once_per_pair_of_cells(spark):
+    folder = shared_dir(spark)
+    vectors = np.random.default_rng(6).normal(size=(900, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], SCHEMA)
+    before = stored_bytes(folder)
+    found = bounded_pairs(rows, 0.2)
+    # Thirty cells that all meet: some copies of the table may be stored, thirty may not.
+    assert found.compared > 0.9 * found.possible and stored_bytes(folder) - before < 10 * vectors.nbytes
+    assert found.pairs.count() == len(plain_pairs(vectors, 0.2))
+    assert stored_bytes(folder) - before < 10 * vectors.nbytes
+
+
+def stored_bytes(folder):
+    return sum(p.stat().st_size for p in Path(folder.removeprefix("file:")).rglob("*.parquet"))
+
+
 def partitions_read(df):
     """Partitions that scans by cell have read."""
     df.collect()
