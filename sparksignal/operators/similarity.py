@@ -198,6 +198,27 @@ def _threshold_join(
     return joined
 
 
+def _best_picks(scores: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and places of the ``depth`` best scores of each row, NaN after all others; of equal scores, those before come first.
+
+    Rows are sorted only if all is asked for, or an equal score stands at the last place.
+    """
+    everyone = np.arange(len(scores))
+    ranked = np.where(np.isnan(scores), -np.inf, scores)
+    if depth == 1:
+        picks = ranked.argmax(axis=1)
+        # A row of no number and of the least one takes the number.
+        for row in np.flatnonzero(np.isnan(scores[everyone, picks])):
+            picks[row] = np.argsort(-scores[row], kind="stable")[0]
+        return everyone, picks
+    if depth < scores.shape[1]:
+        last = np.partition(ranked, -depth, axis=1)[:, -depth]
+        near = ranked >= last[:, None]
+        if near.sum() == depth * len(scores):
+            return np.nonzero(near)
+    return np.repeat(everyone, depth), np.argsort(-scores, axis=1, kind="stable")[:, :depth].ravel()
+
+
 def _found_per_article(
     articles: DataFrame,
     categories: DataFrame,
@@ -243,9 +264,7 @@ def _found_per_article(
     def _merged(scores: np.ndarray, columns: dict, before: pa.ListArray) -> pa.ListArray:
         """Lists of earlier finds and those of this chunk."""
         if best is not None:
-            depth = min(best, scores.shape[1])
-            picks = np.argsort(-scores, axis=1, kind="stable")[:, :depth].ravel()
-            rows = np.repeat(np.arange(len(scores)), depth)
+            rows, picks = _best_picks(scores, min(best, scores.shape[1]))
         else:
             rows, picks = np.nonzero(scores >= threshold)
         fresh = [columns[f.name].take(pa.array(picks)) for f in added[:-1]] + [pa.array(scores[rows, picks])]

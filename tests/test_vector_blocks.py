@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sparksignal.operators import cell_index
 from sparksignal.operators.cell_index import add_to_index, build_index, fit_probes, index_centers, probed_members, search_index
-from sparksignal.operators.similarity import bounded_pairs, recall_against, top_k_join
+from sparksignal.operators.similarity import _best_picks, bounded_pairs, recall_against, top_k_join
 from sparksignal.session import shared_dir
 
 SCHEMA = "vec_id long, embedding array<double>"
@@ -71,6 +72,37 @@ def stored_bytes(folder):
     return sum(p.stat().st_size for p in Path(folder.removeprefix("file:")).rglob("*.parquet"))
 
 
+def test_probes_are_fitted_on_a_bounded_number_of_articles(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    vectors = np.random.default_rng(8).normal(size=(500, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    build_index(spark.createDataFrame(rows, "category_id long, embedding array<double>"), path, cells=12)
+    asked = [(i, v[::-1].tolist()) for i, v in enumerate(vectors)] + [(900, None), (901, [])]
+    articles = spark.createDataFrame(asked, "article_id long, embedding array<double>")
+    compared = []
+    plain = cell_index.probes_needed
+    monkeypatch.setattr(cell_index, "probes_needed", lambda a, *rest, **named: (compared.append(a.count()), plain(a, *rest, **named))[1])
+    whole, part = fit_probes(articles, path, 0.9), fit_probes(articles, path, 0.9, sample=200)
+    assert compared == [500, 200] and abs(whole - part) <= 2
+    assert fit_probes(articles.limit(0), path, 0.9) == 1
+
+
+@pytest.mark.parametrize("depth", [1, 2, 5, 9])
+def test_best_picks_equal_sorting_whole_rows(depth, monkeypatch):
+    scores = np.round(np.random.default_rng(3).normal(size=(40, 9)), 1)
+    scores[0], scores[1, 3:], scores[2], scores[3] = np.nan, np.nan, -np.inf, 0.5
+    scores[4, :4], scores[4, 4:] = np.nan, -np.inf
+    rows, picks = _best_picks(scores, depth)
+    wanted = np.argsort(-scores, axis=1, kind="stable")[:, :depth]
+    assert [sorted(picks[rows == r]) for r in range(40)] == [sorted(w) for w in wanted]
+    sorts = []
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: sorts.append(a))
+    clear = np.random.default_rng(4).normal(size=(30, 9))
+    if depth < 9:
+        _best_picks(clear, depth)
+    assert not sorts
+
+
 def partitions_read(df):
     """Partitions that scans by cell have read."""
     df.collect()
