@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
@@ -208,40 +209,81 @@ def read_api_json(spark: SparkSession, path) -> DataFrame:
     return spark.read.schema(ARTICLES_SCHEMA).option("multiLine", True).json(path)
 
 
+#: Bytes of a file that reach Python at once; of rows that leave it at once, and of what a field takes besides its text.
+PIECE_BYTES, ROWS_BYTES, FIELD_BYTES = 1024 * 1024, 8 * 1024 * 1024, 64
+
+
+class _Pieces(io.RawIOBase):
+    """The pieces of a file as one stream."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self._pieces, self._left = pieces, memoryview(b"")
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self._left:
+            piece = next(self._pieces, None)
+            if piece is None:
+                return 0
+            self._left = memoryview(piece)
+        size = min(len(buffer), len(self._left))
+        buffer[:size], self._left = self._left[:size], self._left[size:]
+        return size
+
+
 def read_ragged_csv(spark: SparkSession, path, *, multi_line: bool = True) -> DataFrame:
     """Rows of a headerless CSV as the array ``fields``; rows may have any number of fields.
 
     With ``multi_line`` a quoted field may hold line breaks and a file is one
-    task; without it every line is a row and files are split freely.
+    task, read by Python piece by piece; without it every line is a row and files
+    are split freely.
     """
     schema = "fields array<string>"
 
+    def batch_of(rows: list[list[str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"fields": pa.array(rows, pa.list_(pa.string()))})
+
     def rows_of(lines) -> Iterator[pa.RecordBatch]:
         rows: list[list[str]] = []
+        size = 0
         for row in csv.reader(lines):
             rows.append(row)
-            if len(rows) == 10_000:
-                yield pa.RecordBatch.from_pydict({"fields": pa.array(rows, pa.list_(pa.string()))})
-                rows = []
+            size += FIELD_BYTES * (len(row) + 1) + sum(map(len, row))
+            if size >= ROWS_BYTES:
+                yield batch_of(rows)
+                rows, size = [], 0
         if rows:
-            yield pa.RecordBatch.from_pydict({"fields": pa.array(rows, pa.list_(pa.string()))})
+            yield batch_of(rows)
 
     def parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(2**31 - 1)
-        for batch in batches:
-            for content in batch.column("content"):
-                text = io.TextIOWrapper(io.BytesIO(content.as_py()), encoding="utf-8", newline="")
-                yield from rows_of(text)
+        number = 0
+
+        def pieces() -> Iterator[tuple[int, bytes]]:
+            nonlocal number
+            for batch in batches:
+                for at, piece in zip(batch.column("at"), batch.column("piece"), strict=True):
+                    number += at.as_py() == 0
+                    yield number, piece.as_py()
+
+        for _, own in itertools.groupby(pieces(), key=lambda piece: piece[0]):
+            raw = io.BufferedReader(_Pieces(piece for _, piece in own))
+            yield from rows_of(io.TextIOWrapper(raw, encoding="utf-8", newline=""))
 
     if multi_line:
         files = spark.read.format("binaryFile").load(path).select("content")
-        return files.mapInArrow(parse_files, schema)
+        last = F.greatest(F.ceil(F.length("content") / PIECE_BYTES) - 1, F.lit(0)).cast("int")
+        # The pieces of a file follow each other in its task.
+        placed = files.select("content", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+        piece = F.substring(F.col("content"), F.col("at") * PIECE_BYTES + 1, F.lit(PIECE_BYTES))
+        return placed.select("at", piece.alias("piece")).mapInArrow(parse_files, schema)
 
     def parse_line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(2**31 - 1)
         for batch in batches:
-            rows = [row for line in batch.column("value").to_pylist() for row in csv.reader([line])]
-            yield pa.RecordBatch.from_pydict({"fields": pa.array(rows, pa.list_(pa.string()))})
+            yield batch_of([row for line in batch.column("value").to_pylist() for row in csv.reader([line])])
 
     return spark.read.text(path).mapInArrow(parse_line_batches, schema)
 

@@ -1,3 +1,4 @@
+import csv
 import io
 import json
 import zipfile
@@ -24,6 +25,7 @@ from sparksignal.operators.scoring import (
     score_articles,
 )
 from sparksignal.plans.pipeline import daily_pipeline, prepare_news
+from sparksignal.sources import news as news_source
 from sparksignal.sources.bars import bars_to_long
 from sparksignal.sources.filings import read_main_documents
 from sparksignal.sources.news import (
@@ -154,6 +156,25 @@ def test_ragged_csv(spark, tmp_path):
     assert rows[0] in lines and rows[1] in lines
 
 
+def test_ragged_csv_reaches_python_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(news_source, "PIECE_BYTES", 7)
+    monkeypatch.setattr(news_source, "ROWS_BYTES", 500)
+    texts = {
+        "a.csv": '1,"línea\r\nuno, ""dos""\n\ntres",ft\n2,äöü€😀,b\r\n\n3,"open\nto the end',
+        "b.csv": "",
+        "c.csv": "".join(f'{i},"{chr(233) * (i % 40)}\n{i}",x\n' for i in range(200)),
+        "d.csv": "1,two",
+    }
+    wanted = []
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+        wanted += csv.reader(io.StringIO(text, newline=""))
+    rows = read_ragged_csv(spark, str(tmp_path))
+    assert sorted(r["fields"] for r in rows.collect()) == sorted(wanted)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "substring(content" in plan
+
+
 def test_bars_wide_to_long(spark):
     wide = spark.createDataFrame([("2024-01-01", 1.0, 2.0)], "`Date` string, `A|Close` double, `B|Close` double")
     rows = bars_to_long(wide, ["A", "B", "Z"]).select("ticker", "close", "open").collect()
