@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows that reach a Python worker at once: texts are copied several times there.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 

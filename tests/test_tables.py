@@ -3,6 +3,7 @@ import io
 import json
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from sparksignal.operators.scoring import (
     score_articles,
 )
 from sparksignal.plans.pipeline import daily_pipeline, prepare_news
+from sparksignal.session import configure
 from sparksignal.sources import news as news_source
 from sparksignal.sources.bars import bars_to_long
 from sparksignal.sources.filings import read_main_documents
@@ -175,6 +177,16 @@ def test_ragged_csv_reaches_python_in_pieces(spark, tmp_path, monkeypatch):
     assert "substring(content" in plan
 
 
+def test_python_workers_get_texts_in_batches_of_a_few_megabytes(spark):
+    rows = configure(spark).range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("html"))
+
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    assert rows.mapInArrow(size, "bytes long").agg(F.max("bytes")).first()[0] < 10 * 1024 * 1024
+
+
 def test_bars_wide_to_long(spark):
     wide = spark.createDataFrame([("2024-01-01", 1.0, 2.0)], "`Date` string, `A|Close` double, `B|Close` double")
     rows = bars_to_long(wide, ["A", "B", "Z"]).select("ticker", "close", "open").collect()
