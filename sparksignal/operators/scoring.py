@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 from ..functions.sentiment import label_scores
 from .dedupe import first_by_key
 
+#: Words whose bucket a task of the hashing encoder remembers.
+REMEMBERED_WORDS = 100_000
+
 Encoder = Callable[[Sequence[str]], np.ndarray]
 ModelFactory = Callable[[], Encoder]
 
@@ -63,7 +66,7 @@ def hashing_encoder(dimension: int = 64) -> ModelFactory:
 
         def bucket(word: str) -> int:
             if word not in buckets:
-                if len(buckets) > 1_000_000:
+                if len(buckets) >= REMEMBERED_WORDS:
                     buckets.clear()
                 buckets[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dimension
             return buckets[word]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from sparksignal.operators import quality
+from sparksignal.operators import quality, scoring
 from sparksignal.operators.dedupe import (
     article_key,
     dedupe_first_wins,
@@ -187,6 +187,17 @@ def test_python_workers_get_texts_in_batches_of_a_few_megabytes(spark):
     assert rows.mapInArrow(size, "bytes long").agg(F.max("bytes")).first()[0] < 10 * 1024 * 1024
 
 
+def test_the_hashing_encoder_remembers_a_bounded_number_of_words(monkeypatch):
+    text = " ".join(f"w{i % 70}" for i in range(500))
+    plain = hashing_encoder(16)()([text, "w1 w2"])
+    monkeypatch.setattr(scoring, "REMEMBERED_WORDS", 10)
+    encode = hashing_encoder(16)()
+    assert encode([text, "w1 w2"]).tolist() == plain.tolist()
+    bucket = dict(zip(encode.__code__.co_freevars, encode.__closure__, strict=True))["bucket"].cell_contents
+    buckets = dict(zip(bucket.__code__.co_freevars, bucket.__closure__, strict=True))["buckets"].cell_contents
+    assert 0 < len(buckets) <= 10
+
+
 def test_bars_wide_to_long(spark):
     wide = spark.createDataFrame([("2024-01-01", 1.0, 2.0)], "`Date` string, `A|Close` double, `B|Close` double")
     rows = bars_to_long(wide, ["A", "B", "Z"]).select("ticker", "close", "open").collect()
