@@ -3,13 +3,14 @@
 import datetime
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from sparksignal.operators.dedupe import dedupe_incremental, first_by_key, with_article_key
 from sparksignal.plans.intraday import sentiment_series
 from sparksignal.streaming.collect import append_stream, landed_stream
-from sparksignal.streaming.state import collect_new, live_sentiment_series
+from sparksignal.streaming.state import _first, collect_new, live_sentiment_series
 
 NEWS = "id long, title string, source string"
 
@@ -110,3 +111,12 @@ def test_live_series_without_keys_and_with_late_rows(spark, tmp_path):
     assert [r["sentiment_influenced"] for r in found[:4]] == pytest.approx([0.0, 0.0, 0.2, 0.36])
     with pytest.raises(ValueError):
         live_sentiment_series(spark.createDataFrame([], SCORED), previous_window_weight=1.5)
+
+
+def test_the_first_row_of_a_key_needs_no_sorting(monkeypatch):
+    rows = pd.DataFrame({"id": [7, 3, 3, 9], "at": [2.0, None, 1.0, 0.5], "title": list("abcd")}, index=[4, 4, 0, 1])
+    expected = {tuple(o): rows.sort_values(list(o), kind="stable").head(1)["title"].item() for o in (("id",), ("at",), ("id", "at"))}
+    assert {o: _first(rows, list(o))["title"].item() for o in expected} == expected
+    monkeypatch.setattr(pd.DataFrame, "sort_values", None)
+    assert _first(rows, ["id"])["title"].item() == "b"
+    assert _first(rows[1:2], ["at", "id"])["title"].item() == "b"
