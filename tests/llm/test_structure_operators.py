@@ -354,3 +354,15 @@ def test_heavy_and_light_keys_join_alike(spark):
     found = join_per_key(left, per_key, ["k"], "n").select("k", "v", "name").collect()
     assert sorted(map(tuple, found)) == sorted((k, v, f"n{k}") for k, v in rows if k is not None and k < 1500)
     assert join_per_key(left, per_key.limit(0), ["k"], "n").collect() == []
+
+
+def test_parts_and_their_characters_are_those_of_the_library():
+    from sparksignal.llm import bpe_text, queries
+
+    bpe = bpe_text.BpeText(bpe_text.read_spec(queries.tokenizer_file("byte_bpe_50k.json")))
+    texts = ["don't we'll 've'd '9's ''s '\n's it's", " a\tb\x7f\x00 c'É 're x", "É's naïve  12a '  'mm"]
+    for text in texts:
+        parts = bpe.pre_tokens(text)
+        wanted = bpe.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+        assert parts == [text[a:b] for _, (a, b) in wanted]
+        assert [bpe_text._as_characters(p) for p in parts] == [characters for characters, _ in wanted]
