@@ -33,8 +33,8 @@ _SIGNS = pa.schema(
         ("label", pa.int64()),
         ("w", pa.int64()),
         ("least", pa.int64()),
-        ("v", pa.list_(pa.float64())),
         ("signs", pa.list_(pa.int32())),
+        ("packed", pa.binary()),
     ]
 )
 _FOUND = pa.schema([("vec", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
@@ -44,22 +44,32 @@ def _planes(tables: int, bits: int, width: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((width, tables * bits))
 
 
+def _units(vectors: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled first, so that neither very large nor very small components leave the range of doubles."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.sqrt((scaled**2).sum(axis=1, keepdims=True))
+
+
 def _signer(tables, bits, seed):
+    """Adds the sign patterns, and vector of length one and patterns packed as bytes: so they travel with each bucket."""
     weights = (1 << np.arange(bits)).astype(np.int32)
 
     def run(batches):
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
-            vectors = column(batch, "v")
-            signs = [None] * len(vectors)
-            for width in {len(v) for v in vectors}:
-                rows = [k for k, v in enumerate(vectors) if len(v) == width]
+            lists = batch.column(batch.schema.get_field_index("v"))
+            widths, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy(zero_copy_only=False)
+            starts = np.cumsum(widths) - widths
+            signs, packed = [None] * len(widths), [None] * len(widths)
+            for width in np.unique(widths).tolist():
+                rows = np.flatnonzero(widths == width)
                 if width not in planes:
                     planes[width] = _planes(tables, bits, width, seed)
-                side = (np.array([vectors[k] for k in rows]) @ planes[width] > 0).reshape(len(rows), tables, bits)
-                for k, s in zip(rows, (side * weights).sum(axis=2), strict=True):
-                    signs[k] = s
-            yield record_batch(_SIGNS, *batch.columns, signs)
+                units = _units(flat[starts[rows, None] + np.arange(width)])
+                side = (units @ planes[width] > 0).reshape(len(rows), tables, bits)
+                for k, unit, s in zip(rows, units, (side @ weights).astype(np.int32), strict=True):
+                    signs[k], packed[k] = s, unit.tobytes() + s.tobytes()
+            yield record_batch(_SIGNS, *(batch.column(c) for c in range(4)), signs, packed)
 
     return run
 
@@ -76,10 +86,10 @@ def _tied(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
-def _links(low: float):
+def _links(low: float, tables: int):
     def run(group: pa.Table) -> pa.Table:
         n = group.num_rows
-        side = np.array(group.column("side").to_pylist(), bool)
+        side = group.column("side").to_numpy()
         same_block = group.column("i")[0].as_py() == group.column("j")[0].as_py()
         a = np.flatnonzero(~side)
         b = a if same_block else np.flatnonzero(side)
@@ -88,29 +98,30 @@ def _links(low: float):
         ids = group.column("vec").to_numpy()
         weights = group.column("w").to_numpy()
         table = group.column("table")[0].as_py()
-        signs = np.array(group.column("signs").to_pylist(), np.int32)
-        lists = group.column("v").to_pylist()
+        packed = group.column("packed").to_pylist()
+        sizes = np.array([len(x) for x in packed])
         links, root = np.zeros(n, np.int64), np.arange(n)
-        for width in {len(v) for v in lists}:
-            at = np.array([k for k in range(n) if len(lists[k]) == width])
-            vectors = np.zeros((n, width))
-            vectors[at] = np.array([lists[k] for k in at], np.float64)
-            # Scaled first, so that neither very large nor very small components leave the range of doubles.
-            vectors[at] /= np.abs(vectors[at]).max(axis=1, keepdims=True)
-            vectors[at] /= np.sqrt((vectors[at] ** 2).sum(axis=1, keepdims=True))
-            i_all, j_all = np.intersect1d(a, at), np.intersect1d(b, at)
+        for size in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == size)
+            raw = np.frombuffer(b"".join([packed[k] for k in at]), np.uint8).reshape(len(at), size)
+            vectors = raw[:, : size - 4 * tables].copy().view(np.float64)
+            signs = raw[:, size - 4 * tables :].copy().view(np.int32)
+            # Places among the rows of this width.
+            i_all, j_all = np.flatnonzero(np.isin(at, a)), np.flatnonzero(np.isin(at, b))
             for begin in range(0, len(i_all), 250):
                 i, j = i_all[begin : begin + 250], j_all
                 near = vectors[i] @ vectors[j].T >= low
                 if same_block:
                     near &= i[:, None] < j[None, :]
-                for earlier in range(table):
-                    near &= signs[i, earlier][:, None] != signs[j, earlier][None, :]
                 p, q = np.nonzero(near)
-                p, q = i[p], j[q]
-                np.add.at(links, p, weights[q])
-                np.add.at(links, q, weights[p])
-                root = _tied(root, p, q)
+                # A pair counts in the first table where its patterns meet; few pairs are left to be asked.
+                for begin_pair in range(0, len(p), 10_000):
+                    x, y = i[p[begin_pair : begin_pair + 10_000]], j[q[begin_pair : begin_pair + 10_000]]
+                    first = ~(signs[x, :table] == signs[y, :table]).any(axis=1)
+                    x, y = at[x[first]], at[y[first]]
+                    np.add.at(links, x, weights[y])
+                    np.add.at(links, y, weights[x])
+                    root = _tied(root, x, y)
         hit = np.flatnonzero(links)
         return pa.Table.from_arrays([pa.array(ids[hit]), pa.array(links[hit]), pa.array(ids[root[hit]])], schema=_FOUND)
 
@@ -164,7 +175,7 @@ def near_duplicates(
     )
     classes = cut_lineage(
         grouped.mapInArrow(
-            _signer(tables, bits, seed), "vec long, label long, w long, least long, v array<double>, signs array<int>"
+            _signer(tables, bits, seed), "vec long, label long, w long, least long, signs array<int>, packed binary"
         )
     )
     patterns = classes.select("vec", "label", F.posexplode("signs").alias("table", "sign"))
@@ -184,10 +195,10 @@ def near_duplicates(
         F.greatest("own", "with").alias("j"),
         (F.col("own") > F.col("with")).alias("side"),
     )
-    full = spread.join(classes.select("vec", "w", "v", "signs"), "vec").select("vec", "w", "v", "signs", *bucket, "i", "j", "side")
+    full = spread.join(classes.select("vec", "w", "packed"), "vec").select("vec", "w", "packed", *bucket, "i", "j", "side")
     # Each linked vector comes with how many it links with here and with the first vector of its group here.
     found = cut_lineage(
-        full.groupBy(*bucket, "i", "j").applyInArrow(_links(threshold), "vec long, links long, other long")
+        full.groupBy(*bucket, "i", "j").applyInArrow(_links(threshold, tables), "vec long, links long, other long")
     )
     links = found.groupBy("vec").agg(F.sum("links").alias("links"))
     joined = connected_components(found.select(F.col("vec").alias("a"), F.col("other").alias("b")))
