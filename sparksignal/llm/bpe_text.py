@@ -6,6 +6,7 @@ ids in a row, and each distinct pre-token is encoded once per worker.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -14,28 +15,34 @@ from array import array
 #: Distinct pre-tokens of a generation; a worker remembers two generations.
 REMEMBERED = 600_000
 
-# The byte-level pre-tokenizer's pattern, for texts of ASCII and Latin letters alone. Words, which are most
-# of a text, are tried before the endings behind an apostrophe: none of them starts like the other.
-_LETTERS = r"a-zA-ZÀ-ÖØ-öø-ɏ"
 _BLANKS = r" \t\n\x0b\x0c\r"
-_SPLIT = re.compile(
-    rf" ?[{_LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_BLANKS}{_LETTERS}0-9]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
-)
-_LATIN = re.compile(rf"[\x00-\x7f{_LETTERS}]*")
 
-#: Byte-level tokenizers write printable bytes as they are and the others, in order, as the characters from 256 on.
-_PRINTED = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
-_AS_CHARACTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+def _latin(letters: str) -> tuple[re.Pattern, re.Pattern]:
+    """For texts of ASCII and these letters alone: what such a text looks like, and its pre-tokens.
+
+    Words, which are most of a text, are tried before the endings behind an apostrophe: none of them starts like the
+    other. The blank that most words begin with is fixed, so one look tells whether to go on.
+    """
+    split = (
+        rf" [{letters}]+|[{letters}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_BLANKS}{letters}0-9]+"
+        rf"|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
+    )
+    return re.compile(rf"[\x00-\x7f{letters}]*"), re.compile(split)
 
 
-_BLANK = chr(_AS_CHARACTERS[0x20])
+# The byte-level pre-tokenizer's pattern for Latin letters. Letters below 256 are found faster.
+_SPLITS = [_latin("a-zA-ZÀ-ÖØ-öø-ÿ"), _latin("a-zA-ZÀ-ÖØ-öø-ɏ")]
+
+#: Byte-level tokenizers write printable bytes as they are and the others, in order, as the characters from 256 on.
+_PRINTED = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+_AS_CHARACTERS = "".join(chr(b) if b in _PRINTED else chr(256 + _OTHERS.index(b)) for b in range(256))
 
 
 def _as_characters(part: str) -> str:
-    """A pre-token's bytes as the characters that stand for them; of ASCII to be read, only the blank has another."""
-    if part.isascii() and part.isprintable():
-        return part.replace(" ", _BLANK)
-    return part.encode().decode("latin-1").translate(_AS_CHARACTERS)
+    """A pre-token's bytes as the characters that stand for them."""
+    return codecs.charmap_decode(part.encode(), "strict", _AS_CHARACTERS)[0]
 
 
 class _Remembered(dict):
@@ -91,8 +98,10 @@ class BpeText:
         for k, part in enumerate(self._added.split(text) if self._added else [text]):
             if k % 2:
                 out.append(part)
-            elif _LATIN.fullmatch(part):
-                out += _SPLIT.findall(part)
+                continue
+            split = next((split for plain, split in _SPLITS if plain.fullmatch(part)), None)
+            if split:
+                out += split.findall(part)
             else:
                 out += [part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
         return out

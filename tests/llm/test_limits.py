@@ -34,3 +34,17 @@ def test_vectors_reach_buckets_as_bytes(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     assert {r["n_links"] for r in near_duplicates(df).collect()} == {49}
     assert seen.value == 0
+
+
+def test_pre_tokens_of_latin_texts_equal_the_library():
+    """Letters below and above 256, blanks of all kinds and endings behind apostrophes."""
+    from sparksignal.llm import bpe_text, queries
+
+    bpe = bpe_text.BpeText(bpe_text.read_spec(queries.tokenizer_file("byte_bpe_50k.json")))
+    draw = np.random.default_rng(7)
+    for letters in ("aZé ÿ09'slt\t\n.-", "aZé ɏĀ09'slt\t\n.-", "aª×÷ſ'  ǅɐ"):
+        for _ in range(300):
+            text = "".join(draw.choice(list(letters + "  "), draw.integers(0, 25)))
+            want = [text[a:b] for _, (a, b) in bpe.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+            assert bpe.pre_tokens(text) == want
+    assert len([plain for plain, _ in bpe_text._SPLITS if plain.fullmatch("größe")]) == 2
