@@ -8,12 +8,14 @@ undoing their merges, latest first, never meets a merge across the boundary
 that would have been made earlier. The ids are read from the table backwards.
 
 No piece holds white space after another character, so texts are cut before
-each run of white space, and each distinct unit is encoded once per worker.
+each run of white space, and each distinct unit is encoded once per worker as
+long as it is asked for: units are forgotten generation by generation.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,12 @@ from pyspark.sql import functions as F
 from .common import column, record_batch
 
 SPACE = "▁"
-#: Distinct units a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Distinct units of a generation; a worker remembers two generations.
+REMEMBERED = 250_000
+#: Pairs of tokens a worker remembers before it starts anew.
+PAIRS = 800_000
+#: Units from this length on are not remembered.
+LONG = 200
 
 _ENCODED = "doc_id long, n_tokens long, ids array<int>, decoded string"
 _ROWS = pa.schema(
@@ -32,6 +38,40 @@ _ROWS = pa.schema(
 )
 
 
+class _After(dict):
+    """Whether a token can follow this one, for the tokens asked about so far."""
+
+    def __init__(self, codec: PieceCodec, token: int):
+        super().__init__()
+        self.codec, self.token = codec, token
+
+    def __missing__(self, token: int) -> bool:
+        fits = self[token] = self.codec._pair(self.token, token)
+        return fits
+
+
+class _Units(dict):
+    """Ids by unit, without its first blank, of those asked for since the generation began; asks the one before, then ``find``."""
+
+    def __init__(self, find, before: dict | None = None):
+        super().__init__()
+        self.find, self.before = find, before or {}
+
+    def __missing__(self, rest: str) -> bytes:
+        ids = self.before.get(rest)
+        if ids is None:
+            ids = self.find(SPACE + rest)
+            if len(rest) >= LONG:
+                return ids
+        self[rest] = ids
+        return ids
+
+    def next(self) -> _Units:
+        """A new generation, before which is this one; what the last had and this one did not ask for is forgotten."""
+        self.before = {}
+        return _Units(self.find, self)
+
+
 class PieceCodec:
     def __init__(self, model: bytes):
         import ahocorasick
@@ -66,8 +106,13 @@ class PieceCodec:
         }
         #: For each piece made by a merge: the merge's rank and its two halves.
         self.undone: dict[int, tuple[int, int, int]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.units: dict[str, bytes] = {}
+        self.after = {i: _After(self, i) for i in self.text}
+        self.n_pairs = 0
+        #: What follows where a unit or an unknown character has ended, and where no encoding ends.
+        self.all_fit, self.none_fits = dict.fromkeys(self.text, True), dict.fromkeys(self.text, False)
+        self.units = _Units(self._unit)
+        #: Characters that are pieces.
+        self.known = frozenset(p for p in self.id_of if len(p) == 1)
         self._find_halves()
         self.matches = ahocorasick.Automaton()
         for i, piece in self.text.items():
@@ -114,42 +159,49 @@ class PieceCodec:
             else:
                 return True
 
+    def _pair(self, left: int, right: int) -> bool:
+        if self.n_pairs >= PAIRS:
+            for after in self.after.values():
+                after.clear()
+            self.n_pairs = 0
+        self.n_pairs += 1
+        return self._adjacent(left, right)
+
+    def _last(self, unit: str, ends: list[int]) -> list[tuple[int, int] | None]:
+        """Length and id of the last token of each prefix; after the prefixes that end at ``ends`` any token fits."""
+        last: list[tuple[int, int] | None] = [None] * len(unit)
+        # Which tokens can follow each prefix; behind all others, found as place -1, stands the empty one.
+        follow = [self.none_fits] * len(unit) + [self.all_fit]
+        for at in ends:
+            follow[at] = self.all_fit
+        after = self.after
+        for at, found in self.matches.iter(unit):
+            if last[at] is None:
+                size, token = found
+                if follow[at - size][token]:
+                    last[at] = found
+                    follow[at] = after[token]
+        return last
+
     def _unit(self, unit: str) -> bytes:
         """Ids of one unit as little-endian integers."""
-        last: list[int | None] = [None] * (len(unit) + 1)
-        pairs, text = self.pairs, self.text
-        for at, (size, token) in self.matches.iter(unit):
-            end = at + 1
-            if last[end] is not None:
-                continue
-            start = end - size
-            before = last[start]
-            if start and before is not None and before >= 0:
-                key = (before, token)
-                fits = pairs.get(key)
-                if fits is None:
-                    if len(pairs) > 2 * REMEMBERED:
-                        pairs.clear()
-                    fits = pairs[key] = self._adjacent(before, token)
-                if not fits:
-                    continue
-            elif start and before is None and self._known(unit[start - 1]):
-                continue
-            last[end] = token
+        last = self._last(unit, [])
+        # The whole unit has a last token unless it holds a character that is no piece.
+        if last[-1] is None:
+            last = self._last(unit, [at for at, char in enumerate(unit) if char not in self.known])
         ids: list[int] = []
-        end = len(unit)
-        while end:
-            token = last[end]
-            if token is None:
-                ids.extend(self._outside(unit[end - 1])[::-1])
-                end -= 1
+        at = len(unit) - 1
+        while at >= 0:
+            found = last[at]
+            if found is None:
+                ids.extend(self._outside(unit[at])[::-1])
+                at -= 1
             else:
+                size, token = found
                 ids.append(token)
-                end -= len(text[token])
-        return np.array(ids[::-1], "<i4").tobytes()
-
-    def _known(self, char: str) -> bool:
-        return char in self.id_of
+                at -= size
+        ids.reverse()
+        return array("i", ids).tobytes()
 
     def _outside(self, char: str) -> list[int]:
         """Ids of a character that is no piece."""
@@ -164,25 +216,15 @@ class PieceCodec:
         if not clean:
             return b""
         if not self.may_cut:
-            units = [clean]
-        elif SPACE * 2 in clean:
-            units = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", clean)
-        else:
-            cut = clean.split(SPACE)
-            units = [SPACE + u for u in cut[1:]]
-            if cut[0]:
-                units.insert(0, cut[0])
-        get, out = self.units.get, []
-        for unit in units:
-            ids = get(unit)
-            if ids is None:
-                ids = self._unit(unit)
-                if len(unit) < 200:
-                    self.units[unit] = ids
-            out.append(ids)
+            return self._unit(clean)
         if len(self.units) > REMEMBERED:
-            self.units.clear()
-        return b"".join(out)
+            self.units = self.units.next()
+        if SPACE * 2 in clean:
+            # Only the first blank of a run begins a unit; the others stay with what follows them.
+            head, *rest = re.split(f"(?<!{SPACE}){SPACE}", clean)
+        else:
+            head, *rest = clean.split(SPACE)
+        return (self._unit(head) if head else b"") + b"".join(map(self.units.__getitem__, rest))
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
