@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterable, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +20,12 @@ from .filters import contains_any, first_rows
 EXACT_ROWS = 1_000_000
 HISTOGRAM_BINS = 4096
 
-#: How the time of a file names its partition.
+#: How the time of a file is named, also in the name of its partition.
 FILE_TIME = "yyyyMMddHHmmss"
+#: Column of the exact time of a stored record's file.
+FILE_AT = "_file_at"
+#: Partitions of records stored by file time, at most: files next to each other in time share one.
+TIME_PARTITIONS = 1024
 
 # Planning constants of the backfill estimate.
 BYTES_PER_ROW, SECONDS_PER_FILE = 400, 0.5
@@ -227,15 +233,18 @@ def backfill_estimate(
     ``manifest`` is (file_ts, url, size_bytes); ``contents`` is (url, value) with
     one record per row. Only records of sampled files are read further. If the
     contents are stored by file time (see ``land_by_file_time``), ``partition``
-    names that column, and only the partitions of sampled files are read at all.
+    names that column, and only the partitions that hold sampled files are read.
     """
     sample = cut_lineage(stride_sample(manifest, sample_files))
     keys = sample.select("url")
     if partition:
-        # The sample has at most ``sample_files`` rows: it is broadcast, and its times prune the scan. Without a
+        # The sample has at most ``sample_files`` rows: it is broadcast, and its partitions prune the scan. Without a
         # comparison on this side the planner would not expect that to pay; no listed URL is empty.
-        named = sample.where(F.col("url") != "")
-        keys = F.broadcast(named.select("url", F.date_format("file_ts", FILE_TIME).alias(partition)))
+        named = _held_in(sample.select("url", F.date_format("file_ts", FILE_TIME).alias(FILE_AT)), contents, partition)
+        keys = F.broadcast(named.where(F.col("url") != "").select("url", FILE_AT, F.col("_name").alias(partition)))
+        if FILE_AT not in contents.columns:
+            # Stored elsewhere, with a partition for each time.
+            contents = contents.withColumn(FILE_AT, F.col(partition).cast("string"))
     records = contents.join(keys, keys.columns, "left_semi").filter(strip(F.col(line)) != "")
     matched = contains_any(F.col(line), keywords) if keywords else F.lit(True)
     content = records.agg(
@@ -274,11 +283,47 @@ def backfill_estimate(
     )
 
 
-def land_by_file_time(contents: DataFrame, path: str, partition: str = "file_time", time: str = "file_ts") -> DataFrame:
-    """Store records by the time of their file, one partition each, and return the stored table."""
-    landed = contents.withColumn(partition, F.date_format(time, FILE_TIME))
-    landed.drop(time).write.partitionBy(partition).parquet(path)
-    schema = T.StructType([f for f in landed.schema if f.name not in (time, partition)] + [T.StructField(partition, T.StringType())])
+def _held_in(files: DataFrame, stored: DataFrame, partition: str) -> DataFrame:
+    """Files with the name of the partition that holds their time: the last one that does not begin after it."""
+    names = stored.select(F.col(partition).alias("_name")).distinct()
+    begins = F.col("_name").try_cast("long")
+    held = files.join(names, begins <= F.col(FILE_AT).cast("long"))
+    return cut_lineage(held.groupBy("url", FILE_AT).agg(F.max_by("_name", begins).alias("_name")))
+
+
+def land_by_file_time(
+    contents: DataFrame,
+    path: str,
+    partition: str = "file_time",
+    time: str = "file_ts",
+    *,
+    partitions: int = TIME_PARTITIONS,
+) -> DataFrame:
+    """Store records by the time of their file, and return the stored table.
+
+    A partition holds all records from the time it is named by to that of the next
+    one. There are at most about ``partitions``, of about as many records each
+    wherever the times may lie, so neither folders nor files grow with the files
+    landed. The exact time stays in a column. Records without a time have a
+    partition of their own.
+    """
+    at = F.date_format(time, FILE_TIME)
+    landed = contents.withColumn(FILE_AT, at).drop(time)
+    number = F.col(FILE_AT).cast("long")
+    shares = F.array(*[F.lit(k / partitions) for k in range(1, partitions)] or [F.lit(0.0)])
+    first, others = landed.agg(F.min(number), F.percentile_approx(number, shares, F.lit(4 * partitions))).first()
+    begins = [] if first is None else sorted({first, *others})
+    if begins:
+        cut = Bucketizer(splits=[-math.inf, *map(float, begins), math.inf], inputCol="_at", outputCol="_k", handleInvalid="keep")
+        placed = cut.transform(landed.withColumn("_at", number.cast("double")))
+        names = F.array(*[F.lit(f"{x:014d}") for x in begins])
+        name = F.when(F.col("_at").isNotNull(), F.element_at(names, F.col("_k").cast("int")))
+        landed = placed.withColumn(partition, name).drop("_at", "_k")
+    else:
+        landed = landed.withColumn(partition, F.lit(None).cast("string"))
+    # A partition is written by one task, or by some if it is large.
+    landed.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+    schema = T.StructType([f for f in landed.schema if f.name != partition] + [T.StructField(partition, T.StringType())])
     return contents.sparkSession.read.schema(schema).parquet(path)
 
 

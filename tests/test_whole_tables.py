@@ -151,3 +151,36 @@ def test_only_sampled_partitions_are_read(spark, tmp_path):
         if "file_time" in node.toString().split("\n")[0] and "Scan parquet" in node.nodeName():
             scans.append(node.metrics().apply("numPartitions").value())
     assert scans == [6]
+
+
+def test_landed_partitions_do_not_grow_with_the_files(spark, tmp_path):
+    path = tmp_path / "landed"
+    # Times at even distances but for the first and the last, which lie decades away; one file has none.
+    seconds = F.when(F.col("id") == 0, 0).when(F.col("id") == 1499, 4000000000).otherwise(1704067200 + F.col("id") * 900)
+    files = spark.range(1500).select(
+        F.timestamp_seconds(seconds).alias("file_ts"), F.concat(F.lit("u"), "id").alias("url"), F.lit(10).cast("long").alias("size_bytes")
+    )
+    lines = F.array(F.lit("a keyword"), F.lit("b"), F.concat(F.lit("c"), "url"))
+    timeless = spark.createDataFrame([("u7", "never read")], "url string, value string").withColumn("file_ts", F.lit(None).cast("timestamp"))
+    contents = files.select("file_ts", "url", F.explode(lines).alias("value"))
+    stored = land_by_file_time(contents.unionByName(timeless), str(path))
+    assert len(list(path.glob("file_time=*"))) <= 1026 and len(list(path.rglob("*.parquet"))) <= 1100
+    assert stored.count() == 4501
+    for asked in (1, 20):
+        estimate = backfill_estimate(files, stored, ["keyword"], sample_files=asked, partition="file_time")
+        assert estimate.collect() == backfill_estimate(files, contents.drop("file_ts"), ["keyword"], sample_files=asked).collect()
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 7])
+def test_few_landed_partitions_hold_every_file(spark, tmp_path, partitions):
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * F.col("id"))
+    files = spark.range(40).select(at.alias("file_ts"), F.concat(F.lit("u"), "id").alias("url"), F.lit(10).cast("long").alias("size_bytes"))
+    contents = files.select("file_ts", "url", F.explode(F.array_repeat(F.lit("a keyword"), 3)).alias("value"))
+    # Records that came with another time than their file's do not count, wherever they are stored.
+    strays = files.select(F.expr("file_ts + interval 1 second").alias("file_ts"), "url", F.lit("a stray").alias("value"))
+    stored = land_by_file_time(contents.unionByName(strays), str(tmp_path / "landed"), partitions=partitions)
+    assert len(list((tmp_path / "landed").glob("file_time=*"))) <= partitions + 1
+    estimate = backfill_estimate(files, stored, ["keyword"], sample_files=9, partition="file_time")
+    assert estimate.collect() == backfill_estimate(files, contents.drop("file_ts"), ["keyword"], sample_files=9).collect()
+    none = land_by_file_time(contents.limit(0), str(tmp_path / "none"), partitions=partitions)
+    assert backfill_estimate(files, none, sample_files=9, partition="file_time").first()["total_rows"] == 0
