@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from sparksignal.operators import cell_index
 from sparksignal.operators.cell_index import add_to_index, build_index, fit_probes, index_centers, probed_members, search_index
+from sparksignal.functions.vectors import unit
+from sparksignal.operators import similarity
 from sparksignal.operators.similarity import _best_picks, bounded_pairs, recall_against, top_k_join
 from sparksignal.session import shared_dir
+from sparksignal.workload.tables import quickly_rounded
 
 SCHEMA = "vec_id long, embedding array<double>"
 
@@ -68,6 +71,46 @@ def test_vectors_are_not_stored_once_per_pair_of_cells(spark):
     assert stored_bytes(folder) - before < 10 * vectors.nbytes
 
 
+@pytest.mark.parametrize("spread,score", [(0.05, 0.9), (3.0, 0.2)])
+def test_vectors_are_not_shuffled_to_the_blocks_they_meet(spark, spread, score, monkeypatch):
+    vectors = clustered(5, 10, 30, spread)
+    rows = spark.createDataFrame([(f"v{i:03d}", v.tolist()) for i, v in enumerate(vectors)], "vec_id string, embedding array<double>")
+    context, sent = type(spark.sparkContext), []
+    plain = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: (sent.append(value), plain(self, value))[1])
+    # Blocks of 40 vectors, and cells cut at 25.
+    found = bounded_pairs(rows, score, piece_rows=25, max_bytes=8 * 16 * 40).pairs
+    assert "Exchange" not in found._jdf.queryExecution().toString()
+    blocks = [value[0] for value in sent if len(value) == 6]
+    assert len(blocks) >= 5 and sum(map(len, blocks)) == 300 and max(map(len, blocks)) <= 80
+    pairs = found.collect()
+    assert sorted((int(r["id_a"][1:]), int(r["id_b"][1:])) for r in pairs) == sorted(plain_pairs(vectors, score))
+
+
+def test_tiles_give_the_same_scores(monkeypatch):
+    monkeypatch.setattr(similarity, "TILE_ROWS", 7)
+    monkeypatch.setattr(similarity, "TILE_SCORES", 60)
+    vectors = clustered(7, 5, 8, 0.5, width=4)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    vectors[3], vectors[20] = 0.0, np.nan
+    block, places = vectors[::-1].copy(), np.r_[0:9, 12:40]
+    found = {(x, y): s for rows, picks, scores in similarity._tiles(vectors, block, places, 0.4) for x, y, s in zip(rows, picks, scores, strict=True)}
+    wanted = similarity._distance_scores("cosine")(vectors, block, (block**2).sum(axis=1))
+    assert set(found) == {(x, y) for x, y in zip(*np.nonzero(wanted >= 0.4), strict=True) if y not in (9, 10, 11)}
+    assert all(abs(s - wanted[at]) < 1e-14 for at, s in found.items())
+
+
+def test_quick_rounding_and_unit_vectors(spark):
+    rng = np.random.default_rng(2)
+    odd = [0.0, -0.0, 0.2500005, 0.2500015, -0.0000005, 1e-7, -1e-7, 0.9999995, 999.9999995, 1e300, float("nan"), float("inf"), None]
+    numbers = odd + [k / 2e6 for k in range(-3000, 3000)] + rng.uniform(-2, 2, 20000).tolist()
+    rows = spark.createDataFrame([(x,) for x in numbers], "x double").select(quickly_rounded("x").alias("a"), F.round("x", 6).alias("b"))
+    assert all(repr(r["a"]) == repr(r["b"]) for r in rows.collect())
+    lists = [[3.0, 4.0], [0.0, 0.0], [], None, [1.0, None]]
+    units = [r[0] for r in spark.createDataFrame([(x,) for x in lists], "x array<double>").select(unit(F.col("x"))).collect()]
+    assert units == [[0.6, 0.8], [0.0, 0.0], [], None, [1.0, None]]
+
+
 def stored_bytes(folder):
     return sum(p.stat().st_size for p in Path(folder.removeprefix("file:")).rglob("*.parquet"))
 
